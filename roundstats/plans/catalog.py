@@ -13,14 +13,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roundstats.functions.columns import distance
 from roundstats.operators import numbers as N
+from roundstats.operators import sampling as S
+from roundstats.operators import vectors as V
 from roundstats.operators import words as W
-from roundstats.sources import documents_from, numbers_from, table
+from roundstats.plans import clustering as C
+from roundstats.sources import documents_from, numbers_from, points_from, points_from_lines, table
 
 # Fixed parameters of the registered queries.
 WORD_PARTS = 4       # K of the word counts
 WORD_SEED = 7        # seed of the random group keys
 PICK_AT = 100        # position picked from the numbered sort
+N_CENTERS = 4        # fixed center set of the vector queries: ids below this
+SEED = 7             # seed of every clustering query
+CLUSTER_K = 4        # k of the one-problem clustering
+CLUSTER_ITERS = 2    # Lloyd rounds of the one-problem clustering
+MR_K = 3             # k of the three-round method
+MR_PARTS = 4         # parts (L) of the three-round method
+MR_ITERS = 1         # Lloyd rounds of the three-round method
 
 
 def _acctbal(spark: SparkSession, sf: str) -> DataFrame:
@@ -161,6 +172,116 @@ def q_compare_word_counts(spark, sf):
     return W.compare_word_counts(_docs(spark, sf), WORD_PARTS, WORD_SEED, "mod")
 
 
+# ---------------------------------------------------------------- vectors --
+
+def _points(spark, sf):
+    return points_from(table(spark, sf, "embeddings"), "vec_id", "embedding")
+
+
+def _wpoints(spark, sf):
+    e = table(spark, sf, "embeddings").withColumn("w", F.col("label") + 1)
+    return points_from(e, "vec_id", "embedding", "w")
+
+
+def _fixed_centers(pts):
+    return pts.where(F.col("id") < N_CENTERS).select(F.col("id").cast("int").alias("center_id"), "v")
+
+
+def _round_vec(c, places=6):
+    return F.transform(c, lambda x: F.round(x, places))
+
+
+def q_parse_points(spark, sf):
+    e = table(spark, sf, "embeddings")
+    lines = e.select(F.col("vec_id").alias("id"), F.concat_ws(" ", F.transform(
+        F.col("embedding").cast("array<double>"), lambda x: x.cast("string"))).alias("line"))
+    return points_from_lines(lines, "line", "id", strict=True)
+
+
+def q_pair_distance(spark, sf):
+    pts = _points(spark, sf)
+    # The reference point is one row: its vector becomes a literal.
+    ref = pts.where(F.col("id") == 0).select("v").first()["v"]
+    lit = F.array(*[F.lit(float(x)) for x in ref])
+    return pts.select("id", F.round(distance(F.col("v"), lit), 9).alias("d"))
+
+
+def q_assign(spark, sf):
+    pts = _points(spark, sf)
+    return V.assign(pts, _fixed_centers(pts)).select("id", "center_id", F.round("d", 9).alias("d"))
+
+
+def q_nearest_distance(spark, sf):
+    pts = _points(spark, sf)
+    return V.nearest_distance(pts, _fixed_centers(pts)).select("id", F.round("d", 9).alias("d"))
+
+
+def q_cluster_weights(spark, sf):
+    pts = _points(spark, sf)
+    return V.cluster_weights(pts, _fixed_centers(pts))
+
+
+def q_avg_distance(spark, sf):
+    pts = _points(spark, sf)
+    return V.avg_distance(pts, _fixed_centers(pts)).select(F.round("objective", 6).alias("objective"))
+
+
+def q_weighted_centroids(spark, sf):
+    pts = _wpoints(spark, sf)
+    return V.weighted_centroids(pts, _fixed_centers(pts), w_col="w").select(
+        "center_id", "w", _round_vec(F.col("v")).alias("v"))
+
+
+def q_pick_uniform(spark, sf):
+    return S.pick_uniform(_points(spark, sf), SEED, 0).select("id")
+
+
+def q_pick_weighted(spark, sf):
+    return S.pick_weighted(_wpoints(spark, sf), "w", SEED, 1).select("id")
+
+
+def q_update_nearest(spark, sf):
+    pts = _points(spark, sf).withColumn("part", F.lit(0))
+    seeds = C.seed_rows(pts, 2, SEED)
+    state = S.start_nearest(pts)
+    for p, _, i, v in seeds:
+        state = S.update_nearest(state, [(p, i, v)], by_part=True)
+    return state.select("id", F.round("d", 9).alias("d"), "chosen")
+
+
+def q_seed_centers(spark, sf):
+    return C.seed_centers(_points(spark, sf), CLUSTER_K, SEED).select("center_id", "id")
+
+
+def q_lloyd(spark, sf):
+    pts = _wpoints(spark, sf)
+    c = C.run_clustering(pts, CLUSTER_K, CLUSTER_ITERS, SEED)
+    return V.centers_frame(spark, c, with_part=False).select("center_id", _round_vec(F.col("v")).alias("v"))
+
+
+def q_cluster_objective(spark, sf):
+    pts = _points(spark, sf)
+    centers = C.cluster(pts, CLUSTER_K, CLUSTER_ITERS, SEED)
+    return V.avg_distance(pts, centers).select(F.round("objective", 6).alias("objective"))
+
+
+def q_coreset(spark, sf):
+    cs = C.coreset(_points(spark, sf), MR_K, MR_PARTS, MR_ITERS, SEED, method="mod")
+    return cs.select("part", "center_id", "id", "w", _round_vec(F.col("v")).alias("v"))
+
+
+def q_objective_by_part(spark, sf):
+    pts = _points(spark, sf)
+    parted = pts.withColumn("part", F.pmod(F.col("id"), F.lit(MR_PARTS)).cast("int"))
+    o = C.objective_by_part(parted, _fixed_centers(pts))
+    return o.select(F.round("objective", 6).alias("objective"), "n")
+
+
+def q_mr_cluster(spark, sf):
+    r = C.mr_cluster(_points(spark, sf), MR_K, MR_PARTS, MR_ITERS, SEED, method="mod")
+    return r.select("n_points", "k", "parts", "iters", F.round("objective", 6).alias("objective"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nonneg_filter": q_nonneg_filter,
     "parse_number_tokens": q_parse_number_tokens,
@@ -188,4 +309,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "avg_word_length": q_avg_word_length,
     "word_lengths": q_word_lengths,
     "compare_word_counts": q_compare_word_counts,
+    "parse_points": q_parse_points,
+    "pair_distance": q_pair_distance,
+    "assign": q_assign,
+    "nearest_distance": q_nearest_distance,
+    "cluster_weights": q_cluster_weights,
+    "avg_distance": q_avg_distance,
+    "weighted_centroids": q_weighted_centroids,
+    "pick_uniform": q_pick_uniform,
+    "pick_weighted": q_pick_weighted,
+    "update_nearest": q_update_nearest,
+    "seed_centers": q_seed_centers,
+    "lloyd": q_lloyd,
+    "cluster_objective": q_cluster_objective,
+    "coreset": q_coreset,
+    "objective_by_part": q_objective_by_part,
+    "mr_cluster": q_mr_cluster,
 }

@@ -20,7 +20,7 @@ from roundstats.functions.columns import (
 # Hadoop's line reader ends a line at \n, \r or \r\n; a terminator at the
 # very end does not open another (empty) line.
 LINE_BREAK_RE = r"\r\n|\r|\n"
-FINAL_BREAK_RE = r"(\r\n|\r|\n)$"
+FINAL_BREAK_RE = r"(\r\n|\r|\n)\z"
 
 
 def _line_ids(lines: DataFrame, id_col: str) -> DataFrame:
@@ -48,7 +48,7 @@ def numbers_from(df: DataFrame, text_col: str = "value", id_col: str | None = No
         id_col = "__line_id"
     toks = df.select(F.col(id_col).cast("long").alias("id"),
                      F.posexplode(whitespace_tokens(F.col(text_col))).alias("pos", "tok"))
-    parsed = F.try_cast(F.col("tok"), "double") if hasattr(F, "try_cast") else F.expr("try_cast(tok as double)")
+    parsed = F.col("tok").try_cast("double")
     if strict:
         ok = parsed.isNotNull() & number_token_ok(F.col("tok"))
         v = F.when(ok, parsed).otherwise(
@@ -91,7 +91,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 # ----------------------------------------------------------------- points --
 
 def _vector_of(text: Column) -> Column:
-    return F.transform(java_split(text), lambda x: F.try_cast(x, "double"))
+    return F.transform(java_split(text), lambda x: x.try_cast("double"))
 
 
 def points_from_lines(df: DataFrame, text_col: str = "value", id_col: str | None = None,
