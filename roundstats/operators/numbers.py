@@ -141,26 +141,42 @@ def pick_at(indexed: DataFrame, i: int, idx: str = "idx") -> DataFrame:
     return indexed.where(F.col(idx) == F.lit(i))
 
 
-def kth_smallest(df: DataFrame, col: str, r: int, accuracy: int = 10000,
-                 max_rounds: int = 64) -> float | None:
-    """Exact value of 0-based rank ``r`` among the non-null values.
-
-    Selection by counting: an approximate quantile proposes a candidate q,
-    one aggregate counts rows below and equal to q inside the current
-    window, and the window shrinks to the side holding rank r. Each round
-    keeps at most ~1/accuracy of the window, and a value that holds a third
-    of all rows ends the search as soon as it is proposed. Only scalars
-    reach the driver. NaN ranks above every number, as in Spark's order.
+def select_rank(df: DataFrame, col: str, rank, p_hint: float | None = None,
+                accuracy: int = 10000, max_rounds: int = 64) -> tuple[float | None, int]:
+    """Exact value at a 0-based rank among the non-null values of ``col``;
+    returns ``(value, n)`` where ``rank(n)`` gave the rank.
+
+    Selection by counting. A round asks ``percentile_approx`` for a ladder
+    of probabilities around the target (its rank error is at most
+    n/accuracy, so the ladder brackets the target), then one aggregate counts
+    the rows below and at every candidate. The target is either a candidate
+    or lies strictly between the two nearest ones: the next round only looks
+    there, a window about accuracy/4 times smaller. A value held by a third
+    of all rows ends the search as soon as it is a candidate. Only scalars
+    reach the driver; each round is two scans of one column. NaN ranks above
+    every number, as in Spark's ordering.
     """
-    v = F.col(col)
-    data = df.select(v.cast("double").alias("v")).where(F.col("v").isNotNull())
     x = F.col("v")
-    n_all, n_nan = data.agg(F.count(F.lit(1)), F.count_if(F.isnan(x))).first()
-    if r < 0 or r >= n_all:
-        return None
+    data = df.select(F.col(col).cast("double").alias("v")).where(x.isNotNull())
+    eps = 1.0 / accuracy
+    steps = (0.0, 2.0, 8.0, 32.0, 128.0)
+
+    def ladder(p: float) -> list[float]:
+        return sorted({min(max(p + sgn * m * eps, 0.0), 1.0) for m in steps for sgn in (-1.0, 1.0)})
+
+    num = F.when(~F.isnan(x), x)
+    head = [F.count(F.lit(1)), F.count_if(F.isnan(x))]
+    if p_hint is not None:
+        head.append(F.percentile_approx(num, ladder(p_hint), accuracy))
+    first = data.agg(*head).first()
+    n_all, n_nan = first[0], first[1]
+    r = rank(n_all)
+    if r is None or r < 0 or r >= n_all:
+        return None, n_all
     if r >= n_all - n_nan:
-        return float("nan")
+        return float("nan"), n_all
     nums = data.where(~F.isnan(x))
+    cands = first[2] if p_hint is not None else None
     lo = hi = None
     r_w, n_w = r, n_all - n_nan
     for _ in range(max_rounds):
@@ -170,18 +186,42 @@ def kth_smallest(df: DataFrame, col: str, r: int, accuracy: int = 10000,
         if hi is not None:
             cond = cond & (x < F.lit(hi))
         window = nums.where(cond)
-        p = min(max((r_w + 0.5) / n_w, 0.0), 1.0)
-        q = window.agg(F.percentile_approx(x, p, accuracy)).first()[0]
-        c_lt, c_eq = window.agg(F.count_if(x < F.lit(q)), F.count_if(x == F.lit(q))).first()
-        if c_lt <= r_w < c_lt + c_eq:
-            return float(q)
-        if r_w < c_lt:
-            hi, n_w = q, c_lt
-        else:
-            lo, r_w, n_w = q, r_w - c_lt - c_eq, n_w - c_lt - c_eq
+        if cands is None:
+            cands = window.agg(F.percentile_approx(x, ladder((r_w + 0.5) / n_w), accuracy)).first()[0]
+        cands = sorted(set(c for c in cands if c is not None))
+        counts = window.agg(*[e for c in cands for e in
+                              (F.count_if(x < F.lit(c)), F.count_if(x <= F.lit(c)))]).first()
+        below, above = None, None
+        for i, c in enumerate(cands):
+            lt, le = counts[2 * i], counts[2 * i + 1]
+            if lt <= r_w < le:
+                return float(c), n_all
+            if le <= r_w:
+                below = (c, le)
+            elif above is None:
+                above = (c, lt)
+        cut = 0
+        if below is not None:
+            lo, cut = below
+        if above is not None:
+            hi, n_w = above[0], above[1]
+        n_w -= cut
+        r_w -= cut
+        cands = None
     raise RuntimeError("selection did not converge")
 
 
+def kth_smallest(df: DataFrame, col: str, r: int, accuracy: int = 10000) -> float | None:
+    """Exact value of 0-based rank ``r`` among the non-null values
+    (see :func:`select_rank`)."""
+    return select_rank(df, col, lambda n: r, None, accuracy)[0]
+
+
+def lower_median_value(df: DataFrame, col: str, accuracy: int = 10000) -> tuple[float | None, int]:
+    """``(lower median, n)`` by selection; the rank is (n - 1) // 2."""
+    return select_rank(df, col, lambda n: (n - 1) // 2 if n else None, 0.5, accuracy)
+
+
 def lower_median(df: DataFrame, col: str = "v", method: str = "select",
                  out: str = "median") -> DataFrame:
     """The lower median -- the ((n-1)//2)-th smallest value (0-based):
@@ -204,9 +244,8 @@ def lower_median(df: DataFrame, col: str = "v", method: str = "select",
         return pick_at(ranked, (n - 1) // 2).select(out)
     if method != "select":
         raise ValueError(f"unknown method {method!r}")
-    n = data.count()
+    q, n = lower_median_value(data, out)
     if n == 0:
         return data.limit(0)
-    q = kth_smallest(data, out, (n - 1) // 2)
     o = F.col(out)
     return data.where(o == F.lit(q)).agg(F.min(o).alias(out))

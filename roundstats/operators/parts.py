@@ -61,3 +61,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` when its scan yields fewer partitions
+    than the session can run at once (a few large files or row groups);
+    otherwise return it unchanged.
+
+    On a cluster reading many files this is a no-op; on a single large file
+    it turns one task into ``defaultParallelism`` tasks at the cost of one
+    shuffle. Hash partitioning on a key (not round robin) needs no extra sort
+    to stay deterministic under retries.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)

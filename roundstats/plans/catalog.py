@@ -18,7 +18,9 @@ from roundstats.operators import numbers as N
 from roundstats.operators import sampling as S
 from roundstats.operators import vectors as V
 from roundstats.operators import words as W
+from roundstats.operators.parts import spread
 from roundstats.plans import clustering as C
+from roundstats.plans import reports as R
 from roundstats.sources import documents_from, numbers_from, points_from, points_from_lines, table
 
 # Fixed parameters of the registered queries.
@@ -44,7 +46,7 @@ def _nonneg_acctbal(spark, sf):
 
 
 def _docs(spark, sf):
-    return documents_from(table(spark, sf, "documents"), "text", "doc_id")
+    return spread(documents_from(table(spark, sf, "documents"), "text", "doc_id"), "doc_id")
 
 
 def _part_lines(spark, sf):
@@ -129,6 +131,10 @@ def q_merge_means(spark, sf):
     return m.select(F.round("avg", 6).alias("avg"), "n")
 
 
+def q_number_report(spark, sf):
+    return R.number_report(_acctbal(spark, sf), "v")
+
+
 # ------------------------------------------------------------------ words --
 
 def q_doc_word_counts(spark, sf):
@@ -175,12 +181,12 @@ def q_compare_word_counts(spark, sf):
 # ---------------------------------------------------------------- vectors --
 
 def _points(spark, sf):
-    return points_from(table(spark, sf, "embeddings"), "vec_id", "embedding")
+    return spread(points_from(table(spark, sf, "embeddings"), "vec_id", "embedding"), "id")
 
 
 def _wpoints(spark, sf):
     e = table(spark, sf, "embeddings").withColumn("w", F.col("label") + 1)
-    return points_from(e, "vec_id", "embedding", "w")
+    return spread(points_from(e, "vec_id", "embedding", "w"), "id")
 
 
 def _fixed_centers(pts):
@@ -299,6 +305,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lower_median_sorted": q_lower_median_sorted,
     "lower_median_quantity": q_lower_median_quantity,
     "merge_means": q_merge_means,
+    "number_report": q_number_report,
     "doc_word_counts": q_doc_word_counts,
     "word_count": q_word_count,
     "group_word_counts": q_group_word_counts,

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from roundstats.functions.columns import uniform
 from roundstats.operators.numbers import merge_means
-from roundstats.operators.parts import cut_lineage, with_parts
+from roundstats.operators.parts import cut_lineage, spread, with_parts
 from roundstats.operators.sampling import (
     pick_uniform,
     race_key,
@@ -149,7 +149,7 @@ def _centers_from_seeds(rows) -> Centers:
 def run_clustering(points: DataFrame, k: int, iters: int, seed: int = 0) -> Centers:
     """Seeding then Lloyd for every part of ``points`` (kept while it runs)."""
     _check(k, iters)
-    pts = _as_parted(points).persist(StorageLevel.MEMORY_AND_DISK)
+    pts = spread(_as_parted(points), "id").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         centers = _centers_from_seeds(seed_rows(pts, k, seed))
         return lloyd(pts, centers, iters)
@@ -194,7 +194,7 @@ _CORESET_SCHEMA = "part int, center_id int, id long, v array<double>, w long"
 
 def _parted(points: DataFrame, parts: int, method: str) -> DataFrame:
     base = points.drop("part") if "part" in points.columns else points
-    return _as_parted(with_parts(base, parts, "id", method))
+    return spread(_as_parted(with_parts(base, parts, "id", method)), "id")
 
 
 def coreset(points: DataFrame, k: int, parts: int, iters: int, seed: int = 0,

@@ -85,6 +85,13 @@ ORACLE_SQL: dict[str, str] = {
                               "FROM lineitem WHERE l_quantity IS NOT NULL"),
     "merge_means": ("SELECT round(sum(a * n) / sum(n), 6) AS avg, CAST(sum(n) AS BIGINT) AS n FROM "
                     "(SELECT avg(c_acctbal) AS a, count(*) AS n FROM customer GROUP BY c_nationkey)"),
+    "number_report": f"""
+        WITH v AS ({_NONNEG}),
+        s AS (SELECT count(*) AS n, max(v) AS max_v, max(v) AS max_by_order, min(v) AS min_v,
+                     avg(v) AS a FROM v),
+        m AS (SELECT percentile_disc(0.5) WITHIN GROUP (ORDER BY v) AS med FROM v)
+        SELECT n, max_v, max_by_order, min_v, (med - min_v) / nullif(max_v - min_v, 0) AS median_nv,
+               round((a - min_v) / nullif(max_v - min_v, 0), 6) AS mean_nv FROM s, m""",
     "doc_word_counts": f"SELECT doc_id, word, count(*) AS c FROM ({_TOKENS}) GROUP BY doc_id, word",
     "word_count": _WORD_COUNT,
     "group_word_counts": (f"SELECT {salt_sql(WORD_PARTS, WORD_SEED, 'doc_id', 'word')} AS group_id, "
