@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roundstats.functions.columns import uniform
-from roundstats.operators.vectors import _matrix, _part_index
+from roundstats.operators.vectors import _matrix
 
 
 def _key_cols(by_part: bool) -> list[str]:
@@ -59,61 +59,160 @@ def pick_weighted(points: DataFrame, weight, seed: int, step: int = 1,
 
 # ------------------------------------------------------ running nearest --
 
-def _newest_table(rows: list[tuple[int, int, list[float]]]):
-    """(parts, vecs, ids) of the newest center of each part that got one."""
-    rows = sorted(rows)
-    parts = np.array([r[0] for r in rows], dtype=np.int64)
-    ids = np.array([r[1] for r in rows], dtype=np.int64)
-    vecs = np.array([r[2] for r in rows], dtype=np.float64)
-    return parts, vecs, ids
-
-
-def _update_kernel(bc, part_col: str | None):
+def _center_table(rows: list[tuple[int, int, list[float]]]):
+    """(parts, vecs (P, R, D), valid (P, R)) from (part, id, v) rows."""
+    by_part: dict[int, list[list[float]]] = {}
+    for p, _, v in sorted(rows):
+        by_part.setdefault(int(p), []).append(v)
+    parts = np.array(sorted(by_part), dtype=np.int64)
+    r = max((len(x) for x in by_part.values()), default=0)
+    d = len(rows[0][2]) if rows else 0
+    vecs = np.zeros((len(parts), r, d))
+    valid = np.zeros((len(parts), r), dtype=bool)
+    for i, p in enumerate(parts):
+        for j, v in enumerate(by_part[int(p)]):
+            vecs[i, j] = v
+            valid[i, j] = True
+    return parts, vecs, valid
+
+
+def _min_distance(X, p, parts, vecs, valid, d_old):
+    """min(d_old, distance to every valid center of the row's part)."""
+    d = d_old.copy()
+    if not len(parts):
+        return d
+    pidx = np.clip(np.searchsorted(parts, p), 0, len(parts) - 1)
+    has = parts[pidx] == p
+    for j in range(vecs.shape[1]):
+        diff = X - vecs[pidx, j]
+        dn = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+        d = np.where(has & valid[pidx, j], np.minimum(d, dn), d)
+    return d
+
+
+def _col(b: pa.RecordBatch, name: str) -> np.ndarray:
+    return b.column(b.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
+
+
+def _fold_kernel(bc, d_col: str):
     def run(batches):
-        parts, vecs, ids = bc.value
+        parts, vecs, valid = bc.value
         for b in batches:
             if b.num_rows == 0:
                 continue
-            X = _matrix(b, "v")
-            n = b.num_rows
-            d_old = b.column(b.schema.get_field_index("d")).to_numpy(zero_copy_only=False)
-            chosen = b.column(b.schema.get_field_index("chosen")).to_numpy(zero_copy_only=False)
-            pid = b.column(b.schema.get_field_index("id")).to_numpy(zero_copy_only=False)
-            if part_col is None:
-                pidx = np.zeros(n, dtype=np.int64)
-                has = np.full(n, len(parts) > 0)
-            else:
-                p = b.column(b.schema.get_field_index(part_col)).to_numpy(zero_copy_only=False)
-                pidx = np.clip(np.searchsorted(parts, p), 0, max(len(parts) - 1, 0))
-                has = (parts[pidx] == p) if len(parts) else np.zeros(n, dtype=bool)
-            if len(parts):
-                diff = X - vecs[pidx]
-                dn = np.sqrt(np.einsum("ij,ij->i", diff, diff))
-                dn = np.where(has, dn, np.inf)
-                d_new = np.minimum(d_old, dn)
-                ch = chosen | (has & (pid == ids[pidx]))
-            else:
-                d_new, ch = d_old, chosen
+            d = _min_distance(_matrix(b, "v"), _col(b, "part"), parts, vecs, valid, _col(b, d_col))
             cols = list(b.columns)
-            cols[b.schema.get_field_index("d")] = pa.array(d_new, pa.float64())
-            cols[b.schema.get_field_index("chosen")] = pa.array(ch, pa.bool_())
+            cols[b.schema.get_field_index(d_col)] = pa.array(d, pa.float64())
             yield pa.RecordBatch.from_arrays(cols, names=list(b.schema.names))
     return run
 
 
-def start_nearest(points: DataFrame) -> DataFrame:
-    """State for M3: points plus ``d`` = +inf (no center yet) and ``chosen``."""
-    return (points.withColumn("d", F.lit(float("inf")).cast("double"))
-            .withColumn("chosen", F.lit(False)))
+def _score_kernel(bc, d_col: str):
+    def run(batches):
+        parts, vecs, valid, chosen = bc.value
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            ids = _col(b, "id")
+            d = _min_distance(_matrix(b, "v"), _col(b, "part"), parts, vecs, valid, _col(b, d_col))
+            w = _col(b, "w").astype(np.float64)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(b.schema.get_field_index("part")), pa.array(ids, pa.int64()),
+                 pa.array(w * d, pa.float64()), pa.array(np.isin(ids, chosen), pa.bool_())],
+                names=["part", "id", "wd", "chosen"])
+    return run
+
+
+def start_nearest(points: DataFrame, d_col: str = "d") -> DataFrame:
+    """State for M3: points ``part, id, v, w`` plus ``d`` = +inf (no center yet)."""
+    return points.withColumn(d_col, F.lit(float("inf")).cast("double"))
 
 
 def update_nearest(state: DataFrame, newest: list[tuple[int, int, list[float]]],
-                   by_part: bool = False) -> DataFrame:
-    """M3: ``d = min(d, dist(v, newest center of the point's part))`` and
-    mark the picked points as chosen. ``newest`` holds (part, id, v) -- one
-    row per part, k rows in all over a seeding: broadcast, size bounded by
-    parts x dims."""
-    spark = state.sparkSession
-    bc = spark.sparkContext.broadcast(_newest_table(newest))
-    schema = T.StructType(list(state.schema.fields))
-    return state.mapInArrow(_update_kernel(bc, "part" if by_part else None), schema)
+                   d_col: str = "d") -> DataFrame:
+    """M3: ``d = min(d, distance to the new centers of the point's part)``.
+
+    ``newest`` holds ``(part, id, v)`` rows (a few per part): broadcast,
+    bounded by parts x rows x dims. Rows keep all their columns.
+    """
+    bc = state.sparkSession.sparkContext.broadcast(_center_table(newest))
+    return state.mapInArrow(_fold_kernel(bc, d_col), T.StructType(list(state.schema.fields)))
+
+
+def _draw_kernel(bc, d_col: str):
+    """Per batch and part: the best race candidate (smallest -ln(u)/(w*d)
+    among unchosen rows with w*d > 0) and the best fallback (smallest u
+    among unchosen rows), ties by id -- at most two rows per part leave."""
+    def run(batches):
+        parts, vecs, valid, chosen = bc.value
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            ids = _col(b, "id")
+            part = _col(b, "part")
+            X = _matrix(b, "v")
+            d = _min_distance(X, part, parts, vecs, valid, _col(b, d_col))
+            wd = _col(b, "w").astype(np.float64) * d
+            u = _col(b, "u")
+            free = ~np.isin(ids, chosen)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                race = np.where(free & (wd > 0), -np.log(u) / wd, np.inf)
+            rest = np.where(free, u, np.inf)
+            out_rows = []
+            for kind, key in ((0, race), (1, rest)):
+                ok = np.isfinite(key)
+                if not ok.any():
+                    continue
+                rows = np.nonzero(ok)[0]
+                order = rows[np.lexsort((ids[rows], key[rows], part[rows]))]
+                _, first = np.unique(part[order], return_index=True)
+                sel = order[first]
+                out_rows.append((kind, sel, key[sel]))
+            if not out_rows:
+                continue
+            kinds = np.concatenate([np.full(len(sel), k, dtype=np.int8) for k, sel, _ in out_rows])
+            sel = np.concatenate([sel for _, sel, _ in out_rows])
+            keys = np.concatenate([key for _, _, key in out_rows])
+            vcol = b.column(b.schema.get_field_index("v")).take(pa.array(sel))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part[sel].astype(np.int32)), pa.array(kinds), pa.array(keys, pa.float64()),
+                 pa.array(ids[sel], pa.int64()), vcol],
+                names=["part", "kind", "key", "id", "v"])
+    return run
+
+
+def draw_next(state: DataFrame, recent: list[tuple[int, int, list[float]]],
+              chosen_ids: list[int], seed: int, step: int, d_col: str = "d") -> DataFrame:
+    """M2 + M3 in one pass: ``part, id, v`` of the next center of each part.
+
+    The nearest distance is ``min(d, distance to the recent centers)``; the
+    draw is the exponential race on ``w * d`` with u(seed, step, id) (computed
+    by the JVM), or -- when every remaining ``w * d`` is 0 -- the remaining
+    point with the smallest u. The kernel sends at most two candidates per
+    part and batch; one ``min_by`` aggregate picks the winners.
+    """
+    table = _center_table(recent) + (np.array(sorted(chosen_ids), dtype=np.int64),)
+    bc = state.sparkSession.sparkContext.broadcast(table)
+    vtype = state.schema["v"].dataType.simpleString()
+    cands = (state.select("part", "id", "v", "w", d_col, uniform(seed, step, "id").alias("u"))
+             .mapInArrow(_draw_kernel(bc, d_col),
+                         f"part int, kind tinyint, key double, id long, v {vtype}"))
+    row, order = F.struct("id", "v"), F.struct("key", "id")
+    race, rest = F.col("kind") == 0, F.col("kind") == 1
+    return (cands.groupBy("part")
+            .agg(F.min_by(F.when(race, row), F.when(race, order)).alias("race"),
+                 F.min_by(F.when(rest, row), F.when(rest, order)).alias("rest"))
+            .select("part", F.coalesce("race", "rest").alias("pick"))
+            .where(F.col("pick").isNotNull())
+            .select("part", "pick.id", "pick.v"))
+
+
+def score_nearest(state: DataFrame, recent: list[tuple[int, int, list[float]]],
+                  chosen_ids: list[int], d_col: str = "d") -> DataFrame:
+    """Narrow view for a weighted draw: ``part, id, wd, chosen`` with
+    ``wd = w * min(d, distance to the recent centers)``. Vectors stay on the
+    executors: only four small columns leave the Arrow kernel."""
+    table = _center_table(recent) + (np.array(sorted(chosen_ids), dtype=np.int64),)
+    bc = state.sparkSession.sparkContext.broadcast(table)
+    return state.mapInArrow(_score_kernel(bc, d_col),
+                            "part int, id long, wd double, chosen boolean")

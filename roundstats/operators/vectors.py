@@ -69,6 +69,10 @@ class Centers:
                 ids[pi, j] = cid
         return Centers(parts, vecs, valid, ids)
 
+    def arrays(self) -> tuple:
+        """Plain arrays for a broadcast (broadcasts use plain pickle)."""
+        return (self.parts, self.vecs, self.valid, self.ids)
+
     def take(self, mask: np.ndarray) -> "Centers":
         return Centers(self.parts[mask], self.vecs[mask], self.valid[mask], self.ids[mask])
 
@@ -148,7 +152,7 @@ def nearest(X: np.ndarray, pidx: np.ndarray, c: Centers) -> tuple[np.ndarray, np
 
 def _assign_kernel(bc, vec_col: str, part_col: str | None):
     def run(batches):
-        c: Centers = bc.value
+        c = Centers(*bc.value)
         for b in batches:
             if b.num_rows == 0:
                 continue
@@ -166,7 +170,7 @@ def _sums_kernel(bc, vec_col: str, part_col: str | None, w_col: str | None):
     """Per batch and cluster: sum of weights and weighted coordinate sums,
     one row per (part, center, coordinate)."""
     def run(batches):
-        c: Centers = bc.value
+        c = Centers(*bc.value)
         k = c.vecs.shape[1]
         for b in batches:
             if b.num_rows == 0:
@@ -240,7 +244,7 @@ def assign(points: DataFrame, centers, vec_col: str = "v", by_part: bool | None
         T.StructField("center_id", T.IntegerType()), T.StructField("d", T.DoubleType())])
     out = None
     for pts, sub in _chunked(points, c, part_col, max_bytes):
-        bc = spark.sparkContext.broadcast(sub)
+        bc = spark.sparkContext.broadcast(sub.arrays())
         r = pts.mapInArrow(_assign_kernel(bc, vec_col, part_col), schema)
         out = r if out is None else out.unionByName(r)
     return out
@@ -281,7 +285,7 @@ def centroid_sums(points: DataFrame, c: Centers, vec_col: str = "v", w_col: str
     part_col = "part" if by_part and "part" in points.columns else None
     out = None
     for pts, sub in _chunked(points, c, part_col, max_bytes):
-        bc = spark.sparkContext.broadcast(sub)
+        bc = spark.sparkContext.broadcast(sub.arrays())
         r = pts.mapInArrow(_sums_kernel(bc, vec_col, part_col, w_col), _SUMS_SCHEMA)
         out = r if out is None else out.unionByName(r)
     return (out.groupBy("part", "center_id", "pos")

@@ -251,8 +251,9 @@ def q_update_nearest(spark, sf):
     seeds = C.seed_rows(pts, 2, SEED)
     state = S.start_nearest(pts)
     for p, _, i, v in seeds:
-        state = S.update_nearest(state, [(p, i, v)], by_part=True)
-    return state.select("id", F.round("d", 9).alias("d"), "chosen")
+        state = S.update_nearest(state, [(p, i, v)])
+    chosen = [i for _, _, i, _ in seeds]
+    return state.select("id", F.round("d", 9).alias("d"), F.col("id").isin(chosen).alias("chosen"))
 
 
 def q_seed_centers(spark, sf):

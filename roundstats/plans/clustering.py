@@ -24,12 +24,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roundstats.functions.columns import uniform
 from roundstats.operators.numbers import merge_means
 from roundstats.operators.parts import cut_lineage, spread, with_parts
 from roundstats.operators.sampling import (
+    draw_next,
     pick_uniform,
-    race_key,
     start_nearest,
     update_nearest,
 )
@@ -40,7 +39,7 @@ from roundstats.operators.vectors import (
     centroid_sums,
 )
 
-CHECKPOINT_EVERY = 4
+REFRESH_EVERY = 8   # centers folded into the stored running distance
 
 
 def _check(k: int, iters: int, parts: int = 1) -> None:
@@ -59,48 +58,37 @@ def _as_parted(points: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- seeding --
 
 def seed_rows(points: DataFrame, k: int, seed: int,
-              checkpoint_every: int = CHECKPOINT_EVERY) -> list[tuple[int, int, int, list[float]]]:
+              refresh_every: int = REFRESH_EVERY) -> list[tuple[int, int, int, list[float]]]:
     """M4 (driver loop of k small aggregates): ``(part, center_id, id, v)``.
 
-    State ``part, id, v, w, d, chosen`` is rewritten each step by the
-    running-nearest update (M3), kept for the next step, and written to the
-    checkpoint folder every few steps so lineage (and recovery after a lost
-    executor) stays short.
+    Each step is one pass over the kept points (:func:`draw_next`): an Arrow
+    kernel computes every point's nearest distance to the centers drawn so
+    far -- a stored running distance ``d`` (M3) folded with the few centers
+    drawn since it was stored -- and sends on only its best candidates; one
+    ``min_by`` aggregate per part draws the next center (exponential race on
+    ``w*d``, or the smallest draw among the remaining points when every
+    ``w*d`` is 0). Every ``refresh_every`` centers the running distance is
+    rewritten and checkpointed, keeping each pass's work and the lineage
+    short.
     """
     pts = _as_parted(points)
     first = pick_uniform(pts, seed, 0, by_part=True).collect()
     picked = [(int(r["part"]), 0, int(r["id"]), list(r["v"])) for r in first]
-    newest = [(p, i, v) for p, _, i, v in picked]
+    recent = [(p, i, v) for p, _, i, v in picked]
     state = start_nearest(pts)
     held: DataFrame | None = None
     for t in range(1, k):
-        state = update_nearest(state, newest, by_part=True)
-        if t % checkpoint_every == 0:
-            state = cut_lineage(state)
-        else:
-            state = state.persist(StorageLevel.MEMORY_AND_DISK)
-        wd = F.col("w") * F.col("d")
-        race_ok = (wd > 0) & ~F.col("chosen")
-        any_ok = ~F.col("chosen")
-        row = F.struct("id", "v")
-        picks = (state.groupBy("part").agg(
-            F.min_by(F.when(race_ok, row), F.when(race_ok, F.struct(race_key(wd, seed, t), F.col("id"))))
-            .alias("race"),
-            F.min_by(F.when(any_ok, row), F.when(any_ok, F.struct(uniform(seed, t, "id"), F.col("id"))))
-            .alias("rest"))
-            .select("part", F.coalesce("race", "rest").alias("pick"))
-            .where(F.col("pick").isNotNull())
-            .select("part", "pick.id", "pick.v")
-            .collect())
-        if held is not None:
-            held.unpersist()
-        held = state
-        if not picks:
+        draws = draw_next(state, recent, [r[2] for r in picked], seed, t).collect()
+        if not draws:
             break
-        newest = [(int(r["part"]), int(r["id"]), list(r["v"])) for r in picks]
-        picked += [(p, t, i, v) for p, i, v in newest]
-    if held is not None:
-        held.unpersist()
+        new = [(int(r["part"]), int(r["id"]), list(r["v"])) for r in draws]
+        picked += [(p, t, i, v) for p, i, v in new]
+        recent += new
+        if len(recent) >= refresh_every and t < k - 1:
+            nxt = cut_lineage(update_nearest(state, recent))
+            if held is not None:
+                held.unpersist()
+            held, state, recent = nxt, nxt, []
     return sorted(picked)
 
 
