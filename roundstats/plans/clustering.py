@@ -33,6 +33,7 @@ from roundstats.operators.sampling import (
     update_nearest,
 )
 from roundstats.operators.vectors import (
+    MAX_CENTER_BYTES,
     Centers,
     assign,
     centers_frame,
@@ -73,6 +74,20 @@ def seed_rows(points: DataFrame, k: int, seed: int,
     """
     pts = _as_parted(points)
     first = pick_uniform(pts, seed, 0, by_part=True).collect()
+    if not first:
+        return []
+    dim = len(first[0]["v"])
+    # Broadcast bound: one center per part, ``refresh_every`` deep. Beyond
+    # the limit, parts are seeded in chunks (one pass per step per chunk).
+    per_part = dim * 8 * refresh_every
+    max_parts = max(1, MAX_CENTER_BYTES // per_part)
+    if len(first) > max_parts:
+        parts = sorted(int(r["part"]) for r in first)
+        out = []
+        for s in range(0, len(parts), max_parts):
+            lo, hi = parts[s], parts[min(s + max_parts, len(parts)) - 1]
+            out += seed_rows(pts.where(F.col("part").between(lo, hi)), k, seed, refresh_every)
+        return sorted(out)
     picked = [(int(r["part"]), 0, int(r["id"]), list(r["v"])) for r in first]
     recent = [(p, i, v) for p, _, i, v in picked]
     state = start_nearest(pts)

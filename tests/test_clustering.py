@@ -114,3 +114,12 @@ def test_race_follows_the_weights():
     expect = n * w / w.sum()
     chi2 = ((counts - expect) ** 2 / expect).sum()
     assert chi2 < 18.47   # 4 degrees of freedom, p = 0.001
+
+
+def test_seeding_in_part_chunks_matches(spark, emb, monkeypatch):
+    pts = emb[0].withColumn("part", (F.col("id") % 5).cast("int"))
+    whole = C.seed_rows(pts, 3, seed=4)
+    monkeypatch.setattr(C, "MAX_CENTER_BYTES", 64 * 8 * C.REFRESH_EVERY * 2)   # two parts per chunk
+    chunked = C.seed_rows(pts, 3, seed=4)
+    assert [r[:3] for r in whole] == [r[:3] for r in chunked]
+    assert len({r[0] for r in whole}) == 5
