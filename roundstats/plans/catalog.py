@@ -66,6 +66,20 @@ def q_parse_number_tokens(spark, sf):
     return numbers_from(_part_lines(spark, sf), "line", "id", strict=False)
 
 
+def q_parse_numbers_strict(spark, sf):
+    # Every token of these lines is a number; the line key is (order, line).
+    li = table(spark, sf, "lineitem")
+    lines = li.select((F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("id"),
+                      F.concat_ws(" ", *[F.col(c).cast("string") for c in
+                                         ("l_orderkey", "l_linenumber", "l_quantity", "l_discount")])
+                      .alias("line"))
+    return numbers_from(lines, "line", "id", strict=True)
+
+
+def q_squares(spark, sf):
+    return N.squares(_acctbal(spark, sf), "v", "sq")
+
+
 def q_sum_of_squares(spark, sf):
     q = table(spark, sf, "lineitem").select(F.col("l_quantity").alias("v"))
     return N.sum_of_squares(q, "v")
@@ -161,6 +175,14 @@ def q_word_count_by_part(spark, sf):
     return W.word_count_by_part(_docs(spark, sf), WORD_PARTS, "mod")
 
 
+def q_word_count_by_part_local(spark, sf):
+    return W.word_count_by_part(_docs(spark, sf), WORD_PARTS, "mod", relayout=True)
+
+
+def q_distinct_words(spark, sf):
+    return W.distinct_words(W.word_count(_docs(spark, sf)))
+
+
 def q_word_count_lines(spark, sf):
     lines = documents_from(table(spark, sf, "documents"), "text", "doc_id", per_line=True)
     return W.word_count(lines)
@@ -292,6 +314,8 @@ def q_mr_cluster(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nonneg_filter": q_nonneg_filter,
     "parse_number_tokens": q_parse_number_tokens,
+    "parse_numbers_strict": q_parse_numbers_strict,
+    "squares": q_squares,
     "sum_of_squares": q_sum_of_squares,
     "max_value": q_max_value,
     "min_value": q_min_value,
@@ -313,6 +337,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count_salted": q_word_count_salted,
     "partition_word_counts": q_partition_word_counts,
     "word_count_by_part": q_word_count_by_part,
+    "word_count_by_part_local": q_word_count_by_part_local,
+    "distinct_words": q_distinct_words,
     "word_count_lines": q_word_count_lines,
     "avg_word_length": q_avg_word_length,
     "word_lengths": q_word_lengths,

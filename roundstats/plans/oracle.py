@@ -66,6 +66,13 @@ ORACLE_SQL: dict[str, str] = {
               FROM t WHERE tok <> '')
         SELECT id, CAST(pos AS INTEGER) AS pos, CAST(tok AS DOUBLE) AS v FROM k
         WHERE regexp_matches(tok, '{_DECIMAL_RE}') AND CAST(tok AS DOUBLE) >= 0""",
+    "parse_numbers_strict": """
+        WITH l AS (SELECT l_orderkey * 100 + l_linenumber AS id,
+                          [CAST(l_orderkey AS DOUBLE), CAST(l_linenumber AS DOUBLE), l_quantity, l_discount] AS xs
+                   FROM lineitem)
+        SELECT id, CAST(pos - 1 AS INTEGER) AS pos, xs[pos] AS v
+        FROM (SELECT id, xs, unnest(range(1, 5)) AS pos FROM l)""",
+    "squares": "SELECT c_custkey AS id, c_acctbal AS v, c_acctbal * c_acctbal AS sq FROM customer",
     "sum_of_squares": "SELECT sum(l_quantity * l_quantity) AS sum_sq FROM lineitem",
     "max_value": "SELECT max(c_acctbal) AS max_v FROM customer",
     "min_value": "SELECT min(c_acctbal) AS min_v FROM customer",
@@ -100,6 +107,8 @@ ORACLE_SQL: dict[str, str] = {
     "partition_word_counts": (f"SELECT CAST(((doc_id % {WORD_PARTS}) + {WORD_PARTS}) % {WORD_PARTS} AS INTEGER)"
                               f" AS part, word, count(*) AS c FROM ({_TOKENS}) GROUP BY ALL"),
     "word_count_by_part": _WORD_COUNT,
+    "word_count_by_part_local": _WORD_COUNT,
+    "distinct_words": f"SELECT DISTINCT word FROM ({_TOKENS})",
     "word_count_lines": (f"SELECT word, count(*) AS n FROM (SELECT unnest({java_split_sql('text')}) AS word "
                          f"FROM ({_LINES})) GROUP BY word"),
     "avg_word_length": _STATS.format(wc=_WORD_COUNT),

@@ -115,3 +115,10 @@ def test_merge_means_equals_plain_mean(spark):
     # Partial means (2.0, n=1) and (5.0, n=2) -> 4.0, n=3.
     pm = spark.createDataFrame([(2.0, 1), (5.0, 2)], "avg double, n long")
     assert tuple(one(N.merge_means(pm))) == (4.0, 3)
+
+
+def test_java_whitespace_splits_unicode_spaces(spark):
+    lines = spark.createDataFrame([(1, "1\u20032\t\u00a0 3\u00a04")], "id long, line string")
+    # U+2003 is Java whitespace; U+00A0 (no-break space) is not, so "3 4"
+    # is one token that is not a number.
+    assert [r["v"] for r in numbers_from(lines, "line", "id").orderBy("pos").collect()] == [1.0, 2.0]

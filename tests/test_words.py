@@ -72,3 +72,21 @@ def test_partition_counts_sum_to_total(spark):
     docs = spark.createDataFrame([(i, "x " * (i % 5) + "y") for i in range(30)], "doc_id long, text string")
     tot = W.partition_word_counts(docs, 4).agg(F.sum("c")).first()[0]
     assert tot == W.tokens(docs).count()
+
+
+def test_local_by_part_has_one_exchange_after_relayout(spark):
+    docs = spark.createDataFrame([(i, f"a b{i % 3}") for i in range(20)], "doc_id long, text string")
+    plan = W.partition_word_counts(docs, 4, relayout=True)._jdf.queryExecution().executedPlan().toString()
+    # The relayout is the only exchange: the per-part aggregate reuses it.
+    assert plan.count("Exchange") == 1
+    a = sorted(tuple(r) for r in W.word_count_by_part(docs, 4, relayout=True).collect())
+    assert a == sorted(tuple(r) for r in W.word_count(docs).collect())
+
+
+def test_spread_only_when_needed(spark):
+    from roundstats.operators.parts import spread
+
+    one = spark.range(100).coalesce(1)
+    assert spread(one, "id", 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(6)
+    assert spread(many, "id", 4) is many
