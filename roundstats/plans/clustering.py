@@ -75,7 +75,7 @@ def seed_rows(points: DataFrame, k: int, seed: int,
     pts = _as_parted(points)
     first = pick_uniform(pts, seed, 0, by_part=True).collect()
     if not first:
-        return []
+        raise ValueError("no points to seed from")
     dim = len(first[0]["v"])
     # Broadcast bound: one center per part, ``refresh_every`` deep. Beyond
     # the limit, parts are seeded in chunks (one pass per step per chunk).
@@ -167,10 +167,10 @@ def cluster(points: DataFrame, k: int, iters: int, seed: int = 0) -> DataFrame:
     """
     _check(k, iters)
     pts = _as_parted(points.drop("part") if "part" in points.columns else points)
-    n = pts.count()
-    if n < k:
-        raise ValueError(f"{n} points cannot give {k} centers")
     c = run_clustering(pts, k, iters, seed)
+    # Seeding stops early only when it runs out of points.
+    if int(c.valid.sum()) < k:
+        raise ValueError(f"{int(c.valid.sum())} points cannot give {k} centers")
     return centers_frame(points.sparkSession, c, with_part=False)
 
 
