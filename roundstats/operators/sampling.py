@@ -107,22 +107,6 @@ def _fold_kernel(bc, d_col: str):
     return run
 
 
-def _score_kernel(bc, d_col: str):
-    def run(batches):
-        parts, vecs, valid, chosen = bc.value
-        for b in batches:
-            if b.num_rows == 0:
-                continue
-            ids = _col(b, "id")
-            d = _min_distance(_matrix(b, "v"), _col(b, "part"), parts, vecs, valid, _col(b, d_col))
-            w = _col(b, "w").astype(np.float64)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(b.schema.get_field_index("part")), pa.array(ids, pa.int64()),
-                 pa.array(w * d, pa.float64()), pa.array(np.isin(ids, chosen), pa.bool_())],
-                names=["part", "id", "wd", "chosen"])
-    return run
-
-
 def start_nearest(points: DataFrame, d_col: str = "d") -> DataFrame:
     """State for M3: points ``part, id, v, w`` plus ``d`` = +inf (no center yet)."""
     return points.withColumn(d_col, F.lit(float("inf")).cast("double"))
@@ -205,14 +189,3 @@ def draw_next(state: DataFrame, recent: list[tuple[int, int, list[float]]],
             .select("part", F.coalesce("race", "rest").alias("pick"))
             .where(F.col("pick").isNotNull())
             .select("part", "pick.id", "pick.v"))
-
-
-def score_nearest(state: DataFrame, recent: list[tuple[int, int, list[float]]],
-                  chosen_ids: list[int], d_col: str = "d") -> DataFrame:
-    """Narrow view for a weighted draw: ``part, id, wd, chosen`` with
-    ``wd = w * min(d, distance to the recent centers)``. Vectors stay on the
-    executors: only four small columns leave the Arrow kernel."""
-    table = _center_table(recent) + (np.array(sorted(chosen_ids), dtype=np.int64),)
-    bc = state.sparkSession.sparkContext.broadcast(table)
-    return state.mapInArrow(_score_kernel(bc, d_col),
-                            "part int, id long, wd double, chosen boolean")

@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roundstats.functions.columns import distance  # noqa: F401  (column form, V1)
 
 # Largest center table sent as one broadcast (bytes of doubles).
 MAX_CENTER_BYTES = 256 << 20

@@ -149,10 +149,17 @@ def _centers_from_seeds(rows) -> Centers:
     return Centers.from_rows([(p, c, v) for p, c, _, v in rows])
 
 
-def run_clustering(points: DataFrame, k: int, iters: int, seed: int = 0) -> Centers:
-    """Seeding then Lloyd for every part of ``points`` (kept while it runs)."""
+def run_clustering(points: DataFrame, k: int, iters: int, seed: int = 0,
+                   small: bool = False) -> Centers:
+    """Seeding then Lloyd for every part of ``points`` (kept while it runs).
+
+    ``small``: the points are a bounded set (a coreset of k x parts rows):
+    keep them in one partition, so each of the k + iters steps is one task.
+    """
     _check(k, iters)
-    pts = spread(_as_parted(points), "id").persist(StorageLevel.MEMORY_AND_DISK)
+    pts = _as_parted(points)
+    pts = pts.coalesce(1) if small else spread(pts, "id")
+    pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         centers = _centers_from_seeds(seed_rows(pts, k, seed))
         return lloyd(pts, centers, iters)
@@ -160,14 +167,15 @@ def run_clustering(points: DataFrame, k: int, iters: int, seed: int = 0) -> Cent
         pts.unpersist()
 
 
-def cluster(points: DataFrame, k: int, iters: int, seed: int = 0) -> DataFrame:
+def cluster(points: DataFrame, k: int, iters: int, seed: int = 0, small: bool = False) -> DataFrame:
     """M6: ``center_id, v`` -- k centers for all points (one problem).
 
-    Raises ``ValueError`` when there are fewer points than k.
+    Raises ``ValueError`` when there are fewer points than k. ``small`` marks
+    a bounded input (see :func:`run_clustering`).
     """
     _check(k, iters)
     pts = _as_parted(points.drop("part") if "part" in points.columns else points)
-    c = run_clustering(pts, k, iters, seed)
+    c = run_clustering(pts, k, iters, seed, small)
     # Seeding stops early only when it runs out of points.
     if int(c.valid.sum()) < k:
         raise ValueError(f"{int(c.valid.sum())} points cannot give {k} centers")
@@ -244,7 +252,9 @@ def mr_cluster(points: DataFrame, k: int, parts: int, iters: int, seed: int = 0,
     pts = _parted(points, parts, method).persist(StorageLevel.MEMORY_AND_DISK)
     rows = [r for r in _coreset_rows(pts, k, iters, seed) if r[4] > 0]
     cs = spark.createDataFrame(rows, _CORESET_SCHEMA).select("id", "v", "w")
-    final = cluster(cs, k, iters, seed)
+    # Round 2 works on the k x parts coreset rows only (what the reference
+    # collects to one machine): one partition, still Spark jobs.
+    final = cluster(cs, k, iters, seed, small=True)
     obj = objective_by_part(pts, final)
     return obj.select(F.col("n").alias("n_points"), F.lit(k).alias("k"),
                       F.lit(parts).alias("parts"), F.lit(iters).alias("iters"), "objective")
