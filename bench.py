@@ -57,7 +57,8 @@ def main() -> None:
         # (derived by Spark from the table; ids stay unique).
         big = (emb.select(F.explode(F.sequence(F.lit(0), F.lit(REPLICAS - 1))).alias("r"), "id", "v")
                .select((F.col("id") * REPLICAS + F.col("r")).alias("id"),
-                       F.transform("v", lambda x, j: x + F.col("r") * F.lit(1e-3) * F.sin(j)).alias("v"),
+                       F.transform("v", lambda x, j: x + F.col("r") * F.lit(1e-3) * F.sin(j))
+                       .cast("array<float>").alias("v"),
                        F.lit(1).cast("long").alias("w")))
         emb = spread(emb, "id")
         return {

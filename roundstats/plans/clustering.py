@@ -32,6 +32,7 @@ from roundstats.operators.sampling import (
     start_nearest,
     update_nearest,
 )
+from roundstats.sources.text import vector_col
 from roundstats.operators.vectors import (
     MAX_CENTER_BYTES,
     Centers,
@@ -53,7 +54,7 @@ def _as_parted(points: DataFrame) -> DataFrame:
     base = points if "part" in cols else points.withColumn("part", F.lit(0))
     w = F.col("w") if "w" in cols else F.lit(1)
     return base.select(F.col("part").cast("int").alias("part"), F.col("id").cast("long").alias("id"),
-                       F.col("v").cast("array<double>").alias("v"), w.cast("double").alias("w"))
+                       vector_col(base, "v").alias("v"), w.cast("double").alias("w"))
 
 
 # ---------------------------------------------------------------- seeding --

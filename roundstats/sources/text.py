@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roundstats.functions.columns import (
     java_split,
@@ -121,13 +122,26 @@ def read_points(spark: SparkSession, path: str, strict: bool = True) -> DataFram
     return points_from_lines(spark.read.text(path), "value", None, strict)
 
 
+def vector_col(df: DataFrame, vec_col: str) -> Column:
+    """The vector column as ``array<float>`` (kept) or ``array<double>``."""
+    t = df.schema[vec_col].dataType
+    if getattr(t, "elementType", None) == T.FloatType():
+        return F.col(vec_col)
+    return F.col(vec_col).cast("array<double>")
+
+
 def points_from(df: DataFrame, id_col: str, vec_col: str, weight_col: str | None = None,
                 part_col: str | None = None) -> DataFrame:
-    """Points from a table with an array column: ``[part,] id, v, w``."""
+    """Points from a table with an array column: ``[part,] id, v, w``.
+
+    A float32 vector column stays float32 (half the bytes to cache and to
+    ship to the kernels, which widen each batch exactly to float64); any
+    other element type becomes double.
+    """
     cols = []
     if part_col is not None:
         cols.append(F.col(part_col).cast("int").alias("part"))
     cols += [F.col(id_col).cast("long").alias("id"),
-             F.col(vec_col).cast("array<double>").alias("v"),
+             vector_col(df, vec_col).alias("v"),
              (F.col(weight_col) if weight_col else F.lit(1)).cast("long").alias("w")]
     return df.select(*cols)
