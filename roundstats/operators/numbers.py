@@ -142,7 +142,7 @@ def pick_at(indexed: DataFrame, i: int, idx: str = "idx") -> DataFrame:
 
 
 def select_rank(df: DataFrame, col: str, rank, p_hint: float | None = None,
-                accuracy: int = 10000, max_rounds: int = 64) -> tuple[float | None, int]:
+                accuracy: int = 100000, max_rounds: int = 64) -> tuple[float | None, int]:
     """Exact value at a 0-based rank among the non-null values of ``col``;
     returns ``(value, n)`` where ``rank(n)`` gave the rank.
 
@@ -211,13 +211,13 @@ def select_rank(df: DataFrame, col: str, rank, p_hint: float | None = None,
     raise RuntimeError("selection did not converge")
 
 
-def kth_smallest(df: DataFrame, col: str, r: int, accuracy: int = 10000) -> float | None:
+def kth_smallest(df: DataFrame, col: str, r: int, accuracy: int = 100000) -> float | None:
     """Exact value of 0-based rank ``r`` among the non-null values
     (see :func:`select_rank`)."""
     return select_rank(df, col, lambda n: r, None, accuracy)[0]
 
 
-def lower_median_value(df: DataFrame, col: str, accuracy: int = 10000) -> tuple[float | None, int]:
+def lower_median_value(df: DataFrame, col: str, accuracy: int = 100000) -> tuple[float | None, int]:
     """``(lower median, n)`` by selection; the rank is (n - 1) // 2."""
     return select_rank(df, col, lambda n: (n - 1) // 2 if n else None, 0.5, accuracy)
 
