@@ -151,6 +151,10 @@ def q_number_report(spark, sf):
 
 # ------------------------------------------------------------------ words --
 
+def q_tokens(spark, sf):
+    return W.tokens(_docs(spark, sf))
+
+
 def q_doc_word_counts(spark, sf):
     return W.doc_word_counts(_docs(spark, sf))
 
@@ -299,6 +303,12 @@ def q_coreset(spark, sf):
     return cs.select("part", "center_id", "id", "w", _round_vec(F.col("v")).alias("v"))
 
 
+def q_recluster_coreset(spark, sf):
+    cs = C.coreset(_points(spark, sf), MR_K, MR_PARTS, MR_ITERS, SEED, method="mod").where(F.col("w") > 0)
+    centers = C.cluster(cs.select("id", "v", "w"), MR_K, MR_ITERS, SEED, small=True)
+    return centers.select("center_id", _round_vec(F.col("v")).alias("v"))
+
+
 def q_objective_by_part(spark, sf):
     pts = _points(spark, sf)
     parted = pts.withColumn("part", F.pmod(F.col("id"), F.lit(MR_PARTS)).cast("int"))
@@ -331,6 +341,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lower_median_quantity": q_lower_median_quantity,
     "merge_means": q_merge_means,
     "number_report": q_number_report,
+    "tokens": q_tokens,
     "doc_word_counts": q_doc_word_counts,
     "word_count": q_word_count,
     "group_word_counts": q_group_word_counts,
@@ -357,6 +368,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lloyd": q_lloyd,
     "cluster_objective": q_cluster_objective,
     "coreset": q_coreset,
+    "recluster_coreset": q_recluster_coreset,
     "objective_by_part": q_objective_by_part,
     "mr_cluster": q_mr_cluster,
 }

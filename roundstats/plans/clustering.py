@@ -245,17 +245,22 @@ def mr_cluster(points: DataFrame, k: int, parts: int, iters: int, seed: int = 0,
     3. mean distance of every point to its nearest final center, per part,
        merged.
 
-    The parted points stay cached for round 3, which runs when the returned
-    frame is evaluated.
+    The parted points are cached for the many passes of round 1 only;
+    round 3 runs when the returned frame is evaluated and reads them once
+    more from the source (ids, parts and draws are deterministic).
     """
     _check(k, iters, parts)
     spark = points.sparkSession
-    pts = _parted(points, parts, method).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = [r for r in _coreset_rows(pts, k, iters, seed) if r[4] > 0]
+    parted = _parted(points, parts, method)
+    pts = parted.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = [r for r in _coreset_rows(pts, k, iters, seed) if r[4] > 0]
+    finally:
+        pts.unpersist()
     cs = spark.createDataFrame(rows, _CORESET_SCHEMA).select("id", "v", "w")
     # Round 2 works on the k x parts coreset rows only (what the reference
     # collects to one machine): one partition, still Spark jobs.
     final = cluster(cs, k, iters, seed, small=True)
-    obj = objective_by_part(pts, final)
+    obj = objective_by_part(parted, final)
     return obj.select(F.col("n").alias("n_points"), F.lit(k).alias("k"),
                       F.lit(parts).alias("parts"), F.lit(iters).alias("iters"), "objective")

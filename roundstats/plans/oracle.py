@@ -99,6 +99,7 @@ ORACLE_SQL: dict[str, str] = {
         m AS (SELECT percentile_disc(0.5) WITHIN GROUP (ORDER BY v) AS med FROM v)
         SELECT n, max_v, max_by_order, min_v, (med - min_v) / nullif(max_v - min_v, 0) AS median_nv,
                round((a - min_v) / nullif(max_v - min_v, 0), 6) AS mean_nv FROM s, m""",
+    "tokens": _TOKENS,
     "doc_word_counts": f"SELECT doc_id, word, count(*) AS c FROM ({_TOKENS}) GROUP BY doc_id, word",
     "word_count": _WORD_COUNT,
     "group_word_counts": (f"SELECT {salt_sql(WORD_PARTS, WORD_SEED, 'doc_id', 'word')} AS group_id, "
@@ -261,6 +262,11 @@ def _cluster_queries() -> dict[str, str]:
         [f"mpts AS ({mpts})"] + cs,
         f"SELECT CAST(part AS INTEGER) AS part, CAST(i AS INTEGER) AS center_id, CAST(id AS BIGINT) AS id, "
         f"CAST(w AS BIGINT) AS w, {_round_list('v')} AS v FROM {core}")
+    r2c, fin2c = clustering_ctes("c2_", "cpts", MR_K, MR_ITERS, SEED)
+    q["recluster_coreset"] = with_ctes(
+        [f"mpts AS ({mpts})"] + cs
+        + [f"cpts AS MATERIALIZED (SELECT 0 AS part, id, v, CAST(w AS DOUBLE) AS w FROM {core} WHERE w > 0)"]
+        + r2c, f"SELECT CAST(i AS INTEGER) AS center_id, {_round_list('v')} AS v FROM {fin2c}")
     q["objective_by_part"] = with_ctes(
         [f"pts AS ({_PTS})", f"fc AS ({_FIXED})",
          f"mp AS (SELECT CAST(id % {MR_PARTS} AS INTEGER) AS part, id, v, w FROM pts)",
