@@ -123,3 +123,14 @@ def test_seeding_in_part_chunks_matches(spark, emb, monkeypatch):
     chunked = C.seed_rows(pts, 3, seed=4)
     assert [r[:3] for r in whole] == [r[:3] for r in chunked]
     assert len({r[0] for r in whole}) == 5
+
+
+def test_three_rounds_do_not_depend_on_layout(spark, emb):
+    pts = emb[0].drop("w")
+    a = C.mr_cluster(pts.repartition(1), 3, 4, 1, seed=7, method="mod").first()["objective"]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        b = C.mr_cluster(pts.repartition(7), 3, 4, 1, seed=7, method="mod").first()["objective"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert abs(a - b) < 1e-12

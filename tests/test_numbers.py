@@ -122,3 +122,13 @@ def test_java_whitespace_splits_unicode_spaces(spark):
     # U+2003 is Java whitespace; U+00A0 (no-break space) is not, so "3 4"
     # is one token that is not a number.
     assert [r["v"] for r in numbers_from(lines, "line", "id").orderBy("pos").collect()] == [1.0, 2.0]
+
+
+def test_nulls_are_ignored(spark):
+    df = spark.createDataFrame([(1, None), (2, 4.0), (3, 1.0), (4, None), (5, 7.0)], "id long, v double")
+    assert one(N.lower_median(df, "v"))["median"] == 4.0
+    assert sorted(r["id"] for r in N.nonneg(df).collect()) == [2, 3, 5]
+    nv = {r["id"]: r["nv"] for r in N.minmax_normalize(df, "v").collect()}
+    assert nv == {1: None, 2: 0.5, 3: 0.0, 4: None, 5: 1.0}
+    lines = spark.createDataFrame([(1, None), (2, "3 x 4")], "id long, line string")
+    assert [r["v"] for r in numbers_from(lines, "line", "id").orderBy("pos").collect()] == [3.0, 4.0]
