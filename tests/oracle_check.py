@@ -70,7 +70,12 @@ def main(argv):
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     only = set(argv[2:])
-    spark = get_session("local[8]")
+    if os.environ.get("ORACLE_PLAIN_SESSION"):
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").getOrCreate()   # defaults, as a driver may use
+    else:
+        spark = get_session("local[8]")
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0
