@@ -147,6 +147,10 @@ def pick_at(indexed: DataFrame, i: int, idx: str = "idx") -> DataFrame:
     return indexed.where(F.col(idx) == F.lit(i))
 
 
+# Windows this small are finished by sorting their values in one aggregate.
+EXACT_WINDOW = 100_000
+
+
 def select_rank(df: DataFrame, col: str, rank, p_hint: float | None = None,
                 accuracy: int = 100000, max_rounds: int = 64) -> tuple[float | None, int]:
     """Exact value at a 0-based rank among the non-null values of ``col``;
@@ -158,9 +162,10 @@ def select_rank(df: DataFrame, col: str, rank, p_hint: float | None = None,
     the rows below and at every candidate. The target is either a candidate
     or lies strictly between the two nearest ones: the next round only looks
     there, a window about accuracy/4 times smaller. A value held by a third
-    of all rows ends the search as soon as it is a candidate. Only scalars
-    reach the driver; each round is two scans of one column. NaN ranks above
-    every number, as in Spark's ordering.
+    of all rows ends the search as soon as it is a candidate. Once the window
+    holds at most ``EXACT_WINDOW`` values, one aggregate sorts those and
+    indexes the rank. Only scalars reach the driver; each round is two scans
+    of one column. NaN ranks above every number, as in Spark's ordering.
     """
     x = F.col("v")
     data = df.select(F.col(col).cast("double").alias("v")).where(x.isNotNull())
@@ -192,6 +197,9 @@ def select_rank(df: DataFrame, col: str, rank, p_hint: float | None = None,
         if hi is not None:
             cond = cond & (x < F.lit(hi))
         window = nums.where(cond)
+        if cands is None and n_w <= EXACT_WINDOW:
+            # A bounded window: one aggregate sorts its values and indexes.
+            return float(window.agg(F.element_at(F.sort_array(F.collect_list(x)), r_w + 1)).first()[0]), n_all
         if cands is None:
             cands = window.agg(F.percentile_approx(x, ladder((r_w + 0.5) / n_w), accuracy)).first()[0]
         cands = sorted(set(c for c in cands if c is not None))
