@@ -28,7 +28,7 @@ def number_report(df: DataFrame, col: str = "v", mean_places: int | None = 6) ->
     if mean_places is not None:
         mean_nv = F.round(mean_nv, mean_places)
     return (vals.agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("max_v"),
-                     F.max_by("v", F.struct("v")).alias("max_by_order"), F.min("v").alias("min_v"),
+                     F.max_by("v", "v").alias("max_by_order"), F.min("v").alias("min_v"),
                      F.avg("v").alias("mean_v"))
             .select("n", "max_v", "max_by_order", "min_v",
                     ((F.lit(med).cast("double") - lo) / span).alias("median_nv"),
