@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 from roundstats.operators import words as W
 from roundstats.plans import clustering as C
 from roundstats.plans import reports as R
-from roundstats.session import checkpoint_dir, ensure_checkpoint_dir
+from roundstats.session import ensure_checkpoint_dir
 from roundstats.sources import read_documents, read_numbers, read_points
 
 
@@ -70,13 +70,9 @@ def run(spark: SparkSession, args: argparse.Namespace):
 def main(argv: list[str] | None = None) -> int:
     args = build(sys.argv[1:] if argv is None else argv)
     spark = SparkSession.builder.appName(f"roundstats {args.cmd}").getOrCreate()
-    try:
-        checkpoint_dir(spark)
-    except RuntimeError:
-        # Only for a local run without a configured folder.
-        if not spark.sparkContext.master.startswith("local"):
-            raise
-        ensure_checkpoint_dir(spark, allow_local=True)
+    # A local run without a configured folder gets a scratch one; a cluster
+    # must name a shared folder in spark.checkpoint.dir.
+    ensure_checkpoint_dir(spark, allow_local=True)
     result = run(spark, args)
     if args.out:
         result.write.mode("overwrite").parquet(args.out)

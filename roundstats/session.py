@@ -52,11 +52,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str:
     """Like :func:`checkpoint_dir`, but tests/benchmarks (``allow_local``)
-    may set a fresh scratch folder when the session has none."""
+    may set a fresh scratch folder when the session has none -- and only on a
+    local master: a cluster must name a shared folder."""
     try:
         return checkpoint_dir(spark)
     except RuntimeError:
-        if not allow_local:
+        if not allow_local or not spark.sparkContext.master.startswith("local"):
             raise
     d = tempfile.mkdtemp(prefix="roundstats-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
