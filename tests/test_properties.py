@@ -55,3 +55,29 @@ def test_merge_means_and_bounds(spark, xs, groups):
     assert all(x is None or 0.0 <= x <= 1.0 for x in nv)
     med = N.lower_median(df, "v").first()["median"]
     assert med == sorted(xs)[(len(xs) - 1) // 2]
+
+
+points_st = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3), st.integers(0, 3)),
+                     min_size=3, max_size=25)
+
+
+@settings(max_examples=8, deadline=None)
+@given(points_st, st.integers(1, 4), st.integers(0, 2), st.integers(0, 50))
+def test_clustering_matches_brute_force_on_grids(spark, pts, k, iters, seed):
+    # Integer grids: duplicate points, zero weights and exact distance ties.
+    import numpy as np
+
+    import brute
+    from roundstats.plans import clustering as C
+
+    rows = [(i, [float(x), float(y)], w) for i, (x, y, w) in enumerate(pts)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, w long")
+    ids = [r[0] for r in rows]
+    X = np.array([r[1] for r in rows])
+    w = np.array([float(r[2]) for r in rows])
+    got = [r[2] for r in C.seed_rows(df, k, seed)]
+    want = [ids[i] for i in brute.seeds(ids, X, w, k, seed)]
+    assert got == want
+    c = C.run_clustering(df, k, iters, seed)
+    ref = brute.lloyd(X, w, X[[ids.index(i) for i in want]], iters)
+    assert np.allclose(c.vecs[0][: len(want)], ref, atol=1e-12)
