@@ -25,6 +25,8 @@ from pyspark.sql import types as T
 
 # Largest center table sent as one broadcast (bytes of doubles).
 MAX_CENTER_BYTES = 256 << 20
+# Most rows a center set may have (it is brought to the driver).
+MAX_CENTER_ROWS = 1_000_000
 
 
 @dataclass
@@ -85,11 +87,16 @@ class Centers:
 
 
 def collect_centers(centers: DataFrame, vec_col: str = "v") -> Centers:
-    """Bring a center set (k rows per part) to the driver."""
+    """Bring a center set (k rows per part) to the driver; a frame with more
+    than ``MAX_CENTER_ROWS`` rows is refused before anything large moves."""
     has_part = "part" in centers.columns
     cols = [F.col("part") if has_part else F.lit(0).alias("part"),
             F.col("center_id"), F.col(vec_col).cast("array<double>")]
-    return Centers.from_rows([tuple(r) for r in centers.select(*cols).collect()])
+    rows = centers.select(*cols).limit(MAX_CENTER_ROWS + 1).collect()
+    if len(rows) > MAX_CENTER_ROWS:
+        raise ValueError(f"a center set has at most {MAX_CENTER_ROWS} rows; this one has more")
+    c = Centers.from_rows([tuple(r) for r in rows])
+    return c
 
 
 def centers_frame(spark: SparkSession, c: Centers, with_part: bool = True) -> DataFrame:
