@@ -303,6 +303,11 @@ def q_coreset(spark, sf):
     return cs.select("part", "center_id", "id", "w", _round_vec(F.col("v")).alias("v"))
 
 
+def q_coreset_iter0(spark, sf):
+    cs = C.coreset(_points(spark, sf), MR_K, MR_PARTS, 0, SEED, method="mod")
+    return cs.select("part", "center_id", "id", "w", _round_vec(F.col("v")).alias("v"))
+
+
 def q_recluster_coreset(spark, sf):
     cs = C.coreset(_points(spark, sf), MR_K, MR_PARTS, MR_ITERS, SEED, method="mod").where(F.col("w") > 0)
     centers = C.cluster(cs.select("id", "v", "w"), MR_K, MR_ITERS, SEED, small=True)
@@ -368,6 +373,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lloyd": q_lloyd,
     "cluster_objective": q_cluster_objective,
     "coreset": q_coreset,
+    "coreset_iter0": q_coreset_iter0,
     "recluster_coreset": q_recluster_coreset,
     "objective_by_part": q_objective_by_part,
     "mr_cluster": q_mr_cluster,

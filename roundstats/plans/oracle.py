@@ -262,6 +262,11 @@ def _cluster_queries() -> dict[str, str]:
         [f"mpts AS ({mpts})"] + cs,
         f"SELECT CAST(part AS INTEGER) AS part, CAST(i AS INTEGER) AS center_id, CAST(id AS BIGINT) AS id, "
         f"CAST(w AS BIGINT) AS w, {_round_list('v')} AS v FROM {core}")
+    c0, core0 = coreset_ctes("z_", "mpts", MR_K, 0, SEED)
+    q["coreset_iter0"] = with_ctes(
+        [f"mpts AS ({mpts})"] + c0,
+        f"SELECT CAST(part AS INTEGER) AS part, CAST(i AS INTEGER) AS center_id, CAST(id AS BIGINT) AS id, "
+        f"CAST(w AS BIGINT) AS w, {_round_list('v')} AS v FROM {core0}")
     r2c, fin2c = clustering_ctes("c2_", "cpts", MR_K, MR_ITERS, SEED)
     q["recluster_coreset"] = with_ctes(
         [f"mpts AS ({mpts})"] + cs
