@@ -208,22 +208,38 @@ def _sums_kernel(bc, vec_col: str, part_col: str | None, w_col: str | None):
 _SUMS_SCHEMA = "part int, center_id int, pos int, sw double, cnt long, sx double"
 
 
-def _chunked(points: DataFrame, c: Centers, part_col: str | None, max_bytes: int):
-    """Yield (points subset, centers subset) so that no broadcast exceeds
-    ``max_bytes``; one chunk when the whole set fits."""
-    if c.nbytes <= max_bytes or part_col is None:
-        if part_col is None and c.nbytes > max_bytes:
-            raise ValueError(f"one center set of {c.nbytes} bytes exceeds {max_bytes}")
-        yield points, c
-        return
-    per_part = max(1, c.nbytes // max(1, len(c.parts)))
-    step = max(1, max_bytes // per_part)
-    for s in range(0, len(c.parts), step):
-        mask = np.zeros(len(c.parts), dtype=bool)
-        mask[s:s + step] = True
-        sub = c.take(mask)
-        lo, hi = int(sub.parts[0]), int(sub.parts[-1])
-        yield points.where(F.col(part_col).between(lo, hi)), sub
+def _plan_chunks(points: DataFrame, c: Centers, part_col: str | None, max_bytes: int):
+    """Split a center table into broadcasts of at most ``max_bytes``.
+
+    Returns ``([(points subset, centers subset)], merge)``. Whole parts are
+    grouped while one part's table fits (every point meets exactly one chunk:
+    ``merge`` is False); a part too large on its own is also cut by center
+    position, and then a point meets several chunks whose answers must be
+    merged per point (``merge`` is True).
+    """
+    p, k, d = c.vecs.shape
+    if c.nbytes <= max_bytes:
+        return [(points, c)], False
+    one_part = k * d * 8
+    if one_part <= max_bytes and part_col is not None:
+        step = max(1, max_bytes // one_part)
+        out = []
+        for s in range(0, p, step):
+            mask = np.zeros(p, dtype=bool)
+            mask[s:s + step] = True
+            sub = c.take(mask)
+            out.append((points.where(F.col(part_col).between(int(sub.parts[0]), int(sub.parts[-1]))), sub))
+        return out, False
+    step = max(1, max_bytes // max(1, (p if part_col is None else 1) * d * 8))
+    out = []
+    for pi in range(p if part_col is not None else 1):
+        rows = slice(pi, pi + 1) if part_col is not None else slice(None)
+        pts = points.where(F.col(part_col) == int(c.parts[pi])) if part_col is not None else points
+        for s in range(0, k, step):
+            sub = Centers(c.parts[rows], c.vecs[rows, s:s + step], c.valid[rows, s:s + step],
+                          c.ids[rows, s:s + step])
+            out.append((pts, sub))
+    return out, True
 
 
 def assign(points: DataFrame, centers, vec_col: str = "v", by_part: bool | None = None,
@@ -248,11 +264,20 @@ def assign(points: DataFrame, centers, vec_col: str = "v", by_part: bool | None
     part_col = "part" if by_part else None
     schema = T.StructType(points.schema.fields + [
         T.StructField("center_id", T.IntegerType()), T.StructField("d", T.DoubleType())])
+    chunks, merge = _plan_chunks(points, c, part_col, max_bytes)
     out = None
-    for pts, sub in _chunked(points, c, part_col, max_bytes):
+    for pts, sub in chunks:
         bc = spark.sparkContext.broadcast(sub.arrays())
         r = pts.mapInArrow(_assign_kernel(bc, vec_col, part_col), schema)
         out = r if out is None else out.unionByName(r)
+    if merge:
+        # A point met several center chunks: keep its best (d, position),
+        # so the first center still wins ties. Needs a unique ``id``; one
+        # shuffle of (points x chunks) rows.
+        cols = points.columns + ["center_id", "d"]
+        out = (out.groupBy("id")
+               .agg(F.min_by(F.struct(*cols), F.struct("d", "center_id")).alias("__b"))
+               .select("__b.*"))
     return out
 
 
@@ -289,8 +314,20 @@ def centroid_sums(points: DataFrame, c: Centers, vec_col: str = "v", w_col: str
     emits one row per (cluster, coordinate); Spark sums those partials."""
     spark = points.sparkSession
     part_col = "part" if by_part and "part" in points.columns else None
+    chunks, merge = _plan_chunks(points, c, part_col, max_bytes)
+    if merge:
+        # Centers too many to meet in one kernel: assign through the chunked
+        # path, then sum the coordinates with Spark (a row per coordinate).
+        a = assign(points, c, vec_col, by_part=part_col is not None, max_bytes=max_bytes)
+        w = F.col(w_col).cast("double") if w_col else F.lit(1.0)
+        part = F.col(part_col) if part_col else F.lit(0)
+        rows = a.select(part.cast("int").alias("part"), "center_id", w.alias("__w"),
+                        F.posexplode(vec_col).alias("pos", "x"))
+        return (rows.groupBy("part", "center_id", "pos")
+                .agg(F.sum("__w").alias("sw"), F.count(F.lit(1)).alias("cnt"),
+                     F.sum(F.col("__w") * F.col("x")).alias("sx")))
     out = None
-    for pts, sub in _chunked(points, c, part_col, max_bytes):
+    for pts, sub in chunks:
         bc = spark.sparkContext.broadcast(sub.arrays())
         r = pts.mapInArrow(_sums_kernel(bc, vec_col, part_col, w_col), _SUMS_SCHEMA)
         out = r if out is None else out.unionByName(r)

@@ -68,3 +68,32 @@ def test_ragged_vectors_refused(spark, centers):
     pts = spark.createDataFrame([(1, [0.0, 1.0], 1), (2, [1.0], 1)], "id long, v array<double>, w long")
     with pytest.raises(Exception):
         V.assign(pts.coalesce(1), centers).collect()
+
+
+def test_oversized_global_centers_take_the_exact_fallback(spark):
+    rows = [(i, [float(i % 9), float(i % 4)], 1 + i % 3) for i in range(60)]
+    pts = spark.createDataFrame(rows, "id long, v array<double>, w long")
+    cs = spark.createDataFrame([(j, [float(j), float(j % 2)]) for j in range(6)], "center_id int, v array<double>")
+    whole = sorted(tuple(r) for r in V.assign(pts, cs).select("id", "center_id", "d").collect())
+    tiny = sorted(tuple(r) for r in V.assign(pts, cs, max_bytes=20).select("id", "center_id", "d").collect())
+    assert whole == tiny
+    c = V.collect_centers(cs)
+    big = {(r["center_id"], r["pos"]): (r["sw"], r["sx"]) for r in V.centroid_sums(pts, c, by_part=False).collect()}
+    small = {(r["center_id"], r["pos"]): (r["sw"], r["sx"])
+             for r in V.centroid_sums(pts, c, by_part=False, max_bytes=20).collect()}
+    assert big.keys() == small.keys()
+    assert all(abs(big[k][0] - small[k][0]) < 1e-9 and abs(big[k][1] - small[k][1]) < 1e-9 for k in big)
+
+
+def test_one_part_too_large_is_cut_by_center(spark):
+    rows = [(i, i % 2, [float(i % 9), float(i % 4)], 1) for i in range(50)]
+    pts = spark.createDataFrame(rows, "id long, part int, v array<double>, w long")
+    cs = spark.createDataFrame([(p, j, [float(j + p), float(j % 2)]) for p in range(2) for j in range(5)],
+                               "part int, center_id int, v array<double>")
+    whole = sorted(tuple(r) for r in V.assign(pts, cs).select("id", "center_id", "d").collect())
+    tiny = sorted(tuple(r) for r in V.assign(pts, cs, max_bytes=40).select("id", "center_id", "d").collect())
+    assert whole == tiny
+    c = V.collect_centers(cs)
+    a = {(r["part"], r["center_id"], r["pos"]): r["sx"] for r in V.centroid_sums(pts, c).collect()}
+    b = {(r["part"], r["center_id"], r["pos"]): r["sx"] for r in V.centroid_sums(pts, c, max_bytes=40).collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
