@@ -16,7 +16,6 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from roundstats.operators import words as W
 from roundstats.plans import clustering as C
 from roundstats.plans import reports as R
 from roundstats.session import ensure_checkpoint_dir
@@ -57,7 +56,7 @@ def run(spark: SparkSession, args: argparse.Namespace):
         return R.number_report(vals, "v", mean_places=None)
     if args.cmd == "words":
         docs = read_documents(spark, args.path)
-        return W.compare_word_counts(docs, _positive("K", args.k, 1), args.seed)
+        return R.word_report(docs, _positive("K", args.k, 1), args.seed)
     if args.cmd == "cluster":
         pts = read_points(spark, args.path)
         centers = C.cluster(pts, _positive("k", args.k, 1), _positive("iters", args.iters, 0), args.seed)

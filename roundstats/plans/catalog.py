@@ -200,6 +200,10 @@ def q_word_lengths(spark, sf):
     return W.word_lengths(W.word_count(_docs(spark, sf)))
 
 
+def q_word_report(spark, sf):
+    return R.word_report(_docs(spark, sf), WORD_PARTS, WORD_SEED, "mod")
+
+
 def q_compare_word_counts(spark, sf):
     return W.compare_word_counts(_docs(spark, sf), WORD_PARTS, WORD_SEED, "mod")
 
@@ -359,6 +363,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "avg_word_length": q_avg_word_length,
     "word_lengths": q_word_lengths,
     "compare_word_counts": q_compare_word_counts,
+    "word_report": q_word_report,
     "parse_points": q_parse_points,
     "pair_distance": q_pair_distance,
     "assign": q_assign,

@@ -114,6 +114,10 @@ ORACLE_SQL: dict[str, str] = {
                          f"FROM ({_LINES})) GROUP BY word"),
     "avg_word_length": _STATS.format(wc=_WORD_COUNT),
     "word_lengths": f"SELECT word, CAST(length(word) AS BIGINT) AS len FROM ({_WORD_COUNT})",
+    "word_report": " UNION ALL ".join(
+        f"SELECT '{m}' AS method, (SELECT count(*) FROM documents) AS n_docs, * "
+        f"FROM ({_STATS.format(wc=_WORD_COUNT)})"
+        for m in ("one_round", "random_keys", "by_partition")),
     "compare_word_counts": " UNION ALL ".join(
         f"SELECT '{m}' AS method, * FROM ({_STATS.format(wc=_WORD_COUNT)})"
         for m in ("one_round", "random_keys", "by_partition")),

@@ -36,5 +36,8 @@ def number_report(df: DataFrame, col: str = "v", mean_places: int | None = 6) ->
 
 
 def word_report(docs: DataFrame, k: int, seed: int = 0, method: str = "hash") -> DataFrame:
-    """Program 2: ``method, n_words, avg_len`` for the three word counts."""
-    return W.compare_word_counts(docs, k, seed, method)
+    """Program 2: ``method, n_docs, n_words, avg_len`` for the three word
+    counts; the document count is one aggregate, used as a scalar."""
+    n_docs = docs.agg(F.count(F.lit(1))).first()[0]
+    rows = W.compare_word_counts(docs, k, seed, method)
+    return rows.select("method", F.lit(n_docs).cast("long").alias("n_docs"), "n_words", "avg_len")

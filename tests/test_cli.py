@@ -13,7 +13,7 @@ def test_numbers_program(spark, tmpdir_text):
 def test_words_program(spark, tmpdir_text):
     path = tmpdir_text("docs.txt", "the cat\nthe dog the\n")
     rows = run(spark, build(["words", "3", path])).collect()
-    assert {(r["n_words"], r["avg_len"]) for r in rows} == {(3, 3.0)}
+    assert {(r["n_docs"], r["n_words"], r["avg_len"]) for r in rows} == {(2, 3, 3.0)}
 
 
 def test_cluster_programs(spark, tmpdir_text):
