@@ -121,20 +121,30 @@ def seed_centers(points: DataFrame, k: int, seed: int = 0) -> DataFrame:
 
 def lloyd_step(points: DataFrame, centers: Centers) -> Centers:
     """One weighted Lloyd round: every center moves to the weighted mean of
-    the points nearest to it; a center without points (or weight) stays."""
-    sums = centroid_sums(_as_parted(points), centers, "v", "w", by_part=True)
-    per = (sums.groupBy("part", "center_id")
-           .agg(F.max("sw").alias("sw"),
-                F.array_sort(F.collect_list(F.struct("pos", "sx"))).alias("xs"))
-           .collect())
+    the points nearest to it; a center without points (or weight) stays.
+
+    The per-(part, center, coordinate) sums come back as one Arrow table --
+    the size of the center table, which is bounded -- and are assembled in
+    NumPy.
+    """
+    sums = centroid_sums(_as_parted(points), centers, "v", "w", by_part=True).toArrow()
     new = Centers(centers.parts.copy(), centers.vecs.copy(), centers.valid.copy(), centers.ids.copy())
-    where = {int(p): i for i, p in enumerate(new.parts)}
-    for r in per:
-        if not r["sw"] or r["sw"] <= 0:
-            continue
-        pi = where[int(r["part"])]
-        j = int(np.nonzero(new.ids[pi] == int(r["center_id"]))[0][0])
-        new.vecs[pi, j] = np.array([x["sx"] for x in r["xs"]]) / r["sw"]
+    if sums.num_rows == 0:
+        return new
+    part = sums.column("part").to_numpy()
+    cid = sums.column("center_id").to_numpy()
+    pos = sums.column("pos").to_numpy()
+    sw = sums.column("sw").to_numpy()
+    sx = sums.column("sx").to_numpy()
+    pi = np.searchsorted(new.parts, part)
+    # Slot of (part, center_id) in the table: a sorted-key lookup.
+    m = int(new.ids.max()) + 1
+    rows, cols = np.nonzero(new.valid)
+    keys = rows.astype(np.int64) * m + new.ids[rows, cols]
+    order = np.argsort(keys)
+    j = cols[order][np.searchsorted(keys[order], pi.astype(np.int64) * m + cid)]
+    ok = sw > 0
+    new.vecs[pi[ok], j[ok], pos[ok]] = sx[ok] / sw[ok]
     return new
 
 
