@@ -134,3 +134,11 @@ def test_three_rounds_do_not_depend_on_layout(spark, emb):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert abs(a - b) < 1e-12
+
+
+def test_seeding_across_refreshes_matches_brute_force(spark, emb):
+    # k = 12 crosses the stored-distance refresh (every 8, and every 3).
+    pts, ids, X, w = emb
+    want = [ids[i] for i in brute.seeds(ids, X, w, 12, 21)]
+    assert [r[2] for r in C.seed_rows(pts, 12, seed=21)] == want
+    assert [r[2] for r in C.seed_rows(pts, 12, seed=21, refresh_every=3)] == want
