@@ -41,7 +41,8 @@ from roundstats.operators.vectors import (
     centroid_sums,
 )
 
-REFRESH_EVERY = 8   # centers folded into the stored running distance
+REFRESH_EVERY = 8      # centers folded into the stored running distance
+CHECKPOINT_EVERY = 4   # refreshes between writes to the checkpoint folder
 
 
 def _check(k: int, iters: int, parts: int = 1) -> None:
@@ -70,8 +71,8 @@ def seed_rows(points: DataFrame, k: int, seed: int,
     ``min_by`` aggregate per part draws the next center (exponential race on
     ``w*d``, or the smallest draw among the remaining points when every
     ``w*d`` is 0). Every ``refresh_every`` centers the running distance is
-    rewritten and checkpointed, keeping each pass's work and the lineage
-    short.
+    rewritten and kept; every ``CHECKPOINT_EVERY``-th rewrite also goes to
+    the checkpoint folder, keeping each pass's work and the lineage short.
     """
     pts = _as_parted(points)
     first = pick_uniform(pts, seed, 0, by_part=True).collect()
@@ -93,6 +94,7 @@ def seed_rows(points: DataFrame, k: int, seed: int,
     recent = [(p, i, v) for p, _, i, v in picked]
     state = start_nearest(pts)
     held: DataFrame | None = None
+    refreshes = 0
     for t in range(1, k):
         draws = draw_next(state, recent, [r[2] for r in picked], seed, t).collect()
         if not draws:
@@ -101,10 +103,20 @@ def seed_rows(points: DataFrame, k: int, seed: int,
         picked += [(p, t, i, v) for p, i, v in new]
         recent += new
         if len(recent) >= refresh_every and t < k - 1:
-            nxt = cut_lineage(update_nearest(state, recent))
+            refreshes += 1
+            nxt = update_nearest(state, recent)
+            # Kept for the next passes; every CHECKPOINT_EVERY-th refresh is
+            # also written to the checkpoint folder, so a lost executor costs
+            # at most that many fold passes to rebuild.
+            if refreshes % CHECKPOINT_EVERY == 0:
+                nxt = cut_lineage(nxt)
+            else:
+                nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
             if held is not None:
                 held.unpersist()
             held, state, recent = nxt, nxt, []
+    if held is not None:
+        held.unpersist()
     return sorted(picked)
 
 

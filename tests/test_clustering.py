@@ -142,3 +142,5 @@ def test_seeding_across_refreshes_matches_brute_force(spark, emb):
     want = [ids[i] for i in brute.seeds(ids, X, w, 12, 21)]
     assert [r[2] for r in C.seed_rows(pts, 12, seed=21)] == want
     assert [r[2] for r in C.seed_rows(pts, 12, seed=21, refresh_every=3)] == want
+    # Every 2: five refreshes, the fourth is written to the checkpoint folder.
+    assert [r[2] for r in C.seed_rows(pts, 12, seed=21, refresh_every=2)] == want
