@@ -1,14 +1,16 @@
 """Vector operators over weighted points (V1-V6).
 
-Points are rows ``[part,] id, v array<double>, w``; a center set is rows
+Points are rows ``[part,] id, v array<float|double>, w``; a center set is rows
 ``[part,] center_id, v``. Without a ``part`` column a center set applies to
 every point; with one, each point only sees its own part's centers (many
 independent clusterings in one pass, as the per-part coreset needs).
 
 The nearest-center search runs in ``mapInArrow`` with NumPy: Arrow batches
 of points meet the centers held in a broadcast variable. Centers are few
-(k per part) -- their size is computed before anything is broadcast, and
-center sets above the limit are processed in part chunks, one pass each.
+(k per part) -- their size is computed before anything is broadcast; a
+table above the limit is processed in chunks, one pass each: whole parts
+while a part fits, else also slices of one part's centers, merged per
+point with ``min_by`` (the first center still wins ties).
 """
 
 from __future__ import annotations
