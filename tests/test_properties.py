@@ -116,3 +116,27 @@ def test_selection_over_many_rounds_distinct(spark, xs, data):
             assert NM.kth_smallest(df, "v", r, accuracy=10) == s[r]
     finally:
         NM.EXACT_WINDOW = old
+
+
+def hadoop_lines_model(t: str) -> list[str]:
+    """Lines as Hadoop's reader yields them: \\n, \\r\\n or \\r end a line;
+    a terminator at the very end opens no further line; '' has none."""
+    import re
+
+    if t == "":
+        return []
+    parts = re.split(r"\r\n|\r|\n", t)
+    if re.search(r"(\r\n|\r|\n)\Z", t):
+        parts = parts[:-1]
+    return parts
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.text(alphabet="a \n\r", max_size=10), min_size=1, max_size=12))
+def test_per_line_documents_match_model(spark, ts):
+    from roundstats.sources import documents_from
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ts)], "doc_id long, text string")
+    got = [(r["doc_id"], r["text"]) for r in documents_from(df, per_line=True).orderBy("doc_id", "line").collect()]
+    want = [(i, line) for i, t in enumerate(ts) for line in hadoop_lines_model(t)]
+    assert got == want
