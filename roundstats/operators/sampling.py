@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roundstats.functions.columns import uniform
-from roundstats.operators.vectors import _matrix
+from roundstats.operators.vectors import _matrix, row_blocks
 
 
 def _key_cols(by_part: bool) -> list[str]:
@@ -78,15 +78,19 @@ def _center_table(rows: list[tuple[int, int, list[float]]]):
 
 def _min_distance(X, p, parts, vecs, valid, d_old):
     """min(d_old, distance to every valid center of the row's part)."""
-    d = d_old.copy()
+    d = d_old.astype(np.float64, copy=True)
     if not len(parts):
         return d
     pidx = np.clip(np.searchsorted(parts, p), 0, len(parts) - 1)
     has = parts[pidx] == p
-    for j in range(vecs.shape[1]):
-        diff = X - vecs[pidx, j]
-        dn = np.sqrt(np.einsum("ij,ij->i", diff, diff))
-        d = np.where(has & valid[pidx, j], np.minimum(d, dn), d)
+    for blk in row_blocks(X.shape[0], X.shape[1]):
+        xb = X[blk].astype(np.float64, copy=False)
+        pb, hb, db = pidx[blk], has[blk], d[blk]
+        for j in range(vecs.shape[1]):
+            diff = xb - vecs[pb, j]
+            dn = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+            db = np.where(hb & valid[pb, j], np.minimum(db, dn), db)
+        d[blk] = db
     return d
 
 

@@ -120,10 +120,24 @@ def _matrix(batch: pa.RecordBatch, vec_col: str) -> np.ndarray:
     lo, hi = pc.min_max(lens).values()
     if lo.as_py() != hi.as_py():
         raise ValueError("vectors of different dimensions")
-    flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    # Native element type (float32 stays float32): callers widen one row
+    # block at a time, see :func:`row_blocks`.
+    flat = col.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(n, hi.as_py())
 
 
+# Doubles per row block: bounds a Python worker's temporaries (~8 MB) for
+# any vector length.
+BLOCK_ELEMS = 1 << 20
+
+
+def row_blocks(n: int, dim: int):
+    """Slices of at most ``BLOCK_ELEMS`` doubles' worth of rows."""
+    step = max(1, BLOCK_ELEMS // max(1, dim))
+    for s in range(0, n, step):
+        yield slice(s, min(n, s + step))
+
+
 def _part_index(batch: pa.RecordBatch, part_col: str | None, parts: np.ndarray) -> np.ndarray:
     n = batch.num_rows
     if part_col is None:
@@ -140,21 +154,28 @@ def nearest(X: np.ndarray, pidx: np.ndarray, c: Centers) -> tuple[np.ndarray, np
     """Distance to and position of the nearest valid center of each row's
     part; the first position wins ties (strict ``<``, as the reference).
 
-    Works one center position at a time, so memory stays at rows x dims.
+    Works one row block and one center position at a time (rows are
+    widened to float64 per block), so memory stays at one block.
     """
     n = X.shape[0]
     best_d = np.full(n, np.inf)
     best_j = np.zeros(n, dtype=np.int32)
-    for j in range(c.vecs.shape[1]):
-        diff = X - c.vecs[pidx, j]
-        d = np.sqrt(np.einsum("ij,ij->i", diff, diff))
-        d = np.where(c.valid[pidx, j], d, np.inf)
-        if j == 0:
-            best_d = d
-            continue
-        better = d < best_d
-        best_d = np.where(better, d, best_d)
-        best_j = np.where(better, j, best_j)
+    for blk in row_blocks(n, X.shape[1] if X.ndim == 2 else 0):
+        xb = X[blk].astype(np.float64, copy=False)
+        pb = pidx[blk]
+        bd, bj = None, np.zeros(xb.shape[0], dtype=np.int32)
+        for j in range(c.vecs.shape[1]):
+            diff = xb - c.vecs[pb, j]
+            d = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+            d = np.where(c.valid[pb, j], d, np.inf)
+            if bd is None:
+                bd = d
+                continue
+            better = d < bd
+            bd = np.where(better, d, bd)
+            bj = np.where(better, j, bj)
+        best_d[blk] = bd
+        best_j[blk] = bj
     return best_d, best_j
 
 
@@ -175,8 +196,8 @@ def _assign_kernel(bc, vec_col: str, part_col: str | None):
 
 
 def _sums_kernel(bc, vec_col: str, part_col: str | None, w_col: str | None):
-    """Per batch and cluster: sum of weights and weighted coordinate sums,
-    one row per (part, center, coordinate)."""
+    """Per row block and cluster: sum of weights and weighted coordinate
+    sums, one row per (part, center, coordinate)."""
     def run(batches):
         c = Centers(*bc.value)
         k = c.vecs.shape[1]
@@ -185,25 +206,28 @@ def _sums_kernel(bc, vec_col: str, part_col: str | None, w_col: str | None):
                 continue
             X = _matrix(b, vec_col)
             pidx = _part_index(b, part_col, c.parts)
-            _, j = nearest(X, pidx, c)
-            w = (np.ones(b.num_rows) if w_col is None else
-                 b.column(b.schema.get_field_index(w_col)).to_numpy(zero_copy_only=False)
-                 .astype(np.float64))
-            key = pidx * k + j
-            order = np.argsort(key, kind="stable")
-            ks, starts = np.unique(key[order], return_index=True)
-            sx = np.add.reduceat(X[order] * w[order, None], starts, axis=0)
-            sw = np.add.reduceat(w[order], starts)
-            cnt = np.diff(np.append(starts, len(order)))
-            g, dim = len(ks), X.shape[1]
-            part = np.repeat(c.parts[ks // k], dim).astype(np.int32)
-            cid = np.repeat(c.ids[ks // k, ks % k], dim).astype(np.int32)
-            pos = np.tile(np.arange(dim, dtype=np.int32), g)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part), pa.array(cid), pa.array(pos),
-                 pa.array(np.repeat(sw, dim)), pa.array(np.repeat(cnt, dim).astype(np.int64)),
-                 pa.array(sx.reshape(-1))],
-                names=["part", "center_id", "pos", "sw", "cnt", "sx"])
+            w_all = (np.ones(b.num_rows) if w_col is None else
+                     b.column(b.schema.get_field_index(w_col)).to_numpy(zero_copy_only=False)
+                     .astype(np.float64))
+            for blk in row_blocks(b.num_rows, X.shape[1]):
+                xb = X[blk].astype(np.float64, copy=False)
+                pb, w = pidx[blk], w_all[blk]
+                _, j = nearest(xb, pb, c)
+                key = pb * k + j
+                order = np.argsort(key, kind="stable")
+                ks, starts = np.unique(key[order], return_index=True)
+                sx = np.add.reduceat(xb[order] * w[order, None], starts, axis=0)
+                sw = np.add.reduceat(w[order], starts)
+                cnt = np.diff(np.append(starts, len(order)))
+                g, dim = len(ks), xb.shape[1]
+                part = np.repeat(c.parts[ks // k], dim).astype(np.int32)
+                cid = np.repeat(c.ids[ks // k, ks % k], dim).astype(np.int32)
+                pos = np.tile(np.arange(dim, dtype=np.int32), g)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part), pa.array(cid), pa.array(pos),
+                     pa.array(np.repeat(sw, dim)), pa.array(np.repeat(cnt, dim).astype(np.int64)),
+                     pa.array(sx.reshape(-1))],
+                    names=["part", "center_id", "pos", "sw", "cnt", "sx"])
     return run
 
 

@@ -97,3 +97,21 @@ def test_one_part_too_large_is_cut_by_center(spark):
     a = {(r["part"], r["center_id"], r["pos"]): r["sx"] for r in V.centroid_sums(pts, c).collect()}
     b = {(r["part"], r["center_id"], r["pos"]): r["sx"] for r in V.centroid_sums(pts, c, max_bytes=40).collect()}
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+def test_row_blocks_do_not_change_results(spark, monkeypatch):
+    from roundstats.plans import clustering as C
+
+    rows = [(i, [float(i % 9), float(i % 4), float(i % 5)], 1 + i % 3) for i in range(80)]
+    pts = spark.createDataFrame(rows, "id long, v array<float>, w long")
+    cs = spark.createDataFrame([(j, [float(j), float(j % 2), 1.0]) for j in range(5)],
+                               "center_id int, v array<double>")
+    whole = sorted(tuple(r) for r in V.assign(pts, cs).select("id", "center_id", "d").collect())
+    seeds = C.seed_rows(pts, 4, seed=3)
+    lloyd = C.run_clustering(pts, 4, 2, seed=3).vecs
+    monkeypatch.setattr(V, "BLOCK_ELEMS", 7)        # two rows per block
+    tiny = sorted(tuple(r) for r in V.assign(pts, cs).select("id", "center_id", "d").collect())
+    assert whole == tiny
+    assert C.seed_rows(pts, 4, seed=3) == seeds
+    import numpy as np
+    assert np.allclose(C.run_clustering(pts, 4, 2, seed=3).vecs, lloyd, atol=1e-12)
