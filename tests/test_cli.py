@@ -22,3 +22,13 @@ def test_cluster_programs(spark, tmpdir_text):
     assert run(spark, build(["cluster", path, "3", "2"])).first()["objective"] > 0
     r = run(spark, build(["mr-cluster", path, "3", "2", "1"])).first()
     assert r["n_points"] == 40 and r["objective"] > 0
+
+
+def test_main_writes_parquet(spark, tmpdir_text, tmp_path):
+    from roundstats.__main__ import main
+
+    path = tmpdir_text("docs.txt", "a b a\nc\n")
+    out = str(tmp_path / "report")
+    assert main(["--out", out, "words", "2", path]) == 0
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 3 and {r["n_words"] for r in rows} == {3}

@@ -140,3 +140,14 @@ def test_per_line_documents_match_model(spark, ts):
     got = [(r["doc_id"], r["text"]) for r in documents_from(df, per_line=True).orderBy("doc_id", "line").collect()]
     want = [(i, line) for i, t in enumerate(ts) for line in hadoop_lines_model(t)]
     assert got == want
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.integers(-5, 5), min_size=1, max_size=120), st.integers(1, 9), st.data())
+def test_sort_with_index_matches_sorted(spark, xs, parts, data):
+    df = spark.createDataFrame([(i, float(x)) for i, x in enumerate(xs)], "id long, v double").repartition(parts)
+    got = sorted((r["idx"], r["id"]) for r in N.sort_with_index(df, ["v", "id"], num_partitions=parts).collect())
+    want = sorted(range(len(xs)), key=lambda i: (xs[i], i))
+    assert got == list(enumerate(want))
+    i = data.draw(st.integers(0, len(xs) - 1))
+    assert [r["id"] for r in N.pick_at(N.sort_with_index(df, ["v", "id"]), i).collect()] == [want[i]]
