@@ -9,6 +9,8 @@ from roundstats.sources.text import (
     read_documents,
     read_numbers,
     read_points,
+    rejected_number_tokens,
+    rejected_point_lines,
 )
 
 __all__ = [
@@ -20,5 +22,7 @@ __all__ = [
     "read_documents",
     "read_numbers",
     "read_points",
+    "rejected_number_tokens",
+    "rejected_point_lines",
     "table",
 ]

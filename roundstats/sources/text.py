@@ -44,11 +44,7 @@ def numbers_from(df: DataFrame, text_col: str = "value", id_col: str | None = No
     * ``strict=True`` (S2): every token must parse, else the job fails;
       nothing is filtered.
     """
-    if id_col is None:
-        df = _line_ids(df, "__line_id")
-        id_col = "__line_id"
-    toks = df.select(F.col(id_col).cast("long").alias("id"),
-                     F.posexplode(whitespace_tokens(F.col(text_col))).alias("pos", "tok"))
+    toks = _number_tokens(df, text_col, id_col)
     parsed = F.col("tok").try_cast("double")
     if strict:
         ok = parsed.isNotNull() & number_token_ok(F.col("tok"))
@@ -59,6 +55,23 @@ def numbers_from(df: DataFrame, text_col: str = "value", id_col: str | None = No
     return out.where(F.col("v").isNotNull() & (F.col("v") >= 0) & ~F.isnan("v"))
 
 
+def _number_tokens(df: DataFrame, text_col: str, id_col: str | None) -> DataFrame:
+    if id_col is None:
+        df = _line_ids(df, "__line_id")
+        id_col = "__line_id"
+    return df.select(F.col(id_col).cast("long").alias("id"),
+                     F.posexplode(whitespace_tokens(F.col(text_col))).alias("pos", "tok"))
+
+
+def rejected_number_tokens(df: DataFrame, text_col: str = "value",
+                           id_col: str | None = None) -> DataFrame:
+    """``id, pos, tok``: the tokens the lenient parse skips because Java
+    cannot read them as numbers (the reference reports each one)."""
+    toks = _number_tokens(df, text_col, id_col)
+    ok = F.col("tok").try_cast("double").isNotNull() & number_token_ok(F.col("tok"))
+    return toks.where(~ok)
+
+
 def read_numbers(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """Numbers of a text file, read by the executors."""
     return numbers_from(spark.read.text(path), "value", None, strict)
@@ -92,7 +105,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 # ----------------------------------------------------------------- points --
 
 def _vector_of(text: Column) -> Column:
-    return F.transform(java_split(text), lambda x: x.try_cast("double"))
+    # A token Java refuses (including Spark-only "inf"/"nan" spellings) is NULL.
+    return F.transform(java_split(text), lambda x: F.when(number_token_ok(x), x.try_cast("double")))
 
 
 def points_from_lines(df: DataFrame, text_col: str = "value", id_col: str | None = None,
@@ -117,6 +131,18 @@ def points_from_lines(df: DataFrame, text_col: str = "value", id_col: str | None
     return rows.where(~F.col("bad")).select("id", "v", F.lit(1).cast("long").alias("w"))
 
 
+def rejected_point_lines(df: DataFrame, text_col: str = "value",
+                         id_col: str | None = None) -> DataFrame:
+    """``id, line``: the lines ``strict=False`` drops (a token Java cannot
+    parse, e.g. from a doubled blank, or no token at all)."""
+    if id_col is None:
+        df = _line_ids(df, "__line_id")
+        id_col = "__line_id"
+    v = _vector_of(F.col(text_col))
+    bad = F.exists(v, lambda x: x.isNull()) | (F.size(v) == 0)
+    return df.where(bad).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("line"))
+
+
 def read_points(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """Points of a text file, one vector per line."""
     return points_from_lines(spark.read.text(path), "value", None, strict)

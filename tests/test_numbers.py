@@ -132,3 +132,11 @@ def test_nulls_are_ignored(spark):
     assert nv == {1: None, 2: 0.5, 3: 0.0, 4: None, 5: 1.0}
     lines = spark.createDataFrame([(1, None), (2, "3 x 4")], "id long, line string")
     assert [r["v"] for r in numbers_from(lines, "line", "id").orderBy("pos").collect()] == [3.0, 4.0]
+
+
+def test_rejected_tokens_are_reported(spark):
+    from roundstats.sources import rejected_number_tokens
+
+    lines = spark.createDataFrame([(1, "1.0 x inf -2"), (2, "NaN 3 1_0")], "id long, line string")
+    got = sorted((r["id"], r["tok"]) for r in rejected_number_tokens(lines, "line", "id").collect())
+    assert got == [(1, "inf"), (1, "x"), (2, "1_0")]

@@ -115,3 +115,12 @@ def test_row_blocks_do_not_change_results(spark, monkeypatch):
     assert C.seed_rows(pts, 4, seed=3) == seeds
     import numpy as np
     assert np.allclose(C.run_clustering(pts, 4, 2, seed=3).vecs, lloyd, atol=1e-12)
+
+
+def test_rejected_point_lines_are_reported(spark):
+    from roundstats.sources import rejected_point_lines
+
+    lines = spark.createDataFrame([(1, "1.0  2.0"), (2, "5 6"), (3, "inf 1"), (4, "")], "id long, line string")
+    assert sorted(r["id"] for r in rejected_point_lines(lines, "line", "id").collect()) == [1, 3, 4]
+    kept = points_from_lines(lines, "line", "id", strict=False).collect()
+    assert [r["id"] for r in kept] == [2]
