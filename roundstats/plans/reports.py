@@ -21,7 +21,10 @@ def number_report(df: DataFrame, col: str = "v", mean_places: int | None = 6) ->
     selection rounds (a few small aggregates) and one final aggregate.
     """
     vals = N.nonneg(df.select(F.col(col).cast("double").alias("v")), "v")
-    med, _ = N.lower_median_value(vals, "v")
+    med, n = N.lower_median_value(vals, "v")
+    if n == 0:
+        # As the reference: a run needs at least one non-negative number.
+        raise ValueError("no non-negative numbers in the input")
     lo, hi = F.col("min_v"), F.col("max_v")
     span = F.when(hi > lo, hi - lo)
     mean_nv = (F.col("mean_v") - lo) / span

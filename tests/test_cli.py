@@ -32,3 +32,9 @@ def test_main_writes_parquet(spark, tmpdir_text, tmp_path):
     assert main(["--out", out, "words", "2", path]) == 0
     rows = spark.read.parquet(out).collect()
     assert len(rows) == 3 and {r["n_words"] for r in rows} == {3}
+
+
+def test_numbers_program_needs_a_number(spark, tmpdir_text):
+    path = tmpdir_text("bad.txt", "x -1 NaN\n")
+    with pytest.raises(ValueError):
+        run(spark, build(["numbers", path]))
