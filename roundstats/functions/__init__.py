@@ -5,6 +5,7 @@ from roundstats.functions.columns import (
     distance,
     java_length,
     java_split,
+    nearest_center,
     number_token_ok,
     salt,
     uniform,
@@ -16,6 +17,7 @@ __all__ = [
     "distance",
     "java_length",
     "java_split",
+    "nearest_center",
     "number_token_ok",
     "salt",
     "uniform",

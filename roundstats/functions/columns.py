@@ -79,6 +79,16 @@ def distance(a, b) -> Column:
     return F.sqrt(F.aggregate(sq, F.lit(0.0).cast("double"), lambda acc, x: acc + x))
 
 
+def nearest_center(v, centers: list[list[float]]) -> Column:
+    """``struct(d, i)``: distance to and position of the nearest of a few
+    literal centers; ``array_min`` compares (d, i) left to right, so the
+    first position wins ties. JVM-only (no Python worker); the Arrow kernel
+    in :mod:`roundstats.operators.vectors` is the fast path."""
+    table = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centers])
+    return F.array_min(F.transform(
+        table, lambda c, i: F.struct(distance(_c(v), c).alias("d"), i.alias("i"))))
+
+
 def uniform(seed: int, step: int, id_col) -> Column:
     """Seeded uniform draw in (0, 1] for each row, from md5(seed:step:id).
 

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roundstats.functions.columns import nearest_center
+
 
 # Largest center table sent as one broadcast (bytes of doubles).
 MAX_CENTER_BYTES = 256 << 20
@@ -269,12 +271,14 @@ def _plan_chunks(points: DataFrame, c: Centers, part_col: str | None, max_bytes:
 
 
 def assign(points: DataFrame, centers, vec_col: str = "v", by_part: bool | None = None,
-           max_bytes: int = MAX_CENTER_BYTES) -> DataFrame:
+           max_bytes: int = MAX_CENTER_BYTES, kernel: str = "arrow") -> DataFrame:
     """V3: add ``center_id`` (nearest center, first wins ties) and ``d``.
 
     ``centers``: a DataFrame ``[part,] center_id, v`` or a :class:`Centers`.
     ``by_part``: match points to their own part's centers (default: when
-    both sides have a ``part`` column).
+    both sides have a ``part`` column). ``kernel="columns"`` uses the
+    JVM-only higher-order-function form for one small global center set
+    (slower; no Python worker).
     """
     spark = points.sparkSession
     if isinstance(centers, DataFrame):
@@ -288,6 +292,16 @@ def assign(points: DataFrame, centers, vec_col: str = "v", by_part: bool | None
         if by_part is None:
             by_part = "part" in points.columns and len(c.parts) > 1
     part_col = "part" if by_part else None
+    if kernel == "columns":
+        if part_col is not None or c.nbytes > max_bytes:
+            raise ValueError("the column kernel takes one global center set within the size limit")
+        vecs = [c.vecs[0, j].tolist() for j in range(c.vecs.shape[1]) if c.valid[0, j]]
+        ids = [int(c.ids[0, j]) for j in range(c.vecs.shape[1]) if c.valid[0, j]]
+        best = nearest_center(F.col(vec_col), vecs)
+        id_of = F.element_at(F.array(*[F.lit(i) for i in ids]), best["i"] + 1)
+        return points.select("*", id_of.cast("int").alias("center_id"), best["d"].alias("d"))
+    if kernel != "arrow":
+        raise ValueError(f"unknown kernel {kernel!r}")
     schema = T.StructType(points.schema.fields + [
         T.StructField("center_id", T.IntegerType()), T.StructField("d", T.DoubleType())])
     chunks, merge = _plan_chunks(points, c, part_col, max_bytes)

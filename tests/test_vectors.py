@@ -124,3 +124,15 @@ def test_rejected_point_lines_are_reported(spark):
     assert sorted(r["id"] for r in rejected_point_lines(lines, "line", "id").collect()) == [1, 3, 4]
     kept = points_from_lines(lines, "line", "id", strict=False).collect()
     assert [r["id"] for r in kept] == [2]
+
+
+def test_column_kernel_matches_arrow_kernel(pts, centers, spark):
+    a = sorted(tuple(r) for r in V.assign(pts, centers).select("id", "center_id", "d").collect())
+    b = sorted(tuple(r) for r in V.assign(pts, centers, kernel="columns").select("id", "center_id", "d").collect())
+    assert a == b == [(1, 0, 1.0), (2, 0, 2.0), (3, 1, 3.0)]   # (2,0): tie, first wins
+    from roundstats.sources import points_from, table
+    emb = points_from(table(spark, "/root/testdata/sf0.001", "embeddings"), "vec_id", "embedding")
+    cs = emb.where(F.col("id") < 5).select(F.col("id").cast("int").alias("center_id"), "v")
+    x = {r["id"]: (r["center_id"], round(r["d"], 9)) for r in V.assign(emb, cs).collect()}
+    y = {r["id"]: (r["center_id"], round(r["d"], 9)) for r in V.assign(emb, cs, kernel="columns").collect()}
+    assert x == y
