@@ -113,11 +113,17 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base & MASK, dtype=np.uint64)
-    if n:
+    """The first ``n`` powers of ``base`` modulo 2^64 (kept per process)."""
+    have = _POWERS.get(base)
+    if have is None or len(have) < n:
+        out = np.full(max(n, 1 << 12) * 5 // 4, base & MASK, dtype=np.uint64)
         out[0] = 1
-    return np.multiply.accumulate(out)
+        have = _POWERS[base] = np.multiply.accumulate(out)
+    return have[:n]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -151,8 +157,7 @@ def _ranges_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, mult:
     n = len(values)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(values * powers(mult, n), out=sums[1:])
-    inverse = powers(pow(mult, -1, 1 << 64), n + 1)
-    return (sums[ends] - sums[starts]) * inverse[starts]
+    return (sums[ends] - sums[starts]) * powers(pow(mult, -1, 1 << 64), n + 1)[starts]
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:

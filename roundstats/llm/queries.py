@@ -6,11 +6,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roundstats.llm import langid, simhash
+from roundstats.llm import decontam, langid, simhash
 from roundstats.llm.common import held_out
 from roundstats.sources import table
 
 
+def op1_bm25_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op6_simhash_golay(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"), size=3, max_bits=2)
 
@@ -22,6 +26,6 @@ def op9_centroid_language(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
-QUERIES = {f.__name__: f for f in (op6_simhash_golay, op9_centroid_language)}
+QUERIES = {f.__name__: f for f in (op1_bm25_decontamination, op6_simhash_golay, op9_centroid_language)}
 
 ORACLE_SQL: dict[str, str] = {}
