@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roundstats.llm import decontam, langid, simhash
+from roundstats.llm import decontam, langid, merkle, mixing, quality, secret_scan, sharding, simhash
 from roundstats.llm.common import held_out
 from roundstats.sources import table
 
@@ -15,10 +15,47 @@ def op1_bm25_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op4_linked_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    out = secret_scan.scan(table(spark, sf, "documents"))
+    return out.select("doc_id", "n_assign", "n_access", "n_hex",
+                      F.sha2(secret_scan.joined(F.col("base")), 256).alias("base_sha256"),
+                      secret_scan.joined(F.col("all")).alias("spans"), "n_linked")
+
+
+def op5_merkle_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    both = merkle.neighbours(table(spark, sf, "documents"))
+    tree, edited = merkle.sections(F.col("text")), merkle.sections(F.col("edited"))
+    trees = both.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        tree.alias("tree"), edited.alias("edited_tree"), merkle.sentences(F.col("text")).alias("leaves"),
+        merkle.sentences(F.col("edited")).alias("edited_leaves"), "next_fingerprint", "next_leaves")
+    roots = trees.withColumn("fingerprint", merkle.root(F.col("tree"))) \
+        .withColumn("edited_fingerprint", merkle.root(F.col("edited_tree")))
+    c = F.col
+    return roots.select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        merkle.likeness(c("fingerprint"), c("leaves"), c("edited_fingerprint"), c("edited_leaves")).alias("near_edited"),
+        merkle.likeness(c("fingerprint"), c("leaves"), c("next_fingerprint"), c("next_leaves")).alias("near_next"),
+        F.size(merkle.edited_paragraphs(c("tree"), c("edited_tree"))).alias("edited_paragraphs"))
+
+
 def op6_simhash_golay(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"), size=3, max_bits=2)
 
 
+def op7_factorisation_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    machine = quality.fit(docs, labels.where(~held_out()), "quality", metadata=("n_chars",))
+    return quality.score(docs, machine, metadata=("n_chars",)).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op8_bounded_ring_shards(spark: SparkSession, sf: str) -> DataFrame:
+    out = sharding.assign_shards(table(spark, sf, "documents"), shards=16)
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_centroid_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = langid.fit(docs.where(~held_out()))
@@ -26,6 +63,20 @@ def op9_centroid_language(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
-QUERIES = {f.__name__: f for f in (op1_bm25_decontamination, op6_simhash_golay, op9_centroid_language)}
+# Domains: quality and toxicity as labelled. Good clean text keeps its tokens
+# and makes up most of the mixture; the others are thinned to small shares.
+DOMAIN = F.concat(F.lit("quality"), F.col("quality").cast("string"), F.lit("toxic"), F.col("toxic").cast("string"))
+LEAD = "quality1toxic0"
+LIFT = 1.02          # keeps the rates of clearly clean documents at 1 or above
+SHARES = {"quality1toxic0": 0.93, "quality1toxic1": 0.02, "quality0toxic0": 0.04, "quality0toxic1": 0.01}
+
+
+def op10_soft_membership_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(table(spark, sf, "documents"), table(spark, sf, "labels"), DOMAIN, SHARES, LEAD, LIFT)
+
+
+QUERIES = {f.__name__: f for f in (op1_bm25_decontamination, op4_linked_secrets, op5_merkle_fingerprints,
+                                op6_simhash_golay, op7_factorisation_quality,
+                                op8_bounded_ring_shards, op9_centroid_language, op10_soft_membership_mixing)}
 
 ORACLE_SQL: dict[str, str] = {}
