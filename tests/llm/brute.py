@@ -34,3 +34,21 @@ def edited_texts(rows):
         cut = len(t) // 3
         out[k] = t[: len(t) - cut] + nxt[:cut]
     return out
+
+
+def repeated_words(rows, least=50):
+    """{doc_id: set of word numbers} inside passages met at two places, and the
+    same for places that have an earlier equal one (distinct ids)."""
+    seen = {}
+    for k, t in sorted(rows):
+        w = (t or "").encode().lower().split()
+        for i in range(len(w) - least + 1):
+            seen.setdefault(tuple(w[i: i + least]), []).append((k, i))
+    every, later = {}, {}
+    for places in seen.values():
+        if len(places) > 1:
+            for n, (k, i) in enumerate(places):
+                every.setdefault(k, set()).update(range(i, i + least))
+                if n:
+                    later.setdefault(k, set()).update(range(i, i + least))
+    return every, later
