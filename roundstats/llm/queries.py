@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roundstats.llm import decontam, langid, merkle, mixing, quality, secret_scan, sharding, simhash, suffix_dedup
+from roundstats.llm import decontam, langid, merkle, mixing, quality, secret_scan, sharding, simhash, suffix_dedup, surrogates
 from roundstats.llm.common import held_out
 from roundstats.sources import table
 
@@ -19,6 +19,10 @@ def op2_sparse_suffix_repeats(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.repeated_passages(table(spark, sf, "documents"))
 
 
+def op3_pii_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    return surrogates.replace_personal_data(table(spark, sf, "documents"), key="corpus key 1")
+
+
 def op4_linked_secrets(spark: SparkSession, sf: str) -> DataFrame:
     out = secret_scan.scan(table(spark, sf, "documents"))
     return out.select("doc_id", "n_assign", "n_access", "n_hex",
@@ -79,8 +83,9 @@ def op10_soft_membership_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"), table(spark, sf, "labels"), DOMAIN, SHARES, LEAD, LIFT)
 
 
-QUERIES = {f.__name__: f for f in (op1_bm25_decontamination, op2_sparse_suffix_repeats, op4_linked_secrets,
-                                op5_merkle_fingerprints,                               op6_simhash_golay, op7_factorisation_quality,
-                                op8_bounded_ring_shards, op9_centroid_language, op10_soft_membership_mixing)}
+QUERIES = {f.__name__: f for f in (
+    op1_bm25_decontamination, op2_sparse_suffix_repeats, op3_pii_surrogates, op4_linked_secrets,
+    op5_merkle_fingerprints, op6_simhash_golay, op7_factorisation_quality, op8_bounded_ring_shards,
+    op9_centroid_language, op10_soft_membership_mixing)}
 
 ORACLE_SQL: dict[str, str] = {}
