@@ -14,9 +14,10 @@ with the same run loses no repeat.
    neighbours of the same run: a match extends right and left as far as both
    texts agree, and counts when it reaches ``LEAST`` words.
 4. A run that more than ``MAX_RUN`` suffixes share is not compared pair by pair.
-   Its suffixes are spread into the windows of ``LEAST`` words around the run;
-   equal windows (hash of run, offset and surrounding words) are counted with
-   partial aggregates. Both ways give the same words, and the second is linear.
+   Suffixes with equal surroundings are first gathered by partial aggregates;
+   the distinct surroundings are spread into the windows of ``LEAST`` words
+   around the run, and equal windows (hash of run, offset and words) are met
+   the same way. Both ways give the same words, and the second is linear.
 
 Longer passages come out whole, as the union of the windows found at their
 minimisers. A place is *later* if an equal passage occurs at a smaller (id,
@@ -83,12 +84,12 @@ def _fixed(rows: np.ndarray) -> pa.Array:
 
 
 def surroundings(docs: DataFrame) -> DataFrame:
-    """``key, hot, doc_id, d, pos, n_left, n_right, before, after`` of the given
-    suffixes: 32 bits of each surrounding word's hash, nearest first."""
+    """``key, doc_id, d, pos, n_left, n_right, before, after`` of the given
+    suffixes (columns ``doc_id, d, bytes, at, run``: positions and run hashes): 32 bits of each surrounding word's hash, nearest first."""
     def kernel(batches):
         reach = np.arange(SIDE)
         for b in batches:
-            lists = [b.column(k) for k in (3, 4, 5)]
+            lists = [b.column(k) for k in (3, 4)]
             for i, j, data, offs in blocks(b.column(2)):
                 starts, ends, woff = find_words(data, offs)
                 w = (word_hashes(data, starts, ends) >> np.uint64(32)).astype("<u4")
@@ -102,14 +103,14 @@ def surroundings(docs: DataFrame) -> DataFrame:
                     in_left, in_right = left >= woff[row[s], None], right < woff[row[s] + 1, None]
                     take = pa.array(row[s] + i)
                     yield pa.RecordBatch.from_arrays(
-                        [lists[1].slice(i, j - i).flatten().slice(a, 1 << 14), lists[2].slice(i, j - i).flatten().slice(a, 1 << 14),
+                        [lists[1].slice(i, j - i).flatten().slice(a, 1 << 14),
                          b.column(0).take(take), b.column(1).take(take), pa.array(pos[s]),
                          pa.array(in_left.sum(axis=1), pa.int32()), pa.array(in_right.sum(axis=1), pa.int32()),
                          _fixed(np.where(in_left, w[np.maximum(left, 0)], 0).astype("<u4")),
                          _fixed(np.where(in_right, w[np.minimum(right, len(w) - 1)], 0).astype("<u4"))], names=names)
 
-    names = ["key", "hot", "doc_id", "d", "pos", "n_left", "n_right", "before", "after"]
-    return docs.mapInArrow(kernel, "key long, hot boolean, doc_id long, d long, pos int, n_left int, n_right int, "
+    names = ["key", "doc_id", "d", "pos", "n_left", "n_right", "before", "after"]
+    return docs.mapInArrow(kernel, "key long, doc_id long, d long, pos int, n_left int, n_right int, "
                                    "before binary, after binary")
 
 
@@ -187,8 +188,8 @@ def counted(near: DataFrame) -> DataFrame:
     """Spans from equal windows, for runs of any number of suffixes."""
     def kernel(batches):
         for b in batches:
-            t = pa.Table.from_batches([b])
-            key, pos, d = (t.column(c).to_numpy() for c in ("key", "pos", "d"))
+            t = pa.Table.from_batches([b]).combine_chunks()
+            key = t.column("key").to_numpy()
             sides = []
             for c in ("before", "after"):
                 p = np.zeros((len(key), SIDE + 1), np.uint64)
@@ -199,18 +200,29 @@ def counted(near: DataFrame) -> DataFrame:
             for a in range(SIDE + 1):
                 ok = np.flatnonzero((n_left >= a) & (n_right >= SIDE - a))
                 h = mix(key[ok].view(np.uint64) ^ mix(sides[0][ok, a] + np.uint64(a)) + sides[1][ok, SIDE - a])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), t.column("doc_id").combine_chunks().take(pa.array(ok)), pa.array(d[ok]),
-                     pa.array((pos[ok] - a).astype(np.int32))], names=["h", "doc_id", "d", "a"])
-
-    windows = near.mapInArrow(kernel, "h long, doc_id long, d long, a int")
-    place = F.struct("doc_id", "d", "a")
-    met = windows.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")) \
+                own = t.select(["around", "least", "most"]).take(pa.array(ok))
+                own = own.append_column("h", pa.array(h.view(np.int64)))
+                yield from own.append_column("a", pa.array(np.full(len(ok), a, np.int32))).combine_chunks().to_batches()
+
+    place = F.struct("doc_id", "d", "pos")
+    rows = near.withColumn("around", F.xxhash64("key", "n_left", "n_right", "before", "after"))
+    first = [F.first(c).alias(c) for c in ("key", "n_left", "n_right", "before", "after")]
+    around = rows.groupBy("around").agg(F.min(place).alias("least"), F.max(place).alias("most"), *first)
+    at = "struct<doc_id:bigint,d:bigint,pos:int>"
+    windows = around.mapInArrow(kernel, f"around long, least {at}, most {at}, h long, a int")
+    met = windows.groupBy("h").agg(F.min("least").alias("first"), F.max("most").alias("last")) \
         .where(~F.col("first").eqNullSafe(F.col("last"))).drop("last")
-    later = ~place.eqNullSafe(F.col("first"))
-    b = F.col("a") + LEAST
-    return windows.join(met, "h").select("doc_id", "d", "a", b.alias("b"), F.when(later, F.col("a")).alias("later_a"),
-                                         F.when(later, b).alias("later_b"))
+    # Of the places with equal surroundings only the least can be a first one.
+    a, later = F.col("a"), ~F.col("first").eqNullSafe(F.col("least"))
+    found = windows.join(met, "h").groupBy("around").agg(
+        F.first("least").alias("least"), F.min("a").alias("lo"), F.max("a").alias("hi"),
+        F.min(F.when(later, a)).alias("later_lo"), F.max(F.when(later, a)).alias("later_hi"))
+    mine = place.eqNullSafe(F.col("least"))
+    pos, lo, hi = F.col("pos"), F.col("lo"), F.col("hi")
+    later_lo, later_hi = (F.when(mine, F.col(f"later_{c}")).otherwise(F.col(c)) for c in ("lo", "hi"))
+    return rows.select("around", "doc_id", "d", "pos").join(found, "around").select(
+        "doc_id", "d", (pos - hi).alias("a"), (pos - lo + LEAST).alias("b"),
+        (pos - later_hi).alias("later_a"), (pos - later_lo + LEAST).alias("later_b"))
 
 
 def _merged(a: str, b: str):
@@ -236,10 +248,13 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     counts = suffixes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     wanted = suffixes.join(counts, "key").groupBy("d").agg(
         F.collect_set(F.struct("pos", "key", (F.col("n") > MAX_RUN).alias("hot"))).alias("s"))
-    found = texts.join(wanted, "d").select("doc_id", "d", "bytes", F.col("s.pos").alias("pos"), F.col("s.key").alias("key"),
-                                           F.col("s.hot").alias("hot"))
-    near = stage.write(surroundings(found))
-    spans = compared(near.where("not hot")).union(counted(near.where("hot")))
+    found = texts.join(wanted, "d")
+
+    def around(hot: bool) -> DataFrame:
+        own = F.filter("s", lambda x: x["hot"] == hot)
+        return surroundings(found.select("doc_id", "d", "bytes", own["pos"].alias("at"), own["key"].alias("run")))
+
+    spans = compared(around(False)).union(counted(around(True)))
     out = spans.groupBy("doc_id", "d").agg(_merged("a", "b").alias("spans"), _merged("later_a", "later_b").alias("later_spans"))
     words = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return out.select("doc_id", words(F.col("spans")).alias("repeated_words"),
