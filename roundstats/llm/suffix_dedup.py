@@ -40,22 +40,27 @@ from pyspark.sql import functions as F
 from roundstats.llm.common import Stage, blocks, find_words, gram_hashes, mix, powers, text_bytes, word_hashes
 
 LEAST = 50
-GRAM = 20
+GRAM = 12
 SIDE = LEAST - GRAM          # words around a run that can complete a passage
 MAX_RUN = 64
 
 
-def minimisers(words: np.ndarray, woff: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word positions (in the block) of the retained suffixes and their runs'
-    hashes. Windows never cross a text's border."""
+def window_minima(words: np.ndarray, woff: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of all windows of ``LEAST`` words of a block (none crosses a
+    text's border), the minimiser of each, and the hashes of the runs."""
     grams = gram_hashes(words, GRAM)
     if len(grams) <= SIDE:
-        return np.zeros(0, np.int64), grams[:0]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), grams
     row = np.repeat(np.arange(len(woff) - 1), np.diff(woff))
     starts = np.flatnonzero(row[: len(words) - LEAST + 1] == row[LEAST - 1:])
     view = np.lib.stride_tricks.sliding_window_view(grams, SIDE + 1)
-    at = np.concatenate([np.zeros(0, np.int64)] + [s + view[s].argmin(axis=1)
-                                                  for s in np.array_split(starts, len(starts) // 4096 + 1)])
+    at = [s + view[s].argmin(axis=1) for s in np.array_split(starts, len(starts) // 4096 + 1)]
+    return starts, np.concatenate(at), grams
+
+
+def minimisers(words: np.ndarray, woff: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word positions (in the block) of the retained suffixes, and their runs' hashes."""
+    _, at, grams = window_minima(words, woff)
     at = np.unique(at)
     return at, grams[at]
 
@@ -84,7 +89,7 @@ def _fixed(rows: np.ndarray) -> pa.Array:
 
 
 def surroundings(docs: DataFrame) -> DataFrame:
-    """``key, doc_id, d, pos, n_left, n_right, before, after`` of the given
+    """``key, doc_id, d, pos, n_left, n_right, lo, hi, before, after`` of the given
     suffixes (columns ``doc_id, d, bytes, at, run``: positions and run hashes): 32 bits of each surrounding word's hash, nearest first."""
     def kernel(batches):
         reach = np.arange(SIDE)
@@ -92,11 +97,15 @@ def surroundings(docs: DataFrame) -> DataFrame:
             lists = [b.column(k) for k in (3, 4)]
             for i, j, data, offs in blocks(b.column(2)):
                 starts, ends, woff = find_words(data, offs)
-                w = (word_hashes(data, starts, ends) >> np.uint64(32)).astype("<u4")
+                words = word_hashes(data, starts, ends)
+                first, least, _ = window_minima(words, woff)
+                w = (words >> np.uint64(32)).astype("<u4")
                 pos = lists[0].slice(i, j - i)
                 row = np.repeat(np.arange(j - i), pos.value_lengths().to_numpy())
                 pos = pos.flatten().to_numpy()
                 at = pos + woff[row]
+                hi = at - first[np.searchsorted(least, at)]
+                lo = at - first[np.searchsorted(least, at, side="right") - 1]
                 for a in range(0, len(at), 1 << 14):
                     s = slice(a, a + (1 << 14))
                     left, right = at[s, None] - 1 - reach, at[s, None] + GRAM + reach
@@ -106,11 +115,12 @@ def surroundings(docs: DataFrame) -> DataFrame:
                         [lists[1].slice(i, j - i).flatten().slice(a, 1 << 14),
                          b.column(0).take(take), b.column(1).take(take), pa.array(pos[s]),
                          pa.array(in_left.sum(axis=1), pa.int32()), pa.array(in_right.sum(axis=1), pa.int32()),
+                         pa.array(lo[s], pa.int32()), pa.array(hi[s], pa.int32()),
                          _fixed(np.where(in_left, w[np.maximum(left, 0)], 0).astype("<u4")),
                          _fixed(np.where(in_right, w[np.minimum(right, len(w) - 1)], 0).astype("<u4"))], names=names)
 
-    names = ["key", "doc_id", "d", "pos", "n_left", "n_right", "before", "after"]
-    return docs.mapInArrow(kernel, "key long, doc_id long, d long, pos int, n_left int, n_right int, "
+    names = ["key", "doc_id", "d", "pos", "n_left", "n_right", "lo", "hi", "before", "after"]
+    return docs.mapInArrow(kernel, "key long, doc_id long, d long, pos int, n_left int, n_right int, lo int, hi int, "
                                    "before binary, after binary")
 
 
@@ -196,25 +206,26 @@ def counted(near: DataFrame) -> DataFrame:
                 np.cumsum((_matrix(t.column(c)).astype(np.uint64) + np.uint64(1)) * powers(0x9E3779B97F4A7C15, SIDE),
                           axis=1, out=p[:, 1:])
                 sides.append(mix(p))
-            n_left, n_right = t.column("n_left").to_numpy(), t.column("n_right").to_numpy()
+            lo, hi = t.column("lo").to_numpy(), t.column("hi").to_numpy()
             for a in range(SIDE + 1):
-                ok = np.flatnonzero((n_left >= a) & (n_right >= SIDE - a))
+                ok = np.flatnonzero((lo <= a) & (a <= hi))
                 h = mix(key[ok].view(np.uint64) ^ mix(sides[0][ok, a] + np.uint64(a)) + sides[1][ok, SIDE - a])
-                own = t.select(["around", "least", "most"]).take(pa.array(ok))
+                own = t.select(["around", "least", "many"]).take(pa.array(ok))
                 own = own.append_column("h", pa.array(h.view(np.int64)))
                 yield from own.append_column("a", pa.array(np.full(len(ok), a, np.int32))).combine_chunks().to_batches()
 
     place = F.struct("doc_id", "d", "pos")
     rows = near.withColumn("around", F.xxhash64("key", "n_left", "n_right", "before", "after"))
-    first = [F.first(c).alias(c) for c in ("key", "n_left", "n_right", "before", "after")]
-    around = rows.groupBy("around").agg(F.min(place).alias("least"), F.max(place).alias("most"), *first)
-    at = "struct<doc_id:bigint,d:bigint,pos:int>"
-    windows = around.mapInArrow(kernel, f"around long, least {at}, most {at}, h long, a int")
-    met = windows.groupBy("h").agg(F.min("least").alias("first"), F.max("most").alias("last")) \
-        .where(~F.col("first").eqNullSafe(F.col("last"))).drop("last")
+    first = [F.first(c).alias(c) for c in ("key", "lo", "hi", "before", "after")]
+    around = rows.groupBy("around").agg(F.min(place).alias("least"), F.max(place).alias("most"), *first) \
+        .withColumn("many", ~F.col("least").eqNullSafe(F.col("most"))).drop("most")
+    windows = around.mapInArrow(
+        kernel, "around long, least struct<doc_id:bigint,d:bigint,pos:int>, many boolean, h long, a int")
+    met = windows.groupBy("h").agg(F.min("least").alias("first"), F.max("least").alias("last"), F.max("many").alias("many")) \
+        .where(F.col("many") | ~F.col("first").eqNullSafe(F.col("last"))).select("h", "first")
     # Of the places with equal surroundings only the least can be a first one.
     a, later = F.col("a"), ~F.col("first").eqNullSafe(F.col("least"))
-    found = windows.join(met, "h").groupBy("around").agg(
+    found = windows.drop("many").join(met, "h").groupBy("around").agg(
         F.first("least").alias("least"), F.min("a").alias("lo"), F.max("a").alias("hi"),
         F.min(F.when(later, a)).alias("later_lo"), F.max(F.when(later, a)).alias("later_hi"))
     mine = place.eqNullSafe(F.col("least"))
