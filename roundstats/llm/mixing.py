@@ -113,9 +113,9 @@ def train(present: list[np.ndarray], stats: np.ndarray, y: np.ndarray) -> tuple:
     return buckets, mean, std, w
 
 
-def fit_posterior(docs: DataFrame, labels: DataFrame, domain: Column, max_train: int = MAX_TRAIN) -> Posterior | None:
-    """Classifier of ``domain``, a string expression over ``labels``."""
-    sample = labelled_sample(docs, labels, domain, max_train)
+def fit_posterior(docs: DataFrame, labels: DataFrame, domain: str, max_train: int = MAX_TRAIN) -> Posterior | None:
+    """Classifier of ``domain``, a SQL expression (string) over ``labels``."""
+    sample = labelled_sample(docs, labels, F.expr(domain), max_train)
 
     def vectors(batches):
         for b in batches:
@@ -214,7 +214,7 @@ def target_totals(now: np.ndarray, domains: list[str], shares: dict[str, float],
     return want * (lift * now[at] / want[at])
 
 
-def mix(docs: DataFrame, labels: DataFrame, domain: Column, shares: dict[str, float], lead: str,
+def mix(docs: DataFrame, labels: DataFrame, domain: str, shares: dict[str, float], lead: str,
         lift: float = 1.0, max_train: int = MAX_TRAIN) -> DataFrame:
     """``doc_id, tokens, rate, posterior`` (domain -> probability) for every row
     of ``docs``. Targets: token shares by domain, at the total that gives the

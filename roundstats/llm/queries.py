@@ -73,7 +73,7 @@ def op9_centroid_language(spark: SparkSession, sf: str) -> DataFrame:
 
 # Domains: quality and toxicity as labelled. Good clean text keeps its tokens
 # and makes up most of the mixture; the others are thinned to small shares.
-DOMAIN = F.concat(F.lit("quality"), F.col("quality").cast("string"), F.lit("toxic"), F.col("toxic").cast("string"))
+DOMAIN = "concat('quality', quality, 'toxic', toxic)"
 LEAD = "quality1toxic0"
 LIFT = 1.02          # keeps the rates of clearly clean documents at 1 or above
 SHARES = {"quality1toxic0": 0.93, "quality1toxic1": 0.02, "quality0toxic0": 0.04, "quality0toxic1": 0.01}

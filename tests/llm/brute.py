@@ -52,3 +52,35 @@ def repeated_words(rows, least=50):
                 if n:
                     later.setdefault(k, set()).update(range(i, i + least))
     return every, later
+
+
+def linked(fps, bits):
+    """Sets of fingerprints connected by pairs at most ``bits`` apart."""
+    left, out = set(fps), []
+    while left:
+        todo, own = [left.pop()], set()
+        while todo:
+            f = todo.pop()
+            own.add(f)
+            near = {g for g in left if (f ^ g).bit_count() <= bits}
+            left -= near
+            todo += near
+        out.append(own)
+    return out
+
+
+def components(texts, size=3, bits=2):
+    """{doc_id: (fingerprint, smallest linked doc_id)}."""
+    import xxhash
+
+    fps = {}
+    for k, t in texts.items():
+        w = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())
+        grams = [b" ".join(w[i: i + size]) for i in range(len(w) - size + 1)] if len(w) >= size else [b" ".join(w)][: len(w)]
+        h = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+        fps[k] = sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in h) > len(h))
+    least = {}
+    for group in linked(set(fps.values()), bits):
+        first = min(k for k, v in fps.items() if v in group)
+        least.update(dict.fromkeys(group, first))
+    return {k: (v, least[v]) for k, v in fps.items()}
