@@ -122,10 +122,8 @@ def sort_with_index(df: DataFrame, order_cols: list[str], idx: str = "idx",
     spark = df.sparkSession
     if num_partitions is None:
         # As many ranges as the input has splits (each about a split's size),
-        # at least one per core, never more than the configured shuffle width.
-        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        cores = spark.sparkContext.defaultParallelism
-        num_partitions = min(shuffle, max(df.rdd.getNumPartitions(), cores))
+        # at least one per core.
+        num_partitions = max(df.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
     n = num_partitions
     ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     ranged = cut_lineage(ranged)

@@ -101,13 +101,14 @@ def distinct_word_stats(wc: DataFrame, utf16: bool = False) -> DataFrame:
                   (F.sum(java_length("word", utf16)) / F.count(F.lit(1))).alias("avg_len"))
 
 
-def avg_word_length(docs: DataFrame, text_col: str = "text", doc_col: str = "doc_id") -> DataFrame:
+def avg_word_length(docs: DataFrame, text_col: str = "text", doc_col: str = "doc_id",
+                    utf16: bool = False) -> DataFrame:
     """A14/A15 for the one-round count: ``n_words, avg_len``."""
-    return distinct_word_stats(word_count(docs, text_col, doc_col))
+    return distinct_word_stats(word_count(docs, text_col, doc_col), utf16)
 
 
 def compare_word_counts(docs: DataFrame, k: int, seed: int = 0, method: str = "hash",
-                        text_col: str = "text", doc_col: str = "doc_id") -> DataFrame:
+                        text_col: str = "text", doc_col: str = "doc_id", utf16: bool = False) -> DataFrame:
     """``method, n_words, avg_len`` for the three ways of counting; all
     three rows agree when the methods are right."""
     rows = [
@@ -117,6 +118,6 @@ def compare_word_counts(docs: DataFrame, k: int, seed: int = 0, method: str = "h
     ]
     out = None
     for name, wc in rows:
-        r = distinct_word_stats(wc).select(F.lit(name).alias("method"), "n_words", "avg_len")
+        r = distinct_word_stats(wc, utf16).select(F.lit(name).alias("method"), "n_words", "avg_len")
         out = r if out is None else out.unionByName(r)
     return out

@@ -95,28 +95,33 @@ def seed_rows(points: DataFrame, k: int, seed: int,
     state = start_nearest(pts)
     held: DataFrame | None = None
     refreshes = 0
-    for t in range(1, k):
-        draws = draw_next(state, recent, [r[2] for r in picked], seed, t).collect()
-        if not draws:
-            break
-        new = [(int(r["part"]), int(r["id"]), list(r["v"])) for r in draws]
-        picked += [(p, t, i, v) for p, i, v in new]
-        recent += new
-        if len(recent) >= refresh_every and t < k - 1:
-            refreshes += 1
-            nxt = update_nearest(state, recent)
-            # Kept for the next passes; every CHECKPOINT_EVERY-th refresh is
-            # also written to the checkpoint folder, so a lost executor costs
-            # at most that many fold passes to rebuild.
-            if refreshes % CHECKPOINT_EVERY == 0:
-                nxt = cut_lineage(nxt)
-            else:
-                nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-            if held is not None:
-                held.unpersist()
-            held, state, recent = nxt, nxt, []
-    if held is not None:
-        held.unpersist()
+    try:
+        for t in range(1, k):
+            draws = draw_next(state, recent, [r[2] for r in picked], seed, t).collect()
+            if not draws:
+                break
+            new = [(int(r["part"]), int(r["id"]), list(r["v"])) for r in draws]
+            picked += [(p, t, i, v) for p, i, v in new]
+            recent += new
+            # Every ``refresh_every`` centers of a part, whatever the parts.
+            if len(recent) >= refresh_every * len(new) and t < k - 1:
+                refreshes += 1
+                nxt = update_nearest(state, recent)
+                # Kept for the next passes; every CHECKPOINT_EVERY-th refresh is
+                # also written to the checkpoint folder, so a lost executor costs
+                # at most that many fold passes to rebuild.
+                if refreshes % CHECKPOINT_EVERY == 0:
+                    nxt = cut_lineage(nxt)
+                else:
+                    nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+                    # Filled from the state held so far, before that is let go.
+                    nxt.count()
+                if held is not None:
+                    held.unpersist()
+                held, state, recent = nxt, nxt, []
+    finally:
+        if held is not None:
+            held.unpersist()
     return sorted(picked)
 
 

@@ -38,9 +38,10 @@ def number_report(df: DataFrame, col: str = "v", mean_places: int | None = 6) ->
                     mean_nv.alias("mean_nv")))
 
 
-def word_report(docs: DataFrame, k: int, seed: int = 0, method: str = "hash") -> DataFrame:
+def word_report(docs: DataFrame, k: int, seed: int = 0, method: str = "hash",
+                utf16: bool = False) -> DataFrame:
     """Program 2: ``method, n_docs, n_words, avg_len`` for the three word
     counts; the document count is one aggregate, used as a scalar."""
     n_docs = docs.agg(F.count(F.lit(1))).first()[0]
-    rows = W.compare_word_counts(docs, k, seed, method)
+    rows = W.compare_word_counts(docs, k, seed, method, utf16=utf16)
     return rows.select("method", F.lit(n_docs).cast("long").alias("n_docs"), "n_words", "avg_len")

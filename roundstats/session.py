@@ -49,7 +49,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir() or conf
     raise RuntimeError(
         "spark.checkpoint.dir is not set; point it at a shared folder "
-        "(HDFS/S3/DBFS) so iterative operators can cut lineage reliably")
+        "(a shared filesystem) so iterative operators can cut lineage reliably")
 
 
 def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str:

@@ -121,11 +121,11 @@ def points_from_lines(df: DataFrame, text_col: str = "value", id_col: str | None
         df = _line_ids(df, "__line_id")
         id_col = "__line_id"
     v = _vector_of(F.col(text_col))
-    bad = F.exists(v, lambda x: x.isNull()) | (F.size(v) == 0)
+    bad = F.coalesce(F.exists(v, lambda x: x.isNull()) | (F.size(v) == 0), F.lit(True))
     rows = df.select(F.col(id_col).cast("long").alias("id"), v.alias("v"), bad.alias("bad"),
                      F.col(text_col).alias("line"))
     if strict:
-        vv = F.when(F.col("bad"), F.raise_error(F.concat(F.lit("bad vector line: "), F.col("line")))) \
+        vv = F.when(F.col("bad"), F.raise_error(F.concat(F.lit("bad vector line: "), F.coalesce(F.col("line"), F.lit("NULL"))))) \
               .otherwise(F.col("v"))
         return rows.select("id", vv.cast("array<double>").alias("v"), F.lit(1).cast("long").alias("w"))
     return rows.where(~F.col("bad")).select("id", "v", F.lit(1).cast("long").alias("w"))
@@ -139,7 +139,7 @@ def rejected_point_lines(df: DataFrame, text_col: str = "value",
         df = _line_ids(df, "__line_id")
         id_col = "__line_id"
     v = _vector_of(F.col(text_col))
-    bad = F.exists(v, lambda x: x.isNull()) | (F.size(v) == 0)
+    bad = F.coalesce(F.exists(v, lambda x: x.isNull()) | (F.size(v) == 0), F.lit(True))
     return df.where(bad).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("line"))
 
 
