@@ -42,21 +42,24 @@ def word_count(docs: DataFrame, text_col: str = "text", doc_col: str = "doc_id")
 
 
 def group_word_counts(docs: DataFrame, k: int, seed: int = 0, text_col: str = "text",
-                      doc_col: str = "doc_id") -> DataFrame:
+                      doc_col: str = "doc_id", reproducible: bool = True) -> DataFrame:
     """A10: ``group_id, word, c``: each (word, c_i(word)) pair of a document
-    gets a seeded random group in [0, k); counts are summed per group."""
+    gets a seeded random group in [0, k); counts are summed per group. The
+    group is an md5 that SQL engines can repeat, or (not ``reproducible``)
+    Spark's own much cheaper 64-bit hash."""
     # The key is a function of (doc_id, word), so every occurrence of a
     # pair lands in the pair's group: counting tokens per (group, word)
     # equals summing the per-document counts, with one exchange, not two.
     return (tokens(docs, text_col, doc_col)
-            .withColumn("group_id", salt(k, seed, "doc_id", "word"))
+            .withColumn("group_id", salt(k, seed, "doc_id", "word") if reproducible else
+                        F.pmod(F.xxhash64(F.lit(seed), "doc_id", "word"), F.lit(k)).cast("int"))
             .groupBy("group_id", "word").agg(F.count(F.lit(1)).alias("c")))
 
 
 def word_count_salted(docs: DataFrame, k: int, seed: int = 0, text_col: str = "text",
                       doc_col: str = "doc_id") -> DataFrame:
     """A11, two rounds with random keys: sum per (group, word), then per word."""
-    return (group_word_counts(docs, k, seed, text_col, doc_col)
+    return (group_word_counts(docs, k, seed, text_col, doc_col, reproducible=False)
             .groupBy("word").agg(F.sum("c").alias("n")))
 
 
