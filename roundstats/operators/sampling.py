@@ -127,59 +127,64 @@ def update_nearest(state: DataFrame, newest: list[tuple[int, int, list[float]]],
     return state.mapInArrow(_fold_kernel(bc, d_col), T.StructType(list(state.schema.fields)))
 
 
+def _first_of_part(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """The smallest (key, id) of each part and kind."""
+    part, kind = _col(rows, "part"), _col(rows, "kind")
+    order = np.lexsort((_col(rows, "id"), _col(rows, "key"), kind, part))
+    p, k = part[order], kind[order]
+    return rows.take(pa.array(order[np.r_[True, (p[1:] != p[:-1]) | (k[1:] != k[:-1])]]))
+
+
 def _draw_kernel(bc, d_col: str):
-    """Per batch and part: the best race candidate (smallest -ln(u)/(w*d)
+    """Per task and part: the best race candidate (smallest -ln(u)/(w*d)
     among unchosen rows with w*d > 0) and the best fallback (smallest u
     among unchosen rows), ties by id -- at most two rows per part leave."""
     def run(batches):
         parts, vecs, valid, chosen = bc.value
+        pairs, chosen_ids = set(chosen), np.array([i for _, i in chosen], dtype=np.int64)
+        held = None
         for b in batches:
             if b.num_rows == 0:
                 continue
             ids = _col(b, "id")
             part = _col(b, "part")
-            X = _matrix(b, "v")
-            d = _min_distance(X, part, parts, vecs, valid, _col(b, d_col))
+            d = _min_distance(_matrix(b, "v"), part, parts, vecs, valid, _col(b, d_col))
             wd = _col(b, "w").astype(np.float64) * d
             u = _col(b, "u")
-            free = ~np.isin(ids, chosen)
+            free = ~np.isin(ids, chosen_ids)
+            for i in np.flatnonzero(~free):
+                free[i] = (int(part[i]), int(ids[i])) not in pairs
             with np.errstate(divide="ignore", invalid="ignore"):
                 race = np.where(free & (wd > 0), -np.log(u) / wd, np.inf)
-            rest = np.where(free, u, np.inf)
-            out_rows = []
-            for kind, key in ((0, race), (1, rest)):
-                ok = np.isfinite(key)
-                if not ok.any():
+            for kind, key in ((0, race), (1, np.where(free, u, np.inf))):
+                ok = np.flatnonzero(np.isfinite(key))
+                if not len(ok):
                     continue
-                rows = np.nonzero(ok)[0]
-                order = rows[np.lexsort((ids[rows], key[rows], part[rows]))]
-                _, first = np.unique(part[order], return_index=True)
-                sel = order[first]
-                out_rows.append((kind, sel, key[sel]))
-            if not out_rows:
-                continue
-            kinds = np.concatenate([np.full(len(sel), k, dtype=np.int8) for k, sel, _ in out_rows])
-            sel = np.concatenate([sel for _, sel, _ in out_rows])
-            keys = np.concatenate([key for _, _, key in out_rows])
-            vcol = b.column(b.schema.get_field_index("v")).take(pa.array(sel))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part[sel].astype(np.int32)), pa.array(kinds), pa.array(keys, pa.float64()),
-                 pa.array(ids[sel], pa.int64()), vcol],
-                names=["part", "kind", "key", "id", "v"])
+                order = ok[np.lexsort((ids[ok], key[ok], part[ok]))]
+                sel = order[np.unique(part[order], return_index=True)[1]]
+                new = pa.RecordBatch.from_arrays(
+                    [pa.array(part[sel].astype(np.int32)), pa.array(np.full(len(sel), kind, np.int8)),
+                     pa.array(key[sel], pa.float64()), pa.array(ids[sel], pa.int64()),
+                     b.column(b.schema.get_field_index("v")).take(pa.array(sel))],
+                    names=["part", "kind", "key", "id", "v"])
+                held = new if held is None else _first_of_part(pa.concat_batches([held, new]))
+        if held is not None:
+            yield held
     return run
 
 
 def draw_next(state: DataFrame, recent: list[tuple[int, int, list[float]]],
-              chosen_ids: list[int], seed: int, step: int, d_col: str = "d") -> DataFrame:
+              chosen: list[tuple[int, int]], seed: int, step: int, d_col: str = "d") -> DataFrame:
     """M2 + M3 in one pass: ``part, id, v`` of the next center of each part.
 
     The nearest distance is ``min(d, distance to the recent centers)``; the
     draw is the exponential race on ``w * d`` with u(seed, step, id) (computed
     by the JVM), or -- when every remaining ``w * d`` is 0 -- the remaining
-    point with the smallest u. The kernel sends at most two candidates per
-    part and batch; one ``min_by`` aggregate picks the winners.
+    point with the smallest u. ``chosen`` holds ``(part, id)`` pairs: ids may
+    repeat between parts. The kernel sends at most two candidates per part and
+    task; one ``min_by`` aggregate picks the winners.
     """
-    table = _center_table(recent) + (np.array(sorted(chosen_ids), dtype=np.int64),)
+    table = _center_table(recent) + (chosen,)
     bc = state.sparkSession.sparkContext.broadcast(table)
     vtype = state.schema["v"].dataType.simpleString()
     cands = (state.select("part", "id", "v", "w", d_col, uniform(seed, step, "id").alias("u"))

@@ -6,15 +6,17 @@ every point; with one, each point only sees its own part's centers (many
 independent clusterings in one pass, as the per-part coreset needs).
 
 The nearest-center search runs in ``mapInArrow`` with NumPy: Arrow batches
-of points meet the centers held in a broadcast variable. Centers are few
-(k per part) -- their size is computed before anything is broadcast; a
-table above the limit is processed in chunks, one pass each: whole parts
-while a part fits, else also slices of one part's centers, merged per
-point with ``min_by`` (the first center still wins ties).
+of points meet a slice of the centers held in a broadcast variable, and fold
+it into the best ``(d, center_id)`` found so far. The order of the slices does
+not matter (the smaller distance wins, then the smaller id; NaN is worse than
+any number), so a table of any size is cut into slices of bounded bytes. Up to
+the bound there is one slice and one pass; beyond it the points are written
+to the checkpoint folder after each slice, a cost far below that of meeting it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,12 +27,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roundstats.functions.columns import nearest_center
+from roundstats.operators.parts import cut_lineage
 
 
-# Largest center table sent as one broadcast (bytes of doubles).
+# Largest slice of a center table sent as one broadcast (bytes of doubles).
 MAX_CENTER_BYTES = 256 << 20
-# Most rows a center set may have (it is brought to the driver).
-MAX_CENTER_ROWS = 1_000_000
+# Largest sums a task holds before it sends them on (bytes of doubles).
+MAX_SUM_BYTES = 64 << 20
 
 
 @dataclass
@@ -78,8 +81,15 @@ class Centers:
         """Plain arrays for a broadcast (broadcasts use plain pickle)."""
         return (self.parts, self.vecs, self.valid, self.ids)
 
-    def take(self, mask: np.ndarray) -> "Centers":
-        return Centers(self.parts[mask], self.vecs[mask], self.valid[mask], self.ids[mask])
+    def slices(self, max_bytes: int) -> list["Centers"]:
+        """Cut into tables of at most ``max_bytes`` (one center at least):
+        by part while a part fits, else also by position."""
+        p, k, d = self.vecs.shape
+        cols = min(k, max(1, max_bytes // (d * 8 or 1)))
+        rows = max(1, max_bytes // (cols * d * 8 or 1))
+        return [Centers(self.parts[i:i + rows], self.vecs[i:i + rows, j:j + cols],
+                        self.valid[i:i + rows, j:j + cols], self.ids[i:i + rows, j:j + cols])
+                for i in range(0, p, rows) for j in range(0, k, cols)]
 
     def rows(self) -> list[tuple[int, int, list[float]]]:
         out = []
@@ -90,17 +100,50 @@ class Centers:
         return out
 
 
+def _center_rows(centers: DataFrame, vec_col: str) -> DataFrame:
+    part = F.col("part") if "part" in centers.columns else F.lit(0)
+    return centers.select(part.alias("part"), F.col("center_id"), F.col(vec_col).cast("array<double>").alias("v"))
+
+
 def collect_centers(centers: DataFrame, vec_col: str = "v") -> Centers:
-    """Bring a center set (k rows per part) to the driver; a frame with more
-    than ``MAX_CENTER_ROWS`` rows is refused before anything large moves."""
-    has_part = "part" in centers.columns
-    cols = [F.col("part") if has_part else F.lit(0).alias("part"),
-            F.col("center_id"), F.col(vec_col).cast("array<double>")]
-    rows = centers.select(*cols).limit(MAX_CENTER_ROWS + 1).collect()
-    if len(rows) > MAX_CENTER_ROWS:
-        raise ValueError(f"a center set has at most {MAX_CENTER_ROWS} rows; this one has more")
-    c = Centers.from_rows([tuple(r) for r in rows])
-    return c
+    """Bring a center set that the caller holds in memory (k rows per part of
+    a clustering) to the driver; sets of any size go through :func:`assign`."""
+    return Centers.from_rows([tuple(r) for r in _center_rows(centers, vec_col).collect()])
+
+
+def center_slices(centers: "DataFrame | Centers", vec_col: str = "v",
+                  max_bytes: int = MAX_CENTER_BYTES) -> Iterator[tuple[Centers, bool]]:
+    """``(slice, whether it is the last)``, each of at most about ``max_bytes``.
+
+    A frame is counted first; only one slice of it, picked by a hash of part
+    and id, is on the driver at a time.
+    """
+    if isinstance(centers, Centers):
+        cut = centers.slices(max_bytes)
+        yield from ((c, i == len(cut) - 1) for i, c in enumerate(cut))
+        return
+    rows = _center_rows(centers, vec_col)
+    n, lo, hi = rows.agg(F.count(F.lit(1)), F.min(F.size("v")), F.max(F.size("v"))).first()
+    if not n:
+        raise ValueError("empty center set")
+    if lo != hi:
+        raise ValueError(f"centers of different dimensions: {[lo, hi]}")
+    cut = -(-n * hi * 8 // max_bytes)
+    if cut <= 1:
+        yield from center_slices(collect_centers(centers, vec_col), vec_col, max_bytes)
+        return
+    of = F.pmod(F.xxhash64("part", "center_id"), F.lit(cut))
+    held = None
+    for i in range(cut):
+        got = [tuple(r) for r in rows.where(of == i).collect()]
+        if not got:
+            continue
+        # A slice padded to its widest part may have to be cut again.
+        for c in Centers.from_rows(got).slices(max_bytes):
+            if held is not None:
+                yield held, False
+            held = c
+    yield held, True
 
 
 def centers_frame(spark: SparkSession, c: Centers, with_part: bool = True) -> DataFrame:
@@ -140,21 +183,9 @@ def row_blocks(n: int, dim: int):
         yield slice(s, min(n, s + step))
 
 
-def _part_index(batch: pa.RecordBatch, part_col: str | None, parts: np.ndarray) -> np.ndarray:
-    n = batch.num_rows
-    if part_col is None:
-        return np.zeros(n, dtype=np.int64)
-    p = batch.column(batch.schema.get_field_index(part_col)).to_numpy(zero_copy_only=False)
-    idx = np.searchsorted(parts, p)
-    idx = np.clip(idx, 0, len(parts) - 1)
-    if len(parts) and not np.array_equal(parts[idx], p):
-        raise ValueError("a point's part has no centers")
-    return idx
-
-
 def nearest(X: np.ndarray, pidx: np.ndarray, c: Centers) -> tuple[np.ndarray, np.ndarray]:
     """Distance to and position of the nearest valid center of each row's
-    part; the first position wins ties (strict ``<``, as the reference).
+    part; the first position wins ties, and NaN is worse than any number.
 
     Works one row block and one center position at a time (rows are
     widened to float64 per block), so memory stays at one block.
@@ -162,18 +193,19 @@ def nearest(X: np.ndarray, pidx: np.ndarray, c: Centers) -> tuple[np.ndarray, np
     n = X.shape[0]
     best_d = np.full(n, np.inf)
     best_j = np.zeros(n, dtype=np.int32)
+    one = len(c.parts) == 1
     for blk in row_blocks(n, X.shape[1] if X.ndim == 2 else 0):
         xb = X[blk].astype(np.float64, copy=False)
         pb = pidx[blk]
-        bd, bj = None, np.zeros(xb.shape[0], dtype=np.int32)
+        bd, bj = None, np.full(xb.shape[0], -1, dtype=np.int32)
         for j in range(c.vecs.shape[1]):
-            diff = xb - c.vecs[pb, j]
+            diff = xb - (c.vecs[0, j] if one else c.vecs[pb, j])
             d = np.sqrt(np.einsum("ij,ij->i", diff, diff))
-            d = np.where(c.valid[pb, j], d, np.inf)
+            valid = c.valid[pb, j]
             if bd is None:
-                bd = d
+                bd, bj = np.where(valid, d, np.inf), np.where(valid, j, bj)
                 continue
-            better = d < bd
+            better = valid & ((bj < 0) | (d < bd) | (np.isnan(bd) & ~np.isnan(d)))
             bd = np.where(better, d, bd)
             bj = np.where(better, j, bj)
         best_d[blk] = bd
@@ -181,93 +213,105 @@ def nearest(X: np.ndarray, pidx: np.ndarray, c: Centers) -> tuple[np.ndarray, np
     return best_d, best_j
 
 
-def _assign_kernel(bc, vec_col: str, part_col: str | None):
+def _fold_kernel(bc, vec_col: str, part_col: str | None, first: bool, last: bool):
+    """Fold one slice of the centers into the last two columns, ``center_id``
+    (null: none met yet) and ``d``, which the first slice adds."""
     def run(batches):
         c = Centers(*bc.value)
         for b in batches:
-            if b.num_rows == 0:
+            n = b.num_rows
+            if n == 0:
                 continue
+            cols, names = list(b.columns), list(b.schema.names)
+            if first:
+                cid, d, met = np.zeros(n, np.int32), np.full(n, np.inf), np.zeros(n, bool)
+                names += ["center_id", "d"]
+            else:
+                met = pc.is_valid(cols[-2]).to_numpy(zero_copy_only=False)
+                cid = pc.fill_null(cols[-2], 0).to_numpy(zero_copy_only=False)
+                d = pc.fill_null(cols[-1], np.inf).to_numpy(zero_copy_only=False)
+                cols = cols[:-2]
             X = _matrix(b, vec_col)
-            pidx = _part_index(b, part_col, c.parts)
-            d, j = nearest(X, pidx, c)
-            cid = c.ids[pidx, j]
-            yield pa.RecordBatch.from_arrays(
-                list(b.columns) + [pa.array(cid, pa.int32()), pa.array(d, pa.float64())],
-                names=list(b.schema.names) + ["center_id", "d"])
+            if part_col is None:
+                pidx, here = np.zeros(n, np.int64), np.ones(n, bool)
+            else:
+                p = b.column(b.schema.get_field_index(part_col)).to_numpy(zero_copy_only=False)
+                pidx = np.clip(np.searchsorted(c.parts, p), 0, len(c.parts) - 1)
+                here = c.parts[pidx] == p
+            nd, j = nearest(X, pidx, c)
+            nid = c.ids[pidx, j]
+            here &= j >= 0
+            gap, ngap = np.isnan(d), np.isnan(nd)
+            nearer = (nd < d) | (gap & ~ngap) | (((nd == d) | (gap & ngap)) & (nid < cid))
+            new = here & (~met | nearer)
+            cid, d, met = np.where(new, nid, cid), np.where(new, nd, d), met | here
+            if last and not met.all():
+                raise ValueError("a point's part has no centers")
+            cols += [pa.array(cid, pa.int32(), mask=~met), pa.array(d, pa.float64(), mask=~met)]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
     return run
 
 
-def _sums_kernel(bc, vec_col: str, part_col: str | None, w_col: str | None):
-    """Per row block and cluster: sum of weights and weighted coordinate
-    sums, one row per (part, center, coordinate)."""
+def _sums_kernel(fold, vec_col: str, part_col: str | None, w_col: str | None):
+    """After the last fold: weight sum, point count and weighted coordinate
+    sums, one row per (part, center) and task (more only if a task's sums
+    outgrow ``MAX_SUM_BYTES``)."""
+    names = ["part", "center_id", "sw", "cnt", "sx"]
+
+    def rows(keys, sw, cnt, sx):
+        flat = pa.array(sx.reshape(-1))
+        offs = pa.array(np.arange(0, sx.size + 1, max(1, sx.shape[1]), dtype=np.int32)[:len(keys) + 1])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys[:, 0].astype(np.int32)), pa.array(keys[:, 1].astype(np.int32)), pa.array(sw),
+             pa.array(cnt.astype(np.int64)), pa.ListArray.from_arrays(offs, flat)], names=names)
+
+    def add(keys, sw, cnt, sx):
+        """Sum rows of equal keys."""
+        order = np.lexsort((keys[:, 1], keys[:, 0]))
+        keys = keys[order]
+        starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+        return keys[starts], *(np.add.reduceat(x[order], starts, axis=0) for x in (sw, cnt, sx))
+
     def run(batches):
-        c = Centers(*bc.value)
-        k = c.vecs.shape[1]
-        for b in batches:
-            if b.num_rows == 0:
-                continue
-            X = _matrix(b, vec_col)
-            pidx = _part_index(b, part_col, c.parts)
-            w_all = (np.ones(b.num_rows) if w_col is None else
+        held = None
+        for b in fold(batches):
+            X, n = _matrix(b, vec_col), b.num_rows
+            keys = np.zeros((n, 2), np.int64)
+            keys[:, 1] = b.column(b.num_columns - 2).to_numpy(zero_copy_only=False)
+            if part_col is not None:
+                keys[:, 0] = b.column(b.schema.get_field_index(part_col)).to_numpy(zero_copy_only=False)
+            w_all = (np.ones(n) if w_col is None else
                      b.column(b.schema.get_field_index(w_col)).to_numpy(zero_copy_only=False)
                      .astype(np.float64))
-            for blk in row_blocks(b.num_rows, X.shape[1]):
-                xb = X[blk].astype(np.float64, copy=False)
-                pb, w = pidx[blk], w_all[blk]
-                _, j = nearest(xb, pb, c)
-                key = pb * k + j
-                order = np.argsort(key, kind="stable")
-                ks, starts = np.unique(key[order], return_index=True)
-                sx = np.add.reduceat(xb[order] * w[order, None], starts, axis=0)
-                sw = np.add.reduceat(w[order], starts)
-                cnt = np.diff(np.append(starts, len(order)))
-                g, dim = len(ks), xb.shape[1]
-                part = np.repeat(c.parts[ks // k], dim).astype(np.int32)
-                cid = np.repeat(c.ids[ks // k, ks % k], dim).astype(np.int32)
-                pos = np.tile(np.arange(dim, dtype=np.int32), g)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part), pa.array(cid), pa.array(pos),
-                     pa.array(np.repeat(sw, dim)), pa.array(np.repeat(cnt, dim).astype(np.int64)),
-                     pa.array(sx.reshape(-1))],
-                    names=["part", "center_id", "pos", "sw", "cnt", "sx"])
+            for blk in row_blocks(n, X.shape[1]):
+                w = w_all[blk]
+                new = add(keys[blk], w, np.ones(len(w), np.int64), X[blk].astype(np.float64) * w[:, None])
+                held = new if held is None else add(*(np.concatenate(x) for x in zip(held, new)))
+                if held[3].nbytes > MAX_SUM_BYTES:
+                    yield rows(*held)
+                    held = None
+        if held is not None:
+            yield rows(*held)
     return run
 
 
-_SUMS_SCHEMA = "part int, center_id int, pos int, sw double, cnt long, sx double"
+_SUMS_SCHEMA = "part int, center_id int, sw double, cnt long, sx array<double>"
 
 
-def _plan_chunks(points: DataFrame, c: Centers, part_col: str | None, max_bytes: int):
-    """Split a center table into broadcasts of at most ``max_bytes``.
-
-    Returns ``([(points subset, centers subset)], merge)``. Whole parts are
-    grouped while one part's table fits (every point meets exactly one chunk:
-    ``merge`` is False); a part too large on its own is also cut by center
-    position, and then a point meets several chunks whose answers must be
-    merged per point (``merge`` is True).
-    """
-    p, k, d = c.vecs.shape
-    if c.nbytes <= max_bytes:
-        return [(points, c)], False
-    one_part = k * d * 8
-    if one_part <= max_bytes and part_col is not None:
-        step = max(1, max_bytes // one_part)
-        out = []
-        for s in range(0, p, step):
-            mask = np.zeros(p, dtype=bool)
-            mask[s:s + step] = True
-            sub = c.take(mask)
-            out.append((points.where(F.col(part_col).between(int(sub.parts[0]), int(sub.parts[-1]))), sub))
-        return out, False
-    step = max(1, max_bytes // max(1, (p if part_col is None else 1) * d * 8))
-    out = []
-    for pi in range(p if part_col is not None else 1):
-        rows = slice(pi, pi + 1) if part_col is not None else slice(None)
-        pts = points.where(F.col(part_col) == int(c.parts[pi])) if part_col is not None else points
-        for s in range(0, k, step):
-            sub = Centers(c.parts[rows], c.vecs[rows, s:s + step], c.valid[rows, s:s + step],
-                          c.ids[rows, s:s + step])
-            out.append((pts, sub))
-    return out, True
+def _fold_slices(points: DataFrame, centers: "DataFrame | Centers", part_col: str | None, vec_col: str,
+                 max_bytes: int):
+    """Fold all slices but the last, each written to the checkpoint folder;
+    returns the points so far, the kernel of the last fold and its schema."""
+    schema = T.StructType(points.schema.fields + [
+        T.StructField("center_id", T.IntegerType()), T.StructField("d", T.DoubleType())])
+    first = True
+    for c, last in center_slices(centers, vec_col, max_bytes):
+        bc = points.sparkSession.sparkContext.broadcast(c.arrays())
+        fold = _fold_kernel(bc, vec_col, part_col, first, last)
+        if last:
+            return points, fold, schema
+        points, first = cut_lineage(points.mapInArrow(fold, schema)), False
+        bc.destroy()
 
 
 def assign(points: DataFrame, centers, vec_col: str = "v", by_part: bool | None = None,
@@ -280,19 +324,16 @@ def assign(points: DataFrame, centers, vec_col: str = "v", by_part: bool | None
     JVM-only higher-order-function form for one small global center set
     (slower; no Python worker).
     """
-    spark = points.sparkSession
     if isinstance(centers, DataFrame):
         if by_part is None:
             by_part = "part" in centers.columns and "part" in points.columns
         if not by_part and "part" in centers.columns:
             centers = centers.drop("part")
-        c = collect_centers(centers)
-    else:
-        c = centers
-        if by_part is None:
-            by_part = "part" in points.columns and len(c.parts) > 1
+    elif by_part is None:
+        by_part = "part" in points.columns and len(centers.parts) > 1
     part_col = "part" if by_part else None
     if kernel == "columns":
+        c = collect_centers(centers, vec_col) if isinstance(centers, DataFrame) else centers
         if part_col is not None or c.nbytes > max_bytes:
             raise ValueError("the column kernel takes one global center set within the size limit")
         vecs = [c.vecs[0, j].tolist() for j in range(c.vecs.shape[1]) if c.valid[0, j]]
@@ -302,23 +343,8 @@ def assign(points: DataFrame, centers, vec_col: str = "v", by_part: bool | None
         return points.select("*", id_of.cast("int").alias("center_id"), best["d"].alias("d"))
     if kernel != "arrow":
         raise ValueError(f"unknown kernel {kernel!r}")
-    schema = T.StructType(points.schema.fields + [
-        T.StructField("center_id", T.IntegerType()), T.StructField("d", T.DoubleType())])
-    chunks, merge = _plan_chunks(points, c, part_col, max_bytes)
-    out = None
-    for pts, sub in chunks:
-        bc = spark.sparkContext.broadcast(sub.arrays())
-        r = pts.mapInArrow(_assign_kernel(bc, vec_col, part_col), schema)
-        out = r if out is None else out.unionByName(r)
-    if merge:
-        # A point met several center chunks: keep its best (d, position),
-        # so the first center still wins ties. Needs a unique ``id``; one
-        # shuffle of (points x chunks) rows.
-        cols = points.columns + ["center_id", "d"]
-        out = (out.groupBy("id")
-               .agg(F.min_by(F.struct(*cols), F.struct("d", "center_id")).alias("__b"))
-               .select("__b.*"))
-    return out
+    points, fold, schema = _fold_slices(points, centers, part_col, vec_col, max_bytes)
+    return points.mapInArrow(fold, schema)
 
 
 def nearest_distance(points: DataFrame, centers, vec_col: str = "v", **kw) -> DataFrame:
@@ -336,8 +362,7 @@ def cluster_weights(points: DataFrame, centers: DataFrame, vec_col: str = "v",
     counts = (assign(points, centers, vec_col, by_part=by_part)
               .groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
     cs = centers.select(*keys)
-    # Both sides hold one row per center (k per part): a small join.
-    return (cs.join(F.broadcast(counts), keys, "left")
+    return (cs.join(counts, keys, "left")
             .select(*keys, F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")))
 
 
@@ -347,48 +372,33 @@ def avg_distance(points: DataFrame, centers, vec_col: str = "v", **kw) -> DataFr
     return assign(points, centers, vec_col, **kw).agg(F.avg("d").alias("objective"))
 
 
-def centroid_sums(points: DataFrame, c: Centers, vec_col: str = "v", w_col: str | None = "w",
+def centroid_sums(points: DataFrame, c: "DataFrame | Centers", vec_col: str = "v", w_col: str | None = "w",
                   by_part: bool = True, max_bytes: int = MAX_CENTER_BYTES) -> DataFrame:
     """Per (part, center, coordinate): weight sum, point count and weighted
-    coordinate sum of the points nearest to each center. Each Arrow batch
-    emits one row per (cluster, coordinate); Spark sums those partials."""
-    spark = points.sparkSession
+    coordinate sum of the points nearest to each center. Each task emits one
+    row per cluster; Spark sums those partials by coordinate."""
     part_col = "part" if by_part and "part" in points.columns else None
-    chunks, merge = _plan_chunks(points, c, part_col, max_bytes)
-    if merge:
-        # Centers too many to meet in one kernel: assign through the chunked
-        # path, then sum the coordinates with Spark (a row per coordinate).
-        a = assign(points, c, vec_col, by_part=part_col is not None, max_bytes=max_bytes)
-        w = F.col(w_col).cast("double") if w_col else F.lit(1.0)
-        part = F.col(part_col) if part_col else F.lit(0)
-        rows = a.select(part.cast("int").alias("part"), "center_id", w.alias("__w"),
-                        F.posexplode(vec_col).alias("pos", "x"))
-        return (rows.groupBy("part", "center_id", "pos")
-                .agg(F.sum("__w").alias("sw"), F.count(F.lit(1)).alias("cnt"),
-                     F.sum(F.col("__w") * F.col("x")).alias("sx")))
-    out = None
-    for pts, sub in chunks:
-        bc = spark.sparkContext.broadcast(sub.arrays())
-        r = pts.mapInArrow(_sums_kernel(bc, vec_col, part_col, w_col), _SUMS_SCHEMA)
-        out = r if out is None else out.unionByName(r)
-    return (out.groupBy("part", "center_id", "pos")
-            .agg(F.sum("sw").alias("sw"), F.sum("cnt").alias("cnt"), F.sum("sx").alias("sx")))
+    need = [vec_col] + [c for c in (part_col, w_col) if c is not None]
+    folded, fold, _ = _fold_slices(points.select(*dict.fromkeys(need)), c, part_col, vec_col, max_bytes)
+    sums = folded.mapInArrow(_sums_kernel(fold, vec_col, part_col, w_col), _SUMS_SCHEMA)
+    return (sums.select("part", "center_id", "sw", "cnt", F.posexplode("sx").alias("pos", "x"))
+            .groupBy("part", "center_id", "pos")
+            .agg(F.sum("sw").alias("sw"), F.sum("cnt").alias("cnt"), F.sum("x").alias("sx")))
 
 
 def weighted_centroids(points: DataFrame, centers, vec_col: str = "v", w_col: str | None = "w",
                        by_part: bool | None = None) -> DataFrame:
     """V6: ``[part,] center_id, w, v`` -- the weighted centroid sum(w*p)/sum(w)
     of the points nearest to each center (clusters without points are
-    absent). One pass; partial sums per batch, merged by Spark."""
+    absent). One pass; partial sums per task, merged by Spark."""
     if isinstance(centers, DataFrame):
         if by_part is None:
             by_part = "part" in centers.columns and "part" in points.columns
-        c = collect_centers(centers if by_part or "part" not in centers.columns
-                            else centers.drop("part"))
+        if not by_part and "part" in centers.columns:
+            centers = centers.drop("part")
     else:
-        c = centers
         by_part = bool(by_part)
-    sums = centroid_sums(points, c, vec_col, w_col, by_part)
+    sums = centroid_sums(points, centers, vec_col, w_col, by_part)
     per = (sums.groupBy("part", "center_id")
            .agg(F.max("sw").alias("w"),
                 F.array_sort(F.collect_list(F.struct("pos", (F.col("sx") / F.col("sw")).alias("x"))))

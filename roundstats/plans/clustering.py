@@ -97,7 +97,7 @@ def seed_rows(points: DataFrame, k: int, seed: int,
     refreshes = 0
     try:
         for t in range(1, k):
-            draws = draw_next(state, recent, [r[2] for r in picked], seed, t).collect()
+            draws = draw_next(state, recent, [(p, i) for p, _, i, _ in picked], seed, t).collect()
             if not draws:
                 break
             new = [(int(r["part"]), int(r["id"]), list(r["v"])) for r in draws]

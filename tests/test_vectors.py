@@ -1,7 +1,10 @@
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from roundstats.functions import distance
+from roundstats.operators import sampling as S
 from roundstats.operators import vectors as V
 from roundstats.sources import points_from_lines, read_points
 
@@ -136,3 +139,57 @@ def test_column_kernel_matches_arrow_kernel(pts, centers, spark):
     x = {r["id"]: (r["center_id"], round(r["d"], 9)) for r in V.assign(emb, cs).collect()}
     y = {r["id"]: (r["center_id"], round(r["d"], 9)) for r in V.assign(emb, cs, kernel="columns").collect()}
     assert x == y
+
+
+@pytest.mark.parametrize("max_bytes", [1, 20, 64, V.MAX_CENTER_BYTES])
+def test_any_slice_size_gives_the_same_rows(spark, max_bytes):
+    """Equal ids, no id at all, a part's center that is NaN: no row is lost or moved."""
+    nan = float("nan")
+    rows = [(0, 1, [0.0, 1.0]), (0, 1, [0.0, 1.0]), (0, 2, [9.0, 0.0]), (1, 1, [5.0, 5.0])]
+    pts = spark.createDataFrame(rows, "part int, id long, v array<double>")
+    cs = spark.createDataFrame([(0, 0, [nan, nan]), (0, 1, [0.0, 0.0]), (0, 2, [10.0, 0.0]), (0, 3, [0.0, 2.0]),
+                                (1, 0, [nan, nan])], "part int, center_id int, v array<double>")
+    got = V.assign(pts, cs, max_bytes=max_bytes).select("part", "id", "center_id", "d").collect()
+    assert sorted(str(tuple(r)) for r in got) == [
+        "(0, 1, 1, 1.0)", "(0, 1, 1, 1.0)", "(0, 2, 2, 1.0)", "(1, 1, 0, nan)"]
+    glob = cs.where("part = 0").drop("part")
+    held = V.collect_centers(glob)
+    for c in (glob, held):
+        got = V.assign(pts.select("v"), c, max_bytes=max_bytes).select("center_id").collect()
+        assert sorted(r[0] for r in got) == [1, 1, 2, 3]     # (5, 5) is nearest to (0, 2)
+    sums = V.centroid_sums(pts, held, w_col=None, by_part=False, max_bytes=max_bytes).where("pos = 0").collect()
+    assert sorted((r["center_id"], r["cnt"], r["sx"]) for r in sums) == [(1, 2, 0.0), (2, 1, 9.0), (3, 1, 5.0)]
+
+
+@pytest.mark.parametrize("max_bytes", [1, 64, V.MAX_CENTER_BYTES])
+def test_part_without_centers_fails_at_any_slice_size(spark, max_bytes):
+    pts = spark.createDataFrame([(0, 1, [0.0]), (7, 2, [1.0])], "part int, id long, v array<double>")
+    cs = spark.createDataFrame([(0, 0, [0.0]), (0, 1, [3.0])], "part int, center_id int, v array<double>")
+    with pytest.raises(Exception, match="no centers"):
+        V.assign(pts, cs, max_bytes=max_bytes).collect()
+
+
+class _Held:
+    def __init__(self, value):
+        self.value = value
+
+
+def test_kernels_emit_once_per_task():
+    rng = np.random.default_rng(3)
+    batches = [pa.RecordBatch.from_pydict({
+        "part": pa.array([0, 1] * 50, pa.int32()), "id": pa.array(range(b * 100, b * 100 + 100), pa.int64()),
+        "v": pa.array(rng.random((100, 3)).tolist(), pa.list_(pa.float64())), "w": [1.0] * 100,
+        "d": [1.0] * 100, "u": rng.random(100)}) for b in range(5)]
+    c = V.Centers.from_rows([(p, j, rng.random(3).tolist()) for p in (0, 1) for j in range(4)])
+    points = [b.select(["part", "id", "v", "w"]) for b in batches]
+    fold = V._fold_kernel(_Held(c.arrays()), "v", "part", True, True)
+    out = list(V._sums_kernel(fold, "v", "part", "w")(iter(points)))
+    assert sum(b.num_rows for b in out) == 8 and sum(sum(b.column(3).to_pylist()) for b in out) == 500
+    taken = [(0, 0), (0, 1)]          # id 1 is free in part 1
+    recent = S._center_table([(0, 0, [0.0] * 3), (1, 0, [0.0] * 3)])
+    out = list(S._draw_kernel(_Held(recent + (taken,)), "d")(iter(batches)))
+    assert sum(b.num_rows for b in out) == 4
+    u = np.concatenate([b.column(5).to_numpy() for b in batches])
+    best = {r["part"]: r["id"] for b in out for r in b.to_pylist() if r["kind"] == 1}
+    assert best == {p: min((i for i in range(500) if i % 2 == p and (p, i) not in taken), key=u.__getitem__)
+                    for p in (0, 1)}
