@@ -145,93 +145,59 @@ def pick_at(indexed: DataFrame, i: int, idx: str = "idx") -> DataFrame:
     return indexed.where(F.col(idx) == F.lit(i))
 
 
-# Windows this small are finished by sorting their values in one aggregate.
-EXACT_WINDOW = 100_000
+# Buckets a selection round counts into (on each side of zero in the first).
+BUCKETS = 1024
 
 
-def select_rank(df: DataFrame, col: str, rank, p_hint: float | None = None,
-                accuracy: int = 100000, max_rounds: int = 64) -> tuple[float | None, int]:
+def select_rank(df: DataFrame, col: str, rank, buckets: int = BUCKETS) -> tuple[float | None, int]:
     """Exact value at a 0-based rank among the non-null values of ``col``;
     returns ``(value, n)`` where ``rank(n)`` gave the rank.
 
-    Selection by counting. A round asks ``percentile_approx`` for a ladder
-    of probabilities around the target (its rank error is at most
-    n/accuracy, so the ladder brackets the target), then one aggregate counts
-    the rows below and at every candidate. The target is either a candidate
-    or lies strictly between the two nearest ones: the next round only looks
-    there, a window about accuracy/4 times smaller. A value held by a third
-    of all rows ends the search as soon as it is a candidate. Once the window
-    holds at most ``EXACT_WINDOW`` values, one aggregate sorts those and
-    indexes the rank. Only scalars reach the driver; each round is two scans
-    of one column. NaN ranks above every number, as in Spark's ordering.
+    Selection by counting. A round counts the rows of each bucket and keeps
+    the smallest and largest value in it; the next round only looks into the
+    bucket that holds the rank, until all its values are equal. The first
+    round's buckets are cut by sign and logarithm, so heavy tails and
+    infinities do not slow it down; the later ones by equal width between the
+    window's ends, which land in different buckets, so each window is
+    smaller. A few rounds reach the last bit of a double. A task
+    sends on at most one row per bucket, however many values it holds. NaN
+    ranks above every number, as in Spark's ordering.
     """
     x = F.col("v")
-    data = df.select(F.col(col).cast("double").alias("v")).where(x.isNotNull())
-    eps = 1.0 / accuracy
-    steps = (0.0, 2.0, 8.0, 32.0, 128.0)
-
-    def ladder(p: float) -> list[float]:
-        return sorted({min(max(p + sgn * m * eps, 0.0), 1.0) for m in steps for sgn in (-1.0, 1.0)})
-
-    num = F.when(~F.isnan(x), x)
-    head = [F.count(F.lit(1)), F.count_if(F.isnan(x))]
-    if p_hint is not None:
-        head.append(F.percentile_approx(num, ladder(p_hint), accuracy))
-    first = data.agg(*head).first()
-    n_all, n_nan = first[0], first[1]
-    r = rank(n_all)
-    if r is None or r < 0 or r >= n_all:
-        return None, n_all
-    if r >= n_all - n_nan:
-        return float("nan"), n_all
-    nums = data.where(~F.isnan(x))
-    cands = first[2] if p_hint is not None else None
-    lo = hi = None
-    r_w, n_w = r, n_all - n_nan
-    for _ in range(max_rounds):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (x > F.lit(lo))
-        if hi is not None:
-            cond = cond & (x < F.lit(hi))
-        window = nums.where(cond)
-        if cands is None and n_w <= EXACT_WINDOW:
-            # A bounded window: one aggregate sorts its values and indexes.
-            return float(window.agg(F.element_at(F.sort_array(F.collect_list(x)), r_w + 1)).first()[0]), n_all
-        if cands is None:
-            cands = window.agg(F.percentile_approx(x, ladder((r_w + 0.5) / n_w), accuracy)).first()[0]
-        cands = sorted(set(c for c in cands if c is not None))
-        counts = window.agg(*[e for c in cands for e in
-                              (F.count_if(x < F.lit(c)), F.count_if(x <= F.lit(c)))]).first()
-        below, above = None, None
-        for i, c in enumerate(cands):
-            lt, le = counts[2 * i], counts[2 * i + 1]
-            if lt <= r_w < le:
-                return float(c), n_all
-            if le <= r_w:
-                below = (c, le)
-            elif above is None:
-                above = (c, lt)
-        cut = 0
-        if below is not None:
-            lo, cut = below
-        if above is not None:
-            hi, n_w = above[0], above[1]
-        n_w -= cut
-        r_w -= cut
-        cands = None
-    raise RuntimeError("selection did not converge")
-
-
-def kth_smallest(df: DataFrame, col: str, r: int, accuracy: int = 100000) -> float | None:
+    data = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    top = buckets + 1
+    # Logarithms of finite doubles lie between -745 and 710.
+    size = F.floor((F.log(F.abs(x)) + 746) * (buckets / 1456)) + 1
+    bucket = F.when(F.isnan(x), top + 1).when(x == 0, 0) \
+        .otherwise(F.signum(x).cast("long") * F.when(F.abs(x) == float("inf"), top).otherwise(size))
+    n, r, window = None, None, data
+    while True:
+        found = sorted(window.groupBy(bucket.cast("long").alias("b"))
+                       .agg(F.count(F.lit(1)), F.min(x), F.max(x)).collect())
+        if n is None:
+            n = sum(row[1] for row in found)
+            r = rank(n)
+            if r is None or r < 0 or r >= n:
+                return None, n
+        for _, count, lo, hi in found:
+            if r < count:
+                break
+            r -= count
+        if lo == hi or lo != lo:
+            return lo + 0.0, n
+        window = data.where((x >= F.lit(lo)) & (x <= F.lit(hi)))
+        bucket = F.floor((x - F.lit(lo)) / F.lit(hi - lo) * buckets)
+
+
+def kth_smallest(df: DataFrame, col: str, r: int, buckets: int = BUCKETS) -> float | None:
     """Exact value of 0-based rank ``r`` among the non-null values
     (see :func:`select_rank`)."""
-    return select_rank(df, col, lambda n: r, None, accuracy)[0]
+    return select_rank(df, col, lambda n: r, buckets)[0]
 
 
-def lower_median_value(df: DataFrame, col: str, accuracy: int = 100000) -> tuple[float | None, int]:
+def lower_median_value(df: DataFrame, col: str, buckets: int = BUCKETS) -> tuple[float | None, int]:
     """``(lower median, n)`` by selection; the rank is (n - 1) // 2."""
-    return select_rank(df, col, lambda n: (n - 1) // 2 if n else None, 0.5, accuracy)
+    return select_rank(df, col, lambda n: (n - 1) // 2 if n else None, buckets)
 
 
 def lower_median(df: DataFrame, col: str = "v", method: str = "select",
@@ -244,7 +210,7 @@ def lower_median(df: DataFrame, col: str = "v", method: str = "select",
 
     ``select`` (default) finds it by counting (:func:`kth_smallest`);
     ``sort`` numbers a full sort (:func:`sort_with_index`) and picks the row.
-    The result is one row read back from the data.
+    The result is one row.
     """
     data = df.select(F.col(col).cast("double").alias(out)).where(F.col(out).isNotNull())
     if method == "sort":
@@ -259,5 +225,4 @@ def lower_median(df: DataFrame, col: str = "v", method: str = "select",
     q, n = lower_median_value(data, out)
     if n == 0:
         return data.limit(0)
-    o = F.col(out)
-    return data.where(o == F.lit(q)).agg(F.min(o).alias(out))
+    return df.sparkSession.createDataFrame([(q,)], f"`{out}` double")

@@ -12,8 +12,6 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roundstats.functions.columns import salt
-
 
 def part_of(key, k: int, method: str = "hash") -> Column:
     """Part number in [0, k) for a key column.
@@ -42,12 +40,6 @@ def with_parts(df: DataFrame, k: int, key: str = "id", method: str = "hash",
     return out_df
 
 
-def with_salt(df: DataFrame, k: int, seed: int, *cols: str, out: str = "group_id") -> DataFrame:
-    """Seeded random group key in [0, k) for each row, a pure function of
-    (seed, cols): stable under task retries, unlike ``rand()``."""
-    return df.withColumn(out, salt(k, seed, *cols))
-
-
 def keep(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
     """Keep for reuse (a lost executor's blocks are recomputed from
     lineage; use :func:`cut_lineage` inside long loops)."""

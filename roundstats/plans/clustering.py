@@ -20,12 +20,11 @@ the smallest draw; a part with at most k points keeps them all.
 from __future__ import annotations
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roundstats.operators.numbers import merge_means
-from roundstats.operators.parts import cut_lineage, spread, with_parts
+from roundstats.operators.parts import cut_lineage, keep, spread, with_parts
 from roundstats.operators.sampling import (
     draw_next,
     pick_uniform,
@@ -113,7 +112,7 @@ def seed_rows(points: DataFrame, k: int, seed: int,
                 if refreshes % CHECKPOINT_EVERY == 0:
                     nxt = cut_lineage(nxt)
                 else:
-                    nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+                    nxt = keep(nxt)
                     # Filled from the state held so far, before that is let go.
                     nxt.count()
                 if held is not None:
@@ -187,7 +186,7 @@ def run_clustering(points: DataFrame, k: int, iters: int, seed: int = 0,
     _check(k, iters)
     pts = _as_parted(points)
     pts = pts.coalesce(1) if small else spread(pts, "id")
-    pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
+    pts = keep(pts)
     try:
         centers = _centers_from_seeds(seed_rows(pts, k, seed))
         return lloyd(pts, centers, iters)
@@ -245,7 +244,7 @@ def coreset(points: DataFrame, k: int, parts: int, iters: int, seed: int = 0,
     coreset row is ``part * k + center_id``. Zero weights are kept here.
     """
     _check(k, iters, parts)
-    pts = _parted(points, parts, method).persist(StorageLevel.MEMORY_AND_DISK)
+    pts = keep(_parted(points, parts, method))
     try:
         rows = _coreset_rows(pts, k, iters, seed)
     finally:
@@ -279,7 +278,7 @@ def mr_cluster(points: DataFrame, k: int, parts: int, iters: int, seed: int = 0,
     _check(k, iters, parts)
     spark = points.sparkSession
     parted = _parted(points, parts, method)
-    pts = parted.persist(StorageLevel.MEMORY_AND_DISK)
+    pts = keep(parted)
     try:
         rows = [r for r in _coreset_rows(pts, k, iters, seed) if r[4] > 0]
     finally:

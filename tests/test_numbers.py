@@ -96,7 +96,7 @@ def test_kth_smallest_with_a_hot_value(spark):
     df = nums(spark, vals, 5)
     s = sorted(vals)
     for r in (0, 1, 5, 399, 400, 700, 1199):
-        assert N.kth_smallest(df, "v", r, accuracy=50) == s[r]
+        assert N.kth_smallest(df, "v", r, buckets=5) == s[r]
 
 
 def test_kth_smallest_nan_ranks_last(spark):
@@ -140,3 +140,28 @@ def test_rejected_tokens_are_reported(spark):
     lines = spark.createDataFrame([(1, "1.0 x inf -2"), (2, "NaN 3 1_0")], "id long, line string")
     got = sorted((r["id"], r["tok"]) for r in rejected_number_tokens(lines, "line", "id").collect())
     assert got == [(1, "inf"), (1, "x"), (2, "1_0")]
+
+
+def test_kth_smallest_over_heavy_tails(spark):
+    inf = float("inf")
+    vals = [-inf, -1e308, -3.5, -1e-300, -5e-324, 0.0, -0.0, 5e-324, 1e-310, 1e-300, 1.0, 1.0 + 2**-52, 1.0, 1e17,
+            1.7976931348623157e308, inf, inf]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    for r, want in enumerate(sorted(vals)):
+        assert N.kth_smallest(df, "v", r) == want
+    assert N.lower_median_value(df, "v") == (sorted(vals)[8], len(vals))
+
+
+def test_a_selection_round_sends_one_row_a_bucket_and_task(spark, monkeypatch):
+    """Rows that reach the driver do not grow with the distinct values."""
+    frame, seen = type(spark.range(1)), []
+    collect = frame.collect
+
+    def watch(self):
+        seen.append(collect(self))
+        return seen[-1]
+
+    monkeypatch.setattr(frame, "collect", watch)
+    df = spark.range(200_000).selectExpr("cast(id * 7919 % 200003 as double) / 3 as v")
+    assert N.lower_median_value(df, "v", buckets=64)[1] == 200_000
+    assert seen and max(map(len, seen)) <= 2 * 64 + 4

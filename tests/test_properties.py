@@ -86,20 +86,15 @@ def test_clustering_matches_brute_force_on_grids(spark, pts, k, iters, seed):
 @settings(max_examples=6, deadline=None)
 @given(st.lists(st.integers(0, 30), min_size=50, max_size=400), st.data())
 def test_selection_over_many_rounds(spark, xs, data):
-    # Tiny accuracy and exact window force several ladder rounds; small
+    # Few buckets force several rounds; small
     # integer values give many duplicates (hot values).
     import roundstats.operators.numbers as NM
 
     df = spark.createDataFrame([(i, float(x)) for i, x in enumerate(xs)], "id long, v double").repartition(3)
     s = sorted(float(x) for x in xs)
-    old = NM.EXACT_WINDOW
-    NM.EXACT_WINDOW = 4
-    try:
-        for r in data.draw(st.lists(st.integers(0, len(xs) - 1), min_size=1, max_size=3)):
-            assert NM.kth_smallest(df, "v", r, accuracy=8) == s[r]
-        assert NM.lower_median_value(df, "v", accuracy=8)[0] == s[(len(s) - 1) // 2]
-    finally:
-        NM.EXACT_WINDOW = old
+    for r in data.draw(st.lists(st.integers(0, len(xs) - 1), min_size=1, max_size=3)):
+        assert NM.kth_smallest(df, "v", r, buckets=8) == s[r]
+    assert NM.lower_median_value(df, "v", buckets=8)[0] == s[(len(s) - 1) // 2]
 
 
 @settings(max_examples=5, deadline=None)
@@ -109,13 +104,8 @@ def test_selection_over_many_rounds_distinct(spark, xs, data):
 
     df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "id long, v double").repartition(4)
     s = sorted(xs)
-    old = NM.EXACT_WINDOW
-    NM.EXACT_WINDOW = 4
-    try:
-        for r in data.draw(st.lists(st.integers(0, len(xs) - 1), min_size=1, max_size=3)):
-            assert NM.kth_smallest(df, "v", r, accuracy=10) == s[r]
-    finally:
-        NM.EXACT_WINDOW = old
+    for r in data.draw(st.lists(st.integers(0, len(xs) - 1), min_size=1, max_size=3)):
+        assert NM.kth_smallest(df, "v", r, buckets=10) == s[r]
 
 
 def hadoop_lines_model(t: str) -> list[str]:
