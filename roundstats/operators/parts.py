@@ -31,13 +31,19 @@ def part_of(key, k: int, method: str = "hash") -> Column:
 
 def with_parts(df: DataFrame, k: int, key: str = "id", method: str = "hash",
                out: str = "part", relayout: bool = False) -> DataFrame:
-    """Add a part column; with ``relayout`` also hash-partition the rows
-    into ``k`` partitions on it (one shuffle), so per-part work downstream
-    needs no further exchange."""
+    """Add a part column; with ``relayout`` also lay the rows out by part
+    and key (one shuffle), each part over many tasks: a part may be far larger
+    than a task, and hashing ``k`` part numbers would leave tasks empty."""
     out_df = df.withColumn(out, part_of(key, k, method))
-    if relayout:
-        out_df = out_df.repartition(k, out)
-    return out_df
+    return by_part_and_key(out_df, k, out, key) if relayout else out_df
+
+
+def by_part_and_key(df: DataFrame, k: int, part: str, key: str) -> DataFrame:
+    """Hash-partition on part and key, over at least ``k`` partitions and as
+    many as the session shuffles into or can run at once."""
+    spark = df.sparkSession
+    n = max(k, int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n, part, key)
 
 
 def keep(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
@@ -62,10 +68,15 @@ def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = N
 
     On a cluster reading many files this is a no-op; on a single large file
     it turns one task into ``defaultParallelism`` tasks at the cost of one
-    shuffle. Hash partitioning on a key (not round robin) needs no extra sort
-    to stay deterministic under retries.
+    shuffle. A frame that has been shuffled or kept already has a layout and
+    stays as it is: counting its partitions would run its shuffles. Hash
+    partitioning on a key (not round robin) needs no extra sort to stay
+    deterministic under retries.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if any(x in plan for x in ("Exchange", "AdaptiveSparkPlan", "InMemoryTableScan")):
+        return df
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, key) if key else df.repartition(target)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roundstats.functions.columns import java_length, java_split, salt
-from roundstats.operators.parts import part_of
+from roundstats.operators.parts import by_part_and_key, part_of
 
 
 def tokens(docs: DataFrame, text_col: str = "text", doc_col: str = "doc_id") -> DataFrame:
@@ -68,15 +68,14 @@ def partition_word_counts(docs: DataFrame, k: int, method: str = "hash", text_co
     """``part, word, c``: counts summed inside each of ``k`` document
     parts (part = a function of doc_id, see :func:`part_of`).
 
-    ``relayout=True`` is the reference's partition-local form: documents are
-    first hash-partitioned on their part (one shuffle of the texts), after
-    which the per-part aggregate needs no exchange of its own. The default
-    lets the partial aggregate shrink the data before the only exchange.
+    ``relayout=True`` first lays the documents out by part and id (one shuffle
+    of the texts, each part over many tasks); a task's counts then merge per
+    (part, word). The default counts the documents where they are read.
     """
     base = docs.select(F.col(doc_col).alias("doc_id"), F.col(text_col).alias("text"))
     base = base.withColumn("part", part_of("doc_id", k, method))
     if relayout:
-        base = base.repartition(k, "part")
+        base = by_part_and_key(base, k, "part", "doc_id")
     return (base.select("part", F.explode(java_split(F.col("text"))).alias("word"))
             .groupBy("part", "word").agg(F.count(F.lit(1)).alias("c")))
 

@@ -24,12 +24,38 @@ LINE_BREAK_RE = r"\r\n|\r|\n"
 FINAL_BREAK_RE = r"(\r\n|\r|\n)\z"
 
 
+# Copies of one line that a task numbers at a time.
+COPY_BLOCK = 1 << 16
+
+
 def _line_ids(lines: DataFrame, id_col: str) -> DataFrame:
-    # Deterministic for a given file layout (partition index + position),
-    # so a retried task reproduces the same ids.
+    # Partition index + position: a retried task reproduces the same ids, but
+    # another split size gives others. For rows whose id nothing is drawn from.
     return lines.withColumn(id_col, F.monotonically_increasing_id())
 
 
+def content_ids(lines: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """``id_col long, text_col``: every line (null ones too) with an id made of
+    its content and, among equal lines, its copy number, so that ids, and all
+    draws from them, do not follow the split layout.
+
+    Equal lines are counted (partial aggregates: a hot line is one row a task)
+    and written out again as that many copies; those of a hot line in blocks of
+    ``COPY_BLOCK``, spread over the tasks. Ids are 64-bit hashes: among n lines
+    about n^2 / 2^65 pairs share one.
+    """
+    line = F.col(text_col)
+    counts = lines.groupBy(line).agg(F.count(F.lit(1)).alias("__n"))
+    few = (counts.where(F.col("__n") <= COPY_BLOCK)
+           .select(line, F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)).alias("__copy")))
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1, F.lit(COPY_BLOCK).cast("long")))
+    last = F.least(F.col("__from") + COPY_BLOCK, F.col("__n")) - 1
+    many = (counts.where(F.col("__n") > COPY_BLOCK).select(line, "__n", block.alias("__from"))
+            .repartition(text_col, "__from")
+            .select(line, F.explode(F.sequence(F.col("__from"), last)).alias("__copy")))
+    return few.unionAll(many).select(F.xxhash64(line, "__copy").alias(id_col), line)
+
+
 # ---------------------------------------------------------------- numbers --
 
 def numbers_from(df: DataFrame, text_col: str = "value", id_col: str | None = None,
@@ -97,8 +123,9 @@ def documents_from(df: DataFrame, text_col: str = "text", doc_col: str = "doc_id
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One document per text line of the file(s) at ``path``."""
-    return _line_ids(spark.read.text(path), "doc_id").select(
+    """One document per text line of the file(s) at ``path``; ids by
+    :func:`content_ids`."""
+    return content_ids(spark.read.text(path), "value", "doc_id").select(
         "doc_id", F.col("value").alias("text"))
 
 
@@ -115,10 +142,11 @@ def points_from_lines(df: DataFrame, text_col: str = "value", id_col: str | None
 
     Java splits on single blanks, so a doubled blank yields an empty token
     that fails to parse: ``strict=True`` fails the job on such a line,
-    ``strict=False`` drops it.
+    ``strict=False`` drops it. Without ``id_col`` ids come from the lines
+    themselves (:func:`content_ids`, one shuffle).
     """
     if id_col is None:
-        df = _line_ids(df, "__line_id")
+        df = content_ids(df, text_col, "__line_id")
         id_col = "__line_id"
     v = _vector_of(F.col(text_col))
     bad = F.coalesce(F.exists(v, lambda x: x.isNull()) | (F.size(v) == 0), F.lit(True))
@@ -134,9 +162,10 @@ def points_from_lines(df: DataFrame, text_col: str = "value", id_col: str | None
 def rejected_point_lines(df: DataFrame, text_col: str = "value",
                          id_col: str | None = None) -> DataFrame:
     """``id, line``: the lines ``strict=False`` drops (a token Java cannot
-    parse, e.g. from a doubled blank, or no token at all)."""
+    parse, e.g. from a doubled blank, or no token at all), with the ids that
+    :func:`points_from_lines` gives."""
     if id_col is None:
-        df = _line_ids(df, "__line_id")
+        df = content_ids(df, text_col, "__line_id")
         id_col = "__line_id"
     v = _vector_of(F.col(text_col))
     bad = F.coalesce(F.exists(v, lambda x: x.isNull()) | (F.size(v) == 0), F.lit(True))

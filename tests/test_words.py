@@ -3,7 +3,9 @@ from pyspark.sql import functions as F
 
 from roundstats.functions import java_length, java_split
 from roundstats.operators import words as W
-from roundstats.sources import documents_from, read_documents
+from roundstats.operators.parts import spread, with_parts
+from roundstats.sources import documents_from, read_documents, text
+from roundstats.sources.text import content_ids
 
 EDGE = [(1, ""), (2, "  "), (3, "a  b  "), (4, " a"), (5, "x y x"), (6, None)]
 
@@ -74,19 +76,69 @@ def test_partition_counts_sum_to_total(spark):
     assert tot == W.tokens(docs).count()
 
 
-def test_local_by_part_has_one_exchange_after_relayout(spark):
-    docs = spark.createDataFrame([(i, f"a b{i % 3}") for i in range(20)], "doc_id long, text string")
+def test_relayout_spreads_each_part(spark):
+    docs = spark.createDataFrame([(i, f"a b{i % 3}") for i in range(400)], "doc_id long, text string")
     plan = W.partition_word_counts(docs, 4, relayout=True)._jdf.queryExecution().executedPlan().toString()
-    # The relayout is the only exchange: the per-part aggregate reuses it.
-    assert plan.count("Exchange") == 1
+    # The texts move once, then a task's counts merge per (part, word).
+    assert plan.count("Exchange") == 2 and "partial_count" in plan
+    laid = with_parts(docs, 4, "doc_id", relayout=True)
+    at = laid.select("part", F.spark_partition_id().alias("task")).distinct().collect()
+    width = max(4, spark.sparkContext.defaultParallelism)
+    assert len({r["task"] for r in at}) >= width
+    assert all(len({r["task"] for r in at if r["part"] == p}) > 1 for p in range(4))
+    one, two = (sorted(tuple(r) for r in W.partition_word_counts(docs, 4, relayout=x).collect()) for x in (False, True))
+    assert one == two
     a = sorted(tuple(r) for r in W.word_count_by_part(docs, 4, relayout=True).collect())
     assert a == sorted(tuple(r) for r in W.word_count(docs).collect())
 
 
 def test_spread_only_when_needed(spark):
-    from roundstats.operators.parts import spread
-
     one = spark.range(100).coalesce(1)
     assert spread(one, "id", 4).rdd.getNumPartitions() == 4
     many = spark.range(100).repartition(6)
     assert spread(many, "id", 4) is many
+
+
+def jobs_of(spark, group, fn):
+    """Spark jobs that ``fn`` starts."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        fn()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    return len(sc.statusTracker().getJobIdsForGroup(group))
+
+
+def test_spread_runs_no_job(spark):
+    counted = spark.range(1000).groupBy((F.col("id") % 7).alias("id")).count()
+    assert jobs_of(spark, "spread-agg", lambda: spread(counted, "id", 64)) == 0
+    laid = spread(spark.range(100).coalesce(1), "id", 4)
+    assert jobs_of(spark, "spread-twice", lambda: spread(laid, "id", 64)) == 0
+    assert spread(laid, "id", 64) is laid
+    assert jobs_of(spark, "spread-sees-jobs", lambda: counted.count()) > 0
+
+
+def test_document_ids_do_not_follow_the_splits(spark, tmpdir_text):
+    path = tmpdir_text("docs.txt", "".join(f"word{i % 300} and\n" for i in range(2000)) + "\n" + "same line\n" * 1500)
+
+    def read(size):
+        held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        try:
+            return sorted(tuple(r) for r in read_documents(spark, path).collect())
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+
+    whole, cut = read(128 << 20), read(2000)
+    assert whole == cut and len(whole) == 3501 and len({i for i, _ in whole}) == 3501
+
+
+def test_hot_lines_are_numbered_in_blocks(spark, monkeypatch):
+    lines = spark.createDataFrame([("a",)] * 25 + [("b",)] * 4 + [("c",), (None,), (None,)], "value string").repartition(3)
+    whole = sorted(map(str, content_ids(lines, "value", "id").collect()))
+    monkeypatch.setattr(text, "COPY_BLOCK", 4)
+    blocks = content_ids(lines, "value", "id").collect()
+    assert sorted(map(str, blocks)) == whole
+    assert len({r["id"] for r in blocks}) == len(blocks) == 32
+    assert content_ids(lines.limit(0), "value", "id").count() == 0
