@@ -108,6 +108,10 @@ def merge_means(df: DataFrame, avg_col: str = "avg", n_col: str = "n") -> DataFr
 
 # ------------------------------------------------------- order statistics --
 
+# Rows of a range of the global sort.
+RANGE_ROWS = 1 << 20
+
+
 def sort_with_index(df: DataFrame, order_cols: list[str], idx: str = "idx",
                     num_partitions: int | None = None) -> DataFrame:
     """F4 + F5: global ascending sort with a 0-based row number (what
@@ -121,9 +125,8 @@ def sort_with_index(df: DataFrame, order_cols: list[str], idx: str = "idx",
     """
     spark = df.sparkSession
     if num_partitions is None:
-        # As many ranges as the input has splits (each about a split's size),
-        # at least one per core.
-        num_partitions = max(df.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+        # As many ranges as the rows need, at least one per core.
+        num_partitions = max(-(-df.count() // RANGE_ROWS), spark.sparkContext.defaultParallelism)
     n = num_partitions
     ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     ranged = cut_lineage(ranged)

@@ -90,6 +90,14 @@ def test_sort_with_index_any_layout(spark, parts):
     assert one(N.pick_at(N.sort_with_index(df, ["v", "id"]), 5))["id"] == want[5]
 
 
+def test_sort_is_as_wide_as_its_rows_need(spark, monkeypatch):
+    monkeypatch.setattr(N, "RANGE_ROWS", 10)
+    df = nums(spark, [float(i * 7 % 200) for i in range(200)], 2)
+    got = N.sort_with_index(df, ["v", "id"])
+    assert got.rdd.getNumPartitions() == 20     # more than the session's 8
+    assert [r["v"] for r in got.orderBy("idx").collect()] == [float(i) for i in range(200)]
+
+
 def test_kth_smallest_with_a_hot_value(spark):
     # A third of the rows share one value; ranks on both sides and inside it.
     vals = [5.0] * 400 + [float(i) for i in range(800)]
