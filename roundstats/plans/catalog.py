@@ -314,7 +314,7 @@ def q_coreset_iter0(spark, sf):
 
 def q_recluster_coreset(spark, sf):
     cs = C.coreset(_points(spark, sf), MR_K, MR_PARTS, MR_ITERS, SEED, method="mod").where(F.col("w") > 0)
-    centers = C.cluster(cs.select("id", "v", "w"), MR_K, MR_ITERS, SEED, small=True)
+    centers = C.cluster(cs.select("id", "v", "w"), MR_K, MR_ITERS, SEED, rows=MR_K * MR_PARTS)
     return centers.select("center_id", _round_vec(F.col("v")).alias("v"))
 
 

@@ -40,6 +40,7 @@ from roundstats.operators.vectors import (
     centroid_sums,
 )
 
+SMALL_ROWS = 1 << 16   # points of a bounded set that one task takes a step over
 REFRESH_EVERY = 8      # centers folded into the stored running distance
 CHECKPOINT_EVERY = 4   # refreshes between writes to the checkpoint folder
 
@@ -177,15 +178,16 @@ def _centers_from_seeds(rows) -> Centers:
 
 
 def run_clustering(points: DataFrame, k: int, iters: int, seed: int = 0,
-                   small: bool = False) -> Centers:
+                   rows: int | None = None) -> Centers:
     """Seeding then Lloyd for every part of ``points`` (kept while it runs).
 
-    ``small``: the points are a bounded set (a coreset of k x parts rows):
-    keep them in one partition, so each of the k + iters steps is one task.
+    ``rows``: the points are at most that many (a coreset: k x parts); they
+    are laid out ``SMALL_ROWS`` to a task, so that each of the k + iters steps
+    over a small set is one task and over a large one as many as it needs.
     """
     _check(k, iters)
     pts = _as_parted(points)
-    pts = pts.coalesce(1) if small else spread(pts, "id")
+    pts = spread(pts, "id") if rows is None else pts.repartition(max(1, -(-rows // SMALL_ROWS)), "id")
     pts = keep(pts)
     try:
         centers = _centers_from_seeds(seed_rows(pts, k, seed))
@@ -194,15 +196,15 @@ def run_clustering(points: DataFrame, k: int, iters: int, seed: int = 0,
         pts.unpersist()
 
 
-def cluster(points: DataFrame, k: int, iters: int, seed: int = 0, small: bool = False) -> DataFrame:
+def cluster(points: DataFrame, k: int, iters: int, seed: int = 0, rows: int | None = None) -> DataFrame:
     """M6: ``center_id, v`` -- k centers for all points (one problem).
 
-    Raises ``ValueError`` when there are fewer points than k. ``small`` marks
-    a bounded input (see :func:`run_clustering`).
+    Raises ``ValueError`` when there are fewer points than k. ``rows`` bounds
+    the number of points, if known (see :func:`run_clustering`).
     """
     _check(k, iters)
     pts = _as_parted(points.drop("part") if "part" in points.columns else points)
-    c = run_clustering(pts, k, iters, seed, small)
+    c = run_clustering(pts, k, iters, seed, rows)
     # Seeding stops early only when it runs out of points.
     if int(c.valid.sum()) < k:
         raise ValueError(f"{int(c.valid.sum())} points cannot give {k} centers")
@@ -218,16 +220,16 @@ def objective(points: DataFrame, centers: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------- three rounds --
 
-def _coreset_rows(pts: DataFrame, k: int, iters: int, seed: int):
-    """Round 1 on points that already carry ``part`` (kept by the caller)."""
+def _coreset(pts: DataFrame, k: int, iters: int, seed: int) -> DataFrame:
+    """Round 1 on points that already carry ``part`` (kept by the caller),
+    written to the checkpoint folder."""
     centers = lloyd(pts, _centers_from_seeds(seed_rows(pts, k, seed)), iters)
-    counts = {(int(r["part"]), int(r["center_id"])): int(r["n"]) for r in
-              assign(pts, centers, by_part=True).groupBy("part", "center_id")
-              .agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [(p, c, p * k + c, v, counts.get((p, c), 0)) for p, c, v in centers.rows()]
-
-
-_CORESET_SCHEMA = "part int, center_id int, id long, v array<double>, w long"
+    counts = (assign(pts, centers, by_part=True).groupBy("part", "center_id")
+              .agg(F.count(F.lit(1)).alias("n")))
+    w = F.coalesce("n", F.lit(0)).cast("long")
+    return cut_lineage(
+        centers_frame(pts.sparkSession, centers).join(counts, ["part", "center_id"], "left")
+        .select("part", "center_id", (F.col("part").cast("long") * k + F.col("center_id")).alias("id"), "v", w.alias("w")))
 
 
 def _parted(points: DataFrame, parts: int, method: str) -> DataFrame:
@@ -246,10 +248,9 @@ def coreset(points: DataFrame, k: int, parts: int, iters: int, seed: int = 0,
     _check(k, iters, parts)
     pts = keep(_parted(points, parts, method))
     try:
-        rows = _coreset_rows(pts, k, iters, seed)
+        return _coreset(pts, k, iters, seed)
     finally:
         pts.unpersist()
-    return points.sparkSession.createDataFrame(rows, _CORESET_SCHEMA)
 
 
 def objective_by_part(points: DataFrame, centers: DataFrame) -> DataFrame:
@@ -271,22 +272,16 @@ def mr_cluster(points: DataFrame, k: int, parts: int, iters: int, seed: int = 0,
     3. mean distance of every point to its nearest final center, per part,
        merged.
 
-    The parted points are cached for the many passes of round 1 only;
-    round 3 runs when the returned frame is evaluated and reads them once
-    more from the source (ids, parts and draws are deterministic).
+    The parted points are kept for all three rounds; the score's one row is
+    written to the checkpoint folder before they are let go.
     """
     _check(k, iters, parts)
-    spark = points.sparkSession
-    parted = _parted(points, parts, method)
-    pts = keep(parted)
+    pts = keep(_parted(points, parts, method))
     try:
-        rows = [r for r in _coreset_rows(pts, k, iters, seed) if r[4] > 0]
+        cs = _coreset(pts, k, iters, seed).where(F.col("w") > 0).select("id", "v", "w")
+        final = cluster(cs, k, iters, seed, rows=k * parts)
+        obj = cut_lineage(objective_by_part(pts, final))
     finally:
         pts.unpersist()
-    cs = spark.createDataFrame(rows, _CORESET_SCHEMA).select("id", "v", "w")
-    # Round 2 works on the k x parts coreset rows only (what the reference
-    # collects to one machine): one partition, still Spark jobs.
-    final = cluster(cs, k, iters, seed, small=True)
-    obj = objective_by_part(parted, final)
     return obj.select(F.col("n").alias("n_points"), F.lit(k).alias("k"),
                       F.lit(parts).alias("parts"), F.lit(iters).alias("iters"), "objective")

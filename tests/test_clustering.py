@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import brute
 from roundstats.operators import sampling as S
 from roundstats.plans import clustering as C
-from roundstats.sources import points_from, table
+from roundstats.sources import points_from, read_points, table
 
 SF = "/root/testdata/sf0.001"
 
@@ -144,3 +144,22 @@ def test_seeding_across_refreshes_matches_brute_force(spark, emb):
     assert [r[2] for r in C.seed_rows(pts, 12, seed=21, refresh_every=3)] == want
     # Every 2: five refreshes, the fourth is written to the checkpoint folder.
     assert [r[2] for r in C.seed_rows(pts, 12, seed=21, refresh_every=2)] == want
+
+
+def test_text_points_do_not_follow_the_splits(spark, tmpdir_text):
+    lines = [f"{(i * 37) % 101} {(i * 53) % 97}" for i in range(400)] + ["7 7"] * 150
+    path = tmpdir_text("points.txt", "\n".join(lines) + "\n")
+
+    def run(size):
+        held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        try:
+            pts = read_points(spark, path)
+            assert pts.count() == 550 and pts.select("id").distinct().count() == 550
+            seeds = [(r[1], r[2]) for r in C.seed_rows(pts, 5, seed=7)]
+            cs = sorted((r["id"], r["w"], tuple(round(x, 9) for x in r["v"])) for r in C.coreset(pts, 3, 4, 1, seed=7).collect())
+            return seeds, cs, round(C.mr_cluster(pts, 3, 4, 1, seed=7).first()["objective"], 9)
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+
+    assert run(128 << 20) == run(1000)
