@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from roundstats.session import checkpoint_dir
 
-BLOCK_BYTES = 1 << 20
-BLOCK_ROWS = 512
+BLOCK_BYTES = 1 << 17
+BLOCK_ROWS = 128
 
 
 # ----------------------------------------------------------- staged tables --
