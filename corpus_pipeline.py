@@ -20,7 +20,6 @@ stages against brute-force versions.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from roundstats.llm import decontam, langid, mixing, sharding, simhash
 from roundstats.llm.common import Stage, held_out
@@ -41,9 +40,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rated = mixing.mix(docs, table(spark, sf_dir, "labels"), DOMAIN, SHARES, LEAD, LIFT)
-    gone = rated.where(~mixing.take(rated)).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
+    return mixing.thin(docs, table(spark, sf_dir, "labels"), DOMAIN, SHARES, LEAD, LIFT)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,6 +60,13 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, with underscores added until ``df`` has no such column."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def hash_cut(n: int, want: int) -> Column:
     """Signed 64-bit value below which about ``want`` (and half as many more)
     of ``n`` evenly spread hashes lie; all of them if there are no more."""

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roundstats.llm.common import Stage, blocks, text_bytes
+from roundstats.llm.common import Stage, blocks, text_bytes, unused
 from roundstats.llm.features import STATS, TextBlock, labelled_sample
 
 BUCKETS = 1 << 16
@@ -149,22 +149,26 @@ def fit_posterior(docs: DataFrame, labels: DataFrame, domain: str, max_train: in
     return Posterior(domains, buckets.astype(np.int64), mean, std, w.reshape(-1, len(domains)).astype(np.float32))
 
 
-def posteriors(docs: DataFrame, model: Posterior) -> DataFrame:
-    """``doc_id, tokens, p`` (one posterior per domain) for every row."""
+def posteriors(docs: DataFrame, model: Posterior, tokens: str = "tokens", p: str = "p") -> DataFrame:
+    """The rows of ``docs`` (whose text is the column ``text``) with their
+    ``tokens`` and ``p`` (one posterior per domain)."""
+    at = docs.columns.index("text")
+
     def kernel(batches):
         for b in batches:
-            tokens, p = [np.zeros(0, np.int64)], [np.zeros((0, len(model.domains)))]
-            for _, _, data, offs in blocks(b.column(1)):
+            text = b.column(at)
+            n, got = [np.zeros(0, np.int64)], [np.zeros((0, len(model.domains)))]
+            for _, _, data, offs in blocks(text.fill_null("") if text.null_count else text):
                 t = TextBlock(data, offs)
-                tokens.append(t.n_words), p.append(model(t))
-            flat = np.concatenate(p)
+                n.append(t.n_words), got.append(model(t))
+            flat = np.concatenate(got)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.concatenate(tokens), pa.int64()),
+                [*b.columns, pa.array(np.concatenate(n), pa.int64()),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1) * flat.shape[1], pa.int32()),
-                                          pa.array(flat.ravel(), pa.float64()))], names=["doc_id", "tokens", "p"])
+                                          pa.array(flat.ravel(), pa.float64()))], names=[*b.schema.names, tokens, p])
 
-    schema = T.StructType([docs.schema["doc_id"]]).add("tokens", "long").add("p", T.ArrayType(T.DoubleType()))
-    return docs.select("doc_id", text_bytes().alias("text")).mapInArrow(kernel, schema)
+    schema = T.StructType(list(docs.schema.fields)).add(tokens, "long").add(p, T.ArrayType(T.DoubleType()))
+    return docs.mapInArrow(kernel, schema)
 
 
 # ------------------------------------------------------------------- rates --
@@ -214,25 +218,45 @@ def target_totals(now: np.ndarray, domains: list[str], shares: dict[str, float],
     return want * (lift * now[at] / want[at])
 
 
+def _fitted(rows: DataFrame, labelled: DataFrame, labels: DataFrame, domain: str, shares: dict[str, float], lead: str,
+            lift: float, max_train: int, drop: tuple[str, ...] = ()) -> tuple[DataFrame, list[str], str, str, Column]:
+    """``rows`` written with tokens and posteriors (less the columns ``drop``),
+    the domains, the names of the two new columns, and the rate of a row."""
+    model = fit_posterior(labelled, labels, domain, max_train)
+    if model is None:
+        model = Posterior(["all"], np.zeros(0, np.int64), np.zeros(STATS), np.ones(STATS),
+                          np.zeros((STATS + 1, 1), np.float32))
+    tokens, post = unused("tokens", rows), unused("p", rows)
+    table = Stage(rows.sparkSession, "mixing").write(posteriors(rows, model, tokens, post).drop(*drop))
+    bare = table.select(F.col(tokens).alias("tokens"), F.col(post).alias("p"))
+    p = [F.col("p")[i] for i in range(len(model.domains))]
+    now = np.array(bare.agg(*[F.coalesce(F.sum(F.col("tokens") * c), F.lit(0.0)) for c in p]).first())
+    steps = fit_rates(bare, len(p), target_totals(now, model.domains, shares, lead, lift))
+    return table, model.domains, tokens, post, rate_of([F.col(post)[i] for i in range(len(p))], steps)
+
+
 def mix(docs: DataFrame, labels: DataFrame, domain: str, shares: dict[str, float], lead: str,
         lift: float = 1.0, max_train: int = MAX_TRAIN) -> DataFrame:
     """``doc_id, tokens, rate, posterior`` (domain -> probability) for every row
     of ``docs``. Targets: token shares by domain, at the total that gives the
     domain ``lead`` ``lift`` times its present tokens."""
-    model = fit_posterior(docs, labels, domain, max_train)
-    if model is None:
-        model = Posterior(["all"], np.zeros(0, np.int64), np.zeros(STATS), np.ones(STATS),
-                          np.zeros((STATS + 1, 1), np.float32))
-    table = Stage(docs.sparkSession, "mixing").write(posteriors(docs, model))
-    p = [F.col("p")[i] for i in range(len(model.domains))]
-    now = np.array(table.agg(*[F.coalesce(F.sum(F.col("tokens") * c), F.lit(0.0)) for c in p]).first())
-    steps = fit_rates(table, len(p), target_totals(now, model.domains, shares, lead, lift))
-    posterior = F.map_from_arrays(F.array(*[F.lit(d) for d in model.domains]), F.col("p"))
-    return table.select("doc_id", "tokens", rate_of(p, steps).alias("rate"), posterior.alias("posterior"))
+    rows = docs.select("doc_id", text_bytes().alias("text"))
+    table, domains, tokens, post, rate = _fitted(rows, docs, labels, domain, shares, lead, lift, max_train, ("text",))
+    posterior = F.map_from_arrays(F.array(*[F.lit(d) for d in domains]), F.col(post))
+    return table.select("doc_id", F.col(tokens).alias("tokens"), rate.alias("rate"), posterior.alias("posterior"))
+
+
+def thin(docs: DataFrame, labels: DataFrame, domain: str, shares: dict[str, float], lead: str,
+         lift: float = 1.0, max_train: int = MAX_TRAIN, seed: int = 7) -> DataFrame:
+    """The rows of ``docs``, unchanged, that are taken at their rates. Each row
+    is decided in place, so ids may be null or repeated."""
+    table, _, _, _, rate = _fitted(docs, docs, labels, domain, shares, lead, lift, max_train)
+    return table.where(take(rate, seed)).select(*[f"`{c}`" for c in docs.columns])
 
 
-def take(rated: DataFrame, seed: int = 7) -> Column:
+def take(rate: Column, seed: int = 7) -> Column:
     """Whether a row is taken at its rate: rates of 1 or more always, others
-    with that probability, by a hash of the id."""
-    u = F.xxhash64(F.lit(seed), F.col("doc_id")) / F.lit(2.0 ** 64) + 0.5
-    return u < F.col("rate")
+    with that probability, by a hash of the id and the text (equal rows
+    share their draw)."""
+    u = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")) / F.lit(2.0 ** 64) + 0.5
+    return u < rate

@@ -33,11 +33,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roundstats.llm.common import LOWER, Stage, blocks, find_words, text_bytes
+from roundstats.llm.common import LOWER, Stage, blocks, find_words, text_bytes, unused
 from roundstats.llm.components import connected_components
 
 SIZE = 3
@@ -189,15 +189,21 @@ def links(fps: DataFrame, stage: Stage, max_bits: int = 2, max_bucket: int = MAX
     return paired.select("u", "v").union(met.where("u != v")).distinct()
 
 
+def _components(fp: DataFrame, first: Column, stage: Stage, max_bits: int, max_bucket: int) -> DataFrame:
+    """``fp, first, root`` for every distinct fingerprint of the written table
+    ``fp``: the aggregate ``first`` of its rows and its component's name."""
+    firsts = stage.write(fp.groupBy("fp").agg(first.alias("first")))
+    roots = stage.write(connected_components(links(firsts, stage, max_bits, max_bucket)))
+    return firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
+        .select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, size: int = SIZE, max_bits: int = 2,
                     max_bucket: int = MAX_BUCKET) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row of ``docs``."""
     stage = Stage(docs.sparkSession, "simhash")
     fp = stage.write(fingerprints(docs, size))
-    firsts = stage.write(fp.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = stage.write(connected_components(links(firsts, stage, max_bits, max_bucket)))
-    linked = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
-        .select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    linked = _components(fp, F.min("doc_id"), stage, max_bits, max_bucket)
     ids = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     named = linked.join(ids, "root").select("fp", "component_id")
     return fp.join(named, "fp").select(
@@ -205,9 +211,27 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, max_bits: int = 2,
 
 
 def keep_one(docs: DataFrame, size: int = SIZE, max_bits: int = 2) -> DataFrame:
-    """The rows of ``docs`` but those whose id is not the least of its group
-    (rows without id stay only in groups without any id)."""
-    out = near_duplicates(docs, size, max_bits)
-    gone = out.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+    """One row of each group of ``docs``, unchanged: that of the least id (a
+    row without id only in groups without any), of equal ids that of the least
+    hash of the text, then of the whole row. The rows are written with a number
+    each, so ids may be null or repeated and equal rows are told apart."""
+    stage = Stage(docs.sparkSession, "keep_one")
+    fp, row = unused("__fp", docs), unused("__row", docs)
+    at = docs.columns.index("text")
+
+    def kernel(batches):
+        for b in batches:
+            out = [majority_bits(*shingle_hashes(data, offs, size))
+                   for _, _, data, offs in blocks(b.column(at).fill_null(""))]
+            got = np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.int64())], names=[*b.schema.names, fp])
+
+    schema = T.StructType(docs.schema.fields + [T.StructField(fp, T.LongType())])
+    rows = stage.write(docs.mapInArrow(kernel, schema).withColumn(row, F.monotonically_increasing_id()))
+    whole = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns])
+    keys = stage.write(rows.select(F.col(fp).alias("fp"), F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("h"), whole.alias("whole"),
+        F.col(row).alias("row")).alias("key")))
+    linked = _components(keys, F.min("key"), stage, max_bits, MAX_BUCKET)
+    kept = linked.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    return rows.join(kept.hint("shuffle_hash"), row, "left_semi").select(*[f"`{c}`" for c in docs.columns])

@@ -223,3 +223,23 @@ def test_pipeline(spark, texts):
     assert all(groups[k][1] == k for k in ids) and not any(i in texts[k] for k in ids for i in items)
     out = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id for r in out} <= ids and len({r.doc_id for r in out}) == len(out)
+
+
+def test_rows_without_or_with_repeated_ids_are_decided_one_by_one(spark, texts, monkeypatch):
+    import corpus_pipeline
+
+    a, b, c, d = [t for t in dict.fromkeys(texts.values()) if len(t.split()) > 200][:4]
+    rows = [(1, a), (None, a + "\n"), (None, b), (2, c), (2, " " + a), (3, d), (3, d), (None, None), (None, "")]
+    x = spark.createDataFrame([(*r, "v", "w") for r in rows], "doc_id long, text string, tokens string, p string")
+    got = simhash.keep_one(x)
+    assert got.columns == x.columns
+    want = [(1, a), (None, b), (2, c), (3, d)]
+    rest = [tuple(r)[:2] for r in got.collect() if r.text]
+    assert sorted(rest, key=str) == sorted(want, key=str) and got.count() == 5
+
+    monkeypatch.setattr(mixing, "rate_of", lambda p, steps: F.when(F.col("text").startswith("keep"), 1.0).otherwise(0.0))
+    x = spark.createDataFrame([(None, "keep a"), (None, "go b"), (7, "keep c"), (7, "go d"), (None, None)], "doc_id long, text string")
+    monkeypatch.setattr(mixing, "fit_rates", lambda *args: [])
+    got = corpus_pipeline.mix(spark, x, SF)
+    assert got.columns == x.columns
+    assert sorted([tuple(r) for r in got.collect()], key=str) == [(7, "keep c"), (None, "keep a")]
