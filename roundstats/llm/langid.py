@@ -5,7 +5,8 @@ Texts become normalised TF-IDF vectors of hashed letter n-grams (lengths 1 to
 several centroids, found by clustering its training vectors by cosine; a text
 takes the language of the centroid with the largest cosine. A text whose
 cosine falls below what the training texts of that language and length
-showed is rejected (its distance is too large).
+showed is rejected (its distance is too large). For lengths that few training
+texts have, pieces cut from them and joins of several stand in.
 
 Training reads a bounded sample: at most ``max_train`` texts per language,
 those with the smallest hash of (id, text). Everything else covers all rows
@@ -27,15 +28,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roundstats.llm.common import Stage, blocks, hash_cut, mix, text_bytes
+from roundstats.llm.common import MASK, Stage, blocks, hash_cut, mix, text_bytes
 
 DIMS = 4096
 CENTROIDS = 4
 MAX_TRAIN = 1500
 ROUNDS = 8
-SLACK = 0.5          # share of the smallest training cosine below which a text is rejected
+LOW = 0.05           # quantile of the training cosines of a language and length
+SLACK = 0.65         # share of that quantile below which a text is rejected
 LENGTH_BINS = 24     # by log2 of the number of n-grams
-BIN_LEAST = 20       # training texts a length bin needs to reject anything
+BIN_LEAST = 100      # training vectors that set a floor; a thin bin takes the nearest in length
+PIECES = 4           # pieces cut from each training text
 
 
 def letter_table() -> np.ndarray:
@@ -80,20 +83,59 @@ def length_bin(n: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(np.maximum(n, 1)).astype(np.int64), LENGTH_BINS - 1)
 
 
+def cut_pieces(text: bytes, h: int, k: int = PIECES) -> list[bytes]:
+    """Pieces of a text, from a word's start on, of lengths spread evenly over
+    the powers of two below its own; drawn by the hash ``h``."""
+    t, out = text.decode("utf-8", "replace"), []
+    for i in range(k):
+        a, b, c = (int(v) for v in mix(np.array([h & MASK, (h + i + 1) & MASK, (h ^ ~i) & MASK], np.uint64)) >> np.uint64(11))
+        size = int(2.0 ** ((a / 2 ** 53 + i) / k * np.log2(max(len(t), 1))))
+        at = t.find(" ", int(b / 2 ** 53 * max(len(t) - size, 0))) + 1
+        out.append(t[at: at + size].encode("utf-8", "replace"))
+    return out
+
+
+def joined(counts: np.ndarray) -> list[np.ndarray]:
+    """Counts of joins of 2, 4, ... neighbouring texts, up to all of them."""
+    out = []
+    while len(counts) > 1:
+        counts = np.add.reduceat(counts, np.arange(0, len(counts), 2), axis=0)
+        out.append(counts)
+    return out
+
+
+def length_floors(n: np.ndarray, cos: np.ndarray) -> np.ndarray:
+    """Least cosine by length bin: ``SLACK`` of the ``LOW`` quantile of the
+    vectors in the bin, or of the ``BIN_LEAST`` nearest to its middle."""
+    floor, at = np.zeros(LENGTH_BINS), np.log2(np.maximum(n, 1))
+    if not len(n):
+        return floor
+    bins = length_bin(n)
+    for b in range(LENGTH_BINS):
+        own = np.flatnonzero(bins == b)
+        if len(own) < BIN_LEAST:
+            own = np.argsort(np.abs(at - (b + 0.5)), kind="stable")[:BIN_LEAST]
+        floor[b] = SLACK * np.quantile(cos[own], LOW)
+    return floor
+
+
 def spherical_means(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     """At most ``k`` unit centroids of unit rows, by cosine. Starts from the
-    mean direction's nearest row, then from rows farthest from those chosen."""
+    mean direction's nearest row, then from rows far from those chosen; the
+    farthest ``LOW`` of the rows (junk) start none and count in none."""
     first = int(np.argmax(x @ x.mean(axis=0)))
     picks, best = [first], x @ x[first]
     while len(picks) < min(k, len(x)):
-        far = int(np.argmin(best))
+        far = int(np.argsort(best, kind="stable")[int(LOW * len(x))])
         if best[far] > 1 - 1e-9:
             break
         picks.append(far)
         best = np.maximum(best, x @ x[far])
     c = x[picks]
     for _ in range(rounds):
-        own = np.argmax(x @ c.T, axis=1)
+        cos = x @ c.T
+        own, best = np.argmax(cos, axis=1), cos.max(axis=1)
+        own[best < np.sort(best)[int(LOW * len(x))]] = -1
         sums = np.stack([x[own == j].sum(axis=0) if (own == j).any() else c[j] for j in range(len(c))])
         c = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
     return c
@@ -167,13 +209,16 @@ def fit(docs: DataFrame, label: str = "lang", max_train: int = MAX_TRAIN,
         for b in batches:
             text = b.column(2)
             for i, j, data, offs in blocks(text):
-                c = gram_counts(_block_texts(data, offs), table)
+                texts = _block_texts(data, offs)
+                c = gram_counts(texts, table)
                 has = np.flatnonzero(c.sum(axis=1) > 0)
+                h = b.column(1).slice(i, j - i).take(has)
+                cuts = [_sparse(gram_counts(cut_pieces(texts[r], v), table)) for r, v in zip(has, h.to_pylist())]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, j - i).take(has), b.column(1).slice(i, j - i).take(has),
-                     pa.array(_sparse(c[has]), pa.binary())], names=["lang", "h", "vec"])
+                    [b.column(0).slice(i, j - i).take(has), h, pa.array(_sparse(c[has]), pa.binary()),
+                     pa.array(cuts, pa.list_(pa.binary()))], names=["lang", "h", "vec", "cuts"])
 
-    schema = "lang string, h long, vec binary"
+    schema = "lang string, h long, vec binary, cuts array<binary>"
     w = Window.partitionBy("lang").orderBy("h", "vec")
     sample = stage.write(near.select("lang", "h", "text").mapInArrow(vectors, schema)
                          .withColumn("rn", F.row_number().over(w))
@@ -201,11 +246,12 @@ def fit(docs: DataFrame, label: str = "lang", max_train: int = MAX_TRAIN,
         c = _dense(t.column("vec").to_pylist())
         x = unit_rows(c, idf)
         m = spherical_means(x, centroids)
-        cos, bins = (x @ m.T).max(axis=1), length_bin(c.sum(axis=1))
-        floor = np.zeros(LENGTH_BINS)
-        for b in range(LENGTH_BINS):
-            if (bins == b).sum() >= BIN_LEAST:
-                floor[b] = SLACK * cos[bins == b].min()
+        n, cos = [c.sum(axis=1)], [(x @ m.T).max(axis=1)]
+        del x
+        cuts = [v for own in t.column("cuts").to_pylist() for v in own if v]
+        for d in (*(_dense(cuts[a: a + 512]) for a in range(0, len(cuts), 512)), *joined(c)):
+            n.append(d.sum(axis=1)), cos.append((unit_rows(d, idf) @ m.T).max(axis=1))
+        floor = length_floors(np.concatenate(n), np.concatenate(cos))
         return pa.table({"lang": pa.array([t.column("lang")[0].as_py()], pa.string()),
                          "centers": pa.array([m.astype("<f4").tobytes()], pa.binary()),
                          "floor": pa.array([floor.astype("<f8").tobytes()], pa.binary())})

@@ -243,3 +243,18 @@ def test_rows_without_or_with_repeated_ids_are_decided_one_by_one(spark, texts,
     got = corpus_pipeline.mix(spark, x, SF)
     assert got.columns == x.columns
     assert sorted([tuple(r) for r in got.collect()], key=str) == [(7, "keep c"), (None, "keep a")]
+
+
+def test_other_scripts_are_rejected_at_every_length(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    greek = "Στην αρχή δημιούργησε ο Θεός τον ουρανό και τη γη και η γη ήταν άμορφη και έρημη "
+    kanji = "".join(chr(0x4E00 + i * 37 % 4000) + " " * (i % 5 == 0) for i in range(500))
+    junk = spark.createDataFrame([(-1, greek * 20, "en"), (-2, "ο", "de")], "doc_id long, text string, lang string")
+    model = langid.fit(docs.union(junk))
+    rows = [(n * 10 + i, (s * (n // len(s) + 1))[:n]) for n in (12, 25, 50, 100, 400, 3000, 12000, 50000)
+            for i, s in enumerate((greek, kanji))]
+    x = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.doc_id for r in langid.identify(x, model).where("not rejected").collect()] == []
+    assert langid.keep_identified(docs, model).count() > 0.95 * docs.count()
+    own = docs.where("length(text) > 4000").select("doc_id", F.explode(F.array(*[F.substring("text", 1, n) for n in (40, 100, 400)])).alias("text"))
+    assert langid.keep_identified(own, model).count() > 0.9 * own.count()
