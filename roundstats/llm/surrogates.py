@@ -1,8 +1,10 @@
 """Surrogates for personal data (operator 3).
 
-Entities are found by patterns: e-mail and IP addresses, phone, social security
-and card numbers, and names (a title or a listed first name, then capitalised
-words). Each entity is taken apart into pieces that are replaced on their own:
+Entities are found by patterns: e-mail and IP addresses (four octets, IPv6),
+phone numbers (with + or a bracketed area code, or 3-3-4 digits), social
+security and card numbers (13 to 19 digits, 4-4-4-4, 4-6-5, 4-6-4), and names
+(a title or a listed first name, then up to five capitalised words, with
+initials, inner capitals, apostrophes and hyphens). Each entity is taken apart into pieces that are replaced on their own:
 an address's local part and domain, a number's digits, first and last names.
 The same piece always gets the same surrogate (coreference: "Mr. John Smith"
 and "Mr. Smith" keep one surname, two addresses of a domain keep one domain),
@@ -45,21 +47,31 @@ LATIN = ["ba", "bel", "cor", "dan", "der", "fen", "gar", "hol", "kin", "lan", "m
 CYRILLIC = ["бел", "вер", "гор", "дан", "зал", "кор", "лес", "мир", "нов", "пет", "рос", "сав", "тов", "фед", "чер", "яр"]
 
 EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
-PHONE = r"(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d)"
+PHONE = (r"(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)"
+         r"|(?<!\d)(?:1[ .-])?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
+         r"|(?<![\w+]|\d[.-])(?:1[ .-])?\d{3}(?<gap>[ .-])\d{3}\k<gap>\d{4}(?!\w|[.-]\d)")
 IP = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)"
+_v4, _hex = r"\d{1,3}(?:\.\d{1,3}){3}", "[0-9A-Fa-f]{1,4}"
+IP6 = (rf"(?<![\w:.])(?:(?:{_hex}:){{6}}{_v4}|(?:{_hex}(?::{_hex}){{0,5}})?::(?:{_hex}:){{0,5}}{_v4}|(?:{_hex}:){{7}}{_hex}"
+       rf"|{_hex}(?::{_hex}){{0,6}}::(?:{_hex}(?::{_hex}){{0,6}})?|::{_hex}(?::{_hex}){{0,6}})(?![\w:]|\.\d)")
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-CARD = r"(?<![\d-])\d{4}(?:[ -]?\d{4}){3}(?!\d)|(?<!\d)\d{13,19}(?!\d)"
+CARD = r"(?<![\d-])\d{4}(?:[ -]?\d{4}){3}(?!\d)|(?<![\d-])\d{4}[ -]\d{6}[ -]\d{4,5}(?![\d-])|(?<!\d)\d{13,19}(?!\d)"
 _titles = "|".join(FEMALE_TITLES + MALE_TITLES + OTHER_TITLES)
 _firsts = "|".join(FEMALE + MALE + FEMALE_CYRILLIC + MALE_CYRILLIC)
-NAME = rf"(?<!\p{{L}})(?:(?:{_titles})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?|(?:{_firsts}) \p{{Lu}}\p{{Ll}}+)(?!\p{{L}})"
-ENTITY = "|".join((EMAIL, PHONE, SSN, CARD, IP, NAME))
+_part = r"(?:\p{Lu}['’])?\p{Lu}[\p{L}\p{M}]+"
+_word = rf"{_part}(?:['’-]{_part})*"
+_more = rf"(?: (?:(?:{_word}|\p{{Lu}}\.) ){{0,3}}{_word})"     # an initial is not the last word
+NAME = (rf"(?<!\p{{L}})(?:(?:{_titles})\.? (?:\p{{Lu}}\. ){{0,3}}{_word}{_more}?"
+        rf"|(?:{_firsts})(?:-{_part})*{_more})(?!\p{{L}})")
+ENTITY = "|".join((EMAIL, IP6, PHONE, SSN, CARD, IP, NAME))
 
 TYPES = ("email", "phone", "ssn", "card", "ip", "name")
 
 
 def entity_type(e: Column) -> Column:
-    return (F.when(F.contains(e, F.lit("@")), "email").when(e.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), "ip")
-            .when(e.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn").when(e.rlike(r"^[+(]"), "phone")
+    return (F.when(F.contains(e, F.lit("@")), "email").when(e.rlike(r"^\d{1,3}(\.\d{1,3}){3}$|:"), "ip")
+            .when(e.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
+            .when(e.rlike(r"^[+(]|^1[ .-]\(|^(1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}$"), "phone")
             .when(e.rlike(r"^\d"), "card").otherwise("name"))
 
 
@@ -74,26 +86,30 @@ def pieces(e: Column) -> Column:
     at = F.instr(e, "@")
     local = F.substring(e, F.lit(1), at - 1)
     stem, top = F.regexp_extract(e, r"@(.*)(\.[^.]+)$", 1), F.regexp_extract(e, r"@(.*)(\.[^.]+)$", 2)
-    country = F.regexp_extract(e, r"^\+\d{1,3}(?=[ .(-])", 0)
+    country = F.regexp_extract(e, r"^(?:\+\d{1,3}|1)(?=[ .(-])", 0)
     rest = F.substring(e, F.length(country) + 1, F.length(e))
     title = F.regexp_extract(e, rf"^(?:{_titles})\.? ", 0)
     words = F.split(F.substring(e, F.length(title) + 1, F.length(e)), " ")
     bare = F.regexp_replace(title, r"[. ]+$", "")
-    both = F.size(words) > 1
-    one = words[0]
+    one = F.split(words[0], "-")[0]
     gender = (F.when(bare.isin(FEMALE_TITLES) | one.isin(FEMALE + FEMALE_CYRILLIC), "female")
               .when(bare.isin(MALE_TITLES) | one.isin(MALE + MALE_CYRILLIC), "male").otherwise("any"))
     script = F.when(F.element_at(words, -1).rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
     first = F.concat_ws("_", F.lit("first"), gender, script)
     last = F.concat_ws("_", F.lit("last"), script)
-    names = F.when(both, F.array(_piece(0, title, first, one), _piece(1, " ", last, F.get(words, F.lit(1))))) \
-        .otherwise(F.array(_piece(0, title, last, one)))
+    # Every part of the last word is a last name, every part before it a first name.
+    parts = F.flatten(F.transform(words, lambda w, i: F.transform(F.split(w, "-"), lambda own, j: F.struct(
+        F.when(j > 0, "-").when(i > 0, " ").otherwise(title).alias("before"),
+        F.when(i == F.size(words) - 1, last).otherwise(first).alias("kind"), own.alias("own")))))
+    names = F.transform(parts, lambda x, k: F.struct(
+        k.alias("part"), x["before"].alias("before"), x["kind"].alias("kind"), x["own"].alias("own"), F.lit("").alias("after")))
     kind = entity_type(e)
     return (F.when(kind == "email", F.array(_piece(0, "", F.concat(F.lit("local@"), F.lower(F.substring(e, at + 1, F.length(e)))), local),
                                             _piece(1, "@", "domain", stem, top)))
             .when(kind == "phone", F.array(_piece(0, country, "phone", rest)))
             .when(kind == "card", F.array(_piece(0, F.substring(e, 1, 1), "card", F.substring(e, F.lit(2), F.length(e)))))
-            .when(kind == "name", names).otherwise(F.array(_piece(0, "", kind, e))))
+            .when(kind == "name", names)
+            .when(F.contains(e, F.lit(":")), F.array(_piece(0, "", "ip6", e))).otherwise(F.array(_piece(0, "", kind, e))))
 
 
 def folded(kind: Column, own: Column) -> Column:
@@ -115,11 +131,14 @@ def propose(key: str, kind: Column, piece: Column, tries: Column) -> Column:
 
     def like(c, i):
         return F.when(c.rlike(r"^\d$"), (v(i) % 10).cast("string")) \
-            .when(c.rlike("^[a-z]$"), F.char(F.lit(97) + v(i) % 26)).otherwise(c)
+            .when(c.rlike("^[a-z]$"), F.char(F.lit(97) + v(i) % F.when(kind == "ip6", 6).otherwise(26))).otherwise(c)
 
     masked = _chars(piece, like)
     longer = F.concat(masked, _chars(F.repeat(F.lit("a"), F.least(tries - 2, F.lit(30))), lambda c, i: like(c, i + 17)))
     word = F.when(kind.startswith("local@") | (kind == "domain"), F.when(tries > 2, longer).otherwise(masked)).otherwise(masked)
+    # An address with dots, or without a free one of its form, gets all eight groups.
+    groups = F.regexp_replace(F.substring(hexes, 1, 32), "(.{4})(?=.)", "$1:")
+    ip6 = F.when((tries > 2) | F.contains(piece, F.lit(".")), groups).otherwise(masked)
     octets = F.concat_ws(".", v(F.lit(0)) % 223 + 1, v(F.lit(1)), v(F.lit(2)), v(F.lit(3)))
 
     def from_list(names, i):
@@ -138,7 +157,7 @@ def propose(key: str, kind: Column, piece: Column, tries: Column) -> Column:
     more = F.when(cyrillic, syllables(CYRILLIC, F.least(tries - 1, F.lit(12)), 24)) \
         .otherwise(syllables(LATIN, F.least(tries - 1, F.lit(12)), 24))
     first = F.lower(F.when(tries > 0, F.concat(first, more)).otherwise(first))
-    return F.when(kind == "ip", octets).when(kind.startswith("first_"), first).when(kind.startswith("last_"), last).otherwise(word)
+    return F.when(kind == "ip", octets).when(kind == "ip6", ip6).when(kind.startswith("first_"), first).when(kind.startswith("last_"), last).otherwise(word)
 
 
 def shaped(kind: Column, own: Column, surrogate: Column) -> Column:

@@ -258,3 +258,26 @@ def test_other_scripts_are_rejected_at_every_length(spark):
     assert langid.keep_identified(docs, model).count() > 0.95 * docs.count()
     own = docs.where("length(text) > 4000").select("doc_id", F.explode(F.array(*[F.substring("text", 1, n) for n in (40, 100, 400)])).alias("text"))
     assert langid.keep_identified(own, model).count() > 0.9 * own.count()
+
+
+FORMS = [("phone", "736-555-2678"), ("phone", "736.555.2678"), ("phone", "736 555 2678"), ("phone", "1-736-555-2678"),
+         ("phone", "(736)555-2678"), ("phone", "(736) 555.2678"), ("card", "3782 822463 10005"), ("card", "3782-822463-10005"),
+         ("ip", "2001:db8:0:0:8:800:200c:417a"), ("ip", "2001:db8::8:800:200c:417a"), ("ip", "fe80::1"), ("ip", "::1"),
+         ("ip", "::ffff:192.0.2.128"), ("ip", "2001:db8::"), ("name", "Dr. O'Brien"), ("name", "Mr. McDonald"),
+         ("name", "Mr. John Paul Smith"), ("name", "Mrs. Smith-Jones"), ("name", "Mr. J. R. Smith"), ("name", "Anna Maria D’Angelo")]
+
+
+def test_surrogates_of_every_form(spark):
+    x = spark.createDataFrame([(i, f"so {s}, yes") for i, (_, s) in enumerate(FORMS)], "doc_id long, text string")
+    got = {r.doc_id: r for r in surrogates.replace_personal_data(x, "k").collect()}
+    for i, (kind, s) in enumerate(FORMS):
+        r = got[i]
+        assert [t for t in surrogates.TYPES if r[f"n_{t}"]] == [kind] and r[f"n_{kind}"] == 1, s
+        assert r.text.startswith("so ") and r.text.endswith(", yes")
+        old, new = (set(t.replace("-", " ").split()) for t in (s, r.text[3:-5]))
+        assert s not in r.text and (kind != "name" or old & new <= {"Mr.", "Mrs.", "Dr."}), (s, r.text)
+    same = lambda i: "".join(c for c in got[i].text if c.isdigit())[-10:]
+    assert len({same(i) for i in range(6)}) == 1
+    none = ["at 12:30:45", "std::vector", "1234-567-8901", "version 10.2.3", "a :: b"]
+    x = spark.createDataFrame(list(enumerate(none)), "doc_id long, text string")
+    assert [r.text for r in surrogates.replace_personal_data(x, "k").orderBy("doc_id").collect()] == none
