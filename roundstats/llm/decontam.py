@@ -12,7 +12,8 @@ can reach the threshold, checks the blocks' largest weights there and skips
 whole blocks that cannot. Passages whose terms cannot reach the threshold for
 any item by those largest weights are passed over before that. All items at or above the threshold are retrieved,
 then verified: the word n-grams of the item's question and of its answer must
-both be found in the text around the passage.
+both be found in the text around the passage. Of the passages of a document
+that verify for an item, the one of the highest score is reported.
 
 Words are runs of ASCII letters, digits and other scripts' characters,
 lower-cased. The question ends at the last question mark, or else the last
@@ -288,13 +289,14 @@ def build_indexes(benchmark: DataFrame, block_text: int = BLOCK_TEXT) -> Iterato
 
 # ------------------------------------------------------------------- search --
 
-def block_hits(index: Index, data: np.ndarray, offs: np.ndarray, threshold: float) -> list[tuple]:
+def block_hits(index: Index, data: np.ndarray, offs: np.ndarray, threshold: float,
+               question_share: float = QUESTION_SHARE, answer_share: float = ANSWER_SHARE) -> list[tuple]:
     """``(text, item, score, question share, answer share, first word)`` of
-    the verified matches of a block of texts, best passage per item."""
+    the verified matches of a block of texts, best verified passage per item."""
     words, terms, woff = words_and_terms(data, offs)
     term = index.term_numbers(terms)
     goal, n = threshold - 1e-9, np.diff(woff)
-    best: dict[tuple, tuple] = {}
+    found: dict[tuple, list] = {}
     for band in index.bands:
         # The terms' largest weights, repeats included, bound any item's score.
         top = np.zeros(len(words) + 1)
@@ -315,27 +317,24 @@ def block_hits(index: Index, data: np.ndarray, offs: np.ndarray, threshold: floa
         for p in band.hopeful(row, t, goal).tolist():
             own = t[np.searchsorted(row, p): np.searchsorted(row, p, side="right")]
             for item, score in band.search(own.tolist(), threshold):
-                key = (int(text[p]), item)
-                if key not in best or best[key][0] < score - 1e-12:
-                    best[key] = (score, int(lo[p]), int(hi[p]))
+                found.setdefault((int(text[p]), item), []).append((-score, int(lo[p]), int(hi[p])))
     out = []
-    for (row, item), (score, lo, hi) in sorted(best.items()):
+    for (row, item), passages in sorted(found.items()):
         reach = int(index.length[item])
-        near = words[max(woff[row], lo - reach): min(woff[row + 1], hi + reach)]
-        share = [float(np.isin(grams, gram_hashes(near, k)).mean())
-                 for k, grams in (index.question[item], index.answer[item])]
-        out.append((row, item, score, *share, lo - int(woff[row])))
+        for score, lo, hi in sorted(passages):     # the first that verifies is the best
+            near = words[max(woff[row], lo - reach): min(woff[row + 1], hi + reach)]
+            share = [float(np.isin(grams, gram_hashes(near, k)).mean())
+                     for k, grams in (index.question[item], index.answer[item])]
+            if share[0] >= question_share and share[1] >= answer_share:
+                out.append((row, item, -score, *share, lo - int(woff[row])))
+                break
     return out
 
 
-def _verified(hits: list[tuple], question_share: float, answer_share: float) -> list[tuple]:
-    return [h for h in hits if h[3] >= question_share and h[4] >= answer_share]
-
-
 def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
                   question_share: float = QUESTION_SHARE, answer_share: float = ANSWER_SHARE) -> DataFrame:
     """``doc_id, item_id, score, question_share, answer_share, first_word``
-    for every document and item that match, by best passage."""
+    for every document and item that match, by best verified passage."""
     item_type = benchmark.schema["item_id"].dataType
     schema = T.StructType([docs.schema["doc_id"]]).add("item_id", item_type).add("score", "double") \
         .add("question_share", "double").add("answer_share", "double").add("first_word", "long")
@@ -346,7 +345,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = THRE
         def kernel(batches, index=index):
             for b in batches:
                 hits = [(i + h[0], *h[1:]) for i, _, data, offs in blocks(b.column(1))
-                        for h in _verified(block_hits(index, data, offs, threshold), question_share, answer_share)]
+                        for h in block_hits(index, data, offs, threshold, question_share, answer_share)]
                 row, item, *shares, first = zip(*hits) if hits else [()] * 6
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array(row, pa.int64())), pa.array([index.ids[i] for i in item], id_type),
@@ -369,8 +368,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float =
             for b in batches:
                 keep = np.ones(b.num_rows, bool)
                 for i, _, data, offs in blocks(b.column(b.num_columns - 1)):
-                    hits = block_hits(index, data, offs, threshold)
-                    keep[[i + h[0] for h in _verified(hits, question_share, answer_share)]] = False
+                    hits = block_hits(index, data, offs, threshold, question_share, answer_share)
+                    keep[[i + h[0] for h in hits]] = False
                 yield b.drop_columns([low]).filter(pa.array(keep))
 
         out = out.withColumn(low, _lower("text")).mapInArrow(kernel, docs.schema)

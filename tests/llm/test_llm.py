@@ -281,3 +281,17 @@ def test_surrogates_of_every_form(spark):
     none = ["at 12:30:45", "std::vector", "1234-567-8901", "version 10.2.3", "a :: b"]
     x = spark.createDataFrame(list(enumerate(none)), "doc_id long, text string")
     assert [r.text for r in surrogates.replace_personal_data(x, "k").orderBy("doc_id").collect()] == none
+
+
+def test_every_retrieved_passage_is_verified(spark):
+    question = [f"q{i}" for i in range(33)]
+    answer = [f"a{i}" for i in range(5)]
+    filler = [f"w{i}" for i in range(400)]
+    edited = question + answer
+    for i in (5, 15, 25):
+        edited[i] = "x" + edited[i]
+    bench = spark.createDataFrame([(1, " ".join(question) + "? " + " ".join(answer))], "item_id long, text string")
+    text = " ".join(question + filler + edited + filler)
+    docs = spark.createDataFrame([(1, text), (2, " ".join(question + filler))], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontam.contamination(docs, bench).collect()] == [(1, 1)]
+    assert [r.doc_id for r in decontam.drop_contaminated(docs, bench).collect()] == [2]
