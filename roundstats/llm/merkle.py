@@ -3,7 +3,9 @@
 A text is cut at blank lines into sections and these at line ends into
 paragraphs. A paragraph's digest is the SHA-256 of its text, a section's that
 of its paragraphs' digests, the root's that of the sections' digests; each
-level has a prefix of its own. Equal roots mean equal texts. Where roots
+level has a prefix of its own. A blank line that holds blanks, tabs or carriage
+returns counts as one more paragraph of the section before it, so the text can
+be rebuilt from the pieces: equal roots mean equal texts. Where roots
 differ, the branches that differ locate the edit (``edited_paragraphs``).
 Below the paragraphs, hashes of sentences grade how far two trees agree:
 ``likeness`` is 1 for equal roots, else twice the shared sentences over all
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from roundstats.llm.common import Stage
 
 SECTION = r"\n[ \t\r]*\n"
+PLAIN = "\n\n"         # the separator that needs no digest
 SENTENCE = r"[^.!?\n]{0,160}[.!?\n]+|[^.!?\n]{1,160}"
 
 
@@ -30,9 +33,16 @@ def _digest(level: str, of: Column) -> Column:
 
 
 def sections(text: Column) -> Column:
-    """Digests of the paragraphs, by section: ``array<array<string>>``."""
-    return F.transform(F.split(text, SECTION, -1),
-                       lambda s: F.transform(F.split(s, "\n", -1), lambda p: _digest("p", p)))
+    """Digests of the paragraphs, by section: ``array<array<string>>``. A
+    section's last digest is that of the blank line after it, unless plain."""
+    cuts = F.regexp_extract_all(text, F.lit(SECTION), F.lit(0))
+
+    def digests(s: Column, i: Column) -> Column:
+        own = F.transform(F.split(s, "\n", -1), lambda p: _digest("p", p))
+        cut = F.get(cuts, i)
+        return F.when(cut != PLAIN, F.concat(own, F.array(_digest("b", cut)))).otherwise(own)
+
+    return F.transform(F.split(text, SECTION, -1), digests)
 
 
 def root(tree: Column) -> Column:

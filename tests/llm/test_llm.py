@@ -295,3 +295,15 @@ def test_every_retrieved_passage_is_verified(spark):
     docs = spark.createDataFrame([(1, text), (2, " ".join(question + filler))], "doc_id long, text string")
     assert [(r.doc_id, r.item_id) for r in decontam.contamination(docs, bench).collect()] == [(1, 1)]
     assert [r.doc_id for r in decontam.drop_contaminated(docs, bench).collect()] == [2]
+
+
+def test_merkle_roots_cover_blank_lines(spark):
+    rows = ["a\n\nb", "a\n \nb", "a\n\r\nb", "a\n\t\nb", "a\n\n\nb", "a\nb", "a\n \n\nb"]
+    x = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    out = merkle.fingerprints(x)
+    assert len({r.fingerprint for r in out.collect()}) == len(rows)
+    a, b = (out.where(F.col("doc_id") == i).select(F.col("sections").alias(f"s{i}"), F.col("leaves").alias(f"l{i}"),
+                                                   F.col("fingerprint").alias(f"f{i}")) for i in (0, 1))
+    r = a.crossJoin(b).select(merkle.likeness(F.col("f0"), F.col("l0"), F.col("f1"), F.col("l1")).alias("near"),
+                              merkle.edited_paragraphs(F.col("s0"), F.col("s1")).alias("edited")).first()
+    assert r.near < 1 and len(r.edited) == 1
