@@ -6,8 +6,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roundstats.llm import decontam, langid, merkle, mixing, quality, secret_scan, sharding, simhash, suffix_dedup, surrogates
+from roundstats.llm import (
+    centroids, decontam, fill_middle, langid, merkle, mixing, quality, secret_scan, setsketch, sharding, simhash, suffix_dedup,
+    surrogates,
+)
 from roundstats.llm.common import held_out
+from roundstats.llm.oracle import ORACLE_SQL
 from roundstats.sources import table
 
 
@@ -83,9 +87,27 @@ def op10_soft_membership_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"), table(spark, sf, "labels"), DOMAIN, SHARES, LEAD, LIFT)
 
 
+def op11_setsketch_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf, "documents"), size=4, percent=80)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    out = fill_middle.fill_in_middle(table(spark, sf, "documents"))
+    restored = fill_middle.restore(F.col("form"), F.col("output"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(restored, 256).alias("restored_sha256"))
+
+
+def op13_bisector_centroids(spark: SparkSession, sf: str) -> DataFrame:
+    out = centroids.cluster(table(spark, sf, "embeddings"))
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                      F.sha2(F.concat_ws(",", F.col("centroid").cast("array<string>")), 256).alias("centroid_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bm25_decontamination, op2_sparse_suffix_repeats, op3_pii_surrogates, op4_linked_secrets,
     op5_merkle_fingerprints, op6_simhash_golay, op7_factorisation_quality, op8_bounded_ring_shards,
-    op9_centroid_language, op10_soft_membership_mixing)}
+    op9_centroid_language, op10_soft_membership_mixing, op11_setsketch_near_duplicates, op12_fill_in_middle,
+    op13_bisector_centroids)}
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
