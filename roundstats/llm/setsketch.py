@@ -37,7 +37,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,15 +136,19 @@ def likeness(greater: np.ndarray, less: np.ndarray, equal: np.ndarray, n_a: np.n
 
 # ------------------------------------------------------------- the kernels --
 
-def sketches(docs: DataFrame, size: int = SIZE, registers: int = REGISTERS) -> DataFrame:
-    """``doc_id, n, h1, h2, sketch, shingles`` for every row: the size of its
-    set, two hashes that equal sets share, registers (bytes, two each) and the set."""
-    schema = T.StructType([docs.schema["doc_id"]]).add("n", "long").add("h1", "long").add("h2", "long") \
-        .add("sketch", "binary").add("shingles", T.ArrayType(T.LongType()))
+def sketches(rows: DataFrame, size: int = SIZE, registers: int = REGISTERS, sets: bool = True) -> DataFrame:
+    """Every row of ``rows`` (the last column is the text) without its text but
+    with ``n, h1, h2, sketch, shingles``: the size of its set, two hashes that equal
+    sets share, registers (bytes, two each) and, if asked for, the set."""
+    keep = rows.columns[:-1]
+    schema = T.StructType([rows.schema[c] for c in keep]).add("n", "long").add("h1", "long").add("h2", "long") \
+        .add("sketch", "binary")
+    if sets:
+        schema = schema.add("shingles", T.ArrayType(T.LongType()))
 
     def kernel(batches):
         for b in batches:
-            for i, j, data, offs in blocks(b.column(1)):
+            for i, j, data, offs in blocks(b.column(len(keep))):
                 h, soff = shingle_sets(data, offs, size)
                 n = np.diff(soff)
                 some = n > 0
@@ -153,13 +157,14 @@ def sketches(docs: DataFrame, size: int = SIZE, registers: int = REGISTERS) -> D
                     for k, c in enumerate((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)):
                         sums[k, some] = np.add.reduceat(mix(h ^ np.uint64(c)), soff[:-1][some])
                 values = register_values(minima(h, soff, registers))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(sums[0].view(np.int64)),
-                     pa.array(sums[1].view(np.int64)), pa.array([v.tobytes() for v in values], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(soff.astype(np.int32)), pa.array(h.view(np.int64)))],
-                    names=schema.names)
+                cols = [*(b.column(c).slice(i, j - i) for c in range(len(keep))), pa.array(n, pa.int64()),
+                        pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)),
+                        pa.array([v.tobytes() for v in values], pa.binary())]
+                if sets:
+                    cols.append(pa.ListArray.from_arrays(pa.array(soff.astype(np.int32)), pa.array(h.view(np.int64))))
+                yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
-    return docs.select("doc_id", text_bytes().alias("text")).mapInArrow(kernel, schema)
+    return rows.mapInArrow(kernel, schema)
 
 
 def _registers(col: pa.Array) -> np.ndarray:
@@ -203,12 +208,16 @@ def _estimates(pairs: DataFrame, percent: int) -> DataFrame:
 
 # ----------------------------------------------------------------- linking --
 
-def _salted(left: DataFrame, right: DataFrame, on: str, by: str, how: str = "inner", salts: int = SALTS) -> DataFrame:
+def _copies(one: DataFrame, salts: int = SALTS) -> DataFrame:
+    """Every row once for each ``salt``."""
+    return one.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+
+
+def _salted(left: DataFrame, right: DataFrame, on: str, by: str, salts: int = SALTS) -> DataFrame:
     """Join where ``right`` has one row for a key and ``left`` may have very
     many: they are spread over ``salts`` copies of the key by the column ``by``."""
-    many = left.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(salts)))
-    one = right.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return many.join(one, [on, "__salt"], how).drop("__salt")
+    many = left.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(salts)))
+    return many.join(_copies(right, salts), [on, "salt"]).drop("salt")
 
 
 def _shared(keys: DataFrame) -> DataFrame:
@@ -281,10 +290,26 @@ def _links(members: DataFrame, own: DataFrame, percent: int, stage: Stage) -> Da
         pivots *= PIVOTS
 
 
+def _sets_of(docs: DataFrame, wanted: DataFrame, size: int, stage: Stage) -> DataFrame:
+    """``node, n, sketch, shingles`` of the rows ``wanted`` (``id, text_hash,
+    node``) of ``docs``, made once more from their texts: texts are smaller than sets, and
+    only these are needed."""
+    texts = docs.select(_id().alias("id"), F.xxhash64("text").alias("text_hash"), text_bytes().alias("text"),
+                        F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("salt"))
+    some = texts.join(_copies(wanted), ["id", "text_hash", "salt"]).select("node", "text")
+    some = some.groupBy("node").agg(F.first("text").alias("text"))     # equal rows
+    return stage.write(sketches(some, size).select("node", "n", "sketch", "shingles"))
+
+
+def _id() -> Column:
+    return F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+
+
 def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
     stage = Stage(docs.sparkSession, "setsketch")
-    rows = stage.write(sketches(docs, size).withColumn("node", F.monotonically_increasing_id()))
+    own_text = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), text_bytes().alias("text"))
+    rows = stage.write(sketches(own_text, size, sets=False).withColumn("node", F.monotonically_increasing_id()))
     same = stage.write(rows.where("n > 0").groupBy("h1", "h2", "n").agg(
         F.min("node").alias("node"), F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")))
     one_each = rows.select("node", "sketch").join(same.select("node"), "node", "left_semi")
@@ -295,7 +320,8 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, m
     longer = np.stack([rng.permutation(REGISTERS)[:LONG_BAND] for _ in range(LONG_KEYS)])
     hot = _shared(band_keys(one_each.join(often, "node", "left_semi"), longer))
     members = stage.write(shared.where(F.col("size") <= max_bucket).union(hot).select("key", "node", "pivot"))
-    own = stage.write(rows.select("node", "n", "sketch", "shingles").join(members.select("node").distinct(), "node", "left_semi"))
+    wanted = rows.select(_id().alias("id"), "text_hash", "node").join(members.select("node").distinct(), "node", "left_semi")
+    own = _sets_of(docs, wanted, size, stage)
     roots = _links(members, own, percent, stage)
 
     # Only sets that others share or link with need a name.
@@ -304,9 +330,8 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, m
     named = linked.where("root is not null or copies > 1").join(ids, "root", "left") \
         .select("h1", "h2", "n", F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id"),
                 F.lit(True).alias("named"))
-    salt = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
     out = rows.select("doc_id", "n", "h1", "h2", F.pmod("node", F.lit(SALTS)).alias("salt")) \
-        .join(named.withColumn("salt", salt), ["h1", "h2", "n", "salt"], "left")
+        .join(_copies(named), ["h1", "h2", "n", "salt"], "left")
     component = F.when(F.col("named"), F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
