@@ -14,11 +14,17 @@ J = 0.8 shares none with probability 5e-8, a pair at 0.85 with 2e-10. A key of m
 ``MAX_BUCKET`` sets says little; its sets get 64 longer keys of eight registers
 instead, which sets that merely share a passage seldom have in common.
 
-Candidates of a key are not paired with each other. The least set of a key is
-compared with the others; sets linked by then are one component, and later rounds
-compare, with eight times as many pivots a key, only sets of different
-components that were not compared yet, until all of those are. So a group of
-n copies costs about n comparisons, and no link between components is lost.
+Candidates of a key are not paired with each other. In each of ``ROUNDS``
+rounds a set proposes one pair: of the most central sets of its keys (those whose
+keys are met most) that belong to another component, the most central one. So a group
+of n copies costs n comparisons a round, and its members meet at the text they
+derive from. What is left are keys with sets of several components. There the
+sets outside the key's largest component are searched for links exactly, by their
+rarest shingles: two sets of sizes m and n link only with t = ceil(80 (m + n) / 180)
+shingles in common, so one of any m - t + 1 shingles of the first is in the second
+(by classes of the second's size, 2% wide). Shingles of edits are rare, so sets
+that differ too much from all others meet none. No link between components is lost.
+
 A comparison is first estimated: the counts of greater, less and equal registers
 and both set sizes give J's likelihood (Ertl, SetSketch, 2021); pairs for which
 J >= 0.8 is less likely than the best fit by e^18 are let go (six standard
@@ -53,7 +59,9 @@ MAX_BUCKET = 64
 BASE, RATE, TOP = 1.05, 20.0, (1 << 16) - 2     # b, a and q of the sketch
 SLACK = 18.0          # log-likelihood by which a pair may miss the threshold
 SALTS = 8
-PIVOTS = 8            # growth of the pivots a key from round to round
+ROUNDS = 3            # of one proposal a set, before the rest is searched
+WIDTH = 1.02          # ratio of a size class
+PARITY_BITS = 1024
 CHUNK = 1 << 14       # hashes that a register's minimum is taken of at a time
 
 
@@ -108,6 +116,15 @@ def register_values(least: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(1 - np.log(h) / np.log(BASE)), 0, TOP + 1).astype(np.uint16)
 
 
+def parities(hashes: np.ndarray, soff: np.ndarray, bits: int = PARITY_BITS) -> np.ndarray:
+    """(texts, bits / 8): whether an odd number of a set's hashes fall on a bit.
+    Two sets differ in at least as many shingles as these differ in bits."""
+    out = np.zeros((len(soff) - 1, bits), np.uint8)
+    owner = np.repeat(np.arange(len(soff) - 1), np.diff(soff))
+    np.bitwise_xor.at(out, (owner, (hashes % np.uint64(bits)).astype(np.int64)), 1)
+    return np.packbits(out, axis=1)
+
+
 def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Registers of the union of two sets (or of many: arrays of sketches)."""
     return np.maximum(a, b)
@@ -138,13 +155,13 @@ def likeness(greater: np.ndarray, less: np.ndarray, equal: np.ndarray, n_a: np.n
 
 def sketches(rows: DataFrame, size: int = SIZE, registers: int = REGISTERS, sets: bool = True) -> DataFrame:
     """Every row of ``rows`` (the last column is the text) without its text but
-    with ``n, h1, h2, sketch, shingles``: the size of its set, two hashes that equal
-    sets share, registers (bytes, two each) and, if asked for, the set."""
+    with ``n, h1, h2, sketch``: the size of its set, two hashes that equal sets share,
+    registers (bytes, two each); if asked for, also ``parity`` and the set, ``shingles``."""
     keep = rows.columns[:-1]
     schema = T.StructType([rows.schema[c] for c in keep]).add("n", "long").add("h1", "long").add("h2", "long") \
         .add("sketch", "binary")
     if sets:
-        schema = schema.add("shingles", T.ArrayType(T.LongType()))
+        schema = schema.add("parity", "binary").add("shingles", T.ArrayType(T.LongType()))
 
     def kernel(batches):
         for b in batches:
@@ -161,6 +178,7 @@ def sketches(rows: DataFrame, size: int = SIZE, registers: int = REGISTERS, sets
                         pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)),
                         pa.array([v.tobytes() for v in values], pa.binary())]
                 if sets:
+                    cols.append(pa.array([v.tobytes() for v in parities(h, soff)], pa.binary()))
                     cols.append(pa.ListArray.from_arrays(pa.array(soff.astype(np.int32)), pa.array(h.view(np.int64))))
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
@@ -190,20 +208,25 @@ def band_keys(own: DataFrame, groups: np.ndarray) -> DataFrame:
     return own.select("node", "sketch").mapInArrow(kernel, "key long, node long")
 
 
-def _estimates(pairs: DataFrame, percent: int) -> DataFrame:
-    """``a, b, estimate, maybe`` for ``a, b, n_a, s_a, n_b, s_b``."""
+def _judged(pairs: DataFrame, percent: int, by: str) -> DataFrame:
+    """The ``a, b`` of ``a, b, n_a, x, n_b, y`` that may link, as the registers'
+    likelihood (``by`` = "sketch") or the parities' exact bound has it."""
     def kernel(batches):
         for b in batches:
             for i in range(0, b.num_rows, 1 << 10):
                 p = b.slice(i, 1 << 10)
-                x, y = _registers(p.column(3)), _registers(p.column(5))
-                n_a, n_b = (p.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in (2, 4))
-                at = percent / 100
-                est, short = likeness((x > y).sum(axis=1), (x < y).sum(axis=1), (x == y).sum(axis=1), n_a, n_b, at)
-                yield pa.RecordBatch.from_arrays([p.column(0), p.column(1), pa.array(est), pa.array((est >= at) | (short <= SLACK))],
-                                                 names=["a", "b", "estimate", "maybe"])
+                n_a, n_b = (p.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (2, 4))
+                if by == "sketch":
+                    x, y = _registers(p.column(3)), _registers(p.column(5))
+                    est, short = likeness((x > y).sum(axis=1), (x < y).sum(axis=1), (x == y).sum(axis=1), n_a, n_b, percent / 100)
+                    keep = (est >= percent / 100) | (short <= SLACK)
+                else:
+                    x, y = (np.frombuffer(b"".join(p.column(c).to_pylist()), np.uint64).reshape(len(p), -1) for c in (3, 5))
+                    common = -(-(n_a + n_b) * percent // (100 + percent))
+                    keep = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= n_a + n_b - 2 * common
+                yield pa.RecordBatch.from_arrays([p.column(0).filter(pa.array(keep)), p.column(1).filter(pa.array(keep))], names=["a", "b"])
 
-    return pairs.select("a", "b", "n_a", "s_a", "n_b", "s_b").mapInArrow(kernel, "a long, b long, estimate double, maybe boolean")
+    return pairs.select("a", "b", "n_a", "x", "n_b", "y").mapInArrow(kernel, "a long, b long")
 
 
 # ----------------------------------------------------------------- linking --
@@ -221,84 +244,102 @@ def _salted(left: DataFrame, right: DataFrame, on: str, by: str, salts: int = SA
 
 
 def _shared(keys: DataFrame) -> DataFrame:
-    """``key, node, pivot, size`` of the keys that several nodes have."""
-    own = keys.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    """``key, node, size`` of the keys that several nodes have."""
+    own = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     return _salted(keys, own, "key", "node")
 
 
-def _verify(pairs: DataFrame, own: DataFrame, percent: int, stage: Stage, best_only: bool) -> tuple[DataFrame, DataFrame]:
-    """Compare ``pairs`` (``a``: the pivot, ``b``): the linked ones, and all
-    that were decided. ``best_only``: verify a node's likeliest pair alone and
-    leave its others undecided."""
+def _verify(pairs: DataFrame, own: DataFrame, percent: int, stage: Stage, by: str = "sketch") -> DataFrame:
+    """The linked ones of distinct ``pairs`` (``a, b``; very many may share an ``a``)."""
     some = own.join(pairs.select(F.col("a").alias("node")).distinct(), "node", "left_semi")
-    first = some.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
-    second = own.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
+    first = some.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col(by).alias("x"))
+    second = own.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col(by).alias("y"))
     sized = _salted(pairs.join(second, "b"), first, "a", "b") \
         .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-    judged = stage.write(_estimates(sized, percent))
-    likely = judged.where("maybe").select("a", "b", "estimate")
-    if best_only:
-        likely = likely.groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a"))
-    one = own.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    one = one.join(likely.select("a").distinct(), "a", "left_semi")
+    likely = stage.write(_judged(sized, percent, by))
+    one = own.select(F.col("node").alias("a"), F.col("shingles").alias("x")) \
+        .join(likely.select("a").distinct(), "a", "left_semi")
     two = own.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
-    checked = _salted(likely.select("a", "b").join(two, "b"), one, "a", "b") \
-        .select("a", "b", (both * 100 >= (F.size("x") + F.size("y") - both) * percent).alias("linked"))
-    checked = stage.write(checked)
-    decided = checked.select("a", "b") if best_only else judged.select("a", "b")
-    if best_only:
-        decided = decided.union(judged.where("not maybe").select("a", "b"))
-    return checked.where("linked").select("a", "b"), decided
+    checked = _salted(likely.join(two, "b"), one, "a", "b") \
+        .where(both * 100 >= (F.size("x") + F.size("y") - both) * percent)
+    return stage.write(checked.select("a", "b"))
+
+
+def _joined(roots: DataFrame, edges: DataFrame, stage: Stage) -> DataFrame:
+    """``node, root`` after more links: components so far are their nodes."""
+    lift = roots.select(F.col("node").alias("n0"), F.col("root").alias("r0"))
+    up = edges.join(lift, F.col("a") == F.col("n0"), "left").select(F.coalesce("r0", "a").alias("a"), "b") \
+        .join(lift, F.col("b") == F.col("n0"), "left").select("a", F.coalesce("r0", "b").alias("b"))
+    more = stage.write(connected_components(up, "a", "b"))
+    old = lift.join(more, F.col("r0") == F.col("node"), "left") \
+        .select(F.col("n0").alias("node"), F.coalesce("root", "r0").alias("root"))
+    return stage.write(old.union(more.join(old, "node", "left_anti")))
+
+
+def _rest(left: DataFrame, own: DataFrame, percent: int, stage: Stage) -> DataFrame:
+    """``a, b``: pairs that may link, of different components, one of which is not
+    the largest of a key. ``left``: ``key, node, root`` of keys with several."""
+    major = left.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")) \
+        .groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("major"))
+    minor = _salted(left, major, "key", "node").where("root != major").select("node").distinct()
+    sets = own.select("node", "n", "shingles").join(left.select("node", "root").distinct(), "node")
+    rows = stage.write(sets.select("node", "root", "n", F.explode("shingles").alias("g")))
+    often = rows.groupBy("g").agg(F.count(F.lit(1)).alias("often"))
+    ranked = stage.write(rows.join(often, "g").groupBy("node", "root", "n")
+                         .agg(F.array_sort(F.collect_list(F.struct("often", "g"))).alias("gs")))
+    size_class = lambda n: F.floor(F.log(n) / F.log(F.lit(WIDTH)) + 1e-9).cast("int")
+    n = F.col("n")
+    first = lambda k: F.posexplode(F.slice("gs", F.lit(1), F.greatest(k, F.lit(1)).cast("int"))).alias("at", "x")
+    index = ranked.select("node", "root", "n", size_class(n).alias("class"), first(n - F.ceil(n * percent / 100) + 2)) \
+        .select("node", "root", "n", "class", "at", F.col("x.g").alias("g"))
+    classes = F.sequence(size_class(F.greatest(n * percent / 100 - 1, F.lit(1))), size_class(n * 100 / percent + 1))
+    least = F.greatest(F.floor(F.pow(F.lit(WIDTH), F.col("class"))) - 1, F.floor(n * percent / 100) - 1)
+    common = F.ceil((n + least) * percent / (100 + percent))
+    wanted = ranked.join(minor, "node", "left_semi").select("node", "root", "n", "gs", F.explode(classes).alias("class")) \
+        .select("node", "root", "n", "class", first(n - common + 2)) \
+        .select(F.col("node").alias("a"), F.col("root").alias("a_root"), F.col("n").alias("n_a"), F.col("at").alias("at_a"),
+                "class", F.col("x.g").alias("g"))
+    # Not more than the shingles from the first common one on can be common.
+    most = F.least(F.col("n_a") - F.col("at_a"), n - F.col("at"))
+    met = index.join(wanted, ["g", "class"]).where(
+        (F.col("root") != F.col("a_root")) & (most * (100 + percent) >= (F.col("n_a") + n) * percent))
+    return met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
 
 
 def _links(members: DataFrame, own: DataFrame, percent: int, stage: Stage) -> DataFrame:
-    """``node, root`` of the nodes that have a link, by rounds of pivots."""
-    pairs = stage.write(members.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
-    edges, done = _verify(pairs, own, percent, stage, best_only=True)
-    roots = stage.write(connected_components(edges, "a", "b"))
-    pivots = PIVOTS
-    while True:
-        named = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        split = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")) \
-            .where("lo != hi").select("key", "size")
-        split = stage.write(split)
-        largest = split.agg(F.max("size")).first()[0]
-        if largest is None:
-            return roots
-        left = stage.write(_salted(named, split.select("key"), "key", "node"))
-        last = pivots >= largest
-        slot = F.col("node") if last else F.pmod(F.xxhash64("node", F.lit(pivots)), F.lit(pivots))
-        chosen = left.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("node", "root")).alias("p")) \
-            .select("key", F.col("p.node").alias("p"), F.col("p.root").alias("p_root"))
-        fresh = left.join(chosen, "key").where("root != p_root") \
-            .select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-        known = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        fresh = stage.write(fresh.join(known, ["a", "b"], "left_anti"))
-        edges, decided = _verify(fresh, own, percent, stage, best_only=False)
-        done = done.union(decided)
-        # Components so far are the nodes of the new links.
-        lift = roots.select(F.col("node").alias("n0"), F.col("root").alias("r0"))
-        up = edges.join(lift, F.col("a") == F.col("n0"), "left").select(F.coalesce("r0", "a").alias("a"), "b") \
-            .join(lift, F.col("b") == F.col("n0"), "left").select("a", F.coalesce("r0", "b").alias("b"))
-        more = stage.write(connected_components(up, "a", "b"))
-        joined = roots.select(F.col("node").alias("n0"), F.col("root").alias("r0")) \
-            .join(more, F.col("r0") == F.col("node"), "left").select(F.col("n0").alias("node"), F.coalesce("root", "r0").alias("root"))
-        roots = stage.write(joined.union(more.join(joined, "node", "left_anti")))
-        if last:
-            return roots
-        pivots *= PIVOTS
+    """``node, root`` of the nodes that have a link (``members``: ``key, node, size``)."""
+    score = members.groupBy("node").agg(F.sum("size").alias("score"))
+    members = stage.write(members.select("key", "node").join(score, "node"))
+    none = members.select(F.col("node").alias("root"), "node", F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    roots, done = stage.write(none.select("node", "root")), stage.write(none.select("a", "b"))
+
+    def split() -> DataFrame:
+        """Keys that hold several components, with their most central node."""
+        named = members.join(roots, "node", "left").select("key", "node", "score", F.coalesce("root", "node").alias("root"))
+        keys = named.groupBy("key").agg(F.max(F.struct("score", F.col("node").alias("p"), F.col("root").alias("p_root"))).alias("x"),
+                                        F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+        return _salted(named, keys.select("key", F.col("x.score").alias("p_score"), "x.p", "x.p_root"), "key", "node")
+
+    for _ in range(ROUNDS):
+        fresh = split().where("root != p_root").select(F.col("p").alias("a"), F.col("node").alias("b"), "p_score").distinct() \
+            .join(done, ["a", "b"], "left_anti")
+        pairs = stage.write(fresh.groupBy("b").agg(F.max(F.struct("p_score", "a")).alias("x")).select(F.col("x.a").alias("a"), "b"))
+        done = done.union(pairs)
+        roots = _joined(roots, _verify(pairs, own, percent, stage), stage)
+    left = stage.write(split().select("key", "node", "root"))
+    return _joined(roots, _verify(stage.write(_rest(left, own, percent, stage)), own, percent, stage, "parity"), stage)
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, size: int, stage: Stage) -> DataFrame:
-    """``node, n, sketch, shingles`` of the rows ``wanted`` (``id, text_hash,
+    """``node, n, sketch, parity, shingles`` of the rows ``wanted`` (``id, text_hash,
     node``) of ``docs``, made once more from their texts: texts are smaller than sets, and
     only these are needed."""
     texts = docs.select(_id().alias("id"), F.xxhash64("text").alias("text_hash"), text_bytes().alias("text"),
                         F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("salt"))
     some = texts.join(_copies(wanted), ["id", "text_hash", "salt"]).select("node", "text")
     some = some.groupBy("node").agg(F.first("text").alias("text"))     # equal rows
-    return stage.write(sketches(some, size).select("node", "n", "sketch", "shingles"))
+    return stage.write(sketches(some, size).select("node", "n", "sketch", "parity", "shingles"))
 
 
 def _id() -> Column:
@@ -319,7 +360,7 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, m
     rng = np.random.default_rng(1)
     longer = np.stack([rng.permutation(REGISTERS)[:LONG_BAND] for _ in range(LONG_KEYS)])
     hot = _shared(band_keys(one_each.join(often, "node", "left_semi"), longer))
-    members = stage.write(shared.where(F.col("size") <= max_bucket).union(hot).select("key", "node", "pivot"))
+    members = stage.write(shared.where(F.col("size") <= max_bucket).union(hot))
     wanted = rows.select(_id().alias("id"), "text_hash", "node").join(members.select("node").distinct(), "node", "left_semi")
     own = _sets_of(docs, wanted, size, stage)
     roots = _links(members, own, percent, stage)
