@@ -17,6 +17,7 @@ from roundstats.functions.columns import (
     number_token_ok,
     whitespace_tokens,
 )
+from roundstats.operators.parts import cut_lineage
 
 # Hadoop's line reader ends a line at \n, \r or \r\n; a terminator at the
 # very end does not open another (empty) line.
@@ -26,6 +27,8 @@ FINAL_BREAK_RE = r"(\r\n|\r|\n)\z"
 
 # Copies of one line that a task numbers at a time.
 COPY_BLOCK = 1 << 16
+# Repeated lines whose marks (24 bytes each) are broadcast: 24 MB.
+MAX_REPEATED = 1 << 20
 
 
 def _line_ids(lines: DataFrame, id_col: str) -> DataFrame:
@@ -34,26 +37,49 @@ def _line_ids(lines: DataFrame, id_col: str) -> DataFrame:
     return lines.withColumn(id_col, F.monotonically_increasing_id())
 
 
-def content_ids(lines: DataFrame, text_col: str, id_col: str) -> DataFrame:
+def _marks(line: Column) -> list[Column]:
+    """128 bits that equal lines (null ones too) share."""
+    return [F.xxhash64(line, line.isNull()).alias("__a"), F.xxhash64(F.lit(1), line.isNull(), line).alias("__b")]
+
+
+def repeated_marks(lines: DataFrame, text_col: str) -> DataFrame:
+    """``__a, __b, __n``: the marks of the lines met more than once and how often,
+    written to the checkpoint folder. Only marks are shuffled, after partial counts."""
+    counts = lines.select(*_marks(F.col(text_col))).groupBy("__a", "__b").agg(F.count(F.lit(1)).alias("__n"))
+    return cut_lineage(counts.where("__n > 1"))
+
+
+def content_ids(lines: DataFrame, text_col: str, id_col: str, max_repeated: int = MAX_REPEATED) -> DataFrame:
     """``id_col long, text_col``: every line (null ones too) with an id made of
     its content and, among equal lines, its copy number, so that ids, and all
     draws from them, do not follow the split layout.
 
-    Equal lines are counted (partial aggregates: a hot line is one row a task)
-    and written out again as that many copies; those of a hot line in blocks of
-    ``COPY_BLOCK``, spread over the tasks. Ids are 64-bit hashes: among n lines
-    about n^2 / 2^65 pairs share one.
+    A line met once is copy 0 and never leaves its scan: the marks of repeated lines
+    (one pass over 16 bytes a line) are broadcast while there are at most
+    ``max_repeated`` of them, else joined. Of the repeated lines one row a
+    task and line travels and is written out again as that many copies; those of a
+    hot line in blocks of ``COPY_BLOCK``, spread over the tasks. Ids are 64-bit hashes:
+    among n lines about n^2 / 2^65 pairs share one.
     """
     line = F.col(text_col)
-    counts = lines.groupBy(line).agg(F.count(F.lit(1)).alias("__n"))
-    few = (counts.where(F.col("__n") <= COPY_BLOCK)
+    again = repeated_marks(lines, text_col)
+    repeated = again.count()
+    if not repeated:
+        return lines.select(F.xxhash64(line, F.lit(0).cast("long")).alias(id_col), line)
+    marks = F.broadcast(again) if repeated <= max_repeated else again
+    marked = lines.select(line, *_marks(line)).join(marks, ["__a", "__b"], "left")
+    once = marked.where(F.col("__n").isNull()).select(F.xxhash64(line, F.lit(0).cast("long")).alias(id_col), line)
+    # One row a mark: equal marks are equal lines.
+    copies = marked.where(F.col("__n").isNotNull()).groupBy("__a", "__b", "__n").agg(F.first(line).alias(text_col)) \
+        .select(line, "__n")
+    few = (copies.where(F.col("__n") <= COPY_BLOCK)
            .select(line, F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)).alias("__copy")))
     block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1, F.lit(COPY_BLOCK).cast("long")))
     last = F.least(F.col("__from") + COPY_BLOCK, F.col("__n")) - 1
-    many = (counts.where(F.col("__n") > COPY_BLOCK).select(line, "__n", block.alias("__from"))
+    many = (copies.where(F.col("__n") > COPY_BLOCK).select(line, "__n", block.alias("__from"))
             .repartition(text_col, "__from")
             .select(line, F.explode(F.sequence(F.col("__from"), last)).alias("__copy")))
-    return few.unionAll(many).select(F.xxhash64(line, "__copy").alias(id_col), line)
+    return once.unionAll(few.unionAll(many).select(F.xxhash64(line, "__copy").alias(id_col), line))
 
 
 # ---------------------------------------------------------------- numbers --

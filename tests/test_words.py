@@ -1,4 +1,5 @@
 import pytest
+
 from pyspark.sql import functions as F
 
 from roundstats.functions import java_length, java_split
@@ -142,3 +143,31 @@ def test_hot_lines_are_numbered_in_blocks(spark, monkeypatch):
     assert sorted(map(str, blocks)) == whole
     assert len({r["id"] for r in blocks}) == len(blocks) == 32
     assert content_ids(lines.limit(0), "value", "id").count() == 0
+
+
+@pytest.mark.parametrize("most", [1 << 20, 0])
+def test_only_repeated_lines_leave_their_scan(spark, most):
+    from collections import Counter
+
+    rows = [f"line {i}" for i in range(500)] + ["twice"] * 2 + [None] * 3 + ["hot"] * 400 + ["", " "]
+    lines = spark.createDataFrame([(r,) for r in rows], "value string").repartition(5)
+    got = [tuple(r) for r in content_ids(lines, "value", "id", most).collect()]
+    assert Counter(v for _, v in got) == Counter(rows) and len({i for i, _ in got}) == len(rows)
+    again = content_ids(lines.repartition(2, "value"), "value", "id", most).collect()
+    assert sorted(map(str, got)) == sorted(str(tuple(r)) for r in again)
+    # A line met once is not in any exchange: those carry marks and repeated lines.
+    from roundstats.sources.text import repeated_marks
+    assert sorted(r["__n"] for r in repeated_marks(lines, "value").collect()) == [2, 3, 400]
+    single = spark.range(1000).selectExpr("cast(id as string) AS value")
+    plan = content_ids(single, "value", "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_unique_lines_are_not_shuffled(spark, tmp_path):
+    """Of the plan over repeated lines, the branch of the unique ones has no exchange but the broadcast marks."""
+    path = tmp_path / "l.txt"
+    path.write_text("\n".join([f"line {i}" for i in range(300)] + ["same"] * 50))
+    df = content_ids(spark.read.text(str(path)), "value", "id")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    once = plan.split("HashAggregate")[0].split("SortAggregate")[0]
+    assert "hashpartitioning" not in once and "BroadcastHashJoin" in once
