@@ -252,26 +252,29 @@ def _fold_kernel(bc, vec_col: str, part_col: str | None, first: bool, last: bool
     return run
 
 
+_SUM_NAMES = ["part", "center_id", "sw", "cnt", "sx"]
+
+
+def _sum_rows(keys, sw, cnt, sx) -> pa.RecordBatch:
+    flat = pa.array(sx.reshape(-1))
+    offs = pa.array(np.arange(0, sx.size + 1, max(1, sx.shape[1]), dtype=np.int32)[:len(keys) + 1])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys[:, 0].astype(np.int32)), pa.array(keys[:, 1].astype(np.int32)), pa.array(sw),
+         pa.array(cnt.astype(np.int64)), pa.ListArray.from_arrays(offs, flat)], names=_SUM_NAMES)
+
+
+def _add(keys, sw, cnt, sx):
+    """Sum rows of equal keys."""
+    order = np.lexsort((keys[:, 1], keys[:, 0]))
+    keys = keys[order]
+    starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+    return keys[starts], *(np.add.reduceat(x[order], starts, axis=0) for x in (sw, cnt, sx))
+
+
 def _sums_kernel(fold, vec_col: str, part_col: str | None, w_col: str | None):
     """After the last fold: weight sum, point count and weighted coordinate
     sums, one row per (part, center) and task (more only if a task's sums
     outgrow ``MAX_SUM_BYTES``)."""
-    names = ["part", "center_id", "sw", "cnt", "sx"]
-
-    def rows(keys, sw, cnt, sx):
-        flat = pa.array(sx.reshape(-1))
-        offs = pa.array(np.arange(0, sx.size + 1, max(1, sx.shape[1]), dtype=np.int32)[:len(keys) + 1])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(keys[:, 0].astype(np.int32)), pa.array(keys[:, 1].astype(np.int32)), pa.array(sw),
-             pa.array(cnt.astype(np.int64)), pa.ListArray.from_arrays(offs, flat)], names=names)
-
-    def add(keys, sw, cnt, sx):
-        """Sum rows of equal keys."""
-        order = np.lexsort((keys[:, 1], keys[:, 0]))
-        keys = keys[order]
-        starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
-        return keys[starts], *(np.add.reduceat(x[order], starts, axis=0) for x in (sw, cnt, sx))
-
     def run(batches):
         held = None
         for b in fold(batches):
@@ -285,16 +288,37 @@ def _sums_kernel(fold, vec_col: str, part_col: str | None, w_col: str | None):
                      .astype(np.float64))
             for blk in row_blocks(n, X.shape[1]):
                 w = w_all[blk]
-                new = add(keys[blk], w, np.ones(len(w), np.int64), X[blk].astype(np.float64) * w[:, None])
-                held = new if held is None else add(*(np.concatenate(x) for x in zip(held, new)))
+                new = _add(keys[blk], w, np.ones(len(w), np.int64), X[blk].astype(np.float64) * w[:, None])
+                held = new if held is None else _add(*(np.concatenate(x) for x in zip(held, new)))
                 if held[3].nbytes > MAX_SUM_BYTES:
-                    yield rows(*held)
+                    yield _sum_rows(*held)
                     held = None
         if held is not None:
-            yield rows(*held)
+            yield _sum_rows(*held)
     return run
 
 
+def _merge_kernel(batches):
+    """Add up rows of sums that come sorted by (part, center): the last key of a
+    block is held back, as it may go on in the next."""
+    held = None
+    for b in batches:
+        for blk in row_blocks(b.num_rows, len(b.column(4)[0]) if b.num_rows else 1):
+            part = b.slice(blk.start, blk.stop - blk.start)
+            keys = np.stack([_number(part, c) for c in ("part", "center_id")], axis=1).astype(np.int64)
+            new = (keys, _number(part, "sw"), _number(part, "cnt"), _matrix(part, "sx"))
+            held = _add(*new) if held is None else _add(*(np.concatenate(x) for x in zip(held, new)))
+            if len(held[0]) > 1:
+                yield _sum_rows(*(x[:-1] for x in held))
+                held = tuple(x[-1:] for x in held)
+    if held is not None:
+        yield _sum_rows(*held)
+
+
+def _number(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
+
+
 _SUMS_SCHEMA = "part int, center_id int, sw double, cnt long, sx array<double>"
 
 
@@ -372,18 +396,26 @@ def avg_distance(points: DataFrame, centers, vec_col: str = "v", **kw) -> DataFr
     return assign(points, centers, vec_col, **kw).agg(F.avg("d").alias("objective"))
 
 
-def centroid_sums(points: DataFrame, c: "DataFrame | Centers", vec_col: str = "v", w_col: str | None = "w",
+def center_sums(points: DataFrame, c: "DataFrame | Centers", vec_col: str = "v", w_col: str | None = "w",
                   by_part: bool = True, max_bytes: int = MAX_CENTER_BYTES) -> DataFrame:
-    """Per (part, center, coordinate): weight sum, point count and weighted
-    coordinate sum of the points nearest to each center. Each task emits one
-    row per cluster; Spark sums those partials by coordinate."""
+    """``part, center_id, sw, cnt, sx``: weight sum, point count and the array of
+    weighted coordinate sums of the points nearest to each center. Two levels of
+    element-wise sums: each task emits one row per center, and after a shuffle
+    of those rows (tasks x centers, whatever the vectors' length) each center's rows
+    are added up, one block at a time."""
     part_col = "part" if by_part and "part" in points.columns else None
     need = [vec_col] + [c for c in (part_col, w_col) if c is not None]
     folded, fold, _ = _fold_slices(points.select(*dict.fromkeys(need)), c, part_col, vec_col, max_bytes)
     sums = folded.mapInArrow(_sums_kernel(fold, vec_col, part_col, w_col), _SUMS_SCHEMA)
-    return (sums.select("part", "center_id", "sw", "cnt", F.posexplode("sx").alias("pos", "x"))
-            .groupBy("part", "center_id", "pos")
-            .agg(F.sum("sw").alias("sw"), F.sum("cnt").alias("cnt"), F.sum("x").alias("sx")))
+    return sums.repartition("part", "center_id").sortWithinPartitions("part", "center_id") \
+        .mapInArrow(_merge_kernel, _SUMS_SCHEMA)
+
+
+def centroid_sums(points: DataFrame, c: "DataFrame | Centers", vec_col: str = "v", w_col: str | None = "w",
+                  by_part: bool = True, max_bytes: int = MAX_CENTER_BYTES) -> DataFrame:
+    """:func:`center_sums` with one row per coordinate (``pos, sx``)."""
+    return center_sums(points, c, vec_col, w_col, by_part, max_bytes) \
+        .select("part", "center_id", "sw", "cnt", F.posexplode("sx").alias("pos", "sx"))
 
 
 def weighted_centroids(points: DataFrame, centers, vec_col: str = "v", w_col: str | None = "w",
@@ -398,10 +430,7 @@ def weighted_centroids(points: DataFrame, centers, vec_col: str = "v", w_col: st
             centers = centers.drop("part")
     else:
         by_part = bool(by_part)
-    sums = centroid_sums(points, centers, vec_col, w_col, by_part)
-    per = (sums.groupBy("part", "center_id")
-           .agg(F.max("sw").alias("w"),
-                F.array_sort(F.collect_list(F.struct("pos", (F.col("sx") / F.col("sw")).alias("x"))))
-                .alias("xs")))
-    out = per.select("part", "center_id", "w", F.transform("xs", lambda s: s["x"]).alias("v"))
+    sums = center_sums(points, centers, vec_col, w_col, by_part)
+    sw = F.col("sw")
+    out = sums.select("part", "center_id", sw.alias("w"), F.transform("sx", lambda x: x / sw).alias("v"))
     return out if by_part else out.drop("part")

@@ -20,6 +20,7 @@ the smallest draw; a part with at most k points keeps them all.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ from roundstats.operators.vectors import (
     Centers,
     assign,
     centers_frame,
-    centroid_sums,
+    center_sums,
 )
 
 SMALL_ROWS = 1 << 16   # points of a bounded set that one task takes a step over
@@ -140,19 +141,14 @@ def lloyd_step(points: DataFrame, centers: Centers) -> Centers:
     """One weighted Lloyd round: every center moves to the weighted mean of
     the points nearest to it; a center without points (or weight) stays.
 
-    The per-(part, center, coordinate) sums come back as one Arrow table --
-    the size of the center table, which is bounded -- and are assembled in
-    NumPy.
+    One row of sums per center comes back (:func:`center_sums`).
     """
-    sums = centroid_sums(_as_parted(points), centers, "v", "w", by_part=True).toArrow()
+    sums = center_sums(_as_parted(points), centers, "v", "w", by_part=True).where("sw > 0").toArrow()
     new = Centers(centers.parts.copy(), centers.vecs.copy(), centers.valid.copy(), centers.ids.copy())
     if sums.num_rows == 0:
         return new
-    part = sums.column("part").to_numpy()
-    cid = sums.column("center_id").to_numpy()
-    pos = sums.column("pos").to_numpy()
-    sw = sums.column("sw").to_numpy()
-    sx = sums.column("sx").to_numpy()
+    part, cid, sw = (sums.column(c).to_numpy() for c in ("part", "center_id", "sw"))
+    sx = pc.list_flatten(sums.column("sx")).to_numpy().reshape(sums.num_rows, -1)
     pi = np.searchsorted(new.parts, part)
     # Slot of (part, center_id) in the table: a sorted-key lookup.
     m = int(new.ids.max()) + 1
@@ -160,8 +156,7 @@ def lloyd_step(points: DataFrame, centers: Centers) -> Centers:
     keys = rows.astype(np.int64) * m + new.ids[rows, cols]
     order = np.argsort(keys)
     j = cols[order][np.searchsorted(keys[order], pi.astype(np.int64) * m + cid)]
-    ok = sw > 0
-    new.vecs[pi[ok], j[ok], pos[ok]] = sx[ok] / sw[ok]
+    new.vecs[pi, j] = sx / sw[:, None]
     return new
 
 

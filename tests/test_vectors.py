@@ -193,3 +193,28 @@ def test_kernels_emit_once_per_task():
     best = {r["part"]: r["id"] for b in out for r in b.to_pylist() if r["kind"] == 1}
     assert best == {p: min((i for i in range(500) if i % 2 == p and (p, i) not in taken), key=u.__getitem__)
                     for p in (0, 1)}
+
+
+def test_sums_are_merged_by_element(spark):
+    """Sums of many tasks, equal to NumPy's; the shuffle carries a row per task and center."""
+    import numpy as np
+    from roundstats.operators import vectors as V
+
+    rng = np.random.default_rng(7)
+    x = rng.integers(-50, 50, (900, 12)).astype(float)
+    part, w = rng.integers(0, 3, 900), rng.integers(0, 4, 900)
+    rows = [(int(p), i, v.tolist(), float(u)) for i, (p, v, u) in enumerate(zip(part, x, w))]
+    pts = spark.createDataFrame(rows, "part int, id long, v array<double>, w double").repartition(7)
+    cs = [(p, c, x[p * 40 + c * 7].tolist()) for p in range(3) for c in range(5)]
+    table = V.Centers.from_rows(cs)
+    got = {(r["part"], r["center_id"]): r for r in V.center_sums(pts, table).collect()}
+    d = np.array([[((v - np.array(c)) ** 2).sum() if p == q else np.inf for q, _, c in cs] for p, v in zip(part, x)])
+    best = d.argmin(axis=1)
+    assert len(got) == len(set(best.tolist()))
+    for k in set(best.tolist()):
+        own = best == k
+        r = got[cs[k][0], cs[k][1]]
+        assert r["cnt"] == own.sum() and r["sw"] == w[own].sum()
+        assert r["sx"] == (x[own] * w[own][:, None]).sum(axis=0).tolist()
+    plan = V.center_sums(pts, table)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "pos" not in plan

@@ -52,7 +52,7 @@ def main() -> None:
         ("number_report final aggregate", R.number_report(acct, "v")),
         ("sort_with_index (after the checkpointed range sort)", N.sort_with_index(acct, ["v", "id"])),
         ("assign (Arrow kernel, centers broadcast)", V.assign(pts, centers, by_part=False)),
-        ("Lloyd round: per-task partial sums merged by Spark", V.centroid_sums(pts, centers, "v", "w")),
+        ("Lloyd round: per-task partial sums merged by Spark", V.center_sums(pts, centers, "v", "w")),
         ("seeding step: kernel sends <= 2 candidates per part and task",
          S.draw_next(S.start_nearest(pts), first, [first[0][:2]], 7, 1)),
     ]
