@@ -9,7 +9,7 @@ the block (or one longer text), not the Arrow batch.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +60,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once: inside a lambda of ``body``
+    a plain expression is evaluated again for every element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def unused(name: str, df: DataFrame) -> str:
     """``name``, with underscores added until ``df`` has no such column."""
     while name in df.columns:

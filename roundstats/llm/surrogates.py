@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roundstats.llm.common import Stage
+from roundstats.llm.common import Stage, once
 
 FEMALE = ["Anna", "Clara", "Elena", "Emma", "Irene", "Julia", "Laura", "Maria", "Marta", "Nora", "Olivia", "Sophie"]
 MALE = ["Adrian", "Daniel", "David", "Felix", "Hugo", "John", "Lucas", "Martin", "Oscar", "Paul", "Robert", "Simon"]
@@ -46,7 +46,11 @@ OTHER_TITLES = ["Dr", "Prof"]
 LATIN = ["ba", "bel", "cor", "dan", "der", "fen", "gar", "hol", "kin", "lan", "mer", "nor", "pel", "ros", "tal", "win"]
 CYRILLIC = ["бел", "вер", "гор", "дан", "зал", "кор", "лес", "мир", "нов", "пет", "рос", "сав", "тов", "фед", "чер", "яр"]
 
-EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
+# Possessive groups are loops in the JVM, others recurse once a part. What follows the
+# last top-level domain of the chain of labels stays (``pieces``).
+EMAIL = (r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@(?=[A-Za-z0-9.-]*?\.[A-Za-z]{2})"
+         r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+DOMAIN = r"^(.*)(\.[A-Za-z]{2,})(.*)$"
 PHONE = (r"(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)"
          r"|(?<!\d)(?:1[ .-])?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
          r"|(?<![\w+]|\d[.-])(?:1[ .-])?\d{3}(?<gap>[ .-])\d{3}\k<gap>\d{4}(?!\w|[.-]\d)")
@@ -59,10 +63,10 @@ CARD = r"(?<![\d-])\d{4}(?:[ -]?\d{4}){3}(?!\d)|(?<![\d-])\d{4}[ -]\d{6}[ -]\d{4
 _titles = "|".join(FEMALE_TITLES + MALE_TITLES + OTHER_TITLES)
 _firsts = "|".join(FEMALE + MALE + FEMALE_CYRILLIC + MALE_CYRILLIC)
 _part = r"(?:\p{Lu}['’])?\p{Lu}[\p{L}\p{M}]+"
-_word = rf"{_part}(?:['’-]{_part})*"
+_word = rf"{_part}(?:['’-]{_part})*+"
 _more = rf"(?: (?:(?:{_word}|\p{{Lu}}\.) ){{0,3}}{_word})"     # an initial is not the last word
 NAME = (rf"(?<!\p{{L}})(?:(?:{_titles})\.? (?:\p{{Lu}}\. ){{0,3}}{_word}{_more}?"
-        rf"|(?:{_firsts})(?:-{_part})*{_more})(?!\p{{L}})")
+        rf"|(?:{_firsts})(?:-{_part})*+{_more})(?!\p{{L}})")
 ENTITY = "|".join((EMAIL, IP6, PHONE, SSN, CARD, IP, NAME))
 
 TYPES = ("email", "phone", "ssn", "card", "ip", "name")
@@ -85,7 +89,8 @@ def pieces(e: Column) -> Column:
     """The replaceable pieces of an entity, with the text before and after."""
     at = F.instr(e, "@")
     local = F.substring(e, F.lit(1), at - 1)
-    stem, top = F.regexp_extract(e, r"@(.*)(\.[^.]+)$", 1), F.regexp_extract(e, r"@(.*)(\.[^.]+)$", 2)
+    host = F.substring(e, at + 1, F.length(e))
+    stem, top, tail = (F.regexp_extract(host, DOMAIN, i) for i in (1, 2, 3))
     country = F.regexp_extract(e, r"^(?:\+\d{1,3}|1)(?=[ .(-])", 0)
     rest = F.substring(e, F.length(country) + 1, F.length(e))
     title = F.regexp_extract(e, rf"^(?:{_titles})\.? ", 0)
@@ -104,8 +109,8 @@ def pieces(e: Column) -> Column:
     names = F.transform(parts, lambda x, k: F.struct(
         k.alias("part"), x["before"].alias("before"), x["kind"].alias("kind"), x["own"].alias("own"), F.lit("").alias("after")))
     kind = entity_type(e)
-    return (F.when(kind == "email", F.array(_piece(0, "", F.concat(F.lit("local@"), F.lower(F.substring(e, at + 1, F.length(e)))), local),
-                                            _piece(1, "@", "domain", stem, top)))
+    return (F.when(kind == "email", F.array(_piece(0, "", F.concat(F.lit("local@"), F.lower(F.concat(stem, top))), local),
+                                            _piece(1, "@", "domain", stem, F.concat(top, tail))))
             .when(kind == "phone", F.array(_piece(0, country, "phone", rest)))
             .when(kind == "card", F.array(_piece(0, F.substring(e, 1, 1), "card", F.substring(e, F.lit(2), F.length(e)))))
             .when(kind == "name", names)
@@ -119,8 +124,7 @@ def folded(kind: Column, own: Column) -> Column:
 
 def _chars(s: Column, f) -> Column:
     """``f(character, number)`` of every character, joined."""
-    return F.when(F.length(s) == 0, "").otherwise(F.array_join(F.transform(
-        F.sequence(F.lit(1), F.length(s)), lambda i: f(F.substring(s, i, F.lit(1)), i)), ""))
+    return F.array_join(F.transform(F.regexp_extract_all(s, F.lit("(?s)."), F.lit(0)), lambda c, i: f(c, i + 1)), "")
 
 
 def propose(key: str, kind: Column, piece: Column, tries: Column) -> Column:
@@ -210,9 +214,12 @@ def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
     per_text = new.groupBy("id", "h").agg(
         F.array_sort(F.collect_set(F.struct("n", "part", "s", "type"))).alias("new"))
     x = F.col("new")
-    joined = F.array_join(F.transform(x, lambda p: F.concat(
-        F.when(p["part"] == 0, F.get(gaps, p["n"])).otherwise(""), p["s"])), "")
-    whole = F.when(x.isNull(), F.col("text")).otherwise(F.concat(joined, F.element_at(gaps, -1)))
+
+    def rebuilt(between: Column) -> Column:
+        return F.concat(F.array_join(F.transform(x, lambda p: F.concat(
+            F.when(p["part"] == 0, F.get(between, p["n"])).otherwise(""), p["s"])), ""), F.element_at(between, -1))
+
+    whole = F.when(x.isNull(), F.col("text")).otherwise(once(gaps, rebuilt))
 
     def count(kind: str) -> Column:
         own = F.filter(x, lambda p: (p["type"] == kind) & (p["part"] == 0))
