@@ -33,7 +33,8 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"      # as AKIA[A-Z0-9]+ of 20 or more: a shorter r
 HEX = r"[0-9a-f]{24,}"             # likewise a whole run
 ID = r"(?i)(access_?key_?id|client_?id|user_?name|user|login|account)" + VALUE
 KEY = r"(?i)(pwd|pass|auth|credential|private_?key|signature)" + VALUE
-ENDPOINT = r"""(?i)[a-z][a-z0-9+.-]*+://[^\s"'<>]+"""
+# From the first letter of a run of scheme characters (group 1); one try a run.
+ENDPOINT = r"""(?i)(?<![a-z0-9+.-])[0-9+.-]*+([a-z][a-z0-9+.-]*+://[^\s"'<>]+)"""
 
 KINDS = ("assign", "access", "hex", "id", "key", "endpoint")     # in listed order
 LEAST_VALUE = 6
@@ -60,7 +61,7 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     parts = F.concat(_matches(text, "assign", ASSIGN, group=2), _matches(text, "access", ACCESS, F.contains(text, F.lit("AKIA"))),
                      _matches(text, "hex", HEX), _matches(text, "id", ID), _matches(text, "key", KEY),
-                     _matches(text, "endpoint", ENDPOINT, F.contains(text, F.lit("://"))))
+                     _matches(text, "endpoint", ENDPOINT, F.contains(text, F.lit("://")), group=1))
     rows = docs.select("doc_id", F.xxhash64(text).alias("h"), F.monotonically_increasing_id().alias("row"),
                        parts.alias("parts")) \
         .select("doc_id", "h", "row", F.explode_outer("parts").alias("p")).select("doc_id", "h", "row", "p.*") \
@@ -68,7 +69,8 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     own = ["doc_id", "h", "row"]
     run = Window.partitionBy(*own, "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("before") + F.col("size")).over(run)
-    rows = rows.withColumn("end", end).withColumn("start", F.col("end") - F.col("size"))
+    size = F.when(F.col("kind") == "endpoint", F.col("value")).otherwise(F.col("size"))
+    rows = rows.withColumn("end", end).withColumn("start", F.col("end") - size)
     # An assignment of a short value is a weak secret.
     rows = rows.withColumn("kind", F.when((F.col("kind") == "assign") & (F.col("value") < LEAST_VALUE), "key")
                            .otherwise(F.col("kind")))
