@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roundstats.llm.common import Stage
+from roundstats.llm.common import Stage, once
 
 SECTION = r"\n[ \t\r]*\n"
 PLAIN = "\n\n"         # the separator that needs no digest
@@ -35,14 +35,13 @@ def _digest(level: str, of: Column) -> Column:
 def sections(text: Column) -> Column:
     """Digests of the paragraphs, by section: ``array<array<string>>``. A
     section's last digest is that of the blank line after it, unless plain."""
-    cuts = F.regexp_extract_all(text, F.lit(SECTION), F.lit(0))
+    def digests(x: Column) -> Column:
+        own = F.transform(F.split(x["own"], "\n", -1), lambda p: _digest("p", p))
+        return F.when(x["cut"] != PLAIN, F.concat(own, F.array(_digest("b", x["cut"])))).otherwise(own)
 
-    def digests(s: Column, i: Column) -> Column:
-        own = F.transform(F.split(s, "\n", -1), lambda p: _digest("p", p))
-        cut = F.get(cuts, i)
-        return F.when(cut != PLAIN, F.concat(own, F.array(_digest("b", cut)))).otherwise(own)
-
-    return F.transform(F.split(text, SECTION, -1), digests)
+    # Zipped, so that the pattern runs over the text twice, not once a section.
+    return F.transform(F.arrays_zip(F.split(text, SECTION, -1).alias("own"),
+                                    F.regexp_extract_all(text, F.lit(SECTION), F.lit(0)).alias("cut")), digests)
 
 
 def root(tree: Column) -> Column:
@@ -63,10 +62,15 @@ def likeness(root_a: Column, leaves_a: Column, root_b: Column, leaves_b: Column)
 def edited_paragraphs(old: Column, new: Column) -> Column:
     """``(section, paragraph)`` numbers, from 0, of the new tree's paragraphs
     that the old tree does not hold."""
-    have = F.flatten(old)
-    return F.flatten(F.transform(new, lambda s, i: F.filter(
-        F.transform(s, lambda p, j: F.when(~F.array_contains(have, p), F.struct(i.alias("section"), j.alias("paragraph")))),
-        lambda x: x.isNotNull())))
+    hashes = lambda tree: F.transform(F.flatten(tree), lambda p: F.xxhash64(p))
+
+    def located(lacking: Column) -> Column:
+        return F.flatten(F.transform(new, lambda s, i: F.filter(
+            F.transform(s, lambda p, j: F.when(F.array_contains(lacking, F.xxhash64(p)),
+                                               F.struct(i.alias("section"), j.alias("paragraph")))),
+            lambda x: x.isNotNull())))
+
+    return once(F.array_except(hashes(new), hashes(old)), located)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

@@ -307,3 +307,61 @@ def test_merkle_roots_cover_blank_lines(spark):
     r = a.crossJoin(b).select(merkle.likeness(F.col("f0"), F.col("l0"), F.col("f1"), F.col("l1")).alias("near"),
                               merkle.edited_paragraphs(F.col("s0"), F.col("s1")).alias("edited")).first()
     assert r.near < 1 and len(r.edited) == 1
+
+
+# ---------------------------------------------------------------- long texts --
+
+def _seconds(df):
+    import time
+
+    t = time.time()
+    df.write.format("noop").mode("overwrite").save()
+    return time.time() - t
+
+
+def one(spark, text):
+    return spark.createDataFrame([(1, text)], "doc_id long, text string")
+
+
+@pytest.mark.parametrize("text", [
+    "Mr. " + "Aa-" * 3000 + "Aa went", "x@" + "a." * 20000 + "com", "see a@b.com. and c@d.com.9 and e@f.org-1",
+    "x@1.2.3.4 or 10.0.0.1", "y@b..com"])
+def test_long_chains_do_not_end_the_jvm(spark, text):
+    out = surrogates.replace_personal_data(one(spark, text), "k").collect()
+    assert len(out) == 1
+    if text.startswith("see"):
+        r = out[0]
+        assert r.n_email == 3 and r.text.count("@") == 3 and ".com. and" in r.text and ".com.9 and" in r.text and r.text.endswith(".org-1")
+        assert "a@b" not in r.text and "c@d" not in r.text
+
+
+def test_long_texts_take_linear_time(spark):
+    many = " ".join(f"user{i}@mail{i % 50}.example.com" for i in range(8000))       # 0.2 MB of addresses
+    assert _seconds(surrogates.replace_personal_data(one(spark, many), "k")) < 60
+    letters = "see http://a.b " + "abcdefgh1+" * 100000                              # 1 MB after ://
+    assert _seconds(secret_scan.scan(one(spark, letters))) < 20
+    sections = "\n\n".join(f"section {i}" for i in range(50000))
+    assert _seconds(merkle.fingerprints(one(spark, sections))) < 20
+
+
+def test_endpoints_start_at_the_first_letter_of_their_run(spark):
+    text = "id: abcdefg key 9ab://x.y 12.ab1://z +http://q a1a1a1 ://no x://"
+    import re as _re
+    want = [(m.start(), m.end()) for m in _re.finditer(r"""(?i)[a-z][a-z0-9+.-]*://[^\s"'<>]+""", text)]
+    pieces = secret_scan.scan(one(spark, text + " token=abcdefghi")).first()["all"]
+    assert [(p.start, p.end) for p in pieces if p.kind == "endpoint"] == want
+
+
+def test_located_edits_against_brute_force(spark):
+    import random
+    rng = random.Random(3)
+    rows = []
+    for i in range(30):
+        old = "".join(rng.choice(["a", "b", "c\n", "\n\n", "\n \n", "d\n"]) for _ in range(rng.randrange(40)))
+        new = "".join(rng.choice(["a", "b", "c\n", "\n\n", "\n \n", "e\n"]) for _ in range(rng.randrange(40)))
+        rows.append((i, old, new))
+    df = spark.createDataFrame(rows, "i int, old string, new string")
+    o, n = merkle.sections(F.col("old")), merkle.sections(F.col("new"))
+    for r in df.select(o.alias("o"), n.alias("n"), merkle.edited_paragraphs(o, n).alias("e")).collect():
+        have = {p for s in r.o for p in s}
+        assert [tuple(x) for x in r.e] == [(i, j) for i, s in enumerate(r.n) for j, p in enumerate(s) if p not in have]
