@@ -144,7 +144,8 @@ def sort_with_index(df: DataFrame, order_cols: list[str], idx: str = "idx",
 
 
 def pick_at(indexed: DataFrame, i: int, idx: str = "idx") -> DataFrame:
-    """the row at 0-based position ``i`` of :func:`sort_with_index`."""
+    """the row at 0-based position ``i`` of :func:`sort_with_index`. For one
+    position of a frame that is not numbered, see :func:`pick_rank`."""
     return indexed.where(F.col(idx) == F.lit(i))
 
 
@@ -165,7 +166,17 @@ def select_rank(df: DataFrame, col: str, rank, buckets: int = BUCKETS) -> tuple[
     smaller. A few rounds reach the last bit of a double. A task
     sends on at most one row per bucket, however many values it holds. NaN
     ranks above every number, as in Spark's ordering.
+
+    The input is read twice at most: the second pass writes the values of the
+    bucket that holds the rank (8 bytes each) to the checkpoint folder, and later
+    rounds read only those.
     """
+    value, n, _, _ = _select_double(df, col, rank, buckets)
+    return value, n
+
+
+def _select_double(df: DataFrame, col: str, rank, buckets: int = BUCKETS) -> tuple[float | None, int, int, int]:
+    """Value, n, and the numbers of smaller and of equal values."""
     x = F.col("v")
     data = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
     top = buckets + 1
@@ -173,25 +184,86 @@ def select_rank(df: DataFrame, col: str, rank, buckets: int = BUCKETS) -> tuple[
     size = F.floor((F.log(F.abs(x)) + 746) * (buckets / 1456)) + 1
     bucket = F.when(F.isnan(x), top + 1).when(x == 0, 0) \
         .otherwise(F.signum(x).cast("long") * F.when(F.abs(x) == float("inf"), top).otherwise(size))
-    n, r, window = None, None, data
+    n, r, at, window = None, None, None, data
     while True:
         found = sorted(window.groupBy(bucket.cast("long").alias("b"))
                        .agg(F.count(F.lit(1)), F.min(x), F.max(x)).collect())
         if n is None:
             n = sum(row[1] for row in found)
-            r = rank(n)
+            r = at = rank(n)
             if r is None or r < 0 or r >= n:
-                return None, n
+                return None, n, 0, 0
+            source = data
         for _, count, lo, hi in found:
             if r < count:
                 break
             r -= count
         if lo == hi or lo != lo:
-            return lo + 0.0, n
+            return lo + 0.0, n, at - r, count
         window = data.where((x >= F.lit(lo)) & (x <= F.lit(hi)))
+        if data is source:
+            window = data = cut_lineage(window)
         bucket = F.floor((x - F.lit(lo)) / F.lit(hi - lo) * buckets)
 
 
+def _select_long(df: DataFrame, col: str, rank) -> tuple[int | None, int, int, int]:
+    """As :func:`_select_double` for integers, ten bits a round."""
+    x = F.col("x")
+    data = df.select(F.col(col).cast("long").alias("x")).where(F.col("x").isNotNull())
+    n, r, at, window, shift = None, None, None, data, 54
+    while True:
+        found = sorted(window.groupBy(F.shiftright(x, shift).alias("b"))
+                       .agg(F.count(F.lit(1)), F.min(x), F.max(x)).collect())
+        if n is None:
+            n = sum(row[1] for row in found)
+            r = at = rank(n)
+            if r is None or r < 0 or r >= n:
+                return None, n, 0, 0
+        for _, count, lo, hi in found:
+            if r < count:
+                break
+            r -= count
+        if lo == hi:
+            return lo, n, at - r, count
+        kept = data.where(x.between(lo, hi))
+        window = data = cut_lineage(kept) if window is data and shift == 54 else kept
+        shift = max(0, shift - 10)
+
+
+def pick_rank(df: DataFrame, order_cols: list[str], i: int, idx: str = "idx") -> DataFrame:
+    """F6 without a sort: the row at 0-based position ``i`` of ``df`` in
+    ascending order of ``order_cols`` (numbers; nulls first, NaN last), with
+    ``idx`` = ``i``; no row if there is none.
+
+    Selection by counting, one order column after the other: the value at the
+    rank, then among its ties the next column's, so nothing is shuffled but counts
+    of buckets. Ties of the first column are written to the checkpoint folder
+    when another has to part them. Rows equal in all order columns are
+    alike for a position: one of them is picked.
+    """
+    window, r = df, i
+    for at, c in enumerate(order_cols):
+        col = F.col(c)
+        nulls = window.where(col.isNull()).count() if window.schema[c].nullable else 0
+        if 0 <= r < nulls:
+            window, equal = window.where(col.isNull()), nulls
+        else:
+            integral = window.schema[c].dataType.typeName() in ("byte", "short", "integer", "long")
+            if not integral and window.schema[c].dataType.typeName() not in ("double", "float"):
+                raise TypeError(f"cannot rank by {c}: {window.schema[c].dataType.simpleString()}")
+            pick = _select_long if integral else _select_double
+            value, n, below, equal = pick(window, c, lambda n: r - nulls)   # noqa: B023
+            if value is None:
+                return df.where(F.lit(False)).withColumn(idx, F.lit(i).cast("long"))
+            r -= nulls + below
+            window = window.where(F.isnan(col) if value != value else col == F.lit(value))
+        if equal == 1:
+            break
+        if at + 1 < len(order_cols):
+            window = cut_lineage(window)
+    return window.limit(1).withColumn(idx, F.lit(i).cast("long"))
+
+
 def kth_smallest(df: DataFrame, col: str, r: int, buckets: int = BUCKETS) -> float | None:
     """Exact value of 0-based rank ``r`` among the non-null values
     (see :func:`select_rank`)."""
@@ -212,7 +284,8 @@ def lower_median(df: DataFrame, col: str = "v", method: str = "select",
     precedence in its index formula); that bug is not reproduced.
 
     ``select`` (default) finds it by counting (:func:`kth_smallest`);
-    ``sort`` numbers a full sort (:func:`sort_with_index`) and picks the row.
+    ``sort`` takes the row at the median's position of the sorted values
+    (:func:`pick_rank`, which sorts nothing).
     The result is one row.
     """
     data = df.select(F.col(col).cast("double").alias(out)).where(F.col(out).isNotNull())
@@ -220,9 +293,7 @@ def lower_median(df: DataFrame, col: str = "v", method: str = "select",
         n = data.count()
         if n == 0:
             return data.limit(0)
-        ranked = sort_with_index(data.withColumn("__id", F.monotonically_increasing_id()),
-                                 [out, "__id"])
-        return pick_at(ranked, (n - 1) // 2).select(out)
+        return pick_rank(data, [out], (n - 1) // 2).select(out)
     if method != "select":
         raise ValueError(f"unknown method {method!r}")
     q, n = lower_median_value(data, out)

@@ -61,6 +61,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def plan_nodes(df: DataFrame) -> list[str]:
+    """Class names of the physical plan's nodes, whatever its columns are called."""
+    todo, names = [df._jdf.queryExecution().executedPlan()], []
+    while todo:
+        node = todo.pop()
+        names.append(node.getClass().getSimpleName())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return names
+
+
 def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
     """Hash-partition ``df`` on ``key`` when its scan yields fewer partitions
     than the session can run at once (a few large files or row groups);
@@ -74,8 +85,8 @@ def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = N
     deterministic under retries.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    if any(x in plan for x in ("Exchange", "AdaptiveSparkPlan", "InMemoryTableScan")):
+    if any(x.endswith("ExchangeExec") or x in ("AdaptiveSparkPlanExec", "InMemoryTableScanExec")
+           for x in plan_nodes(df)):
         return df
     if df.rdd.getNumPartitions() >= target:
         return df

@@ -118,7 +118,7 @@ def q_sort_with_index(spark, sf):
 
 
 def q_pick_at(spark, sf):
-    return N.pick_at(N.sort_with_index(_nonneg_acctbal(spark, sf), ["v", "id"], "idx"), PICK_AT)
+    return N.pick_rank(_nonneg_acctbal(spark, sf), ["v", "id"], PICK_AT)
 
 
 def q_lower_median(spark, sf):

@@ -173,3 +173,46 @@ def test_a_selection_round_sends_one_row_a_bucket_and_task(spark, monkeypatch):
     df = spark.range(200_000).selectExpr("cast(id * 7919 % 200003 as double) / 3 as v")
     assert N.lower_median_value(df, "v", buckets=64)[1] == 200_000
     assert seen and max(map(len, seen)) <= 2 * 64 + 4
+
+
+def _ordered(rows):
+    nan = float("nan")
+    key = lambda v: (v is not None, v != v if v is not None else False, 0 if v is None or v != v else v)
+    return sorted(rows, key=lambda r: tuple(map(key, r)))
+
+
+def test_pick_rank_equals_the_sorted_row(spark):
+    import random
+
+    from roundstats.operators import numbers as N
+
+    rng = random.Random(11)
+    values = [None, float("nan"), float("inf"), -float("inf"), 0.0, -1.5, 2.0, 2.0, 1e-300, 7e18]
+    ids = [None, 0, -1, 2 ** 62, -(2 ** 63), 2 ** 53 + 1, 2 ** 53, 5]
+    rows = [(rng.choice(values), rng.choice(ids)) for _ in range(120)] + [(2.0, i) for i in range(60)]
+    df = spark.createDataFrame(rows, "v double, id long").repartition(3)
+    want = _ordered(rows)
+    for i in (0, 5, 30, 77, 130, 179):
+        got = N.pick_rank(df, ["v", "id"], i).collect()
+        assert str([(r["v"], r["id"], r["idx"]) for r in got]) == str([(*want[i], i)])
+    assert N.pick_rank(df, ["v", "id"], 180).count() == 0 and N.pick_rank(df, ["v", "id"], -1).count() == 0
+    plan = N.pick_rank(df, ["v", "id"], 30)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("values", [[1.0] * 500 + [2.0, 3.0], [i ** 3 / 7 for i in range(-300, 300)], [5e-324, 1e308, 3.0, 3.0]])
+def test_selection_reads_its_input_twice_at_most(spark, values):
+    from roundstats.operators import numbers as N
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3).mapInArrow(count, "v double")
+    for r in (0, len(values) // 2, len(values) - 1):
+        before = seen.value
+        assert N.kth_smallest(df, "v", r, buckets=8) == sorted(values)[r]
+        assert seen.value - before <= 2 * len(values)

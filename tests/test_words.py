@@ -171,3 +171,23 @@ def test_unique_lines_are_not_shuffled(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     once = plan.split("HashAggregate")[0].split("SortAggregate")[0]
     assert "hashpartitioning" not in once and "BroadcastHashJoin" in once
+
+
+def test_comparison_splits_each_text_once(spark):
+    docs = spark.createDataFrame([(i, f"a b{i % 3} c {'x ' * (i % 4)}z") for i in range(40)], "doc_id long, text string")
+    out = W.compare_word_counts(docs, 4, 1)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode") == 1 and plan.count("Expand") == 1
+    one = W.avg_word_length(docs).first()
+    assert [(r["method"], r["n_words"], r["avg_len"]) for r in out.collect()] == [
+        (m, one["n_words"], one["avg_len"]) for m in ("one_round", "random_keys", "by_partition")]
+    assert [tuple(r) for r in W.compare_word_counts(docs.limit(0), 4).collect()] == [
+        (m, 0, None) for m in ("one_round", "random_keys", "by_partition")]
+
+
+def test_spread_reads_the_plan_not_its_columns(spark, tmp_path):
+    path = str(tmp_path / "one")
+    spark.range(100).select("id", F.lit("x").alias("Exchange")).coalesce(1).write.parquet(path)
+    assert spread(spark.read.parquet(path), "id", 4).rdd.getNumPartitions() == 4
+    shuffled = spark.range(100).repartition(2, "id")
+    assert spread(shuffled, "id", 4) is shuffled
