@@ -48,14 +48,17 @@ class TextBlock:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: Column, max_rows: int,
                     more: tuple[Column, ...] = ()) -> DataFrame:
     """``h, label, text`` (bytes) and ``more`` of labelled documents: those of the at most
-    ``max_rows`` labelled ids with the smallest hash. An id labelled twice takes
-    its largest label. The ids are bounded, so they are broadcast and only a
+    ``max_rows`` labelled ids, among those with a document, with the smallest hash.
+    An id labelled twice takes its largest label, an id of several rows the row whose text
+    has the least hash. The ids are bounded, so they are broadcast and only a
     sample's texts leave the scan."""
     own = labels.select("doc_id", label.alias("label")).where("doc_id is not null and label is not null") \
         .groupBy("doc_id").agg(F.max("label").alias("label"))
-    n = labels.where("doc_id is not null").agg(F.count(F.lit(1))).first()[0]
+    here = own.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     h = F.xxhash64("doc_id")
-    ids = own.withColumn("h", h).where(F.col("h") <= hash_cut(n, max_rows)).orderBy("h", "doc_id").limit(max_rows)
-    more = [c.alias(f"more{i}") for i, c in enumerate(more)]
-    return docs.select("doc_id", text_bytes().alias("text"), *more).join(F.broadcast(ids), "doc_id") \
-        .select("h", "label", "text", *(f"more{i}" for i in range(len(more))))
+    ids = here.withColumn("h", h).where(F.col("h") <= hash_cut(here.count(), max_rows)).orderBy("h", "doc_id").limit(max_rows)
+    names = [f"more{i}" for i in range(len(more))]
+    rows = docs.select("doc_id", text_bytes().alias("text"), *(c.alias(n) for c, n in zip(more, names))) \
+        .join(F.broadcast(ids), "doc_id")
+    one = F.min_by(F.struct("label", "text", *names), F.struct(F.xxhash64("text"), F.xxhash64("text", *names)))
+    return rows.groupBy("h", "doc_id").agg(one.alias("row")).select("h", "row.*")

@@ -20,7 +20,9 @@ as ''. Other columns are neither read nor needed.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -75,8 +77,11 @@ def gram_counts(texts: list[bytes], table: np.ndarray, dims: int = DIMS) -> np.n
 
 
 def unit_rows(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    x = np.log1p(counts.astype(np.float32)) * idf.astype(np.float32)
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    x = counts.astype(np.float32)
+    np.log1p(x, out=x)
+    x *= idf.astype(np.float32)
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    return x
 
 
 def length_bin(n: np.ndarray) -> np.ndarray:
@@ -95,13 +100,12 @@ def cut_pieces(text: bytes, h: int, k: int = PIECES) -> list[bytes]:
     return out
 
 
-def joined(counts: np.ndarray) -> list[np.ndarray]:
-    """Counts of joins of 2, 4, ... neighbouring texts, up to all of them."""
-    out = []
+def joined(counts: np.ndarray) -> Iterator[np.ndarray]:
+    """Counts of joins of 2, 4, ... neighbouring texts, up to all of them, one
+    level at a time."""
     while len(counts) > 1:
-        counts = np.add.reduceat(counts, np.arange(0, len(counts), 2), axis=0)
-        out.append(counts)
-    return out
+        counts = np.add.reduceat(counts, np.arange(0, len(counts), 2), axis=0, dtype=np.int64)
+        yield counts
 
 
 def length_floors(n: np.ndarray, cos: np.ndarray) -> np.ndarray:
@@ -173,7 +177,7 @@ def _sparse(counts: np.ndarray) -> list[bytes]:
 
 
 def _dense(rows: list[bytes], dims: int = DIMS) -> np.ndarray:
-    out = np.zeros((len(rows), dims), np.int64)
+    out = np.zeros((len(rows), dims), np.uint32)
     for k, b in enumerate(rows):
         v = np.frombuffer(b, "<u4")
         out[k, v[: len(v) // 2]] = v[len(v) // 2:]
@@ -188,12 +192,12 @@ def _block_texts(data: np.ndarray, offs: np.ndarray) -> list[bytes]:
 def fit(docs: DataFrame, label: str = "lang", max_train: int = MAX_TRAIN,
         centroids: int = CENTROIDS) -> Centroids:
     """Fit on rows of ``docs`` (doc_id, text, label) that have a label: at most
-    ``max_train`` per language. Two small jobs run on the sample's vectors."""
+    ``max_train`` different texts per language. Two small jobs run on the sample's vectors."""
     spark = docs.sparkSession
     stage = Stage(spark, "langid")
-    order = F.xxhash64(F.col("doc_id"), F.col("text"))
+    order = F.xxhash64("text")       # copies of a text are one training text
     rows = docs.where(F.col(label).isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = rows.select(label, order.alias("h")).distinct().groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
     if not counts:
         return Centroids()
     # Rows whose hash lies in the lowest share of the range that holds about
@@ -205,10 +209,14 @@ def fit(docs: DataFrame, label: str = "lang", max_train: int = MAX_TRAIN,
                        text_bytes().alias("text")).where(F.col("h") <= cut)
 
     def vectors(batches):
-        table = letter_table()
+        table, met = letter_table(), set()     # of at most a sample's texts
         for b in batches:
-            text = b.column(2)
-            for i, j, data, offs in blocks(text):
+            fresh = []
+            for pair in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                fresh.append(pair not in met)
+                met.add(pair)
+            b = b.filter(pa.array(fresh, pa.bool_()))
+            for i, j, data, offs in blocks(b.column(2)):
                 texts = _block_texts(data, offs)
                 c = gram_counts(texts, table)
                 has = np.flatnonzero(c.sum(axis=1) > 0)
@@ -221,8 +229,9 @@ def fit(docs: DataFrame, label: str = "lang", max_train: int = MAX_TRAIN,
     schema = "lang string, h long, vec binary, cuts array<binary>"
     w = Window.partitionBy("lang").orderBy("h", "vec")
     sample = stage.write(near.select("lang", "h", "text").mapInArrow(vectors, schema)
-                         .withColumn("rn", F.row_number().over(w))
-                         .where(F.col("rn") <= max_train).drop("rn"))
+                         .withColumn("new", ~F.col("h").eqNullSafe(F.lag("h").over(w)))
+                         .withColumn("rn", F.sum(F.col("new").cast("int")).over(w))
+                         .where(F.col("new") & (F.col("rn") <= max_train)).drop("new", "rn"))
 
     def seen(batches):
         total, n = np.zeros(DIMS, np.int64), 0
@@ -246,11 +255,11 @@ def fit(docs: DataFrame, label: str = "lang", max_train: int = MAX_TRAIN,
         c = _dense(t.column("vec").to_pylist())
         x = unit_rows(c, idf)
         m = spherical_means(x, centroids)
-        n, cos = [c.sum(axis=1)], [(x @ m.T).max(axis=1)]
+        n, cos = [c.sum(axis=1, dtype=np.int64)], [(x @ m.T).max(axis=1)]
         del x
         cuts = [v for own in t.column("cuts").to_pylist() for v in own if v]
-        for d in (*(_dense(cuts[a: a + 512]) for a in range(0, len(cuts), 512)), *joined(c)):
-            n.append(d.sum(axis=1)), cos.append((unit_rows(d, idf) @ m.T).max(axis=1))
+        for d in chain((_dense(cuts[a: a + 512]) for a in range(0, len(cuts), 512)), joined(c)):
+            n.append(d.sum(axis=1, dtype=np.int64)), cos.append((unit_rows(d, idf) @ m.T).max(axis=1))
         floor = length_floors(np.concatenate(n), np.concatenate(cos))
         return pa.table({"lang": pa.array([t.column("lang")[0].as_py()], pa.string()),
                          "centers": pa.array([m.astype("<f4").tobytes()], pa.binary()),

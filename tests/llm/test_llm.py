@@ -365,3 +365,25 @@ def test_located_edits_against_brute_force(spark):
     for r in df.select(o.alias("o"), n.alias("n"), merkle.edited_paragraphs(o, n).alias("e")).collect():
         have = {p for s in r.o for p in s}
         assert [tuple(x) for x in r.e] == [(i, j) for i, s in enumerate(r.n) for j, p in enumerate(s) if p not in have]
+
+
+# -------------------------------------------------------------------- samples --
+
+def test_labels_without_documents_take_no_place(spark):
+    from roundstats.llm.features import labelled_sample
+
+    docs = spark.range(200).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    docs = docs.union(docs.where("doc_id = 7").crossJoin(spark.range(3000)).select("doc_id", "text"))
+    labels = spark.range(20000).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS quality")
+    rows = labelled_sample(docs, labels, F.col("quality"), 300).collect()
+    assert len(rows) == 200 and len({r.text for r in rows}) == 200
+    assert len(labelled_sample(docs, labels, F.col("quality"), 50).collect()) == 50
+
+
+def test_copies_do_not_fill_a_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    train, rest = docs.where("doc_id % 4 != 2"), docs.where("doc_id % 4 = 2 AND lang = 'en'")
+    least = train.where("lang = 'en'").orderBy(F.xxhash64("text")).limit(1)
+    many = train.union(least.crossJoin(spark.range(5000)).select("doc_id", "text", "lang"))
+    out = langid.identify(rest, langid.fit(many))
+    assert out.where("rejected").count() < 10
