@@ -190,6 +190,12 @@ def draw_next(state: DataFrame, recent: list[tuple[int, int, list[float]]],
     cands = (state.select("part", "id", "v", "w", d_col, uniform(seed, step, "id").alias("u"))
              .mapInArrow(_draw_kernel(bc, d_col),
                          f"part int, kind tinyint, key double, id long, v {vtype}"))
+    return winners(cands)
+
+
+def winners(cands: DataFrame) -> DataFrame:
+    """``part, id, v`` of the best candidate of each part, from rows
+    ``part, kind, key, id, v``: kind 0 runs the race, kind 1 stands in."""
     row, order = F.struct("id", "v"), F.struct("key", "id")
     race, rest = F.col("kind") == 0, F.col("kind") == 1
     return (cands.groupBy("part")

@@ -407,6 +407,11 @@ def center_sums(points: DataFrame, c: "DataFrame | Centers", vec_col: str = "v",
     need = [vec_col] + [c for c in (part_col, w_col) if c is not None]
     folded, fold, _ = _fold_slices(points.select(*dict.fromkeys(need)), c, part_col, vec_col, max_bytes)
     sums = folded.mapInArrow(_sums_kernel(fold, vec_col, part_col, w_col), _SUMS_SCHEMA)
+    return merge_sums(sums)
+
+
+def merge_sums(sums: DataFrame) -> DataFrame:
+    """Partial ``part, center_id, sw, cnt, sx`` rows added up, one row a center."""
     return sums.repartition("part", "center_id").sortWithinPartitions("part", "center_id") \
         .mapInArrow(_merge_kernel, _SUMS_SCHEMA)
 

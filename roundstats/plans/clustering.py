@@ -5,8 +5,9 @@ independent problem, all parts advancing together, one pass over the data
 per step. A plain run is the one-part case (``part = 0``). So the
 three-round method's first round -- "cluster every part on its own" --
 never holds a part in one task: each step is a scan plus a small aggregate
-with one row per (part, center), and only centers reach the driver
-(k rows per part, the coreset the reference collects anyway).
+with one row per (part, center). While all centers (parts x k vectors) take at
+most ``MAX_DRIVER_BYTES`` they are broadcast; beyond that they stay in Spark
+(:mod:`roundstats.plans.many_parts`), with the same seeds.
 
 Semantics kept from the reference: seeding draws the first center
 uniformly and each next one with probability proportional to ``w * d``
@@ -32,9 +33,9 @@ from roundstats.operators.sampling import (
     start_nearest,
     update_nearest,
 )
+from roundstats.plans import many_parts
 from roundstats.sources.text import vector_col
 from roundstats.operators.vectors import (
-    MAX_CENTER_BYTES,
     Centers,
     assign,
     centers_frame,
@@ -44,6 +45,7 @@ from roundstats.operators.vectors import (
 SMALL_ROWS = 1 << 16   # points of a bounded set that one task takes a step over
 REFRESH_EVERY = 8      # centers folded into the stored running distance
 CHECKPOINT_EVERY = 4   # refreshes between writes to the checkpoint folder
+MAX_DRIVER_BYTES = 32 << 20   # all centers of a clustering (doubles) that may pass the driver
 
 
 def _check(k: int, iters: int, parts: int = 1) -> None:
@@ -59,11 +61,23 @@ def _as_parted(points: DataFrame) -> DataFrame:
                        vector_col(base, "v").alias("v"), w.cast("double").alias("w"))
 
 
+def _fits_driver(pts: DataFrame, k: int, parts: int | None = None) -> bool:
+    """Whether all centers of ``pts`` are within ``MAX_DRIVER_BYTES``. ``parts``:
+    upper bound of the number of parts (counted when not given)."""
+    row = pts.select(F.size("v").alias("n")).head()
+    if row is None:
+        return True
+    if parts is None:
+        parts = pts.select("part").distinct().count()
+    return parts * k * row["n"] * 8 <= MAX_DRIVER_BYTES
+
+
 # ---------------------------------------------------------------- seeding --
 
 def seed_rows(points: DataFrame, k: int, seed: int,
               refresh_every: int = REFRESH_EVERY) -> list[tuple[int, int, int, list[float]]]:
-    """M4 (driver loop of k small aggregates): ``(part, center_id, id, v)``.
+    """M4 (driver loop of k small aggregates): ``(part, center_id, id, v)``, for
+    center sets that may pass the driver.
 
     Each step is one pass over the kept points (:func:`draw_next`): an Arrow
     kernel computes every point's nearest distance to the centers drawn so
@@ -79,18 +93,6 @@ def seed_rows(points: DataFrame, k: int, seed: int,
     first = pick_uniform(pts, seed, 0, by_part=True).collect()
     if not first:
         raise ValueError("no points to seed from")
-    dim = len(first[0]["v"])
-    # Broadcast bound: one center per part, ``refresh_every`` deep. Beyond
-    # the limit, parts are seeded in chunks (one pass per step per chunk).
-    per_part = dim * 8 * refresh_every
-    max_parts = max(1, MAX_CENTER_BYTES // per_part)
-    if len(first) > max_parts:
-        parts = sorted(int(r["part"]) for r in first)
-        out = []
-        for s in range(0, len(parts), max_parts):
-            lo, hi = parts[s], parts[min(s + max_parts, len(parts)) - 1]
-            out += seed_rows(pts.where(F.col("part").between(lo, hi)), k, seed, refresh_every)
-        return sorted(out)
     picked = [(int(r["part"]), 0, int(r["id"]), list(r["v"])) for r in first]
     recent = [(p, i, v) for p, _, i, v in picked]
     state = start_nearest(pts)
@@ -130,7 +132,14 @@ def seed_centers(points: DataFrame, k: int, seed: int = 0) -> DataFrame:
     """M4: ``part, center_id, id, v`` -- k seeds per part (fewer if a part
     has fewer points)."""
     _check(k, 0)
-    rows = seed_rows(points, k, seed)
+    pts = _as_parted(points)
+    if not _fits_driver(pts, k, None if "part" in points.columns else 1):
+        g = many_parts.group_points(pts, k)
+        try:
+            return many_parts.seed(g, k, seed, REFRESH_EVERY)
+        finally:
+            g.release()
+    rows = seed_rows(pts, k, seed)
     return points.sparkSession.createDataFrame(
         rows, "part int, center_id int, id long, v array<double>")
 
@@ -199,11 +208,20 @@ def cluster(points: DataFrame, k: int, iters: int, seed: int = 0, rows: int | No
     """
     _check(k, iters)
     pts = _as_parted(points.drop("part") if "part" in points.columns else points)
-    c = run_clustering(pts, k, iters, seed, rows)
+    if _fits_driver(pts, k, 1):
+        c = run_clustering(pts, k, iters, seed, rows)
+        n, centers = int(c.valid.sum()), centers_frame(points.sparkSession, c, with_part=False)
+    else:
+        g = many_parts.group_points(pts, k)
+        try:
+            centers = many_parts.lloyd(g, many_parts.seed(g, k, seed, REFRESH_EVERY), iters).select("center_id", "v")
+        finally:
+            g.release()
+        n = centers.count()
     # Seeding stops early only when it runs out of points.
-    if int(c.valid.sum()) < k:
-        raise ValueError(f"{int(c.valid.sum())} points cannot give {k} centers")
-    return centers_frame(points.sparkSession, c, with_part=False)
+    if n < k:
+        raise ValueError(f"{n} points cannot give {k} centers")
+    return centers
 
 
 def objective(points: DataFrame, centers: DataFrame) -> DataFrame:
@@ -215,15 +233,27 @@ def objective(points: DataFrame, centers: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------- three rounds --
 
-def _coreset(pts: DataFrame, k: int, iters: int, seed: int) -> DataFrame:
+def _coreset(pts: DataFrame, k: int, parts: int, iters: int, seed: int) -> DataFrame:
     """Round 1 on points that already carry ``part`` (kept by the caller),
     written to the checkpoint folder."""
-    centers = lloyd(pts, _centers_from_seeds(seed_rows(pts, k, seed)), iters)
-    counts = (assign(pts, centers, by_part=True).groupBy("part", "center_id")
-              .agg(F.count(F.lit(1)).alias("n")))
+    if _fits_driver(pts, k, parts):
+        centers = lloyd(pts, _centers_from_seeds(seed_rows(pts, k, seed)), iters)
+        counts = (assign(pts, centers, by_part=True).groupBy("part", "center_id")
+                  .agg(F.count(F.lit(1)).alias("n")))
+        return _weighted(centers_frame(pts.sparkSession, centers), counts, k)
+    g = many_parts.group_points(_as_parted(pts), k)
+    try:
+        rows = many_parts.lloyd(g, many_parts.seed(g, k, seed, REFRESH_EVERY), iters)
+        counts = many_parts.sums(g, rows).select("part", "center_id", F.col("cnt").alias("n"))
+        return _weighted(rows, counts, k)
+    finally:
+        g.release()
+
+
+def _weighted(centers: DataFrame, counts: DataFrame, k: int) -> DataFrame:
     w = F.coalesce("n", F.lit(0)).cast("long")
     return cut_lineage(
-        centers_frame(pts.sparkSession, centers).join(counts, ["part", "center_id"], "left")
+        centers.join(counts, ["part", "center_id"], "left")
         .select("part", "center_id", (F.col("part").cast("long") * k + F.col("center_id")).alias("id"), "v", w.alias("w")))
 
 
@@ -243,7 +273,7 @@ def coreset(points: DataFrame, k: int, parts: int, iters: int, seed: int = 0,
     _check(k, iters, parts)
     pts = keep(_parted(points, parts, method))
     try:
-        return _coreset(pts, k, iters, seed)
+        return _coreset(pts, k, parts, iters, seed)
     finally:
         pts.unpersist()
 
@@ -273,7 +303,7 @@ def mr_cluster(points: DataFrame, k: int, parts: int, iters: int, seed: int = 0,
     _check(k, iters, parts)
     pts = keep(_parted(points, parts, method))
     try:
-        cs = _coreset(pts, k, iters, seed).where(F.col("w") > 0).select("id", "v", "w")
+        cs = _coreset(pts, k, parts, iters, seed).where(F.col("w") > 0).select("id", "v", "w")
         final = cluster(cs, k, iters, seed, rows=k * parts)
         obj = cut_lineage(objective_by_part(pts, final))
     finally:

@@ -116,12 +116,12 @@ def test_race_follows_the_weights():
     assert chi2 < 18.47   # 4 degrees of freedom, p = 0.001
 
 
-def test_seeding_in_part_chunks_matches(spark, emb, monkeypatch):
+def test_seeding_beyond_the_driver_bound_matches(spark, emb, monkeypatch):
     pts = emb[0].withColumn("part", (F.col("id") % 5).cast("int"))
     whole = C.seed_rows(pts, 3, seed=4)
-    monkeypatch.setattr(C, "MAX_CENTER_BYTES", 64 * 8 * C.REFRESH_EVERY * 2)   # two parts per chunk
-    chunked = C.seed_rows(pts, 3, seed=4)
-    assert [r[:3] for r in whole] == [r[:3] for r in chunked]
+    monkeypatch.setattr(C, "MAX_DRIVER_BYTES", 64 * 8 * 3 * 2)   # two parts' centers
+    spark_side = sorted((r.part, r.center_id, r.id) for r in C.seed_centers(pts, 3, seed=4).collect())
+    assert [r[:3] for r in whole] == spark_side
     assert len({r[0] for r in whole}) == 5
 
 
