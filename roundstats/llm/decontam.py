@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from roundstats.llm.common import MARKS, Stage, blocks, find_words, gram_hashes, mix, word_hashes
+from roundstats.llm.common import MARKS, Stage, blocks, find_words, gram_hashes, mix, unused, word_hashes
 
 LEAST_HALF = 16      # words that neighbouring passages share, at least
 THRESHOLD = 0.7      # least share of the item's own BM25 score
@@ -237,9 +237,10 @@ class Index:
         return out
 
 
-def build_indexes(benchmark: DataFrame, block_text: int = BLOCK_TEXT) -> Iterator[Index]:
-    """Indexes over all items (item_id, text), in blocks bounded by their
-    text; one is held at a time."""
+def build_indexes(benchmark: DataFrame, block_text: int = BLOCK_TEXT) -> Iterator[tuple[Index, bool]]:
+    """``(index, whether it is of the last block)`` over all items (item_id,
+    text), in blocks bounded by their text. A caller that writes what it found
+    with one index before it asks for the next holds one at a time."""
     stage = Stage(benchmark.sparkSession, "benchmark")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     items = stage.write(benchmark.select("item_id", text.alias("text")).distinct().select(
@@ -284,7 +285,7 @@ def build_indexes(benchmark: DataFrame, block_text: int = BLOCK_TEXT) -> Iterato
         w = np.array(own["w"], float)
         w /= np.bincount(item, w, minlength=len(rows))[item]
         if len(item):
-            yield Index(rows, item, term, w)
+            yield Index(rows, item, term, w), k == n_blocks - 1
 
 
 # ------------------------------------------------------------------- search --
@@ -332,16 +333,19 @@ def block_hits(index: Index, data: np.ndarray, offs: np.ndarray, threshold: floa
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
-                  question_share: float = QUESTION_SHARE, answer_share: float = ANSWER_SHARE) -> DataFrame:
+                  question_share: float = QUESTION_SHARE, answer_share: float = ANSWER_SHARE,
+                  block_text: int = BLOCK_TEXT) -> DataFrame:
     """``doc_id, item_id, score, question_share, answer_share, first_word``
-    for every document and item that match, by best verified passage."""
+    for every document and item that match, by best verified passage. The matches
+    of each block of items but the last are written before the next is indexed."""
+    stage = Stage(docs.sparkSession, "contamination")
     item_type = benchmark.schema["item_id"].dataType
     schema = T.StructType([docs.schema["doc_id"]]).add("item_id", item_type).add("score", "double") \
         .add("question_share", "double").add("answer_share", "double").add("first_word", "long")
     src = docs.select("doc_id", _lower("text").alias("text"))
     id_type = to_arrow_type(item_type)
     out = None
-    for index in build_indexes(benchmark):
+    for index, last in build_indexes(benchmark, block_text):
         def kernel(batches, index=index):
             for b in batches:
                 hits = [(i + h[0], *h[1:]) for i, _, data, offs in blocks(b.column(1))
@@ -352,25 +356,47 @@ def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = THRE
                      *(pa.array(c, pa.float64()) for c in shares), pa.array(first, pa.int64())], names=schema.names)
 
         part = src.mapInArrow(kernel, schema)
+        part = part if last else stage.write(part)
         out = part if out is None else out.union(part)
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
-                      question_share: float = QUESTION_SHARE, answer_share: float = ANSWER_SHARE) -> DataFrame:
-    """The rows of ``docs``, unchanged, whose text matches no item."""
-    low = "__lower"
-    while low in docs.columns:
-        low += "_"
-    out = docs
-    for index in build_indexes(benchmark):
-        def kernel(batches, index=index):
+                      question_share: float = QUESTION_SHARE, answer_share: float = ANSWER_SHARE,
+                      block_text: int = BLOCK_TEXT) -> DataFrame:
+    """The rows of ``docs``, unchanged, whose text matches no item. Whether it
+    does depends on the text alone: each block of items but the last writes
+    the digests of the texts that match, and rows with these go."""
+    stage = Stage(docs.sparkSession, "contamination")
+    low, key = unused("__lower", docs), unused("__digest", docs)
+    digest = F.sha2(F.col("text").cast("binary"), 256)
+    gone, out = None, docs
+    for index, last in build_indexes(benchmark, block_text):
+        def matched(batch, text, index=index):
+            """Blocks of a batch with what matches in them."""
+            for i, j, data, offs in blocks(text):
+                hits = block_hits(index, data, offs, threshold, question_share, answer_share)
+                yield i, j, sorted({h[0] for h in hits})
+
+        def digests(batches, matched=matched):
             for b in batches:
-                keep = np.ones(b.num_rows, bool)
-                for i, _, data, offs in blocks(b.column(b.num_columns - 1)):
-                    hits = block_hits(index, data, offs, threshold, question_share, answer_share)
-                    keep[[i + h[0] for h in hits]] = False
-                yield b.drop_columns([low]).filter(pa.array(keep))
+                at = [i + r for i, _, rows in matched(b, b.column(1)) for r in rows]
+                yield b.select([0]).take(pa.array(at, pa.int64()))
 
-        out = out.withColumn(low, _lower("text")).mapInArrow(kernel, docs.schema)
+        def rest(batches, matched=matched):
+            for b in batches:
+                own = b.drop_columns([low])
+                for i, j, rows in matched(b, b.column(b.num_columns - 1)):
+                    keep = np.ones(j - i, bool)
+                    keep[rows] = False
+                    yield own.slice(i, j - i).filter(pa.array(keep))
+
+        if last:
+            out = out.withColumn(low, _lower("text")).mapInArrow(rest, docs.schema)
+        else:
+            found = stage.write(docs.where(F.col("text").isNotNull()).select(digest.alias(key), _lower("text").alias("text"))
+                                .mapInArrow(digests, T.StructType([T.StructField(key, T.StringType())])))
+            gone = found if gone is None else gone.union(found)
+    if gone is not None:
+        out = out.withColumn(key, digest).join(gone.distinct(), key, "left_anti").select(*[f"`{c}`" for c in docs.columns])
     return out

@@ -1,15 +1,16 @@
 """Document fingerprints: Merkle trees over paragraphs and sections (operator 5).
 
-A text is cut at blank lines into sections and these at line ends into
-paragraphs. A paragraph's digest is the SHA-256 of its text, a section's that
-of its paragraphs' digests, the root's that of the sections' digests; each
-level has a prefix of its own. A blank line that holds blanks, tabs or carriage
-returns counts as one more paragraph of the section before it, so the text can
-be rebuilt from the pieces: equal roots mean equal texts. Where roots
+A text is cut at blank lines into sections, these at line ends into paragraphs
+and these into sentences (at most 160 characters without an end mark). The
+leaves are the sentences' SHA-256 digests; a paragraph's digest is that of its
+leaves, a section's that of its paragraphs, the root's that of the sections;
+each level has a prefix of its own. A blank line that holds blanks, tabs or
+carriage returns counts as one more paragraph of the section before it, so the
+text can be rebuilt from the pieces: equal roots mean equal texts. Where roots
 differ, the branches that differ locate the edit (``edited_paragraphs``).
-Below the paragraphs, hashes of sentences grade how far two trees agree:
-``likeness`` is 1 for equal roots, else twice the shared sentences over all
-(as sets). Only DataFrame functions are used.
+``likeness`` compares the trees' leaves, copies counted, and their roots: twice
+the shared ones over all, so it is 1 for equal roots only. Only DataFrame
+functions are used.
 
 Edge cases: a null text is empty; the empty text is one section of one empty
 paragraph. Two texts without sentences in common have likeness 0, two empty
@@ -32,31 +33,46 @@ def _digest(level: str, of: Column) -> Column:
     return F.sha2(F.concat(F.lit(level), of), 256)
 
 
-def sections(text: Column) -> Column:
-    """Digests of the paragraphs, by section: ``array<array<string>>``. A
-    section's last digest is that of the blank line after it, unless plain."""
-    def digests(x: Column) -> Column:
-        own = F.transform(F.split(x["own"], "\n", -1), lambda p: _digest("p", p))
-        return F.when(x["cut"] != PLAIN, F.concat(own, F.array(_digest("b", x["cut"])))).otherwise(own)
+def tree(text: Column) -> Column:
+    """Leaf digests by section and paragraph: ``array<array<array<string>>>``. A
+    section's last paragraph is the blank line after it, unless plain."""
+    def leaves_of(paragraph: Column) -> Column:
+        return F.transform(F.regexp_extract_all(paragraph, F.lit(SENTENCE), F.lit(0)), lambda x: _digest("l", x))
+
+    def paragraphs(x: Column) -> Column:
+        own = F.transform(F.split(x["own"], "\n", -1), leaves_of)
+        return F.when(x["cut"] != PLAIN, F.concat(own, F.array(F.array(_digest("b", x["cut"]))))).otherwise(own)
 
     # Zipped, so that the pattern runs over the text twice, not once a section.
     return F.transform(F.arrays_zip(F.split(text, SECTION, -1).alias("own"),
-                                    F.regexp_extract_all(text, F.lit(SECTION), F.lit(0)).alias("cut")), digests)
+                                    F.regexp_extract_all(text, F.lit(SECTION), F.lit(0)).alias("cut")), paragraphs)
+
+
+def sections(tree: Column) -> Column:
+    """Digests of the paragraphs, by section: ``array<array<string>>``."""
+    return F.transform(tree, lambda s: F.transform(s, lambda p: _digest("p", F.array_join(p, ","))))
+
 
+def root(sections: Column) -> Column:
+    return _digest("r", F.array_join(F.transform(sections, lambda s: _digest("s", F.array_join(s, ","))), ","))
 
-def root(tree: Column) -> Column:
-    return _digest("r", F.array_join(F.transform(tree, lambda s: _digest("s", F.array_join(s, ","))), ","))
 
+def leaves(tree: Column) -> Column:
+    """One 64-bit mark per leaf of the tree: of its digest and of how many equal
+    leaves come before it, so that copies count."""
+    def marks(x: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(x) - 1), lambda i: (i == 0) | (x[i] != F.get(x, i - 1)))
+        return once(starts, lambda at: F.flatten(F.transform(at, lambda i, m: F.transform(
+            F.sequence(F.lit(0), F.coalesce(F.get(at, m + 1), F.size(x)) - i - 1), lambda c: F.xxhash64(x[i], c)))))
 
-def sentences(text: Column) -> Column:
-    """Distinct hashes of the text's sentences."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0)), lambda s: F.xxhash64(s)))
+    flat = F.sort_array(F.flatten(F.flatten(tree)))
+    return F.when(F.size(flat) == 0, F.array().cast("array<bigint>")).otherwise(once(flat, marks))
 
 
 def likeness(root_a: Column, leaves_a: Column, root_b: Column, leaves_b: Column) -> Column:
+    """Twice the shared leaves over all leaves, the root being one more on each side."""
     both = F.size(F.array_intersect(leaves_a, leaves_b))
-    return F.when(root_a == root_b, 1.0).otherwise(
-        F.coalesce(2.0 * both / F.nullif(F.size(leaves_a) + F.size(leaves_b), F.lit(0)), F.lit(0.0)))
+    return F.when(root_a == root_b, 1.0).otherwise(2.0 * both / (F.size(leaves_a) + F.size(leaves_b) + 2))
 
 
 def edited_paragraphs(old: Column, new: Column) -> Column:
@@ -74,11 +90,11 @@ def edited_paragraphs(old: Column, new: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_chars, fingerprint, sections, leaves`` for every row."""
+    """``doc_id, n_chars, sections, leaves, fingerprint`` for every row."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    d = docs.select("doc_id", text.alias("text"))
-    return d.select("doc_id", F.length("text").cast("long").alias("n_chars"), sections(F.col("text")).alias("sections"),
-                    sentences(F.col("text")).alias("leaves")).withColumn("fingerprint", root(F.col("sections")))
+    d = docs.select("doc_id", F.length(text).cast("long").alias("n_chars"), tree(text).alias("tree"))
+    return d.select("doc_id", "n_chars", sections(F.col("tree")).alias("sections"), leaves(F.col("tree")).alias("leaves")) \
+        .withColumn("fingerprint", root(F.col("sections")))
 
 
 def followers(ids: DataFrame, order: list[Column], stage: Stage) -> DataFrame:
@@ -121,8 +137,9 @@ def neighbours(docs: DataFrame, share: int = 3) -> DataFrame:
     once = Window.partitionBy("id", "h").orderBy("doc_id")
     sent = keyed.withColumn("nth", F.row_number().over(once)).where("nth = 1").join(wanted, ["id", "h"]) \
         .select(F.col("to_id").alias("id"), F.col("to_h").alias("h"),
-                F.substring("text", F.lit(1), F.col("need")).alias("prefix"),
-                root(sections(F.col("text"))).alias("next_fingerprint"), sentences(F.col("text")).alias("next_leaves"))
+                F.substring("text", F.lit(1), F.col("need")).alias("prefix"), tree(F.col("text")).alias("tree")) \
+        .select("id", "h", "prefix", root(sections(F.col("tree"))).alias("next_fingerprint"),
+                leaves(F.col("tree")).alias("next_leaves"))
     got = keyed.join(sent, ["id", "h"])
     n = F.length("text")
     kept = F.substring("text", F.lit(1), n - F.floor(n / share).cast("int"))

@@ -36,12 +36,13 @@ def op4_linked_secrets(spark: SparkSession, sf: str) -> DataFrame:
 
 def op5_merkle_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     both = merkle.neighbours(table(spark, sf, "documents"))
-    tree, edited = merkle.sections(F.col("text")), merkle.sections(F.col("edited"))
     trees = both.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        tree.alias("tree"), edited.alias("edited_tree"), merkle.sentences(F.col("text")).alias("leaves"),
-        merkle.sentences(F.col("edited")).alias("edited_leaves"), "next_fingerprint", "next_leaves")
-    roots = trees.withColumn("fingerprint", merkle.root(F.col("tree"))) \
+        merkle.tree(F.col("text")).alias("own"), merkle.tree(F.col("edited")).alias("other"), "next_fingerprint", "next_leaves")
+    roots = trees.select(
+        "*", merkle.sections(F.col("own")).alias("tree"), merkle.sections(F.col("other")).alias("edited_tree"),
+        merkle.leaves(F.col("own")).alias("leaves"), merkle.leaves(F.col("other")).alias("edited_leaves")) \
+        .withColumn("fingerprint", merkle.root(F.col("tree"))) \
         .withColumn("edited_fingerprint", merkle.root(F.col("edited_tree")))
     c = F.col
     return roots.select(

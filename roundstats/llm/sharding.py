@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roundstats.llm.common import Stage
+from roundstats.llm.common import Stage, unused
 
 VNODES = 32
 SUBS = 64            # sub-buckets of a stretch
@@ -95,19 +95,35 @@ def fill(points: list[tuple[int, int]], counts: list[int], room: dict[int, int]
 
 def assign_shards(docs: DataFrame, shards: int = 16, vnodes: int = VNODES, slack: float = 0.0) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot`` for every row of ``docs``."""
+    return _assigned(docs, shards, vnodes, slack)
+
+
+def shard_documents(docs: DataFrame, shards: int = 16, vnodes: int = VNODES, slack: float = 0.0) -> DataFrame:
+    """The rows of ``docs`` with ``size, text_crc32, shard, slot`` added (names
+    that ``docs`` has already get underscores). Rows are written with a number
+    each, by which they meet their shard: ids may be null or repeated. Whole
+    rows move once."""
+    row = unused("__row", docs)
+    rows = Stage(docs.sparkSession, "shard_documents").write(docs.withColumn(row, F.monotonically_increasing_id()))
+    new = {c: unused(c, docs) for c in ("size", "text_crc32", "shard", "slot")}
+    placed = _assigned(rows, shards, vnodes, slack, (row,)).select(row, *[F.col(c).alias(n) for c, n in new.items()])
+    return rows.join(placed.hint("shuffle_hash"), row).select(*[f"`{c}`" for c in docs.columns], *new.values())
+
+
+def _assigned(docs: DataFrame, shards: int, vnodes: int, slack: float, carry: tuple[str, ...] = ()) -> DataFrame:
     spark = docs.sparkSession
     stage = Stage(spark, "shards")
     points = ring_points(shards, vnodes)
     cells = spark.createDataFrame(ring_cells(points), "cell long, lo long, hi long, arc int")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    rows = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+    rows = docs.select(*carry, "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
                        F.crc32(text.cast("binary")).alias("text_crc32"),
                        F.xxhash64(key).bitwiseAND(F.lit((1 << RING_BITS) - 1)).alias("place"))
     placed = rows.withColumn("cell", F.shiftright("place", RING_BITS - CELL_BITS)) \
         .join(F.broadcast(cells), "cell").where(F.col("place").between(F.col("lo"), F.col("hi")))
     order = F.xxhash64("place", "text_crc32", "size")
-    placed = stage.write(placed.select("doc_id", "size", "text_crc32", "arc", order.alias("order"))
+    placed = stage.write(placed.select(*carry, "doc_id", "size", "text_crc32", "arc", order.alias("order"))
                          .withColumn("sub", F.pmod("order", F.lit(SUBS)).cast("int")))
     counts = stage.write(placed.groupBy("arc", "sub").agg(F.count(F.lit(1)).alias("n")))
     by_arc = [0] * len(points)
@@ -122,4 +138,4 @@ def assign_shards(docs: DataFrame, shards: int = 16, vnodes: int = VNODES, slack
         .join(F.broadcast(starts), ["arc", "sub"]).withColumn("nth", F.col("nth") + F.col("start"))
     return number.join(F.broadcast(pieces), "arc") \
         .where((F.col("nth") >= F.col("first")) & (F.col("nth") < F.col("end"))) \
-        .select("doc_id", "size", "text_crc32", "shard", (F.col("at") + F.col("nth") - F.col("first")).alias("slot"))
+        .select(*carry, "doc_id", "size", "text_crc32", "shard", (F.col("at") + F.col("nth") - F.col("first")).alias("slot"))

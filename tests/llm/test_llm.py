@@ -361,7 +361,7 @@ def test_located_edits_against_brute_force(spark):
         new = "".join(rng.choice(["a", "b", "c\n", "\n\n", "\n \n", "e\n"]) for _ in range(rng.randrange(40)))
         rows.append((i, old, new))
     df = spark.createDataFrame(rows, "i int, old string, new string")
-    o, n = merkle.sections(F.col("old")), merkle.sections(F.col("new"))
+    o, n = (merkle.sections(merkle.tree(F.col(c))) for c in ("old", "new"))
     for r in df.select(o.alias("o"), n.alias("n"), merkle.edited_paragraphs(o, n).alias("e")).collect():
         have = {p for s in r.o for p in s}
         assert [tuple(x) for x in r.e] == [(i, j) for i, s in enumerate(r.n) for j, p in enumerate(s) if p not in have]
@@ -387,3 +387,104 @@ def test_copies_do_not_fill_a_language(spark):
     many = train.union(least.crossJoin(spark.range(5000)).select("doc_id", "text", "lang"))
     out = langid.identify(rest, langid.fit(many))
     assert out.where("rejected").count() < 10
+
+
+# ------------------------------------------------ trees, item blocks, stages --
+
+def test_likeness_against_brute_force(spark):
+    import random
+    import re as _re
+    from collections import Counter
+    rng = random.Random(5)
+    pieces = ["x.", "y. ", "x", "\n", "\n\n", "\n \n", "z!?", "long " * 40, "\u00e9. "]
+    texts = ["", "x.\nx.\ny.\n", "y.\nx.\n", "a.b.", "b.a.", "a.\nb.", "b.\na."]
+    texts += ["".join(rng.choice(pieces) for _ in range(rng.randrange(12))) for _ in range(40)]
+    pairs = [(i, a, b) for i, (a, b) in enumerate((rng.choice(texts), rng.choice(texts)) for _ in range(150))]
+    pairs += [(1000, texts[1], texts[2]), (1001, "a.\nb.", "b.\na."), (1002, "", ""), (1003, "x", "")]
+
+    def own(text):
+        out = Counter()
+        for k, part in enumerate(_re.split(r"(\n[ \t\r]*\n)", text)):
+            if k % 2:
+                out.update([("b", part)] if part != "\n\n" else [])
+            else:
+                out.update(("l", s) for line in part.split("\n") for s in _re.findall(merkle.SENTENCE, line))
+        return out
+
+    df = spark.createDataFrame(pairs, "i int, a string, b string")
+    trees = df.select("i", "a", "b", merkle.tree(F.col("a")).alias("ta"), merkle.tree(F.col("b")).alias("tb"))
+    got = trees.select("a", "b", merkle.likeness(
+        merkle.root(merkle.sections(F.col("ta"))), merkle.leaves(F.col("ta")),
+        merkle.root(merkle.sections(F.col("tb"))), merkle.leaves(F.col("tb"))).alias("near")).collect()
+    for r in got:
+        a, b = own(r.a), own(r.b)
+        want = 1.0 if r.a == r.b else 2 * sum((a & b).values()) / (sum(a.values()) + sum(b.values()) + 2)
+        assert abs(r.near - want) < 1e-12 and (r.near == 1) == (r.a == r.b)
+
+
+def test_fingerprint_against_brute_force(spark):
+    import re as _re
+
+    def sha(level, of):
+        return hashlib.sha256((level + of).encode()).hexdigest()
+
+    def whole(text):
+        out = []
+        parts = _re.split(r"(\n[ \t\r]*\n)", text)
+        for k in range(0, len(parts), 2):
+            own = [[sha("l", x) for x in _re.findall(merkle.SENTENCE, p)] for p in parts[k].split("\n")]
+            if k + 1 < len(parts) and parts[k + 1] != "\n\n":
+                own.append([sha("b", parts[k + 1])])
+            out.append(sha("s", ",".join(sha("p", ",".join(p)) for p in own)))
+        return sha("r", ",".join(out))
+
+    rows = ["", "a. b\nc\n\nd", "a\n \nb", "q" * 500 + ".", "\n\n\n", "e\u0301. \U0001f600!"]
+    out = merkle.fingerprints(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.fingerprint for r in out} == {i: whole(t) for i, t in enumerate(rows)}
+
+
+def test_many_blocks_of_items_equal_one(spark):
+    docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    docs = docs.withColumn("doc_id", F.when(F.col("doc_id") % 5 > 0, F.col("doc_id")))
+    size = bench.agg(F.sum(F.octet_length("text"))).first()[0]
+    one = decontam.contamination(docs, bench).collect()
+    many = decontam.contamination(docs, bench, block_text=size // 4)
+    assert one and sorted(map(str, many.collect())) == sorted(map(str, one))
+    assert many._jdf.queryExecution().executedPlan().toString().count("MapInArrow") <= 1
+    kept = decontam.drop_contaminated(docs, bench, block_text=size // 4)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, kept.collect())) == sorted(map(str, decontam.drop_contaminated(docs, bench).collect()))
+
+
+def test_sharding_keeps_columns_and_rows(spark):
+    rows = [(None, "a", 1, "s"), (None, "a", 1, "s"), (3, None, 2, "t"), (3, "b", 2, "t"), (3, "", 4, "u")] * 7
+    docs = spark.createDataFrame(rows, "doc_id long, text string, size int, __row string")
+    out = sharding.shard_documents(docs, 4)
+    assert out.columns == [*docs.columns, "size_", "text_crc32", "shard", "slot"]
+    got = out.collect()
+    assert sorted(map(str, (tuple(r)[:4] for r in got))) == sorted(map(str, rows))
+    assert all(r.size_ == len(r.text or "") + 1 for r in got)
+    held = {}
+    for r in got:
+        held.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in held.values())
+    assert max(map(len, held.values())) - min(map(len, held.values())) <= 1
+    assert sharding.shard_documents(docs.where("false")).count() == 0
+
+
+def test_another_shard_moves_few_rows(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    a, b = (sharding.assign_shards(docs, n).select("doc_id", F.col("shard").alias(f"s{n}")) for n in (16, 17))
+    both = a.join(b, "doc_id")
+    moved, into = both.where("s16 != s17").count(), both.where("s17 = 16").count()
+    assert 4000 // 17 <= into <= moved <= 4 * into
+
+
+def test_unmet_targets_are_logged(spark, caplog):
+    df = spark.createDataFrame([(10, [1.0, 0.0]), (20, [1.0, 0.0])], "tokens long, p array<double>")
+    with caplog.at_level("INFO"):
+        mixing.fit_rates(df, 2, np.array([15.0, 5.0]))
+        assert "not met" in caplog.text
+        caplog.clear()
+        mixing.fit_rates(df, 2, np.array([15.0, 0.0]))
+        assert "targets met" in caplog.text
