@@ -4,8 +4,9 @@
 1. language identification: documents whose language is rejected go;
 2. SimHash near-duplicates: one document of each group stays;
 3. benchmark decontamination: documents that hold a test item go;
-4. mixing: documents are taken at rates that bring the domains' tokens to
-   their targets (rates of 1 or more: always);
+4. mixing: documents are thinned at rates fitted to bring the domains' tokens
+   to their targets; a document is taken once at most, so domains whose rates
+   exceed 1 stay below theirs (totals reached and targets are logged);
 5. sharding: every document gets a shard and a slot.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run``
@@ -44,7 +45,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sharding.assign_shards(docs, shards=16)
+    return sharding.shard_documents(docs, shards=16)
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate),
