@@ -26,6 +26,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -176,10 +177,11 @@ def _sparse(counts: np.ndarray) -> list[bytes]:
     return out
 
 
-def _dense(rows: list[bytes], dims: int = DIMS) -> np.ndarray:
+def _dense(rows, dims: int = DIMS) -> np.ndarray:
+    """Counts from an Arrow array of :func:`_sparse` rows, one at a time."""
     out = np.zeros((len(rows), dims), np.uint32)
     for k, b in enumerate(rows):
-        v = np.frombuffer(b, "<u4")
+        v = np.frombuffer(b.as_buffer(), "<u4")
         out[k, v[: len(v) // 2]] = v[len(v) // 2:]
     return out
 
@@ -251,13 +253,14 @@ def fit(docs: DataFrame, label: str = "lang", max_train: int = MAX_TRAIN,
     idf = np.log((1.0 + total) / (1.0 + np.array([df[i] for i in range(DIMS)]))) + 1.0
 
     def cluster(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("h", "ascending"), ("vec", "ascending")])
-        c = _dense(t.column("vec").to_pylist())
+        t = t.take(np.argsort(t.column("h").to_numpy(), kind="stable"))     # one row a hash
+        c = _dense(t.column("vec"))
         x = unit_rows(c, idf)
         m = spherical_means(x, centroids)
         n, cos = [c.sum(axis=1, dtype=np.int64)], [(x @ m.T).max(axis=1)]
         del x
-        cuts = [v for own in t.column("cuts").to_pylist() for v in own if v]
+        cuts = pc.list_flatten(t.column("cuts"))
+        cuts = cuts.filter(pc.greater(pc.binary_length(cuts), 0))
         for d in chain((_dense(cuts[a: a + 512]) for a in range(0, len(cuts), 512)), joined(c)):
             n.append(d.sum(axis=1, dtype=np.int64)), cos.append((unit_rows(d, idf) @ m.T).max(axis=1))
         floor = length_floors(np.concatenate(n), np.concatenate(cos))
@@ -274,15 +277,11 @@ def fit(docs: DataFrame, label: str = "lang", max_train: int = MAX_TRAIN,
                      np.stack([np.frombuffer(r["floor"], "<f8") for r in fitted]))
 
 
-def _predict_batch(model: Centroids, table: np.ndarray, text) -> tuple[list, np.ndarray, np.ndarray]:
-    lang, score, rejected = [], [], []
-    for _, _, data, offs in blocks(text):
-        a, s, r = model.predict(gram_counts(_block_texts(data, offs), table))
-        lang.append(a), score.append(s), rejected.append(r)
-    if not lang:
-        return [], np.zeros(0), np.zeros(0, bool)
-    names = [model.langs[i] if i >= 0 else "und" for i in np.concatenate(lang)]
-    return names, np.concatenate(score), np.concatenate(rejected)
+def _predict_blocks(model: Centroids, table: np.ndarray, text) -> Iterator[tuple]:
+    """``(first row, end row, language names, scores, rejections)`` of each block."""
+    for i, j, data, offs in blocks(text.fill_null("") if text.null_count else text):
+        lang, score, rejected = model.predict(gram_counts(_block_texts(data, offs), table))
+        yield i, j, [model.langs[v] if v >= 0 else "und" for v in lang], score, rejected
 
 
 def identify(docs: DataFrame, model: Centroids) -> DataFrame:
@@ -290,10 +289,10 @@ def identify(docs: DataFrame, model: Centroids) -> DataFrame:
     def kernel(batches):
         table = letter_table()
         for b in batches:
-            names, score, rejected = _predict_batch(model, table, b.column(1))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(names, pa.string()), pa.array(score, pa.float64()),
-                 pa.array(rejected, pa.bool_())], names=["doc_id", "lang_pred", "score", "rejected"])
+            for i, j, names, score, rejected in _predict_blocks(model, table, b.column(1)):
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(i, j - i), pa.array(names, pa.string()), pa.array(score, pa.float64()),
+                     pa.array(rejected, pa.bool_())], names=["doc_id", "lang_pred", "score", "rejected"])
 
     schema = T.StructType([docs.schema["doc_id"]]).add("lang_pred", "string").add("score", "double") \
         .add("rejected", "boolean")
@@ -307,8 +306,7 @@ def keep_identified(docs: DataFrame, model: Centroids) -> DataFrame:
     def kernel(batches):
         table = letter_table()
         for b in batches:
-            text = b.column(at)
-            rejected = _predict_batch(model, table, text.fill_null(""))[2]
-            yield b.filter(pa.array(~rejected, pa.bool_()))
+            for i, j, _, _, rejected in _predict_blocks(model, table, b.column(at)):
+                yield b.slice(i, j - i).filter(pa.array(~rejected, pa.bool_()))
 
     return docs.mapInArrow(kernel, docs.schema)

@@ -28,6 +28,8 @@ repeated rows stay repeated and get equal rates. Other columns are not read.
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -41,6 +43,8 @@ BUCKETS = 1 << 16
 WORDS = 1024
 MAX_TRAIN = 8192
 TRAIN_STEPS = 150
+log = logging.getLogger(__name__)
+
 MAX_STEPS = 60
 TOLERANCE = 1e-4     # largest residual of a domain, as a share of all target tokens
 
@@ -157,15 +161,13 @@ def posteriors(docs: DataFrame, model: Posterior, tokens: str = "tokens", p: str
     def kernel(batches):
         for b in batches:
             text = b.column(at)
-            n, got = [np.zeros(0, np.int64)], [np.zeros((0, len(model.domains)))]
-            for _, _, data, offs in blocks(text.fill_null("") if text.null_count else text):
+            for i, j, data, offs in blocks(text.fill_null("") if text.null_count else text):
                 t = TextBlock(data, offs)
-                n.append(t.n_words), got.append(model(t))
-            flat = np.concatenate(got)
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(np.concatenate(n), pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1) * flat.shape[1], pa.int32()),
-                                          pa.array(flat.ravel(), pa.float64()))], names=[*b.schema.names, tokens, p])
+                got = model(t)
+                yield pa.RecordBatch.from_arrays(
+                    [*b.slice(i, j - i).columns, pa.array(t.n_words, pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(got) + 1) * got.shape[1], pa.int32()),
+                                              pa.array(got.ravel(), pa.float64()))], names=[*b.schema.names, tokens, p])
 
     schema = T.StructType(list(docs.schema.fields)).add(tokens, "long").add(p, T.ArrayType(T.DoubleType()))
     return docs.mapInArrow(kernel, schema)
@@ -185,7 +187,8 @@ def fit_rates(table: DataFrame, n_domains: int, targets: np.ndarray, max_steps:
               tolerance: float = TOLERANCE) -> list[np.ndarray]:
     """Steps of the projected gradient over ``tokens, p``; ends when every
     domain's total is within ``tolerance`` of its target (as a share of all
-    target tokens), or no longer moves."""
+    target tokens), or no longer moves, or after ``max_steps``; logs the totals
+    reached against the targets (a warning where they are not met)."""
     p = [F.col("p")[i] for i in range(n_domains)]
     n = F.col("tokens")
     cells = [(i, j) for i in range(n_domains) for j in range(i, n_domains)]
@@ -195,14 +198,17 @@ def fit_rates(table: DataFrame, n_domains: int, targets: np.ndarray, max_steps:
         gram[i, j] = gram[j, i] = v
     inverse = np.linalg.pinv(gram, hermitian=True)
     steps, scale, last = [], max(float(targets.sum()), 1.0), None
-    while len(steps) < max_steps:
+    while True:
         r = rate_of(p, steps)
         s = np.array(table.agg(*[F.coalesce(F.sum(n * r * c), F.lit(0.0)) for c in p]).first())
         gap = s - targets
-        if np.abs(gap).max() <= tolerance * scale or (last is not None and np.abs(s - last).max() <= 1e-9 * scale):
+        met = np.abs(gap).max() <= tolerance * scale
+        if met or len(steps) >= max_steps or (last is not None and np.abs(s - last).max() <= 1e-9 * scale):
             break
         steps.append(inverse @ gap)
         last = s
+    log.log(logging.INFO if met else logging.WARNING, "mixing: targets %s after %d steps; expected tokens by domain %s, targets %s",
+            "met" if met else "not met", len(steps), s.round(1).tolist(), targets.round(1).tolist())
     return steps
 
 
@@ -249,7 +255,9 @@ def mix(docs: DataFrame, labels: DataFrame, domain: str, shares: dict[str, float
 def thin(docs: DataFrame, labels: DataFrame, domain: str, shares: dict[str, float], lead: str,
          lift: float = 1.0, max_train: int = MAX_TRAIN, seed: int = 7) -> DataFrame:
     """The rows of ``docs``, unchanged, that are taken at their rates. Each row
-    is decided in place, so ids may be null or repeated."""
+    is decided in place, so ids may be null or repeated. A row is taken once at
+    most: rates above 1 keep it and no more, so domains whose rates exceed 1
+    end below their targets."""
     table, _, _, _, rate = _fitted(docs, docs, labels, domain, shares, lead, lift, max_train)
     return table.where(take(rate, seed)).select(*[f"`{c}`" for c in docs.columns])
 

@@ -221,10 +221,11 @@ def keep_one(docs: DataFrame, size: int = SIZE, max_bits: int = 2) -> DataFrame:
 
     def kernel(batches):
         for b in batches:
-            out = [majority_bits(*shingle_hashes(data, offs, size))
-                   for _, _, data, offs in blocks(b.column(at).fill_null(""))]
-            got = np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.int64())], names=[*b.schema.names, fp])
+            text = b.column(at)
+            for i, j, data, offs in blocks(text.fill_null("") if text.null_count else text):
+                got = majority_bits(*shingle_hashes(data, offs, size)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, pa.array(got, pa.int64())],
+                                                 names=[*b.schema.names, fp])
 
     schema = T.StructType(docs.schema.fields + [T.StructField(fp, T.LongType())])
     rows = stage.write(docs.mapInArrow(kernel, schema).withColumn(row, F.monotonically_increasing_id()))
