@@ -11,8 +11,10 @@ The ring has ``shards x vnodes`` stretches whatever the input. Spark counts
 rows by stretch; the driver fills the shards from those counts alone and gets
 pieces (stretch, first row, last row, shard). A row finds its stretch by an
 equi-join on ring cells and its piece by its number inside the stretch, which
-is a prefix sum over sub-buckets plus a row number inside a sub-bucket, so no
-task orders a whole stretch. All tables that are broadcast have sizes fixed by
+is a prefix sum over sub-buckets plus one inside a sub-bucket, so no task
+orders a whole stretch. Rows equal in id and text cannot be told apart by
+their hash: those of a run of ``2 ** RUN_BITS`` row numbers are counted before
+they are shuffled, so a third of all rows may be identical. All tables that are broadcast have sizes fixed by
 ``shards``, ``vnodes`` and ``SUBS``. Only DataFrame functions are used.
 
 Edge cases: a null text counts no bytes (size 1, checksum 0); a null id is the
@@ -24,7 +26,7 @@ rows; other columns are neither read nor needed.
 from __future__ import annotations
 
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roundstats.llm.common import Stage, unused
@@ -33,6 +35,7 @@ VNODES = 32
 SUBS = 64            # sub-buckets of a stretch
 RING_BITS = 60
 CELL_BITS = 10
+RUN_BITS = 12        # rows are numbered in runs of 2 ** RUN_BITS
 
 
 def ring_points(shards: int, vnodes: int = VNODES) -> list[tuple[int, int]]:
@@ -95,7 +98,7 @@ def fill(points: list[tuple[int, int]], counts: list[int], room: dict[int, int]
 
 def assign_shards(docs: DataFrame, shards: int = 16, vnodes: int = VNODES, slack: float = 0.0) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot`` for every row of ``docs``."""
-    return _assigned(docs, shards, vnodes, slack)
+    return _assigned(docs, F.monotonically_increasing_id(), shards, vnodes, slack).drop("row")
 
 
 def shard_documents(docs: DataFrame, shards: int = 16, vnodes: int = VNODES, slack: float = 0.0) -> DataFrame:
@@ -106,24 +109,26 @@ def shard_documents(docs: DataFrame, shards: int = 16, vnodes: int = VNODES, sla
     row = unused("__row", docs)
     rows = Stage(docs.sparkSession, "shard_documents").write(docs.withColumn(row, F.monotonically_increasing_id()))
     new = {c: unused(c, docs) for c in ("size", "text_crc32", "shard", "slot")}
-    placed = _assigned(rows, shards, vnodes, slack, (row,)).select(row, *[F.col(c).alias(n) for c, n in new.items()])
+    placed = _assigned(rows, F.col(row), shards, vnodes, slack) \
+        .select(F.col("row").alias(row), *[F.col(c).alias(n) for c, n in new.items()])
     return rows.join(placed.hint("shuffle_hash"), row).select(*[f"`{c}`" for c in docs.columns], *new.values())
 
 
-def _assigned(docs: DataFrame, shards: int, vnodes: int, slack: float, carry: tuple[str, ...] = ()) -> DataFrame:
+def _assigned(docs: DataFrame, number: Column, shards: int, vnodes: int, slack: float) -> DataFrame:
+    """``row`` (the value of ``number``, distinct by row) and the columns of :func:`assign_shards`."""
     spark = docs.sparkSession
     stage = Stage(spark, "shards")
     points = ring_points(shards, vnodes)
     cells = spark.createDataFrame(ring_cells(points), "cell long, lo long, hi long, arc int")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    rows = docs.select(*carry, "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+    rows = docs.select(number.alias("row"), "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
                        F.crc32(text.cast("binary")).alias("text_crc32"),
                        F.xxhash64(key).bitwiseAND(F.lit((1 << RING_BITS) - 1)).alias("place"))
     placed = rows.withColumn("cell", F.shiftright("place", RING_BITS - CELL_BITS)) \
         .join(F.broadcast(cells), "cell").where(F.col("place").between(F.col("lo"), F.col("hi")))
     order = F.xxhash64("place", "text_crc32", "size")
-    placed = stage.write(placed.select(*carry, "doc_id", "size", "text_crc32", "arc", order.alias("order"))
+    placed = stage.write(placed.select("row", "doc_id", "size", "text_crc32", "arc", order.alias("order"))
                          .withColumn("sub", F.pmod("order", F.lit(SUBS)).cast("int")))
     counts = stage.write(placed.groupBy("arc", "sub").agg(F.count(F.lit(1)).alias("n")))
     by_arc = [0] * len(points)
@@ -133,9 +138,16 @@ def _assigned(docs: DataFrame, shards: int, vnodes: int, slack: float, carry: tu
                                    "arc int, first long, end long, shard int, at long")
     before = Window.partitionBy("arc").orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("arc", "sub", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("arc", "sub").orderBy("order", "doc_id", "size", "text_crc32")
-    number = placed.withColumn("nth", F.row_number().over(inside) - 1) \
-        .join(F.broadcast(starts), ["arc", "sub"]).withColumn("nth", F.col("nth") + F.col("start"))
-    return number.join(F.broadcast(pieces), "arc") \
+    # Identical rows, however many, reach the window as one row for each run of
+    # row numbers; a row's number is its run's start plus its place in the run.
+    same = ["order", "doc_id", "size", "text_crc32", "run"]
+    runs = placed.withColumn("run", F.shiftright("row", RUN_BITS)).groupBy("arc", "sub", *same) \
+        .agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    earlier = Window.partitionBy("arc", "sub").orderBy(*same).rowsBetween(Window.unboundedPreceding, -1)
+    numbered = runs.withColumn("nth", F.coalesce(F.sum(F.size("rows")).over(earlier), F.lit(0))) \
+        .join(F.broadcast(starts), ["arc", "sub"]) \
+        .select("arc", "doc_id", "size", "text_crc32", (F.col("start") + F.col("nth")).alias("nth"),
+                F.posexplode("rows").alias("k", "row")).withColumn("nth", F.col("nth") + F.col("k"))
+    return numbered.join(F.broadcast(pieces), "arc") \
         .where((F.col("nth") >= F.col("first")) & (F.col("nth") < F.col("end"))) \
-        .select(*carry, "doc_id", "size", "text_crc32", "shard", (F.col("at") + F.col("nth") - F.col("first")).alias("slot"))
+        .select("row", "doc_id", "size", "text_crc32", "shard", (F.col("at") + F.col("nth") - F.col("first")).alias("slot"))
