@@ -256,7 +256,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("d"),
                         text_bytes().alias("bytes"))
     suffixes = stage.write(retained(texts))
-    counts = suffixes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written, so that the join below has an exchange of its own on each side and
+    # the suffixes of a common run can be split over tasks.
+    counts = stage.write(suffixes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     wanted = suffixes.join(counts, "key").groupBy("d").agg(
         F.collect_set(F.struct("pos", "key", (F.col("n") > MAX_RUN).alias("hot"))).alias("s"))
     found = texts.join(wanted, "d")
