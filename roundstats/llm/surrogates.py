@@ -11,7 +11,7 @@ and "Mr. Smith" keep one surname, two addresses of a domain keep one domain),
 made from a keyed SHA-256 of its type and its folded form. Surrogates keep type
 and format: letters stay letters and digits digits, separators, country codes,
 titles, top-level domains and capitals stay; names follow gender (by title or
-list) and script.
+list) and, word by word, script (Latin, Cyrillic or Greek; others become Latin).
 
 Distinct pieces of a type get distinct surrogates, none of which occurs in the
 corpus as a piece of that type. A round proposes a surrogate for each open
@@ -40,11 +40,18 @@ FEMALE = ["Anna", "Clara", "Elena", "Emma", "Irene", "Julia", "Laura", "Maria",
 MALE = ["Adrian", "Daniel", "David", "Felix", "Hugo", "John", "Lucas", "Martin", "Oscar", "Paul", "Robert", "Simon"]
 FEMALE_CYRILLIC = ["Анна", "Вера", "Елена", "Ирина", "Мария", "Ольга"]
 MALE_CYRILLIC = ["Борис", "Виктор", "Иван", "Максим", "Олег", "Павел"]
+FEMALE_GREEK = ["Άννα", "Ελένη", "Ειρήνη", "Μαρία", "Όλγα", "Σοφία"]
+MALE_GREEK = ["Αλέξανδρος", "Ανδρέας", "Γιώργος", "Νίκος", "Παύλος", "Πέτρος"]
 FEMALE_TITLES = ["Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "г-жа"]
 MALE_TITLES = ["Mr", "Herr", "Señor", "Sr", "Monsieur", "г-н"]
 OTHER_TITLES = ["Dr", "Prof"]
 LATIN = ["ba", "bel", "cor", "dan", "der", "fen", "gar", "hol", "kin", "lan", "mer", "nor", "pel", "ros", "tal", "win"]
 CYRILLIC = ["бел", "вер", "гор", "дан", "зал", "кор", "лес", "мир", "нов", "пет", "рос", "сав", "тов", "фед", "чер", "яр"]
+GREEK = ["βαλ", "γορ", "δαμ", "ζερ", "θαν", "καλ", "λεν", "μαρ", "νικ", "παλ", "ραν", "σορ", "τερ", "φαν", "χαρ", "ψαλ"]
+# Names and syllables by script; the first script also serves those not listed.
+SCRIPTS = {"latin": (FEMALE, MALE, LATIN), "cyrillic": (FEMALE_CYRILLIC, MALE_CYRILLIC, CYRILLIC),
+           "greek": (FEMALE_GREEK, MALE_GREEK, GREEK)}
+ALL_FEMALE, ALL_MALE = ([n for s in SCRIPTS.values() for n in s[i]] for i in (0, 1))
 
 # Possessive groups are loops in the JVM, others recurse once a part. What follows the
 # last top-level domain of the chain of labels stays (``pieces``).
@@ -61,7 +68,7 @@ IP6 = (rf"(?<![\w:.])(?:(?:{_hex}:){{6}}{_v4}|(?:{_hex}(?::{_hex}){{0,5}})?::(?:
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 CARD = r"(?<![\d-])\d{4}(?:[ -]?\d{4}){3}(?!\d)|(?<![\d-])\d{4}[ -]\d{6}[ -]\d{4,5}(?![\d-])|(?<!\d)\d{13,19}(?!\d)"
 _titles = "|".join(FEMALE_TITLES + MALE_TITLES + OTHER_TITLES)
-_firsts = "|".join(FEMALE + MALE + FEMALE_CYRILLIC + MALE_CYRILLIC)
+_firsts = "|".join(ALL_FEMALE + ALL_MALE)
 _part = r"(?:\p{Lu}['’])?\p{Lu}[\p{L}\p{M}]+"
 _word = rf"{_part}(?:['’-]{_part})*+"
 _more = rf"(?: (?:(?:{_word}|\p{{Lu}}\.) ){{0,3}}{_word})"     # an initial is not the last word
@@ -97,15 +104,18 @@ def pieces(e: Column) -> Column:
     words = F.split(F.substring(e, F.length(title) + 1, F.length(e)), " ")
     bare = F.regexp_replace(title, r"[. ]+$", "")
     one = F.split(words[0], "-")[0]
-    gender = (F.when(bare.isin(FEMALE_TITLES) | one.isin(FEMALE + FEMALE_CYRILLIC), "female")
-              .when(bare.isin(MALE_TITLES) | one.isin(MALE + MALE_CYRILLIC), "male").otherwise("any"))
-    script = F.when(F.element_at(words, -1).rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    first = F.concat_ws("_", F.lit("first"), gender, script)
-    last = F.concat_ws("_", F.lit("last"), script)
+    gender = (F.when(bare.isin(FEMALE_TITLES) | one.isin(ALL_FEMALE), "female")
+              .when(bare.isin(MALE_TITLES) | one.isin(ALL_MALE), "male").otherwise("any"))
+
+    def script(own: Column) -> Column:
+        return F.when(own.rlike(r"\p{IsCyrillic}"), "cyrillic").when(own.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
+
+    first = lambda own: F.concat_ws("_", F.lit("first"), gender, script(own))
+    last = lambda own: F.concat_ws("_", F.lit("last"), script(own))
     # Every part of the last word is a last name, every part before it a first name.
     parts = F.flatten(F.transform(words, lambda w, i: F.transform(F.split(w, "-"), lambda own, j: F.struct(
         F.when(j > 0, "-").when(i > 0, " ").otherwise(title).alias("before"),
-        F.when(i == F.size(words) - 1, last).otherwise(first).alias("kind"), own.alias("own")))))
+        F.when(i == F.size(words) - 1, last(own)).otherwise(first(own)).alias("kind"), own.alias("own")))))
     names = F.transform(parts, lambda x, k: F.struct(
         k.alias("part"), x["before"].alias("before"), x["kind"].alias("kind"), x["own"].alias("own"), F.lit("").alias("after")))
     kind = entity_type(e)
@@ -152,14 +162,17 @@ def propose(key: str, kind: Column, piece: Column, tries: Column) -> Column:
         return F.array_join(F.transform(F.sequence(F.lit(0), n), lambda i: F.element_at(
             F.array(*[F.lit(s) for s in of]), v(i + start) % len(of) + 1)), "")
 
-    cyrillic = kind.endswith("cyrillic")
-    last = F.when(cyrillic, syllables(CYRILLIC, F.lit(2) + F.least(tries, F.lit(12)), 8)) \
-        .otherwise(syllables(LATIN, F.lit(2) + F.least(tries, F.lit(12)), 8))
-    pick = lambda f, m: F.when(F.contains(kind, F.lit("_female_")) | (~F.contains(kind, F.lit("_male_")) & (v(F.lit(1)) % 2 == 0)),
-                               from_list(f, 2)).otherwise(from_list(m, 2))
-    first = F.when(cyrillic, pick(FEMALE_CYRILLIC, MALE_CYRILLIC)).otherwise(pick(FEMALE, MALE))
-    more = F.when(cyrillic, syllables(CYRILLIC, F.least(tries - 1, F.lit(12)), 24)) \
-        .otherwise(syllables(LATIN, F.least(tries - 1, F.lit(12)), 24))
+    def by_script(of) -> Column:
+        """``of(female, male, syllables)`` of the script that the kind names."""
+        out = of(*SCRIPTS["latin"])
+        for name, lists in SCRIPTS.items():
+            out = out if name == "latin" else F.when(kind.endswith(name), of(*lists)).otherwise(out)
+        return out
+
+    last = by_script(lambda f, m, syl: syllables(syl, F.lit(2) + F.least(tries, F.lit(12)), 8))
+    is_female = F.contains(kind, F.lit("_female_")) | (~F.contains(kind, F.lit("_male_")) & (v(F.lit(1)) % 2 == 0))
+    first = by_script(lambda f, m, syl: F.when(is_female, from_list(f, 2)).otherwise(from_list(m, 2)))
+    more = by_script(lambda f, m, syl: syllables(syl, F.least(tries - 1, F.lit(12)), 24))
     first = F.lower(F.when(tries > 0, F.concat(first, more)).otherwise(first))
     return F.when(kind == "ip", octets).when(kind == "ip6", ip6).when(kind.startswith("first_"), first).when(kind.startswith("last_"), last).otherwise(word)
 
