@@ -9,21 +9,24 @@ A SetSketch register is the exponentially spaced, truncated minimum of one
 hash over the set: ``floor(1 - log_b h)``, ``h`` exponential of rate ``a``, cut
 to 0 .. q + 1. Registers of a union are the greater of both, so sketches
 merge; equal registers are about as likely as the Jaccard likeness J is
-large. 32 bands of four registers are the keys that candidates share: a pair at
+large: the base is near 1, so that unlike sets hardly ever agree by chance
+(a base of 1.05 has a 1.2% chance a register, so that keys shared by chance grow as
+the square of the documents; 1.001 has 0.025%). 32 bands of four registers are the keys that candidates share: a pair at
 J = 0.8 shares none with probability 5e-8, a pair at 0.85 with 2e-10. A key of more than
 ``MAX_BUCKET`` sets says little; its sets get 64 longer keys of eight registers
 instead, which sets that merely share a passage seldom have in common.
 
-Candidates of a key are not paired with each other. In each of ``ROUNDS``
-rounds a set proposes one pair: of the most central sets of its keys (those whose
-keys are met most) that belong to another component, the most central one. So a group
-of n copies costs n comparisons a round, and its members meet at the text they
-derive from. What is left are keys with sets of several components. There the
-sets outside the key's largest component are searched for links exactly, by their
-rarest shingles: two sets of sizes m and n link only with t = ceil(80 (m + n) / 180)
+Candidates of a key are not paired with each other. A set proposes at most
+``PROPOSALS`` pairs: with the most central sets of its keys (those whose keys are met
+most). So a group of n copies costs a few comparisons a member, and its members meet at
+the text they derive from. Links lead to more central sets; followed ``HOPS`` times, twice
+as far each time, they name a set's group. What is left are keys with sets of several
+groups. There the sets outside the key's largest group are searched for links exactly, by
+their rarest shingles: two sets of sizes m and n link only with t = ceil(80 (m + n) / 180)
 shingles in common, so one of any m - t + 1 shingles of the first is in the second
 (by classes of the second's size, 2% wide). Shingles of edits are rare, so sets
-that differ too much from all others meet none. No link between components is lost.
+that differ too much from all others meet none. No link between groups is lost; the
+components are those of both kinds of links.
 
 A comparison is first estimated: the counts of greater, less and equal registers
 and both set sizes give J's likelihood (Ertl, SetSketch, 2021); pairs for which
@@ -56,10 +59,11 @@ REGISTERS = 128
 BAND = 4              # registers a key
 LONG_BAND, LONG_KEYS = 8, 64
 MAX_BUCKET = 64
-BASE, RATE, TOP = 1.05, 20.0, (1 << 16) - 2     # b, a and q of the sketch
+BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2     # b, a and q of the sketch
 SLACK = 18.0          # log-likelihood by which a pair may miss the threshold
 SALTS = 8
-ROUNDS = 3            # of one proposal a set, before the rest is searched
+PROPOSALS = 3         # of a set, before the rest is searched
+HOPS = 2
 WIDTH = 1.02          # ratio of a size class
 PARITY_BITS = 1024
 CHUNK = 1 << 14       # hashes that a register's minimum is taken of at a time
@@ -263,31 +267,33 @@ def _verify(pairs: DataFrame, own: DataFrame, percent: int, stage: Stage, by: st
     both = F.size(F.array_intersect("x", "y"))
     checked = _salted(likely.join(two, "b"), one, "a", "b") \
         .where(both * 100 >= (F.size("x") + F.size("y") - both) * percent)
-    return stage.write(checked.select("a", "b"))
+    return checked.select("a", "b")
 
 
-def _joined(roots: DataFrame, edges: DataFrame, stage: Stage) -> DataFrame:
-    """``node, root`` after more links: components so far are their nodes."""
-    lift = roots.select(F.col("node").alias("n0"), F.col("root").alias("r0"))
-    up = edges.join(lift, F.col("a") == F.col("n0"), "left").select(F.coalesce("r0", "a").alias("a"), "b") \
-        .join(lift, F.col("b") == F.col("n0"), "left").select("a", F.coalesce("r0", "b").alias("b"))
-    more = stage.write(connected_components(up, "a", "b"))
-    old = lift.join(more, F.col("r0") == F.col("node"), "left") \
-        .select(F.col("n0").alias("node"), F.coalesce("root", "r0").alias("root"))
-    return stage.write(old.union(more.join(old, "node", "left_anti")))
+def _split(members: DataFrame, links: DataFrame, stage: Stage) -> DataFrame:
+    """``node, root, minor`` of the ``members`` (``key, node``) of keys that hold several
+    groups: the set that names its group, and whether it is outside the largest of a key."""
+    up = links.groupBy("b").agg(F.max("a").alias("a"))
+    for _ in range(HOPS):
+        further = up.select(F.col("b").alias("a"), F.col("a").alias("end"))
+        up = up.join(further, "a", "left").select("b", F.coalesce("end", "a").alias("a"))
+    named = stage.write(members.select("key", "node").join(up.withColumnRenamed("b", "node"), "node", "left")
+                        .select("key", "node", F.coalesce("a", "node").alias("root")))
+    major = named.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")) \
+        .groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("major"), F.count(F.lit(1)).alias("groups")).where("groups > 1")
+    return stage.write(_salted(named, major, "key", "node").groupBy("node")
+                       .agg(F.max("root").alias("root"), F.max(F.col("root") != F.col("major")).alias("minor")))
 
 
 def _rest(left: DataFrame, own: DataFrame, percent: int, stage: Stage) -> DataFrame:
-    """``a, b``: pairs that may link, of different components, one of which is not
-    the largest of a key. ``left``: ``key, node, root`` of keys with several."""
-    major = left.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")) \
-        .groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("major"))
-    minor = _salted(left, major, "key", "node").where("root != major").select("node").distinct()
-    sets = own.select("node", "n", "shingles").join(left.select("node", "root").distinct(), "node")
-    rows = stage.write(sets.select("node", "root", "n", F.explode("shingles").alias("g")))
+    """``a, b``: pairs that may link, of different groups, one of which is not
+    the largest of a key (``left``: ``node, root, minor``)."""
+    sets = own.select("node", "n", "shingles").join(left, "node")
+    rows = stage.write(sets.select("node", "root", "minor", "n", F.explode("shingles").alias("g")))
     often = rows.groupBy("g").agg(F.count(F.lit(1)).alias("often"))
-    ranked = stage.write(rows.join(often, "g").groupBy("node", "root", "n")
+    ranked = stage.write(rows.join(often, "g").groupBy("node", "root", "minor", "n")
                          .agg(F.array_sort(F.collect_list(F.struct("often", "g"))).alias("gs")))
+    stage.drop(rows)
     size_class = lambda n: F.floor(F.log(n) / F.log(F.lit(WIDTH)) + 1e-9).cast("int")
     n = F.col("n")
     first = lambda k: F.posexplode(F.slice("gs", F.lit(1), F.greatest(k, F.lit(1)).cast("int"))).alias("at", "x")
@@ -296,7 +302,7 @@ def _rest(left: DataFrame, own: DataFrame, percent: int, stage: Stage) -> DataFr
     classes = F.sequence(size_class(F.greatest(n * percent / 100 - 1, F.lit(1))), size_class(n * 100 / percent + 1))
     least = F.greatest(F.floor(F.pow(F.lit(WIDTH), F.col("class"))) - 1, F.floor(n * percent / 100) - 1)
     common = F.ceil((n + least) * percent / (100 + percent))
-    wanted = ranked.join(minor, "node", "left_semi").select("node", "root", "n", "gs", F.explode(classes).alias("class")) \
+    wanted = ranked.where("minor").select("node", "root", "n", "gs", F.explode(classes).alias("class")) \
         .select("node", "root", "n", "class", first(n - common + 2)) \
         .select(F.col("node").alias("a"), F.col("root").alias("a_root"), F.col("n").alias("n_a"), F.col("at").alias("at_a"),
                 "class", F.col("x.g").alias("g"))
@@ -308,27 +314,16 @@ def _rest(left: DataFrame, own: DataFrame, percent: int, stage: Stage) -> DataFr
 
 
 def _links(members: DataFrame, own: DataFrame, percent: int, stage: Stage) -> DataFrame:
-    """``node, root`` of the nodes that have a link (``members``: ``key, node, size``)."""
+    """``a, b``: links whose components are those of all links (``members``: ``key, node, size``)."""
     score = members.groupBy("node").agg(F.sum("size").alias("score"))
     members = stage.write(members.select("key", "node").join(score, "node"))
-    none = members.select(F.col("node").alias("root"), "node", F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    roots, done = stage.write(none.select("node", "root")), stage.write(none.select("a", "b"))
-
-    def split() -> DataFrame:
-        """Keys that hold several components, with their most central node."""
-        named = members.join(roots, "node", "left").select("key", "node", "score", F.coalesce("root", "node").alias("root"))
-        keys = named.groupBy("key").agg(F.max(F.struct("score", F.col("node").alias("p"), F.col("root").alias("p_root"))).alias("x"),
-                                        F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-        return _salted(named, keys.select("key", F.col("x.score").alias("p_score"), "x.p", "x.p_root"), "key", "node")
-
-    for _ in range(ROUNDS):
-        fresh = split().where("root != p_root").select(F.col("p").alias("a"), F.col("node").alias("b"), "p_score").distinct() \
-            .join(done, ["a", "b"], "left_anti")
-        pairs = stage.write(fresh.groupBy("b").agg(F.max(F.struct("p_score", "a")).alias("x")).select(F.col("x.a").alias("a"), "b"))
-        done = done.union(pairs)
-        roots = _joined(roots, _verify(pairs, own, percent, stage), stage)
-    left = stage.write(split().select("key", "node", "root"))
-    return _joined(roots, _verify(stage.write(_rest(left, own, percent, stage)), own, percent, stage, "parity"), stage)
+    central = members.groupBy("key").agg(F.max(F.struct("score", F.col("node").alias("a"))).alias("x"))
+    offers = _salted(members.select("key", "node"), central, "key", "node").where("node != x.a")
+    best = F.slice(F.sort_array(F.collect_set("x"), asc=False), 1, PROPOSALS)
+    pairs = stage.write(offers.groupBy("node").agg(best.alias("xs")).select(F.explode("xs.a").alias("a"), F.col("node").alias("b")))
+    links = stage.write(_verify(pairs, own, percent, stage))
+    more = stage.write(_rest(_split(members, links, stage), own, percent, stage))
+    return links.union(_verify(more, own, percent, stage, "parity"))
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, size: int, stage: Stage) -> DataFrame:
@@ -352,8 +347,9 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, m
     own_text = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), text_bytes().alias("text"))
     rows = stage.write(sketches(own_text, size, sets=False).withColumn("node", F.monotonically_increasing_id()))
     same = stage.write(rows.where("n > 0").groupBy("h1", "h2", "n").agg(
-        F.min("node").alias("node"), F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")))
-    one_each = rows.select("node", "sketch").join(same.select("node"), "node", "left_semi")
+        F.min("node").alias("node"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("first"),
+        F.count(F.lit(1)).alias("copies")))
+    one_each = same.select("node", "sketch")
     bands = np.arange(REGISTERS).reshape(-1, BAND)
     shared = stage.write(_shared(band_keys(one_each, bands)))
     often = shared.where(F.col("size") > max_bucket).select("node").distinct()
@@ -363,7 +359,7 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, m
     members = stage.write(shared.where(F.col("size") <= max_bucket).union(hot))
     wanted = rows.select(_id().alias("id"), "text_hash", "node").join(members.select("node").distinct(), "node", "left_semi")
     own = _sets_of(docs, wanted, size, stage)
-    roots = _links(members, own, percent, stage)
+    roots = connected_components(_links(members, own, percent, stage), "a", "b")
 
     # Only sets that others share or link with need a name.
     linked = same.join(roots, "node", "left").select("h1", "h2", "n", "first", "copies", "root")

@@ -118,6 +118,25 @@ def test_registers_merge_and_estimate_likeness():
         assert (est[0] >= 0.8 or short[0] <= setsketch.SLACK) == (true > 0.7)
 
 
+def test_unlike_sets_hardly_ever_share_registers():
+    rng = np.random.default_rng(3)
+    h = rng.integers(0, 1 << 63, 400 * 50, dtype=np.uint64) * np.uint64(2)
+    r = setsketch.register_values(setsketch.minima(h, np.arange(0, 20001, 50)))
+    i, j = np.triu_indices(400, 1)
+    assert (r[i] == r[j]).mean() < 1e-3          # keys shared by chance: the square of the rows
+
+
+def test_near_duplicates_take_few_written_tables(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(500)}" for _ in range(80)]
+    rows = [(i, " ".join(base[:40] + [f"x{i}"] * (i % 4) + base[40:])) for i in range(40)]
+    rows += [(100 + i, " ".join(f"c{j}" for j in range(i * 6, i * 6 + 80))) for i in range(20)]
+    written, write = [], setsketch.Stage.write
+    monkeypatch.setattr(setsketch.Stage, "write", lambda self, df: written.append(df) or write(self, df))
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == sorted(brute_components(rows), key=key)
+    assert len(written) <= 30
+
+
 # -------------------------------------------------------------- fill in middle --
 
 UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
